@@ -110,3 +110,158 @@ def q_crashes_filter_all_fields(spark, sf):
 def q_crashes_filter_envelope(spark, sf):
     res = reads.filter_crashes(crashes(spark, sf), year=2020, weather="Rain", limit=100)
     return reads.envelope(res, year=2020, city=None, severity=None, weather="Rain")
+
+
+# ---------------------------------------------------------------- cleaning, features
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from crashlens.functions import features as FX  # noqa: E402
+from crashlens.operators import cleaning, spatial, split  # noqa: E402
+from crashlens.plans import features as PF  # noqa: E402
+
+SEV_SQL = ("CASE severity_3class WHEN 'No Injury' THEN 'Low' WHEN 'Injury' THEN 'Medium' "
+           "WHEN 'Fatal' THEN 'High' END")
+LABELLED_CTE = f"labelled AS (SELECT *, {SEV_SQL} AS severity_class FROM crashes WHERE {SEV_SQL} IS NOT NULL)"
+TIME_CTE = ("timed AS (SELECT *, hour(ts) AS hour_of_day, isodow(ts) - 1 AS day_of_week, "
+            "month(ts) AS month FROM (SELECT *, TRY_CAST(crash_datetime_clean AS TIMESTAMP) AS ts "
+            "FROM {src}) t)")
+RUSH_V2 = "CASE WHEN hour_of_day BETWEEN 7 AND 9 OR hour_of_day BETWEEN 16 AND 19 THEN 1 ELSE 0 END"
+RUSH_V1 = "CASE WHEN hour_of_day BETWEEN 7 AND 9 OR hour_of_day BETWEEN 16 AND 18 THEN 1 ELSE 0 END"
+LIGHT_TRAIN = ("CASE WHEN hour_of_day < 6 OR hour_of_day >= 20 THEN 'Dark' "
+               "WHEN hour_of_day IN (6, 19) THEN 'Dawn_Dusk' ELSE 'Daylight' END")
+LIGHT_SERVE = ("CASE WHEN hour_of_day BETWEEN 7 AND 18 THEN 'Daylight' "
+               "WHEN hour_of_day IN (5, 6, 19, 20) THEN 'Dawn_Dusk' ELSE 'Dark' END")
+SPLIT_CTES = (
+    "located AS (SELECT * FROM labelled WHERE lat IS NOT NULL AND lon IS NOT NULL)",
+    "ranked AS (SELECT *, row_number() OVER (PARTITION BY severity_class ORDER BY "
+    "((crash_id % 1000003 + 1000003) % 1000003 * 7919 + 42) % 1000003, crash_id) AS rk, "
+    "count(*) OVER (PARTITION BY severity_class) AS ncls FROM located)",
+    "splitted AS (SELECT * EXCLUDE (rk, ncls), rk <= (ncls * 20 + 99) // 100 AS is_test FROM ranked)",
+)
+HAV = ("12742018.0 * asin(sqrt(least(power(sin((radians(h.lat) - radians(q.lat)) / 2), 2) + "
+       "cos(radians(q.lat)) * cos(radians(h.lat)) * power(sin((radians(h.lon) - radians(q.lon)) / 2), 2)"
+       ", 1.0)))")
+SPATIAL_CTES = SPLIT_CTES + (
+    "train AS (SELECT crash_id, lat, lon, severity_class FROM splitted WHERE NOT is_test)",
+    f"pairs AS (SELECT q.crash_id, h.severity_class AS hs, {HAV} AS d FROM splitted q JOIN train h "
+    "ON h.lat BETWEEN q.lat - 0.0091 AND q.lat + 0.0091 AND (q.is_test OR q.crash_id <> h.crash_id))",
+    "agg AS (SELECT crash_id, "
+    "count(*) FILTER (WHERE d <= 1000) AS n1, "
+    "count(*) FILTER (WHERE d <= 1000 AND hs = 'High') AS f1, "
+    "count(*) FILTER (WHERE d <= 1000 AND hs = 'Medium') AS i1, "
+    "sum(CASE hs WHEN 'Medium' THEN 1.0 WHEN 'High' THEN 2.0 ELSE 0.0 END) FILTER (WHERE d <= 1000) AS s1, "
+    "count(*) FILTER (WHERE d <= 500) AS n5, "
+    "count(*) FILTER (WHERE d <= 500 AND hs = 'High') AS f5 FROM pairs GROUP BY crash_id)",
+    "enriched AS (SELECT s.*, "
+    "CAST(COALESCE(n1, 0) AS BIGINT) AS nearby_crash_count_1km, "
+    "CAST(COALESCE(f1, 0) AS BIGINT) AS nearby_fatal_count_1km, "
+    "CAST(COALESCE(i1, 0) AS BIGINT) AS nearby_injury_count_1km, "
+    "CAST(COALESCE(n5, 0) AS BIGINT) AS nearby_crash_count_500m, "
+    "CAST(COALESCE(f5, 0) AS BIGINT) AS nearby_fatal_count_500m, "
+    "CASE WHEN COALESCE(n1, 0) > 0 THEN s1 / n1 ELSE 0.0 END AS nearby_avg_severity_1km, "
+    "CASE s.severity_class WHEN 'Low' THEN 0.0 WHEN 'Medium' THEN 1.0 ELSE 2.0 END AS severity_score "
+    "FROM splitted s LEFT JOIN agg a ON s.crash_id = a.crash_id)",
+)
+SPATIAL_OUT = ["crash_id", "is_test"] + list(spatial.FEATURES)
+
+
+@register("severity_value_counts", with_crashes(
+    "SELECT severity_3class, COUNT(*) AS n, "
+    "ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 4) AS pct FROM crashes GROUP BY severity_3class"))
+def q_severity_value_counts(spark, sf):
+    return cleaning.value_counts(crashes(spark, sf), "severity_3class")
+
+
+@register("severity_class_counts", with_crashes(
+    f"SELECT {SEV_SQL} AS severity_class, COUNT(*) AS n, "
+    "ROUND(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 4) AS pct FROM crashes GROUP BY 1"))
+def q_severity_class_counts(spark, sf):
+    df = crashes(spark, sf).withColumn("severity_class", FX.severity_class("severity_3class"))
+    return cleaning.value_counts(df, "severity_class")
+
+
+@register("cleaning_audit", with_crashes(
+    "SELECT * FROM (VALUES (0, 'input', (SELECT COUNT(*) FROM crashes)), "
+    f"(1, 'target', (SELECT COUNT(*) FROM crashes WHERE {SEV_SQL} IS NOT NULL)), "
+    f"(2, 'lat_lon_time', (SELECT COUNT(*) FROM crashes WHERE {SEV_SQL} IS NOT NULL AND lat IS NOT NULL "
+    "AND lon IS NOT NULL AND TRY_CAST(crash_datetime_clean AS TIMESTAMP) IS NOT NULL))) "
+    "AS t(stage_no, stage, rows)"))
+def q_cleaning_audit(spark, sf):
+    df = crashes(spark, sf)
+    return cleaning.stage_audit(df, [
+        ("target", FX.severity_class("severity_3class").isNotNull()),
+        ("lat_lon_time", F.col("lat").isNotNull() & F.col("lon").isNotNull()
+         & FX.parse_timestamp("crash_datetime_clean").isNotNull()),
+    ])
+
+
+@register("speed_limit_median_by_year", with_crashes(
+    "SELECT year, median(speed_limit) AS median_speed_limit, "
+    "CAST(SUM(CASE WHEN speed_limit IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing "
+    "FROM crashes GROUP BY year"))
+def q_speed_limit_median_by_year(spark, sf):
+    return (crashes(spark, sf).groupBy("year")
+            .agg(F.median("speed_limit").alias("median_speed_limit"),
+                 F.sum(F.col("speed_limit").isNull().cast("long")).alias("missing")))
+
+
+@register("time_features", with_crashes(
+    f"SELECT crash_id, hour_of_day, day_of_week, month, "
+    "CASE WHEN day_of_week >= 5 THEN 1 ELSE 0 END AS is_weekend, "
+    f"{RUSH_V1} AS is_rush_hour_v1, {RUSH_V2} AS is_rush_hour_v2, "
+    f"{LIGHT_TRAIN} AS light_phase_train, {LIGHT_SERVE} AS light_phase_serve, "
+    f"CAST(CASE WHEN ({RUSH_V2}) = 1 AND COALESCE(day_of_week, 0) < 5 THEN 1 ELSE 0 END AS INT) "
+    "AS is_rush_hour_serve FROM timed", TIME_CTE.format(src="crashes")))
+def q_time_features(spark, sf):
+    df = PF.with_time_features(crashes(spark, sf), "v2")
+    return df.select(
+        "crash_id", "hour_of_day", "day_of_week", "month", "is_weekend",
+        FX.is_rush_hour("hour_of_day", "v1").alias("is_rush_hour_v1"),
+        F.col("is_rush_hour").alias("is_rush_hour_v2"),
+        F.col("light_phase").alias("light_phase_train"),
+        FX.light_phase("hour_of_day", "serve").alias("light_phase_serve"),
+        FX.is_rush_hour("hour_of_day", "serve", weekend="is_weekend").alias("is_rush_hour_serve"))
+
+
+@register("split_summary", with_crashes(
+    "SELECT severity_class, CAST(SUM(CASE WHEN NOT is_test THEN 1 ELSE 0 END) AS BIGINT) AS train_rows, "
+    "CAST(SUM(CASE WHEN is_test THEN 1 ELSE 0 END) AS BIGINT) AS test_rows FROM splitted "
+    "GROUP BY severity_class", LABELLED_CTE, *SPLIT_CTES))
+def q_split_summary(spark, sf):
+    base = PF.labelled(crashes(spark, sf)).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    return split.split_summary(split.stratified_split(base))
+
+
+@register("split_assignment", with_crashes(
+    "SELECT crash_id, severity_class, is_test FROM splitted", LABELLED_CTE, *SPLIT_CTES))
+def q_split_assignment(spark, sf):
+    base = PF.labelled(crashes(spark, sf)).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    return split.stratified_split(base).select("crash_id", "severity_class", "is_test")
+
+
+@register("class_weights", with_crashes(
+    "SELECT severity_class, SUM(COUNT(*)) OVER () / (COUNT(*) OVER () * COUNT(*)) AS class_weight "
+    "FROM splitted WHERE NOT is_test GROUP BY severity_class", LABELLED_CTE, *SPLIT_CTES))
+def q_class_weights(spark, sf):
+    base = PF.labelled(crashes(spark, sf)).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    train = split.stratified_split(base).where(~F.col("is_test"))
+    return split.balanced_weights(train)
+
+
+@register("spatial_features", with_crashes(
+    f"SELECT {', '.join(SPATIAL_OUT)} FROM enriched", LABELLED_CTE, *SPATIAL_CTES))
+def q_spatial_features(spark, sf):
+    return PF.spatial_enriched(crashes(spark, sf)).select(*SPATIAL_OUT)
+
+
+@register("spatial_feature_summary", with_crashes(
+    "SELECT feature, ROUND(mean, 6) AS mean, min, max, ROUND(corr, 6) AS corr FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, avg(CAST({c} AS DOUBLE)) AS mean, min(CAST({c} AS DOUBLE)) AS min, "
+        f"max(CAST({c} AS DOUBLE)) AS max, corr(CAST({c} AS DOUBLE), severity_score) AS corr FROM enriched"
+        for c in spatial.FEATURES) + ") t", LABELLED_CTE, *SPATIAL_CTES))
+def q_spatial_feature_summary(spark, sf):
+    s = spatial.feature_summary(PF.spatial_enriched(crashes(spark, sf)))
+    return s.select("feature", F.round("mean", 6).alias("mean"), "min", "max",
+                    F.round("corr", 6).alias("corr"))
