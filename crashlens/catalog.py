@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 
 from crashlens.operators import reads
 from crashlens.sources.tables import crashes, crashes_sql
@@ -265,3 +265,254 @@ def q_spatial_feature_summary(spark, sf):
     s = spatial.feature_summary(PF.spatial_enriched(crashes(spark, sf)))
     return s.select("feature", F.round("mean", 6).alias("mean"), "min", "max",
                     F.round("corr", 6).alias("corr"))
+
+
+# ---------------------------------------------------------------- feature matrices in long form
+
+def _long_sql(src: str, keys: list[str], numeric: list[tuple[str, str]],
+              cats: list[tuple[str, str, str]]) -> str:
+    """Long-form feature SQL: numeric (name, expr) parts and categorical
+    (prefix, value-expr, allowed-values-CTE) parts with sanitize + dedupe."""
+    k = ", ".join(keys)
+    parts = [f"SELECT {k}, '{n}' AS feature, CAST({e} AS DOUBLE) AS value FROM {src}"
+             for n, e in numeric]
+    for prefix, vexpr, allowed in cats:
+        parts.append(
+            f"SELECT {k}, f.feature, CASE WHEN {vexpr} = f.v THEN 1.0 ELSE 0.0 END AS value "
+            f"FROM {src} CROSS JOIN (SELECT v, san || CASE WHEN dup > 0 THEN '_' || CAST(dup AS VARCHAR) "
+            f"ELSE '' END AS feature FROM (SELECT v, san, row_number() OVER (PARTITION BY san ORDER BY v) - 1 "
+            f"AS dup FROM (SELECT v, regexp_replace('{prefix}_' || v, '[^A-Za-z0-9_]', '_', 'g') AS san "
+            f"FROM {allowed}) a) b) f")
+    return " UNION ALL ".join(parts)
+
+
+def _med(col: str, src: str) -> str:
+    return f"COALESCE({col}, (SELECT COALESCE(median({col}), 0) FROM {src}))"
+
+
+_V4_CTES = (LABELLED_CTE,) + SPATIAL_CTES + (
+    TIME_CTE.format(src="enriched"),
+    "v4rows AS (SELECT *, " + RUSH_V2 + " AS is_rush_hour, " + LIGHT_TRAIN + " AS light_phase, "
+    "CASE WHEN day_of_week >= 5 THEN 1 ELSE 0 END AS is_weekend, "
+    "COALESCE(weath_cond_descr, 'Unknown') AS wv FROM timed WHERE ts IS NOT NULL)",
+    "v4weather AS (SELECT wv AS v FROM v4rows GROUP BY wv HAVING COUNT(*) >= 50)",
+    "v4light AS (SELECT DISTINCT light_phase AS v FROM v4rows)",
+)
+_V4_NUM = ([("lat", "lat"), ("lon", "lon"), ("speed_limit", _med("speed_limit", "v4rows"))]
+           + [(c, c) for c in ["hour_of_day", "day_of_week", "month", "is_weekend", "is_rush_hour"]]
+           + [(c, c) for c in spatial.FEATURES])
+
+
+@register("features_v4_long", with_crashes(
+    _long_sql("v4rows", ["crash_id", "severity_class", "is_test"], _V4_NUM,
+              [("weath_cond_descr", "wv", "v4weather"), ("light_phase", "light_phase", "v4light")]),
+    *_V4_CTES))
+def q_features_v4_long(spark, sf):
+    return PF.build_v4(PF.spatial_enriched(crashes(spark, sf))).long()
+
+
+@register("weather_keep_columns", with_crashes(
+    "SELECT regexp_replace('weath_cond_descr_' || wv, '[^A-Za-z0-9_]', '_', 'g') AS feature, "
+    "COUNT(*) AS rows FROM v4rows GROUP BY wv HAVING COUNT(*) >= 50", *_V4_CTES))
+def q_weather_keep_columns(spark, sf):
+    from crashlens.functions.names import sanitize_col
+    from crashlens.operators import onehot
+    rows = PF._v2_rows(PF.spatial_enriched(crashes(spark, sf)))
+    return (rows.groupBy(onehot.filled("weath_cond_descr").alias("wv"))
+            .agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= 50)
+            .select(sanitize_col(F.concat(F.lit("weath_cond_descr_"), F.col("wv"))).alias("feature"),
+                    "rows"))
+
+
+_V2_CTES = (LABELLED_CTE, TIME_CTE.format(src="labelled"),
+            "v2rows AS (SELECT *, " + RUSH_V2 + " AS is_rush_hour, " + LIGHT_TRAIN + " AS light_phase, "
+            "CASE WHEN day_of_week >= 5 THEN 1 ELSE 0 END AS is_weekend, "
+            "COALESCE(weath_cond_descr, 'Unknown') AS wv FROM timed "
+            "WHERE ts IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL)",
+            "v2weather AS (SELECT DISTINCT wv AS v FROM v2rows)",
+            "v2light AS (SELECT DISTINCT light_phase AS v FROM v2rows)")
+
+
+@register("features_v2_long", with_crashes(
+    _long_sql("v2rows", ["crash_id", "severity_class"],
+              [("lat", "lat"), ("lon", "lon"), ("speed_limit", _med("speed_limit", "v2rows"))]
+              + [(c, c) for c in ["hour_of_day", "day_of_week", "month", "is_weekend", "is_rush_hour"]],
+              [("weath_cond_descr", "wv", "v2weather"), ("light_phase", "light_phase", "v2light")]),
+    *_V2_CTES))
+def q_features_v2_long(spark, sf):
+    return PF.build_v2(crashes(spark, sf)).long()
+
+
+_V1_CATS = ["weath_cond_descr", "road_surf_cond_descr", "ambnt_light_descr", "manr_coll_descr",
+            "rdwy_jnct_type_descr", "city_town_name"]
+_V1_CTES = (LABELLED_CTE, TIME_CTE.format(src="labelled"),
+            "v1rows AS (SELECT *, " + RUSH_V1 + " AS is_rush_hour, "
+            "CASE WHEN day_of_week >= 5 THEN 1 ELSE 0 END AS is_weekend FROM timed)") + tuple(
+    f"v1_{c} AS (SELECT DISTINCT COALESCE({c}, 'Unknown') AS v FROM v1rows)" for c in _V1_CATS)
+_V1_NUM = [(c, _med(c, "v1rows")) for c in ["speed_limit", "numb_vehc", "ems_hotspot_flag",
+                                              "ems_ped_hotspot_flag", "ems_peak_hour", "district_num",
+                                              "lat", "lon", "hour_of_day", "day_of_week", "month"]]
+_V1_NUM += [("is_weekend", "is_weekend"), ("is_rush_hour", "is_rush_hour")]
+
+
+@register("features_v1_long", with_crashes(
+    _long_sql("v1rows", ["crash_id", "severity_class"], _V1_NUM,
+              [(c, f"COALESCE({c}, 'Unknown')", f"v1_{c}") for c in _V1_CATS]),
+    *_V1_CTES))
+def q_features_v1_long(spark, sf):
+    return PF.build_v1(crashes(spark, sf)).long()
+
+
+# ---------------------------------------------------------------- metrics and thresholds
+
+from crashlens import constants as K  # noqa: E402
+from crashlens.operators import metrics as M  # noqa: E402
+
+
+def scored_fixture(spark, sf) -> DataFrame:
+    """Held-out rows with formula probabilities (High, Low, Medium) summing to 1."""
+    base = PF.labelled(crashes(spark, sf)).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    rows = split.stratified_split(base).where(F.col("is_test"))
+    cid, cls = F.col("crash_id"), F.col("severity_class")
+
+    def raw(mult, div, c, bump):
+        return (F.pmod(cid * mult, F.lit(100)).cast("double") / F.lit(float(div))
+                + F.when(cls == c, F.lit(bump)).otherwise(F.lit(0.0)))
+    ph, pm, pl = raw(37, 400, "High", 0.3), raw(53, 250, "Medium", 0.2), raw(71, 100, "Low", 0.3)
+    s = ph + pm + pl
+    return rows.select("crash_id", cls.alias("label"), (ph / s).alias("p_high"),
+                       (pl / s).alias("p_low"), (pm / s).alias("p_medium"))
+
+
+PROB_COLS = ["p_high", "p_low", "p_medium"]
+
+
+def _raw_sql(mult, div, c, bump):
+    return (f"(CAST((crash_id * {mult}) % 100 AS DOUBLE) / CAST({div} AS DOUBLE) + CASE WHEN "
+            f"severity_class = '{c}' THEN CAST({bump} AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)")
+
+
+SCORED_CTES = (LABELLED_CTE,) + SPLIT_CTES + (
+    "raws AS (SELECT crash_id, severity_class AS label, " + _raw_sql(37, 400, "High", 0.3) + " AS ph, "
+    + _raw_sql(53, 250, "Medium", 0.2) + " AS pm, " + _raw_sql(71, 100, "Low", 0.3)
+    + " AS pl FROM splitted WHERE is_test)",
+    "scored AS (SELECT crash_id, label, ph / (ph + pm + pl) AS p_high, pl / (ph + pm + pl) AS p_low, "
+    "pm / (ph + pm + pl) AS p_medium FROM raws)",
+    "argmaxed AS (SELECT *, CASE WHEN p_high >= p_low AND p_high >= p_medium THEN 'High' "
+    "WHEN p_low >= p_medium THEN 'Low' ELSE 'Medium' END AS am FROM scored)",
+    "predicted AS (SELECT *, am AS pred_default, CASE "
+    "WHEN NOT (p_high >= 0.15 OR p_low >= 0.25 OR p_medium >= CAST(0.4 AS DOUBLE)) THEN am "
+    "WHEN p_high >= 0.15 AND (NOT p_low >= 0.25 OR p_high >= p_low) "
+    "AND (NOT p_medium >= CAST(0.4 AS DOUBLE) OR p_high >= p_medium) THEN 'High' "
+    "WHEN p_low >= 0.25 AND (NOT p_medium >= CAST(0.4 AS DOUBLE) OR p_low >= p_medium) THEN 'Low' "
+    "ELSE 'Medium' END AS pred_tuned FROM argmaxed)",
+)
+
+
+def _report_sql(pred: str) -> str:
+    return (
+        f"per AS (SELECT c.cls AS class, "
+        f"SUM(CASE WHEN label = c.cls AND {pred} = c.cls THEN 1 ELSE 0 END) AS tp, "
+        f"SUM(CASE WHEN label <> c.cls AND {pred} = c.cls THEN 1 ELSE 0 END) AS fp, "
+        f"SUM(CASE WHEN label = c.cls AND {pred} <> c.cls THEN 1 ELSE 0 END) AS fn, "
+        f"COUNT(*) AS total FROM predicted CROSS JOIN (VALUES ('High'), ('Low'), ('Medium')) c(cls) "
+        f"GROUP BY c.cls)",
+        "m AS (SELECT class, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision, "
+        "CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall, "
+        "CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1, "
+        "tp + fn AS support, tp, total FROM per)",
+        "rep AS (SELECT class, precision, recall, f1, support FROM m UNION ALL "
+        "SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM m UNION ALL "
+        "SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support), "
+        "sum(f1 * support) / sum(support), sum(support) FROM m UNION ALL "
+        "SELECT 'accuracy', sum(tp) / max(total), sum(tp) / max(total), sum(tp) / max(total), max(total) FROM m)")
+
+
+def _report_spark(df: DataFrame) -> DataFrame:
+    return df.select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")],
+                     F.col("support").cast("long").alias("support"))
+
+
+_REPORT_BODY = ("SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, "
+                "round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM rep")
+
+
+@register("classification_report_default",
+          with_crashes(_REPORT_BODY, *SCORED_CTES, *_report_sql("pred_default")))
+def q_classification_report_default(spark, sf):
+    sc = scored_fixture(spark, sf).withColumn("prediction", M.argmax_class(PROB_COLS))
+    return _report_spark(M.class_report(sc))
+
+
+@register("classification_report_thresholded",
+          with_crashes(_REPORT_BODY, *SCORED_CTES, *_report_sql("pred_tuned")))
+def q_classification_report_thresholded(spark, sf):
+    sc = M.apply_thresholds(scored_fixture(spark, sf), PROB_COLS, K.DEFAULT_THRESHOLDS)
+    return _report_spark(M.class_report(sc))
+
+
+@register("confusion_matrix", with_crashes(
+    "SELECT label, CAST(SUM(CASE WHEN pred_tuned = 'High' THEN 1 ELSE 0 END) AS BIGINT) AS High, "
+    "CAST(SUM(CASE WHEN pred_tuned = 'Low' THEN 1 ELSE 0 END) AS BIGINT) AS Low, "
+    "CAST(SUM(CASE WHEN pred_tuned = 'Medium' THEN 1 ELSE 0 END) AS BIGINT) AS Medium "
+    "FROM predicted GROUP BY label", *SCORED_CTES))
+def q_confusion_matrix(spark, sf):
+    sc = M.apply_thresholds(scored_fixture(spark, sf), PROB_COLS, K.DEFAULT_THRESHOLDS)
+    return M.confusion_matrix(sc)
+
+
+@register("threshold_search", with_crashes(
+    "SELECT class, COALESCE(round(CAST(0.1 AS DOUBLE) + CAST(k AS DOUBLE) * CAST(0.05 AS DOUBLE), 2), 0.5) "
+    "AS threshold, round(COALESCE(f1, 0.0), 6) AS binary_f1 FROM (VALUES ('High'), ('Low'), ('Medium')) c(class) "
+    "LEFT JOIN (SELECT cls, k, f1 FROM (SELECT *, row_number() OVER (PARTITION BY cls ORDER BY f1 DESC, k) AS r "
+    "FROM (SELECT cls, k, tp, fp, 2.0 * tp / (2 * tp + fp + fn) AS f1 FROM (SELECT cls, k, "
+    "SUM(CASE WHEN pos AND p >= t THEN 1 ELSE 0 END) AS tp, SUM(CASE WHEN NOT pos AND p >= t THEN 1 ELSE 0 END) AS fp, "
+    "SUM(CASE WHEN pos AND NOT p >= t THEN 1 ELSE 0 END) AS fn FROM (SELECT 'High' AS cls, label = 'High' AS pos, "
+    "p_high AS p FROM scored UNION ALL SELECT 'Low', label = 'Low', p_low FROM scored UNION ALL SELECT 'Medium', "
+    "label = 'Medium', p_medium FROM scored) s CROSS JOIN (SELECT range AS k, CAST(0.1 AS DOUBLE) + "
+    "CAST(range AS DOUBLE) * CAST(0.05 AS DOUBLE) AS t FROM range(17)) g GROUP BY cls, k) a "
+    "WHERE tp + fp > 0) b WHERE f1 > 0) x WHERE r = 1) best ON best.cls = c.class", *SCORED_CTES))
+def q_threshold_search(spark, sf):
+    t = M.tune_thresholds(scored_fixture(spark, sf), PROB_COLS)
+    return t.select("class", "threshold", F.round("binary_f1", 6).alias("binary_f1"))
+
+
+@register("binary_metrics", with_crashes(
+    "SELECT round(acc, 6) AS accuracy, round(bf1, 6) AS binary_f1, round(mf1, 6) AS macro_f1, "
+    "round(auc, 6) AS roc_auc FROM (SELECT (tp + tn) / (tp + tn + fp + fn) AS acc, "
+    "CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0 END AS bf1, "
+    "((CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0 END) + "
+    "(CASE WHEN 2 * tn + fn + fp > 0 THEN 2.0 * tn / (2 * tn + fn + fp) ELSE 0 END)) / 2 AS mf1 FROM "
+    "(SELECT SUM(CASE WHEN y = 1 AND yh = 1 THEN 1 ELSE 0 END) AS tp, SUM(CASE WHEN y = 0 AND yh = 1 THEN 1 ELSE 0 END) AS fp, "
+    "SUM(CASE WHEN y = 1 AND yh = 0 THEN 1 ELSE 0 END) AS fn, SUM(CASE WHEN y = 0 AND yh = 0 THEN 1 ELSE 0 END) AS tn "
+    "FROM bin) c) m, (SELECT SUM(pos * (nb + 0.5 * neg)) / (SUM(pos) * SUM(neg)) AS auc FROM (SELECT s, pos, neg, "
+    "COALESCE(SUM(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM "
+    "(SELECT s, SUM(y) AS pos, SUM(1 - y) AS neg FROM bin GROUP BY s) g) h) a",
+    *SCORED_CTES, "bin AS (SELECT CASE WHEN label <> 'Low' THEN 1 ELSE 0 END AS y, p_high + p_medium AS s, "
+    "CASE WHEN p_high + p_medium >= 0.5 THEN 1 ELSE 0 END AS yh FROM scored)"))
+def q_binary_metrics(spark, sf):
+    sc = scored_fixture(spark, sf)
+    b = sc.select(FX.binary_target("label").alias("label"),
+                  (F.col("p_high") + F.col("p_medium")).alias("p_elevated"))
+    b = b.withColumn("prediction", (F.col("p_elevated") >= 0.5).cast("int"))
+    m = M.binary_metrics(b, "label", "prediction", "p_elevated")
+    return m.select(*[F.round(c, 6).alias(c) for c in ("accuracy", "binary_f1", "macro_f1", "roc_auc")])
+
+
+@register("model_choice", with_crashes(
+    "SELECT name, round(macro_f1, 6) AS macro_f1, row_number() OVER (ORDER BY macro_f1 DESC, name) AS rank, "
+    "max(macro_f1) OVER () > 0.3894 AS deploy FROM (SELECT 'argmax' AS name, f1 AS macro_f1 FROM "
+    "(SELECT * FROM (WITH " + ", ".join(_report_sql("pred_default")) + " SELECT * FROM rep) r1) x1 "
+    "WHERE class = 'macro avg' UNION ALL SELECT 'thresholds_v4', f1 FROM (SELECT * FROM (WITH "
+    + ", ".join(_report_sql("pred_tuned")) + " SELECT * FROM rep) r2) x2 WHERE class = 'macro avg') t",
+    *SCORED_CTES))
+def q_model_choice(spark, sf):
+    sc = scored_fixture(spark, sf)
+    a = M.summary_metrics(M.class_report(sc.withColumn("prediction", M.argmax_class(PROB_COLS))))
+    b = M.summary_metrics(M.class_report(M.apply_thresholds(sc, PROB_COLS, K.DEFAULT_THRESHOLDS)))
+    res = (a.select(F.lit("argmax").alias("name"), "macro_f1")
+           .unionByName(b.select(F.lit("thresholds_v4").alias("name"), "macro_f1")))
+    ranked = M.rank_models(res)
+    best = F.max("macro_f1").over(Window.partitionBy())
+    return ranked.select("name", F.round("macro_f1", 6).alias("macro_f1"), "rank",
+                         M.deploy_decision(best, best).alias("deploy"))

@@ -25,6 +25,7 @@ from crashlens import constants as K
 from crashlens.functions import features as FX
 from crashlens.functions.names import clean_names, sanitize, sanitize_col
 from crashlens.operators import cleaning, onehot, spatial, split
+from crashlens.session import stage_table
 
 
 @dataclass
@@ -68,13 +69,20 @@ def with_time_features(df: DataFrame, rush_variant: str = "v2") -> DataFrame:
     })
 
 
-def spatial_enriched(crashes: DataFrame, test_pct: int = 20, seed: int = 42, **grid) -> DataFrame:
+def spatial_enriched(crashes: DataFrame, test_pct: int = 20, seed: int = 42, stage: bool = True,
+                     **grid) -> DataFrame:
     """Crash rows with a class and a location, the split flag, and the six
-    neighbourhood features computed without leakage (the v4 spatial stage)."""
+    neighbourhood features computed without leakage (the v4 spatial stage).
+
+    ``stage=True`` writes the result once under the shared checkpoint folder
+    and reads it back: later passes (profiles, medians, training) scan
+    Parquet instead of re-running the radius join, and lineage is cut.
+    """
     base = labelled(crashes).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     s = split.stratified_split(base, "severity_class", "crash_id", test_pct, seed)
-    return (spatial.split_features(s, "is_test", **grid)
-            .withColumn("severity_score", FX.severity_score("severity_class")))
+    out = (spatial.split_features(s, "is_test", **grid)
+           .withColumn("severity_score", FX.severity_score("severity_class")))
+    return stage_table(out, "spatial") if stage else out
 
 
 def _onehot_named(src, prefix: str, values: list[str]) -> list:
@@ -110,23 +118,39 @@ def _v2_rows(df: DataFrame) -> DataFrame:
     return cleaning.drop_null(df, ["lat", "lon", "crash_ts"])
 
 
-def _weather_light(df: DataFrame) -> tuple[list[tuple[str, int]], list[str]]:
-    """Weather value counts and present light phases from one grouped pass."""
+def _profile(df: DataFrame, numeric: list[str]):
+    """One grouped pass: weather value counts, present light phases, and the
+    numeric columns that contain nulls (a few dozen rows reach the driver)."""
     rows = (df.groupBy(onehot.filled("weath_cond_descr").alias("w"), "light_phase")
-            .agg(F.count(F.lit(1)).alias("n")).collect())
+            .agg(F.count(F.lit(1)).alias("n"),
+                 *[F.sum(F.col(c).isNull().cast("long")).alias(f"null_{i}")
+                   for i, c in enumerate(numeric)])
+            .collect())
     wc: dict[str, int] = {}
     lights = set()
+    nulls = [0] * len(numeric)
     for r in rows:
         wc[r["w"]] = wc.get(r["w"], 0) + r["n"]
         lights.add(r["light_phase"])
-    return sorted(wc.items()), sorted(lights)
+        for i in range(len(numeric)):
+            nulls[i] += r[f"null_{i}"] or 0
+    with_nulls = [c for c, k in zip(numeric, nulls) if k > 0]
+    return sorted(wc.items()), sorted(lights), with_nulls
+
+
+def _fill_medians(df: DataFrame, cols: list[str]) -> DataFrame:
+    meds = cleaning.medians(df, cols)
+    if not meds:
+        return df
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(meds[c] if meds[c] is not None else 0))
+                           for c in cols})
 
 
 def build_v2(crashes: DataFrame, keys=("crash_id", "severity_class")) -> FeatureMatrix:
     df = _v2_rows(labelled(crashes))
     numeric = list(K.V2_NUMERIC_COLS)
-    df = cleaning.impute_median(df, numeric)
-    wcounts, lights = _weather_light(df)
+    wcounts, lights, with_nulls = _profile(df, numeric)
+    df = _fill_medians(df, with_nulls)
     wvals = [v for v, _ in wcounts]
     cols = (_onehot_named(onehot.filled("weath_cond_descr"), "weath_cond_descr", wvals)
             + _onehot_named(F.col("light_phase"), "light_phase", lights))
@@ -146,8 +170,8 @@ def build_v4(enriched: DataFrame, weather_keep: list[str] | None = None,
     df = _v2_rows(enriched)
     df = cleaning.drop_null(df, K.SPATIAL_COLS)
     numeric = list(K.V2_NUMERIC_COLS) + list(K.SPATIAL_COLS)
-    df = cleaning.impute_median(df, numeric)
-    wcounts, lights = _weather_light(df)
+    wcounts, lights, with_nulls = _profile(df, numeric)
+    df = _fill_medians(df, with_nulls)
     if weather_keep is None:
         seen = []
         for v, n in wcounts:
