@@ -139,9 +139,9 @@ SPLIT_CTES = (
     "count(*) OVER (PARTITION BY severity_class) AS ncls FROM located)",
     "splitted AS (SELECT * EXCLUDE (rk, ncls), rk <= (ncls * 20 + 99) // 100 AS is_test FROM ranked)",
 )
-HAV = ("12742018.0 * asin(sqrt(least(power(sin((radians(h.lat) - radians(q.lat)) / 2), 2) + "
-       "cos(radians(q.lat)) * cos(radians(h.lat)) * power(sin((radians(h.lon) - radians(q.lon)) / 2), 2)"
-       ", 1.0)))")
+HAV = ("12742018.0 * asin(sqrt(least(sin((radians(h.lat) - radians(q.lat)) / 2) * "
+       "sin((radians(h.lat) - radians(q.lat)) / 2) + cos(radians(q.lat)) * cos(radians(h.lat)) * "
+       "(sin((radians(h.lon) - radians(q.lon)) / 2) * sin((radians(h.lon) - radians(q.lon)) / 2)), 1.0)))")
 SPATIAL_CTES = SPLIT_CTES + (
     "train AS (SELECT crash_id, lat, lon, severity_class FROM splitted WHERE NOT is_test)",
     f"pairs AS (SELECT q.crash_id, h.severity_class AS hs, {HAV} AS d FROM splitted q JOIN train h "

@@ -125,9 +125,9 @@ def local_departure_time(text, as_of=None, zone: str = K.LOCAL_TIMEZONE) -> Colu
 def haversine_m(lat1, lon1, lat2, lon2, radius_m: float = K.EARTH_RADIUS_M) -> Column:
     """Great-circle distance in metres: 2R asin(sqrt(hav))."""
     p1, p2 = F.radians(_c(lat1)), F.radians(_c(lat2))
-    dphi = p2 - p1
-    dlmb = F.radians(_c(lon2)) - F.radians(_c(lon1))
-    a = F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2)
+    s1 = F.sin((p2 - p1) / 2)
+    s2 = F.sin((F.radians(_c(lon2)) - F.radians(_c(lon1))) / 2)
+    a = s1 * s1 + F.cos(p1) * F.cos(p2) * (s2 * s2)
     return F.lit(2.0 * radius_m) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
 

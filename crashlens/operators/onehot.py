@@ -53,3 +53,20 @@ def weather_keep_columns(df: DataFrame, col: str = "weath_cond_descr",
                          min_sum: int = K.WEATHER_MIN_SUM) -> list[str]:
     """Sanitized one-hot names of weather values with at least ``min_sum`` rows."""
     return [sanitize(f"{col}_{v}") for v in kept_categories(df, col, min_sum)]
+
+
+def profile(df: DataFrame, cats: list[str], numeric: list[str] | None = None,
+            fill: str = K.UNKNOWN_CATEGORY) -> tuple[dict[str, list[str]], list[str]]:
+    """One pass: the distinct values of every categorical column (sorted) and
+    the numeric columns holding nulls.
+
+    ``collect_set`` merges per-partition sets of category values, so each
+    buffer is bounded by the number of categories, not by the rows.
+    """
+    numeric = numeric or []
+    row = df.agg(*[F.collect_set(filled(c, fill)).alias(f"v{i}") for i, c in enumerate(cats)],
+                 *[F.sum(F.col(c).isNull().cast("long")).alias(f"n{i}")
+                   for i, c in enumerate(numeric)]).first()
+    values = {c: sorted(row[f"v{i}"]) for i, c in enumerate(cats)}
+    with_nulls = [c for i, c in enumerate(numeric) if (row[f"n{i}"] or 0) > 0]
+    return values, with_nulls

@@ -10,10 +10,10 @@ Plan (no index object, no all-pairs product):
    (n, fatal, injury, score), so co-located crashes cost one row.
 2. Query points are reduced to distinct locations too; a location that holds
    a third of all rows is still one row in the join.
-3. Space is cut into lat bands of height ``rho`` (the angular radius) and lon
-   cells of width ``rho / cos(ref_lat)``. History locations get one cell;
+3. Space is cut into lat bands of height ``rho / 2`` (rho = angular radius) and lon
+   cells of width ``rho / (2 cos(ref_lat))``. History locations get one cell;
    each query location is replicated to every cell that the circle's exact
-   bounding box touches (usually 2-3 bands x 2-3 cells). Only the query side
+   bounding box touches (about 4-5 bands x 4-5 cells). Only the query side
    is replicated, and only as narrow rows.
 4. Hot cells (more than ``max_cell_locations`` history locations) are split
    into salts: history rows go to one salt by hash, query rows to all salts
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crashlens import constants as K
-from crashlens.functions.features import haversine_m, severity_score
+from crashlens.functions.features import severity_score
 
 FEATURES = list(K.SPATIAL_COLS)
 
@@ -84,15 +84,23 @@ def _cell_keys(band_deg: float, width_deg: float, rho: float):
 
 def location_features(query_locs: DataFrame, hist_locs: DataFrame,
                       radii: tuple[float, float] = (K.RADIUS_1KM, K.RADIUS_500M),
-                      ref_lat_deg: float = 45.0, cell_scale: float = 1.0,
-                      max_cell_locations: int = 50_000) -> DataFrame:
+                      ref_lat_deg: float = 45.0, cell_scale: float = 2.0,
+                      max_cell_locations: int = 50_000, partitions: int | None = None) -> DataFrame:
     """Raw neighbourhood sums per distinct query location (lat, lon).
 
     Returns lat, lon, n_big, fatal_big, injury_big, score_big, n_small,
     fatal_small for the big and small radius; locations with no neighbour
     are absent (the caller left-joins).
+
+    Both join sides are hash-partitioned by the cell key into ``partitions``
+    (default: the session's shuffle partitions). The pair work per row is
+    large while the rows are narrow, so byte-based partition coalescing would
+    starve the join of parallelism; an explicit count keeps every core busy.
     """
     r_big, r_small = radii
+    spark = query_locs.sparkSession
+    parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              spark.sparkContext.defaultParallelism)
     rho, band_deg, width_deg = _grid(r_big, ref_lat_deg, cell_scale)
 
     h = (hist_locs
@@ -110,7 +118,10 @@ def location_features(query_locs: DataFrame, hist_locs: DataFrame,
              F.pmod(F.xxhash64("lat", "lon"), F.col("nsalt")).cast("int")))
          .select("band", "cell", "salt",
                  F.col("lat").alias("h_lat"), F.col("lon").alias("h_lon"),
-                 "h_n", "h_fatal", "h_injury", "h_score"))
+                 F.radians("lat").alias("h_phi"), F.radians("lon").alias("h_lmb"),
+                 F.cos(F.radians("lat")).alias("h_cos"),
+                 "h_n", "h_fatal", "h_injury", "h_score")
+         .repartition(parts, "band", "cell", "salt"))
 
     q = (query_locs
          .where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
@@ -119,12 +130,15 @@ def location_features(query_locs: DataFrame, hist_locs: DataFrame,
          .join(hot, ["band", "cell"], "left")
          .select("lat", "lon", "band", "cell",
                  F.explode(F.sequence(F.lit(0), F.coalesce(F.col("nsalt"), F.lit(1)) - 1))
-                 .alias("salt")))
+                 .alias("salt"))
+         .withColumns({"q_phi": F.radians("lat"), "q_lmb": F.radians("lon"),
+                       "q_cos": F.cos(F.radians("lat"))})
+         .repartition(parts, "band", "cell", "salt"))
 
     pre_deg = math.degrees(rho) * (1 + 1e-6) + 1e-9
     pairs = (q.join(h, ["band", "cell", "salt"])
              .where(F.abs(F.col("h_lat") - F.col("lat")) <= F.lit(pre_deg))
-             .withColumn("d", haversine_m("lat", "lon", "h_lat", "h_lon"))
+             .withColumn("d", _haversine_pre("q_phi", "q_lmb", "q_cos", "h_phi", "h_lmb", "h_cos"))
              .where(F.col("d") <= F.lit(r_big)))
     small = F.col("d") <= F.lit(r_small)
     return (pairs.groupBy("lat", "lon")
@@ -136,6 +150,15 @@ def location_features(query_locs: DataFrame, hist_locs: DataFrame,
                  F.sum(F.when(small, F.col("h_fatal")).otherwise(0)).alias("fatal_small")))
 
 
+def _haversine_pre(q_phi, q_lmb, q_cos, h_phi, h_lmb, h_cos):
+    """Haversine metres from per-row radians and cos(lat) (same arithmetic
+    as :func:`haversine_m`, with the per-row factors computed once)."""
+    s1 = F.sin((F.col(h_phi) - F.col(q_phi)) / 2)
+    s2 = F.sin((F.col(h_lmb) - F.col(q_lmb)) / 2)
+    a = s1 * s1 + F.col(q_cos) * F.col(h_cos) * (s2 * s2)
+    return F.lit(2.0 * K.EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+
+
 def _finish(df: DataFrame, leave_one_out: bool, severity_col: str) -> DataFrame:
     z = F.lit(0)
     n, fat, inj = (F.coalesce(F.col(c), z) for c in ("n_big", "fatal_big", "injury_big"))

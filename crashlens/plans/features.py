@@ -80,6 +80,9 @@ def spatial_enriched(crashes: DataFrame, test_pct: int = 20, seed: int = 42, sta
     """
     base = labelled(crashes).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     s = split.stratified_split(base, "severity_class", "crash_id", test_pct, seed)
+    if stage:
+        # the split feeds three sides of the joins: compute it once
+        s = stage_table(s, "split")
     out = (spatial.split_features(s, "is_test", **grid)
            .withColumn("severity_score", FX.severity_score("severity_class")))
     return stage_table(out, "spatial") if stage else out
@@ -102,12 +105,12 @@ def build_v1(crashes: DataFrame, keys=("crash_id", "severity_class")) -> Feature
     df = with_time_features(labelled(crashes), "v1")
     numeric = [c for c in K.V1_NUMERIC_COLS if c in df.columns] + K.TIME_COLS
     cats = [c for c in K.V1_CATEGORICAL_COLS if c in df.columns]
-    df = cleaning.impute_median(df, numeric)
+    values, with_nulls = onehot.profile(df, cats, numeric)
+    df = _fill_medians(df, with_nulls)
     onehots, raw = [], list(numeric)
     for c in cats:
-        vals = [v for v, _ in onehot.category_counts(df, c)]
-        onehots += _onehot_named(onehot.filled(c), c, vals)
-        raw += [f"{c}_{v}" for v in vals]
+        onehots += _onehot_named(onehot.filled(c), c, values[c])
+        raw += [f"{c}_{v}" for v in values[c]]
     wide = df.select(*[F.col(k) for k in keys], *[F.col(c) for c in numeric], *onehots)
     out, names = _finish(wide, list(keys), raw)
     return FeatureMatrix(out, names, list(keys))
