@@ -516,3 +516,352 @@ def q_model_choice(spark, sf):
     best = F.max("macro_f1").over(Window.partitionBy())
     return ranked.select("name", F.round("macro_f1", 6).alias("macro_f1"), "rank",
                          M.deploy_decision(best, best).alias("deploy"))
+
+
+# ---------------------------------------------------------------- routes
+
+from crashlens.operators import routes as RT  # noqa: E402
+from crashlens.plans import route_risk as RR  # noqa: E402
+from crashlens.sources import fixtures as FXT  # noqa: E402
+from crashlens.sources import payloads as PL  # noqa: E402
+
+
+def _route_tbl(spark, sf):
+    return RR.parsed_routes(FXT.route_payloads(spark, sf))
+
+
+def serving_feature_names(spark, sf) -> list[str]:
+    """v4 feature names as training would produce them on this data: the
+    numeric and spatial columns, weather values with >= 50 rows among the
+    usable training rows, and the light phases present."""
+    rows = PF._v2_rows(PF.labelled(crashes(spark, sf)))
+    wc, lights, _ = PF._profile(rows, [])
+    from crashlens.functions.names import clean_names, sanitize
+    weather = []
+    for v, n in wc:
+        nm = sanitize(f"weath_cond_descr_{v}")
+        if n >= K.WEATHER_MIN_SUM and nm not in weather:
+            weather.append(nm)
+    return clean_names(list(K.V2_NUMERIC_COLS) + list(K.SPATIAL_COLS) + weather
+                       + [f"light_phase_{v}" for v in lights])
+
+
+def _serving(spark, sf):
+    rp = FXT.route_payloads(spark, sf)
+    rt = RR.parsed_routes(rp)
+    segs = RT.segments(rt)
+    req_time = RR.request_time_features(rp)
+    weather, _ = PL.parse_weather(FXT.weather_payloads(spark, sf))
+    names = serving_feature_names(spark, sf)
+    feats = RR.segment_features(segs, req_time, weather, RR.serving_history(crashes(spark, sf)), names)
+    return feats, names
+
+
+@register("route_geometry")
+def q_route_geometry(spark, sf):
+    r = _route_tbl(spark, sf)
+    return r.select("request_id", "route_idx", "duration_seconds", "duration_minutes", "distance_meters",
+                    "distance_km", "distance_miles", "num_points", "base_speed_mph",
+                    F.col("start_coords.lat").alias("start_lat"), F.col("start_coords.lng").alias("start_lng"),
+                    F.col("midpoint_coords.lat").alias("mid_lat"), F.col("midpoint_coords.lng").alias("mid_lng"),
+                    F.col("end_coords.lat").alias("end_lat"), F.col("end_coords.lng").alias("end_lng"))
+
+
+@register("route_requests")
+def q_route_requests(spark, sf):
+    return RT.request_summary(_route_tbl(spark, sf))
+
+
+@register("route_segments")
+def q_route_segments(spark, sf):
+    s = RT.segments(_route_tbl(spark, sf))
+    return s.select("request_id", "route_idx", "segment_idx", "polyline_index", "lat", "lng",
+                    "speed_limit", "distance_from_start_miles")
+
+
+@register("weather_parsed")
+def q_weather_parsed(spark, sf):
+    return PL.parse_weather(FXT.weather_payloads(spark, sf))[0]
+
+
+@register("weather_rejected")
+def q_weather_rejected(spark, sf):
+    return PL.parse_weather(FXT.weather_payloads(spark, sf))[1].select("request_id", "reason")
+
+
+@register("reverse_geocode_parsed")
+def q_reverse_geocode_parsed(spark, sf):
+    return PL.parse_reverse_geocode(FXT.geocode_payloads(spark, sf))
+
+
+@register("request_time_features")
+def q_request_time_features(spark, sf):
+    t = RR.request_time_features(FXT.route_payloads(spark, sf))
+    return t.select("request_id", F.col("local_time").cast("string").alias("local_time"), "hour_of_day",
+                    "day_of_week", "month", "is_weekend", "is_rush_hour", "light_phase")
+
+
+@register("serving_features_long")
+def q_serving_features_long(spark, sf):
+    feats, names = _serving(spark, sf)
+    return PF.to_long(feats, RR.SEG_KEYS, names)
+
+
+def _scored_segments(spark, sf):
+    feats, _ = _serving(spark, sf)
+    return RR.formula_scores(feats)
+
+
+@register("segment_risk")
+def q_segment_risk(spark, sf):
+    from crashlens.operators import rollup
+    seg = rollup.segment_risk(_scored_segments(spark, sf), RR.PROB_COLS, K.DEFAULT_THRESHOLDS)
+    return seg.select(*RR.SEG_KEYS, "risk_class", "confidence", "p_high_r", "p_low_r", "p_medium_r",
+                      "is_hotspot", "estimated_minutes_from_start")
+
+
+@register("route_rollup")
+def q_route_rollup(spark, sf):
+    per_route, _ = RR.route_risk(_scored_segments(spark, sf), nested=False)
+    return per_route.select("request_id", "route_idx", "overall_risk_class", "overall_confidence",
+                            "avg_high", "avg_low", "avg_medium", "num_hotspots", "num_high_hotspots",
+                            "num_medium_hotspots", "safety_score", "is_default", "label")
+
+
+@register("route_recommendation")
+def q_route_recommendation(spark, sf):
+    _, rec = RR.route_risk(_scored_segments(spark, sf), nested=False)
+    return rec
+
+
+# ----- oracle SQL for the route chain (relational re-derivation, no JSON)
+
+def _dbl(x) -> str:
+    return f"CAST({x} AS DOUBLE)"
+
+
+def _xr(x: str, d: int) -> str:
+    """Round as Python does (exact binary value) via DuckDB's exact printf."""
+    return f"CAST(printf('%.{d}f', {x}) AS DOUBLE)"
+
+
+_LAT = next(e for e in __import__("crashlens.sources.tables", fromlist=["x"]).CRASH_EXPRS if e.endswith(" AS lat"))
+_LON = next(e for e in __import__("crashlens.sources.tables", fromlist=["x"]).CRASH_EXPRS if e.endswith(" AS lon"))
+_Q = "CAST(sign({c} * CAST(100000 AS DOUBLE)) * floor(abs({c} * CAST(100000 AS DOUBLE)) + 0.5) AS DOUBLE) / CAST(100000 AS DOUBLE)"
+ROUTE_CTES = (
+    f"pts AS (SELECT user_id AS request_id, CAST(event_id % 3 AS INT) AS route_key, event_id, ts, lat, lon "
+    f"FROM (SELECT event_id, user_id, ts, {_LAT}, {_LON} FROM events) e WHERE lat IS NOT NULL)",
+    "qp AS (SELECT request_id, route_key, event_id, ts, " + _Q.format(c="lat") + " AS plat, "
+    + _Q.format(c="lon") + " AS plng, row_number() OVER (PARTITION BY request_id, route_key "
+    "ORDER BY ts, event_id) - 1 AS pidx, count(*) OVER (PARTITION BY request_id, route_key) AS n FROM pts)",
+    "ro AS (SELECT request_id, route_key, n, dense_rank() OVER (PARTITION BY request_id ORDER BY route_key) - 1 "
+    "AS route_idx, 60 + (request_id * 37 + route_key * 101) % 3000 AS duration_seconds, "
+    "400 + (request_id * 131 + route_key * 977) % 20000 AS distance_meters, "
+    "CASE request_id % 6 WHEN 1 THEN 2 WHEN 2 THEN 23 ELSE 12 END AS num_segments "
+    "FROM (SELECT DISTINCT request_id, route_key, n FROM qp) t)",
+    "rt AS (SELECT *, " + _xr("duration_seconds / CAST(60 AS DOUBLE)", 2) + " AS duration_minutes, "
+    + _xr("distance_meters / CAST(1000 AS DOUBLE)", 3) + " AS distance_km, "
+    + _xr("distance_meters / CAST(1609.344 AS DOUBLE)", 3) + " AS distance_miles FROM ro)",
+    "rt2 AS (SELECT *, CASE WHEN distance_miles < 2 THEN CAST(25 AS DOUBLE) WHEN distance_miles < 10 "
+    "THEN CAST(35 AS DOUBLE) ELSE CAST(55 AS DOUBLE) END AS base_speed_mph FROM rt)",
+    "samp AS (SELECT r.*, k AS segment_idx, CASE WHEN k = least(num_segments, n) - 1 THEN n - 1 "
+    "ELSE k * greatest(1, n // least(num_segments, n)) END AS polyline_index FROM rt2 r "
+    "CROSS JOIN range(0, 23) g(k) WHERE n >= 2 AND k < least(num_segments, n))",
+    "seg AS (SELECT s.*, q.plat AS lat, q.plng AS lng, "
+    "CASE WHEN s.request_id % 4 = 1 AND s.polyline_index BETWEEN 0 AND 1 THEN 'TRAFFIC_JAM' "
+    "WHEN s.request_id % 4 <> 0 AND s.polyline_index BETWEEN (s.n * 2) // 3 - 1 AND s.n + 1 THEN "
+    "CASE WHEN s.route_key % 3 = 2 THEN 'TRAFFIC_JAM' ELSE 'SLOW' END "
+    "WHEN s.request_id % 4 <> 0 AND s.polyline_index BETWEEN s.n // 3 AND (s.n * 2) // 3 THEN 'SLOW' "
+    "ELSE 'NORMAL' END AS cat, "
+    + _xr("CAST(s.polyline_index AS DOUBLE) / CAST(s.n - 1 AS DOUBLE) * s.distance_miles", 3) + " AS distance_from_start_miles "
+    "FROM samp s JOIN qp q ON q.request_id = s.request_id AND q.route_key = s.route_key "
+    "AND q.pidx = s.polyline_index)",
+    "seg2 AS (SELECT *, CASE cat WHEN 'SLOW' THEN greatest(CAST(15 AS DOUBLE), base_speed_mph - 10) "
+    "WHEN 'TRAFFIC_JAM' THEN greatest(CAST(10 AS DOUBLE), base_speed_mph - 20) ELSE base_speed_mph END "
+    "AS speed_limit FROM seg)",
+)
+ORACLE["route_geometry"] = with_crashes(
+    "SELECT r.request_id, r.route_idx, duration_seconds, duration_minutes, distance_meters, distance_km, "
+    "distance_miles, r.n AS num_points, base_speed_mph, s.plat AS start_lat, s.plng AS start_lng, "
+    "m.plat AS mid_lat, m.plng AS mid_lng, e.plat AS end_lat, e.plng AS end_lng FROM rt2 r "
+    "JOIN qp s ON s.request_id = r.request_id AND s.route_key = r.route_key AND s.pidx = 0 "
+    "JOIN qp m ON m.request_id = r.request_id AND m.route_key = r.route_key AND m.pidx = r.n // 2 "
+    "JOIN qp e ON e.request_id = r.request_id AND e.route_key = r.route_key AND e.pidx = r.n - 1",
+    *ROUTE_CTES)
+ORACLE["route_requests"] = with_crashes(
+    "SELECT request_id, default_duration_seconds, default_duration_minutes, default_distance_miles, "
+    "num_alternatives, CASE WHEN num_alternatives > 0 THEN " + _xr("greatest(default_duration_seconds - fastest, 0) "
+    "/ CAST(60 AS DOUBLE)", 2) + " ELSE CAST(0 AS DOUBLE) END AS best_alternative_savings_minutes, "
+    "NOT (default_distance_miles < 0.3 OR default_duration_minutes < 2.0) AS accepted, "
+    "CASE WHEN default_distance_miles < 0.3 OR default_duration_minutes < 2.0 THEN "
+    "'Route too short for meaningful prediction' END AS reject_reason FROM (SELECT request_id, "
+    "max(CASE WHEN route_idx = 0 THEN duration_seconds END) AS default_duration_seconds, "
+    "max(CASE WHEN route_idx = 0 THEN duration_minutes END) AS default_duration_minutes, "
+    "max(CASE WHEN route_idx = 0 THEN distance_miles END) AS default_distance_miles, "
+    "min(CASE WHEN route_idx > 0 THEN duration_seconds END) AS fastest, "
+    "CAST(sum(CASE WHEN route_idx > 0 THEN 1 ELSE 0 END) AS BIGINT) AS num_alternatives FROM rt2 "
+    "GROUP BY request_id) t", *ROUTE_CTES)
+ORACLE["route_segments"] = with_crashes(
+    "SELECT request_id, route_idx, segment_idx, polyline_index, lat, lng, speed_limit, "
+    "distance_from_start_miles FROM seg2", *ROUTE_CTES)
+
+_W_CONDS = ", ".join(f"'{c}'" for c in FXT.WEATHER_CONDITIONS)
+WEATHER_CTES = ROUTE_CTES[:1] + (
+    "reqs AS (SELECT DISTINCT request_id AS r FROM pts)",
+    f"wx AS (SELECT r AS request_id, r, [{_W_CONDS}][r % 10 + 1] AS cond FROM reqs)",
+    "wp AS (SELECT request_id, CASE WHEN r % 13 = 5 THEN 'Unknown' ELSE cond END AS condition, "
+    "CASE WHEN r % 13 = 5 THEN 'unknown' ELSE lower(cond) END AS description, "
+    "CAST(20 + r % 60 AS DOUBLE) AS temperature_f, CAST(20 + r % 60 AS DOUBLE) - 3 AS feels_like_f, "
+    "CAST(30 + r % 70 AS BIGINT) AS humidity_pct, CAST(1000 + r % 30 AS BIGINT) AS pressure_hpa, "
+    "CAST(CASE WHEN r % 4 = 0 THEN 0 ELSE 1000 * (r % 11) END AS BIGINT) AS visibility_meters, "
+    "CAST(r % 20 AS DOUBLE) * 1.5 AS wind_speed_mph, CAST((r * 7) % 360 AS BIGINT) AS wind_direction_deg, "
+    "CASE WHEN r % 3 = 0 THEN CAST(0 AS DOUBLE) ELSE 2.5 END AS wind_gust_mph, "
+    "CAST(r % 100 AS BIGINT) AS clouds_pct, "
+    "CASE WHEN cond IN ('Rain', 'Drizzle') AND r % 13 <> 5 THEN 0.5 ELSE CAST(0 AS DOUBLE) END AS rain_1h_mm, "
+    "CASE WHEN cond = 'Snow' AND r % 13 <> 5 THEN 1.2 ELSE CAST(0 AS DOUBLE) END AS snow_1h_mm "
+    "FROM wx WHERE r % 17 <> 3)",
+)
+ORACLE["weather_parsed"] = with_crashes(
+    "SELECT *, rain_1h_mm > 0 OR snow_1h_mm > 0 AS is_precipitation, visibility_meters < 5000 AS "
+    "is_low_visibility FROM wp", *WEATHER_CTES)
+ORACLE["weather_rejected"] = with_crashes(
+    "SELECT r AS request_id, 'missing weather or main fields' AS reason FROM reqs WHERE r % 17 = 3",
+    *WEATHER_CTES)
+ORACLE["reverse_geocode_parsed"] = with_crashes(
+    "SELECT lat, lng, street_name, neighborhood, CASE WHEN k % 19 = 0 THEN NULL "
+    "WHEN street_name IS NOT NULL AND neighborhood IS NOT NULL THEN street_name || ', ' || neighborhood "
+    "WHEN street_name IS NOT NULL THEN street_name WHEN neighborhood IS NOT NULL THEN neighborhood "
+    "WHEN k % 11 <> 0 THEN CAST(k AS VARCHAR) || ' Harbor Rd, Boston, MA' "
+    "ELSE printf('%.4f, %.4f', lat, lng) END AS short_label, "
+    "CASE WHEN k % 19 = 0 THEN NULL WHEN k % 11 <> 0 THEN CAST(k AS VARCHAR) || ' Harbor Rd, Boston, MA' "
+    "ELSE '' END AS formatted_address FROM (SELECT lat, lng, k, "
+    "CASE WHEN k % 19 = 0 OR k % 5 = 0 THEN NULL ELSE 'Street ' || CAST(k % 40 AS VARCHAR) END AS street_name, "
+    "CASE WHEN k % 19 = 0 THEN NULL WHEN k % 3 = 0 THEN 'Back Bay' WHEN k % 3 = 1 THEN 'Allston' END "
+    "AS neighborhood FROM (SELECT " + _Q.format(c="lat") + " AS lat, " + _Q.format(c="lon")
+    + " AS lng, min(event_id) AS k FROM pts GROUP BY 1, 2) a) b", *ROUTE_CTES[:1])
+
+RUSH_SERVE = ("CASE WHEN (hour_of_day BETWEEN 7 AND 9 OR hour_of_day BETWEEN 16 AND 19) AND day_of_week < 5 "
+              "THEN 1 ELSE 0 END")
+TIME_REQ_CTES = (
+    "rq AS (SELECT request_id, min(ts) AS dep, max(ts) AS last_ts FROM pts GROUP BY request_id)",
+    "rl AS (SELECT request_id, CASE WHEN request_id % 7 = 3 THEN timezone('America/New_York', "
+    "last_ts AT TIME ZONE 'UTC') WHEN request_id % 2 = 0 THEN timezone('America/New_York', "
+    "date_trunc('second', dep) AT TIME ZONE 'UTC') ELSE date_trunc('second', dep) END AS lt FROM rq)",
+    "rtime AS (SELECT request_id, lt, hour(lt) AS hour_of_day, isodow(lt) - 1 AS day_of_week, "
+    "month(lt) AS month FROM rl)",
+    "rtf AS (SELECT *, CASE WHEN day_of_week >= 5 THEN 1 ELSE 0 END AS is_weekend, "
+    f"{RUSH_SERVE} AS is_rush_hour, {LIGHT_SERVE} AS light_phase FROM rtime)",
+)
+ORACLE["request_time_features"] = with_crashes(
+    "SELECT request_id, CAST(lt AS VARCHAR) AS local_time, hour_of_day, day_of_week, month, is_weekend, "
+    "is_rush_hour, light_phase FROM rtf", *ROUTE_CTES[:1], *TIME_REQ_CTES)
+
+_WMAP = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in K.WEATHER_CONDITION_MAP.items())
+SERVE_CTES = ROUTE_CTES + WEATHER_CTES[1:] + TIME_REQ_CTES + (
+    LABELLED_CTE, TIME_CTE.format(src="labelled"),
+    "trows AS (SELECT *, COALESCE(weath_cond_descr, 'Unknown') AS wv, " + LIGHT_TRAIN + " AS lp FROM timed "
+    "WHERE ts IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL)",
+    "wkeep AS (SELECT DISTINCT regexp_replace('weath_cond_descr_' || wv, '[^A-Za-z0-9_]', '_', 'g') AS f "
+    "FROM trows GROUP BY wv HAVING COUNT(*) >= 50)",
+    "lkeep AS (SELECT DISTINCT lp FROM trows)",
+    "hist AS (SELECT lat, lon, severity_class FROM labelled WHERE lat IS NOT NULL AND lon IS NOT NULL)",
+    "sp AS (SELECT s.request_id, s.route_idx, s.segment_idx, "
+    "count(*) FILTER (WHERE d <= 1000) AS n1, count(*) FILTER (WHERE d <= 1000 AND hs = 'High') AS f1, "
+    "count(*) FILTER (WHERE d <= 1000 AND hs = 'Medium') AS i1, "
+    "sum(CASE hs WHEN 'Medium' THEN 1.0 WHEN 'High' THEN 2.0 ELSE 0.0 END) FILTER (WHERE d <= 1000) AS s1, "
+    "count(*) FILTER (WHERE d <= 500) AS n5, count(*) FILTER (WHERE d <= 500 AND hs = 'High') AS f5 "
+    "FROM (SELECT q.request_id, q.route_idx, q.segment_idx, h.severity_class AS hs, "
+    + HAV.replace("q.lon", "q.lng") + " AS d FROM seg2 q JOIN hist h ON h.lat BETWEEN q.lat - 0.0091 AND "
+    "q.lat + 0.0091) s GROUP BY 1, 2, 3)",
+    "sfeat AS (SELECT g.*, t.hour_of_day, t.day_of_week, t.month, t.is_weekend, t.is_rush_hour, "
+    "t.light_phase, w.condition, "
+    "COALESCE(p.n1, 0) AS nearby_crash_count_1km, COALESCE(p.f1, 0) AS nearby_fatal_count_1km, "
+    "COALESCE(p.i1, 0) AS nearby_injury_count_1km, COALESCE(p.n5, 0) AS nearby_crash_count_500m, "
+    "COALESCE(p.f5, 0) AS nearby_fatal_count_500m, "
+    "CASE WHEN COALESCE(p.n1, 0) > 0 THEN p.s1 / p.n1 ELSE 0.0 END AS nearby_avg_severity_1km, "
+    f"CASE w.condition {_WMAP} ELSE 'weath_cond_descr_Not_Reported' END AS wmapped "
+    "FROM seg2 g JOIN rtf t ON t.request_id = g.request_id JOIN wp w ON w.request_id = g.request_id "
+    "LEFT JOIN sp p ON p.request_id = g.request_id AND p.route_idx = g.route_idx "
+    "AND p.segment_idx = g.segment_idx)",
+    "sfeat2 AS (SELECT *, CASE WHEN wmapped IN (SELECT f FROM wkeep) THEN wmapped "
+    "ELSE 'weath_cond_descr_Not_Reported' END AS wcol FROM sfeat)",
+)
+_SK = "request_id, route_idx, segment_idx"
+ORACLE["serving_features_long"] = with_crashes(
+    " UNION ALL ".join(
+        [f"SELECT {_SK}, '{n}' AS feature, CAST({e} AS DOUBLE) AS value FROM sfeat2"
+         for n, e in [("lat", "lat"), ("lon", "lng"), ("speed_limit", "speed_limit")]
+         + [(c, c) for c in ["hour_of_day", "day_of_week", "month", "is_weekend", "is_rush_hour"]]
+         + [(c, c) for c in spatial.FEATURES]]
+        + [f"SELECT {_SK}, f AS feature, CASE WHEN wcol = f THEN 1.0 ELSE 0.0 END AS value "
+           "FROM sfeat2 CROSS JOIN wkeep",
+           f"SELECT {_SK}, 'light_phase_' || lp AS feature, CASE WHEN light_phase = lp THEN 1.0 ELSE 0.0 END "
+           "AS value FROM sfeat2 CROSS JOIN lkeep"]), *SERVE_CTES)
+
+RISK_CTES = SERVE_CTES + (
+    "raw AS (SELECT *, " + _dbl(0.02) + " + nearby_fatal_count_1km * " + _dbl(0.05) + " + is_rush_hour * "
+    + _dbl(0.05) + " AS ph, " + _dbl(0.2) + " + CAST(nearby_injury_count_1km % 7 AS DOUBLE) * " + _dbl(0.06)
+    + " AS pm, " + _dbl(0.5) + " + CAST(segment_idx % 4 AS DOUBLE) * " + _dbl(0.1) + " AS pl FROM sfeat2)",
+    "sc AS (SELECT *, ph / (ph + pm + pl) AS p_high, pl / (ph + pm + pl) AS p_low, "
+    "pm / (ph + pm + pl) AS p_medium FROM raw)",
+    "am AS (SELECT *, CASE WHEN p_high >= p_low AND p_high >= p_medium THEN 'High' "
+    "WHEN p_low >= p_medium THEN 'Low' ELSE 'Medium' END AS amx FROM sc)",
+    "rk AS (SELECT *, CASE WHEN NOT (p_high >= 0.15 OR p_low >= 0.25 OR p_medium >= CAST(0.4 AS DOUBLE)) "
+    "THEN amx WHEN p_high >= 0.15 AND (NOT p_low >= 0.25 OR p_high >= p_low) "
+    "AND (NOT p_medium >= CAST(0.4 AS DOUBLE) OR p_high >= p_medium) THEN 'High' "
+    "WHEN p_low >= 0.25 AND (NOT p_medium >= CAST(0.4 AS DOUBLE) OR p_low >= p_medium) THEN 'Low' "
+    "ELSE 'Medium' END AS risk_class FROM am)",
+    "sr AS (SELECT *, " + _xr("greatest(p_high, p_low, p_medium)", 4) + " AS confidence, " + _xr("p_high", 4)
+    + " AS p_high_r, " + _xr("p_low", 4) + " AS p_low_r, " + _xr("p_medium", 4) + " AS p_medium_r, "
+    "risk_class IN ('Medium', 'High') AS "
+    "is_hotspot, CASE risk_class WHEN 'High' THEN 2 WHEN 'Medium' THEN 1 ELSE 0 END AS risk_rank, "
+    "CASE WHEN distance_miles > 0 THEN " + _xr("distance_from_start_miles / distance_miles * duration_minutes", 1) + " "
+    "ELSE CAST(0 AS DOUBLE) END AS estimated_minutes_from_start FROM rk)",
+    "rr AS (SELECT request_id, route_idx, arg_max(risk_class, risk_rank * 100000 - segment_idx) AS "
+    "overall_risk_class, " + ", ".join(
+        _xr(f"sum(CAST(round(p_{c}_r * 10000) AS BIGINT)) / (count(*) * CAST(10000 AS DOUBLE))", 4)
+        + f" AS avg_{c}" for c in ("high", "low", "medium")) + ", CAST(sum(CASE WHEN is_hotspot THEN 1 ELSE 0 END) AS INT) AS "
+    "num_hotspots, CAST(sum(CASE WHEN risk_class = 'High' THEN 1 ELSE 0 END) AS INT) AS num_high_hotspots, "
+    "CAST(sum(CASE WHEN risk_class = 'Medium' THEN 1 ELSE 0 END) AS INT) AS num_medium_hotspots, "
+    "max(duration_minutes) AS duration_minutes FROM sr GROUP BY request_id, route_idx)",
+    "rr2 AS (SELECT *, " + _xr("CASE overall_risk_class WHEN 'High' THEN avg_high WHEN 'Low' THEN avg_low "
+    "ELSE avg_medium END", 4) + " AS overall_confidence, " + _xr("CAST(num_high_hotspots AS DOUBLE) * "
+    + _dbl(10) + " + CAST(num_medium_hotspots AS DOUBLE) * " + _dbl(3) + " + duration_minutes * "
+    + _dbl(0.1), 3) + " AS safety_score, route_idx = 0 AS is_default, CASE WHEN route_idx = 0 THEN "
+    "'Default route' ELSE 'Alternative ' || CAST(route_idx AS VARCHAR) END AS label FROM rr)",
+)
+ORACLE["segment_risk"] = with_crashes(
+    f"SELECT {_SK}, risk_class, confidence, p_high_r, p_low_r, p_medium_r, is_hotspot, "
+    "estimated_minutes_from_start FROM sr", *RISK_CTES)
+ORACLE["route_rollup"] = with_crashes(
+    "SELECT request_id, route_idx, overall_risk_class, overall_confidence, avg_high, avg_low, avg_medium, "
+    "num_hotspots, num_high_hotspots, num_medium_hotspots, safety_score, is_default, label FROM rr2",
+    *RISK_CTES)
+
+
+def _fmt1_sql(x: str) -> str:
+    return f"printf('%.1f', {x})"
+
+
+_TD = "CAST(round(CAST(printf('%.1f', rec_dur - def_dur) AS DOUBLE) * 10) AS BIGINT)"
+ORACLE["route_recommendation"] = with_crashes(
+    "SELECT request_id, num_routes_analyzed, rec_idx AS recommended_route_index, 0 AS default_route_index, "
+    "rec_safety AS recommended_safety_score, CASE WHEN num_routes_analyzed = 1 THEN "
+    "'Only one route available — no comparison possible.' "
+    "WHEN rec_idx = 0 AND rec_hot = 0 THEN 'Default route is already the safest: no elevated-risk hotspots detected.' "
+    "WHEN rec_idx = 0 THEN 'Default route is the safest available with ' || CAST(rec_hot AS VARCHAR) || "
+    "' hotspot(s) (' || CAST(rec_high AS VARCHAR) || ' high-risk).' "
+    "ELSE rec_label || ' is safest: ' || CASE WHEN rec_high < def_high THEN CAST(def_high - rec_high AS VARCHAR) "
+    "|| ' fewer high-risk hotspot(s) vs default route' WHEN rec_hot < def_hot THEN CAST(def_hot - rec_hot AS VARCHAR) "
+    "|| ' fewer total hotspot(s) vs default route' ELSE 'lower safety score (' || " + _fmt1_sql("rec_safety")
+    + " || ' vs ' || " + _fmt1_sql("def_safety") + " || ')' END || ', ' || CASE WHEN abs(" + _TD + ") < 5 THEN "
+    "'at the same travel time' WHEN " + _TD + " > 0 THEN 'at cost of ' || " + _fmt1_sql(f"abs({_TD}) / 10.0")
+    + " || ' extra min' ELSE 'saving ' || " + _fmt1_sql(f"abs({_TD}) / 10.0") + " || ' min' END || '.' END "
+    "AS recommendation_reason FROM (SELECT r.request_id, c.n AS num_routes_analyzed, r.route_idx AS rec_idx, "
+    "r.safety_score AS rec_safety, r.num_hotspots AS rec_hot, r.num_high_hotspots AS rec_high, r.label AS rec_label, "
+    "r.duration_minutes AS rec_dur, d.safety_score AS def_safety, d.num_hotspots AS def_hot, "
+    "d.num_high_hotspots AS def_high, d.duration_minutes AS def_dur FROM "
+    "(SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY safety_score, route_idx) AS o FROM rr2) r "
+    "JOIN (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY route_idx) AS o FROM rr2) d "
+    "ON d.request_id = r.request_id AND d.o = 1 JOIN (SELECT request_id, count(*) AS n FROM rr2 GROUP BY 1) c "
+    "ON c.request_id = r.request_id WHERE r.o = 1) x", *RISK_CTES)

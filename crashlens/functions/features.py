@@ -120,6 +120,59 @@ def local_departure_time(text, as_of=None, zone: str = K.LOCAL_TIMEZONE) -> Colu
     return F.to_timestamp_ntz(F.date_format(parsed, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
+# ------------------------------------------------------------------ exact decimal rounding
+
+_SPLIT = 134217729.0  # 2**27 + 1, Veltkamp splitting constant
+
+
+def _split(a: Column) -> tuple[Column, Column]:
+    t = a * F.lit(_SPLIT)
+    hi = t - (t - a)
+    return hi, a - hi
+
+
+def round_scaled(x, decimals: int) -> Column:
+    """Nearest integer to the exact value of ``x * 10**decimals`` (ties to
+    even), as a long.
+
+    Python's ``round`` and ``format`` work on the exact binary value of a
+    double, while ``F.round`` rounds its shortest decimal text half up
+    (2.675 -> 2.68, Python -> 2.67). The product ``x * c`` is split into the
+    rounded double ``p`` and its exact error ``e`` (Dekker's error-free
+    product, plain double arithmetic), and the fraction is compared with 1/2
+    exactly.
+    """
+    x = _c(x)
+    c = float(10 ** decimals)
+    tc = c * _SPLIT
+    chi = tc - (tc - c)
+    clo = c - chi
+    p = x * F.lit(c)
+    xhi, xlo = _split(x)
+    e = ((xhi * F.lit(chi) - p) + xhi * F.lit(clo) + xlo * F.lit(chi)) + xlo * F.lit(clo)
+    f = F.floor(p)
+    d = ((p - f) - F.lit(0.5)) + e
+    up = F.when(d > 0, 1).when(d < 0, 0).otherwise(F.pmod(f, F.lit(2)))
+    return (f + up).cast("long")
+
+
+def round_exact(x, decimals: int) -> Column:
+    """``round(x, decimals)`` with Python semantics (exact value, ties even)."""
+    return round_scaled(x, decimals).cast("double") / F.lit(float(10 ** decimals))
+
+
+def format_fixed(x, decimals: int) -> Column:
+    """Text of ``x`` with ``decimals`` places, as Python's ``f"{x:.Nf}"``."""
+    x = _c(x)
+    t = F.abs(round_scaled(x, decimals))
+    c = 10 ** decimals
+    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
+    if decimals == 0:
+        return F.concat(sign, t.cast("string"))
+    return F.concat(sign, (t / F.lit(c)).cast("long").cast("string"), F.lit("."),
+                    F.lpad(F.pmod(t, F.lit(c)).cast("string"), decimals, "0"))
+
+
 # ------------------------------------------------------------------ spatial
 
 def haversine_m(lat1, lon1, lat2, lon2, radius_m: float = K.EARTH_RADIUS_M) -> Column:
@@ -158,15 +211,15 @@ def traffic_speed(category, base) -> Column:
 
 
 def meters_to_miles(m) -> Column:
-    return F.round(_c(m) / F.lit(K.METERS_PER_MILE), 3)
+    return round_exact(_c(m) / F.lit(K.METERS_PER_MILE), 3)
 
 
 def meters_to_km(m) -> Column:
-    return F.round(_c(m) / F.lit(1000.0), 3)
+    return round_exact(_c(m) / F.lit(1000.0), 3)
 
 
 def seconds_to_minutes(s) -> Column:
-    return F.round(_c(s) / F.lit(60.0), 2)
+    return round_exact(_c(s) / F.lit(60.0), 2)
 
 
 def duration_seconds(text) -> Column:
@@ -185,13 +238,13 @@ def is_low_visibility(visibility_m) -> Column:
 
 def distance_from_start(poly_idx, total_pts, miles) -> Column:
     """``idx / (n - 1) * miles`` rounded to 3 places."""
-    return F.round(_c(poly_idx).cast("double") / (_c(total_pts) - 1).cast("double") * _c(miles), 3)
+    return round_exact(_c(poly_idx).cast("double") / (_c(total_pts) - 1).cast("double") * _c(miles), 3)
 
 
 def minutes_from_start(dist_from_start, miles, minutes) -> Column:
     """``d / miles * minutes`` rounded to 1 place; 0 when the route has no length."""
     m = _c(miles)
-    return F.when(m > 0, F.round(_c(dist_from_start) / m * _c(minutes), 1)).otherwise(F.lit(0.0))
+    return F.when(m > 0, round_exact(_c(dist_from_start) / m * _c(minutes), 1)).otherwise(F.lit(0.0))
 
 
 # ------------------------------------------------------------------ classification
@@ -216,7 +269,7 @@ def classify_with_thresholds(probs, thresholds: dict, classes: list[str] = K.CLA
 
 def confidence(probs) -> Column:
     """Largest probability, rounded to 4, even when thresholds chose another class."""
-    return F.round(F.array_max(_c(probs)), 4)
+    return round_exact(F.array_max(_c(probs)), 4)
 
 
 def risk_rank(cls) -> Column:
