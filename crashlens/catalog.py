@@ -547,9 +547,9 @@ def serving_feature_names(spark, sf) -> list[str]:
 
 
 def _serving(spark, sf):
-    rp = FXT.route_payloads(spark, sf)
-    rt = RR.parsed_routes(rp)
-    segs = RT.segments(rt)
+    from crashlens.session import stage_table
+    rp = stage_table(FXT.route_payloads(spark, sf), "route_payloads")
+    _, segs = RR.prepare_segments(rp)
     req_time = RR.request_time_features(rp)
     weather, _ = PL.parse_weather(FXT.weather_payloads(spark, sf))
     names = serving_feature_names(spark, sf)

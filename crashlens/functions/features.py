@@ -161,18 +161,25 @@ def round_exact(x, decimals: int) -> Column:
     return round_scaled(x, decimals).cast("double") / F.lit(float(10 ** decimals))
 
 
-def format_fixed(x, decimals: int) -> Column:
-    """Text of ``x`` with ``decimals`` places, as Python's ``f"{x:.Nf}"``."""
-    x = _c(x)
-    t = F.abs(round_scaled(x, decimals))
+def format_scaled(t, decimals: int, negative=None) -> Column:
+    """Text of a non-negative integer ``t`` read as ``t / 10**decimals``."""
+    t = _c(t)
     c = 10 ** decimals
-    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
+    sign = F.lit("") if negative is None else F.when(negative, F.lit("-")).otherwise(F.lit(""))
     if decimals == 0:
         return F.concat(sign, t.cast("string"))
     return F.concat(sign, (t / F.lit(c)).cast("long").cast("string"), F.lit("."),
                     F.lpad(F.pmod(t, F.lit(c)).cast("string"), decimals, "0"))
 
 
+def format_fixed(x, decimals: int) -> Column:
+    """Text of ``x`` with ``decimals`` places, as Python's ``f"{x:.Nf}"``.
+
+    ``x`` should be a column reference (it is used several times)."""
+    x = _c(x)
+    return format_scaled(F.abs(round_scaled(x, decimals)), decimals, x < 0)
+
+
 # ------------------------------------------------------------------ spatial
 
 def haversine_m(lat1, lon1, lat2, lon2, radius_m: float = K.EARTH_RADIUS_M) -> Column:
