@@ -865,3 +865,71 @@ ORACLE["route_recommendation"] = with_crashes(
     "JOIN (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY route_idx) AS o FROM rr2) d "
     "ON d.request_id = r.request_id AND d.o = 1 JOIN (SELECT request_id, count(*) AS n FROM rr2 GROUP BY 1) c "
     "ON c.request_id = r.request_id WHERE r.o = 1) x", *RISK_CTES)
+
+
+# ---------------------------------------------------------------- models (G3, G4, G6, G7, G9, E4, D9) -- rows-only checks
+
+from crashlens.plans import training as TRN  # noqa: E402
+
+
+def _v4_matrix(spark, sf):
+    from crashlens.session import stage_table
+    fm = PF.build_v4(PF.spatial_enriched(crashes(spark, sf)))
+    fm.df = stage_table(fm.df, "v4matrix")
+    return fm
+
+
+def _fit_eval(spark, sf, kind):
+    fm = _v4_matrix(spark, sf)
+    train, test = fm.df.where(~F.col("is_test")), fm.df.where(F.col("is_test"))
+    m = TRN.fit(train, fm.features, kind)
+    return TRN.evaluate(TRN.score(m, test), kind)
+
+
+@register("model_logistic_v4")
+def q_model_logistic_v4(spark, sf):
+    return _fit_eval(spark, sf, "logistic")
+
+
+@register("model_random_forest_v4")
+def q_model_random_forest_v4(spark, sf):
+    return _fit_eval(spark, sf, "random_forest")
+
+
+@register("model_gbt_binary_v4")
+def q_model_gbt_binary_v4(spark, sf):
+    fm = _v4_matrix(spark, sf)
+    train, test = fm.df.where(~F.col("is_test")), fm.df.where(F.col("is_test"))
+    m = TRN.fit(train, fm.features, "gbt_binary")
+    sc = TRN.score(m, test).select(FX.binary_target("severity_class").alias("label"),
+                                   F.col("prediction").cast("int").alias("prediction"), "p_elevated")
+    return M.binary_metrics(sc, "label", "prediction", "p_elevated")
+
+
+@register("feature_importance_rf_v4")
+def q_feature_importance_rf_v4(spark, sf):
+    fm = _v4_matrix(spark, sf)
+    m = TRN.fit(fm.df.where(~F.col("is_test")), fm.features, "random_forest")
+    return TRN.feature_importance(m, fm.features, top_k=15)
+
+
+def route_risk_job(spark, sf, kind: str = "random_forest", nested: bool = True):
+    """End-to-end (G9): train on the crash history, then score every landed
+    request's routes in one batch and roll up."""
+    from crashlens.session import stage_table
+    fm = _v4_matrix(spark, sf)
+    model = TRN.fit(fm.df.where(~F.col("is_test")), fm.features, kind)
+    rp = stage_table(FXT.route_payloads(spark, sf), "route_payloads")
+    _, segs = RR.prepare_segments(rp)
+    weather, _ = PL.parse_weather(FXT.weather_payloads(spark, sf))
+    feats = RR.segment_features(segs, RR.request_time_features(rp), weather,
+                                RR.serving_history(crashes(spark, sf)), fm.features)
+    scored = TRN.score(model, feats)
+    geo = PL.parse_reverse_geocode(FXT.geocode_payloads(spark, sf))
+    return RR.route_risk(scored, K.DEFAULT_THRESHOLDS, geocoded=geo, nested=nested)
+
+
+@register("route_risk_end_to_end")
+def q_route_risk_end_to_end(spark, sf):
+    per_route, rec = route_risk_job(spark, sf)
+    return per_route.join(rec, "request_id")
