@@ -933,3 +933,25 @@ def route_risk_job(spark, sf, kind: str = "random_forest", nested: bool = True):
 def q_route_risk_end_to_end(spark, sf):
     per_route, rec = route_risk_job(spark, sf)
     return per_route.join(rec, "request_id")
+
+
+# ---------------------------------------------------------------- streaming (S1) -- rows-only
+
+@register("stream_route_scoring")
+def q_stream_route_scoring(spark, sf):
+    """Land the request feed as Parquet, stream it through the scoring job,
+    read back the recommendations of all micro-batches."""
+    import uuid
+
+    from crashlens.session import ensure_checkpoint_dir
+    from crashlens.streaming import route_feed
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex[:10]}"
+    feed = FXT.route_payloads(spark, sf).join(FXT.weather_payloads(spark, sf), "request_id")
+    feed.select(*[f.name for f in route_feed.FEED_SCHEMA.fields]).repartition(4) \
+        .write.mode("overwrite").parquet(f"{base}/in")
+    fm = _v4_matrix(spark, sf)
+    model = TRN.fit(fm.df.where(~F.col("is_test")), fm.features, "random_forest")
+    q = route_feed.start(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", model, fm.features,
+                         RR.serving_history(crashes(spark, sf)), max_files_per_trigger=2)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out/recommendations")
