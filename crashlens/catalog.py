@@ -955,3 +955,53 @@ def q_stream_route_scoring(spark, sf):
                          RR.serving_history(crashes(spark, sf)), max_files_per_trigger=2)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out/recommendations")
+
+
+# ---------------------------------------------------------------- resampling
+
+from crashlens.operators import resample as RS  # noqa: E402
+from crashlens.sources.tables import load_table  # noqa: E402
+
+EMB_CLASS = "CASE WHEN label <= 6 THEN 'Low' WHEN label <= 8 THEN 'Medium' ELSE 'High' END"
+
+
+def _embedding_classes(spark, sf):
+    """All embeddings with an imbalanced 3-class target (70 / 20 / 10)."""
+    e = load_table(spark, sf, "embeddings")
+    return e.select(F.col("vec_id").alias("id"), F.expr(EMB_CLASS).alias("label"),
+                    F.col("embedding").cast("array<double>").alias("vec"))
+
+
+@register("knn_within_class_embeddings", (
+    f"WITH e AS (SELECT vec_id AS id, {EMB_CLASS} AS cls, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), "
+    "p AS (SELECT a.id, b.id AS nid, list_distance(a.v, b.v) AS d FROM e a JOIN e b ON a.cls = b.cls "
+    "AND a.id <> b.id), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, nid) AS rk FROM p) "
+    "SELECT id, CAST(rk AS INT) AS rank, nid AS neighbour_id, round(d, 6) AS dist FROM r WHERE rk <= 5"))
+def q_knn_within_class_embeddings(spark, sf):
+    nn = RS.knn_within_class(_embedding_classes(spark, sf), k=5, block=64)
+    return nn.select("id", F.posexplode(F.arrays_zip("nn_ids", "nn_dists")).alias("pos", "x")) \
+             .select("id", (F.col("pos") + 1).cast("int").alias("rank"),
+                     F.col("x.nn_ids").alias("neighbour_id"), F.round(F.col("x.nn_dists"), 6).alias("dist"))
+
+
+def _smote_counts(df):
+    return (df.groupBy("label").agg(F.count(F.lit(1)).alias("rows"),
+                                    F.sum(F.col("is_synthetic").cast("long")).alias("synthetic")))
+
+
+@register("smote_counts_embeddings", (
+    f"SELECT cls AS label, max(n) OVER () AS rows, max(n) OVER () - n AS synthetic FROM "
+    f"(SELECT {EMB_CLASS} AS cls, count(*) AS n FROM embeddings GROUP BY 1) t"))
+def q_smote_counts_embeddings(spark, sf):
+    return _smote_counts(RS.smote(_embedding_classes(spark, sf), k=5, block=64))
+
+
+@register("smote_counts_v4_train", with_crashes(
+    "SELECT severity_class AS label, max(n) OVER () AS rows, max(n) OVER () - n AS synthetic FROM "
+    "(SELECT severity_class, count(*) AS n FROM v4rows WHERE NOT is_test GROUP BY 1) t", *_V4_CTES))
+def q_smote_counts_v4_train(spark, sf):
+    fm = PF.build_v4(PF.spatial_enriched(crashes(spark, sf)))
+    train = fm.df.where(~F.col("is_test")).select(
+        F.col("crash_id").alias("id"), F.col("severity_class").alias("label"),
+        F.array(*[F.col(f) for f in fm.features]).alias("vec"))
+    return _smote_counts(RS.smote(train, k=5))

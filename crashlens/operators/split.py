@@ -31,6 +31,15 @@ def split_hash(id_col: str = "crash_id", seed: int = 42):
 def stratified_split(df: DataFrame, label_col: str = "severity_class", id_col: str = "crash_id",
                      test_pct: int = 20, seed: int = 42, out_col: str = "is_test") -> DataFrame:
     """Add boolean ``out_col``: True for the test share of every class."""
+    return first_per_class(df, label_col, id_col, F.expr(f"(_ncls * {int(test_pct)} + 99) div 100"),
+                           seed, out_col)
+
+
+def first_per_class(df: DataFrame, label_col: str, id_col: str, quota, seed: int = 42,
+                    out_col: str = "is_first") -> DataFrame:
+    """Flag exactly ``quota`` rows of every class: the first ones in (h, id)
+    order. ``quota`` is a column expression that may use ``_ncls`` (the class
+    size) and the label column."""
     rows = (df.withColumn("_h", split_hash(id_col, seed))
               .withColumn("_b", (F.col("_h") * F.lit(BUCKETS) / F.lit(P)).cast("int")))
     counts = rows.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -39,7 +48,7 @@ def stratified_split(df: DataFrame, label_col: str = "severity_class", id_col: s
     decide = (counts
               .withColumn("_ncls", F.sum("_cnt").over(w_cls))
               .withColumn("_cum", F.sum("_cnt").over(w_cum))
-              .withColumn("_quota", F.expr(f"(_ncls * {int(test_pct)} + 99) div 100"))
+              .withColumn("_quota", quota)
               .withColumn("_before", F.col("_cum") - F.col("_cnt"))
               .select(label_col, "_b",
                       F.when(F.col("_cum") <= F.col("_quota"), F.lit("test"))
