@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 
 from crashlens.operators import reads
+from crashlens.session import ensure_checkpoint_dir
 from crashlens.sources.tables import crashes, crashes_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,7 +23,14 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # timestamps are parsed and read in UTC; staging needs the shared folder
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ensure_checkpoint_dir(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
