@@ -159,18 +159,21 @@ def _haversine_pre(q_phi, q_lmb, q_cos, h_phi, h_lmb, h_cos):
     return F.lit(2.0 * K.EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
 
-def _finish(df: DataFrame, leave_one_out: bool, severity_col: str) -> DataFrame:
+def _finish(df: DataFrame, leave_one_out, severity_col: str) -> DataFrame:
+    """Coalesce empty neighbourhoods to 0 and, where ``leave_one_out`` holds
+    (a bool, or a boolean column per row), remove the row's own contribution."""
     z = F.lit(0)
     n, fat, inj = (F.coalesce(F.col(c), z) for c in ("n_big", "fatal_big", "injury_big"))
     sc = F.coalesce(F.col("score_big"), F.lit(0.0))
     n5, fat5 = F.coalesce(F.col("n_small"), z), F.coalesce(F.col("fatal_small"), z)
-    if leave_one_out:
+    if leave_one_out is not False:
+        own = F.lit(1) if leave_one_out is True else leave_one_out.cast("int")
         sev = F.col(severity_col)
-        own_f = (sev == "High").cast("long")
-        own_i = (sev == "Medium").cast("long")
-        own_s = F.coalesce(severity_score(sev), F.lit(0.0))
-        n, fat, inj, sc = n - 1, fat - own_f, inj - own_i, sc - own_s
-        n5, fat5 = n5 - 1, fat5 - own_f
+        own_f = (sev == "High").cast("long") * own
+        own_i = (sev == "Medium").cast("long") * own
+        own_s = F.coalesce(severity_score(sev), F.lit(0.0)) * own
+        n, fat, inj, sc = n - own, fat - own_f, inj - own_i, sc - own_s
+        n5, fat5 = n5 - own, fat5 - own_f
     avg = F.when(n > 0, sc / n).otherwise(F.lit(0.0))
     return df.withColumns({
         "nearby_crash_count_1km": n.cast("long"),
@@ -204,12 +207,18 @@ def neighbourhood_features(query: DataFrame, history: DataFrame, *, leave_one_ou
 def split_features(rows: DataFrame, split_col: str = "is_test",
                    severity_col: str = "severity_class", **grid) -> DataFrame:
     """Training rows: leave-one-out over training rows; test rows: training
-    rows only (C1-C3). The two halves are unioned back (C10)."""
-    train = rows.where(~F.col(split_col))
-    test = rows.where(F.col(split_col))
-    a = neighbourhood_features(train, train, leave_one_out=True, severity_col=severity_col, **grid)
-    b = neighbourhood_features(test, train, leave_one_out=False, severity_col=severity_col, **grid)
-    return a.unionByName(b)
+    rows only (C1-C3), in one radius join.
+
+    History = training rows; queries = distinct locations of all rows. Every
+    row takes its location's sums; training rows then remove their own
+    contribution, test rows (not in the history) keep them as they are.
+    """
+    located = rows.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    hist = history_locations(located.where(~F.col(split_col)), severity_col)
+    qlocs = located.select("lat", "lon").distinct()
+    feats = location_features(qlocs, hist, **grid)
+    joined = rows.join(feats, ["lat", "lon"], "left")
+    return _finish(joined, F.col(split_col) == F.lit(False), severity_col)
 
 
 def feature_summary(enriched: DataFrame, score_col: str = "severity_score") -> DataFrame:
