@@ -10,19 +10,24 @@ Plan (no index object, no all-pairs product):
    (n, fatal, injury, score), so co-located crashes cost one row.
 2. Query points are reduced to distinct locations too; a location that holds
    a third of all rows is still one row in the join.
-3. Space is cut into lat bands of height ``rho / 2`` (rho = angular radius) and lon
-   cells of width ``rho / (2 cos(ref_lat))``. History locations get one cell;
-   each query location is replicated to every cell that the circle's exact
-   bounding box touches (about 4-5 bands x 4-5 cells). Only the query side
-   is replicated, and only as narrow rows.
-4. Hot cells (more than ``max_cell_locations`` history locations) are split
-   into salts: history rows go to one salt by hash, query rows to all salts
-   of that cell. The hot-cell table comes from one small aggregate; AQE
-   broadcasts it only when its measured size is under the threshold.
-5. Equi-join on (band, cell, salt), cheap latitude pre-check, exact
-   haversine filter, then conditional sums for every radius in one pass with
-   partial aggregation before the shuffle.
-6. Results join back to the query rows on (lat, lon); empty neighbourhoods
+3. Space is cut into lat bands of height ``rho / m`` (rho = angular radius,
+   m = cells per radius, chosen from the data's density) and lon cells whose
+   width divides 360 degrees, so keys wrap at the antimeridian. Bands past a
+   polar latitude are one cell each.
+4. Each query location is replicated, band by band, to the cells its circle
+   can reach, using the exact longitude chord of the spherical cap at the
+   band's edges; each cell is tagged ``whole`` when it lies entirely inside
+   the 1 km circle and entirely inside or outside the 500 m one.
+5. History has two kinds of rows on the same key: per-cell sums (for whole
+   cells) and the cell's points (for cells a circle cuts through). Hot cells
+   (more than ``max_cell_locations`` locations) split their points into
+   salts: each point to one salt by hash, the query row to every salt.
+6. One equi-join on (band, cell, salt, whole); point rows pass a cheap
+   latitude pre-check and the exact haversine test; then conditional sums
+   for both radii in one pass, partially aggregated before the shuffle.
+   Work per query grows with the circle's boundary ring, not with every
+   crash inside it.
+7. Results join back to the query rows on (lat, lon); empty neighbourhoods
    give 0, and in leave-one-out mode each row's own contribution is removed
    (co-located other crashes still count).
 """
@@ -55,99 +60,219 @@ def history_locations(history: DataFrame, severity_col: str = "severity_class")
                  F.sum(severity_score(sev)).alias("h_score")))
 
 
-def _grid(radius_m: float, ref_lat_deg: float, cell_scale: float) -> tuple[float, float, float]:
-    rho = radius_m / K.EARTH_RADIUS_M
-    rho_deg = math.degrees(rho)
-    band = rho_deg / cell_scale
-    width = band / math.cos(math.radians(ref_lat_deg))
-    return rho, band, width
+def _cap_half_width(sin_q, cos_q, sin_phi, cos_phi, rho: float):
+    """Exact longitude half-width (radians) of the spherical cap of angular
+    radius ``rho`` around the query, on the parallel at latitude ``phi``:
+    a point there is inside the cap iff its |dlon| is at most this value
+    (0 where the parallel misses the cap, pi where it lies inside)."""
+    arg = (F.lit(math.cos(rho)) - sin_q * sin_phi) / (cos_q * cos_phi)
+    return F.acos(F.least(F.greatest(arg, F.lit(-1.0)), F.lit(1.0)))
 
 
-def _cell_keys(band_deg: float, width_deg: float, rho: float):
-    """Array of (band, cell) keys covering each query location's circle."""
-    rho_deg = math.degrees(rho) * (1 + 1e-9) + 1e-12
-    lat, lon = F.col("lat"), F.col("lon")
-    cos_lat = F.cos(F.radians(lat))
-    # exact lon half-extent of a spherical cap; the whole circle near the poles
-    half = F.when(cos_lat > F.lit(math.sin(rho)),
-                  F.degrees(F.asin(F.lit(math.sin(rho)) / cos_lat))).otherwise(F.lit(180.0))
-    half = half * F.lit(1 + 1e-9) + F.lit(1e-12)
-    b0 = F.floor((lat - F.lit(rho_deg)) / F.lit(band_deg))
-    b1 = F.floor((lat + F.lit(rho_deg)) / F.lit(band_deg))
-    c0 = F.floor((lon - half) / F.lit(width_deg))
-    c1 = F.floor((lon + half) / F.lit(width_deg))
-    return F.flatten(F.transform(
-        F.sequence(b0, b1),
-        lambda b: F.transform(F.sequence(c0, c1),
-                              lambda c: F.struct(b.alias("band"), c.alias("cell")))))
+def _band_cells(df: DataFrame, rho: float, width_deg: float, tag: str) -> DataFrame:
+    """Add (first, last) candidate cell ``{tag}c0, {tag}c1`` and (first, last)
+    fully covered cell ``{tag}f0, {tag}f1`` of the cap of radius ``rho`` to
+    each (query, band) row.
+
+    Candidates cover every cell that may hold a point within ``rho``: the cap
+    is widest at latitude ``peak``, so the band's widest chord is at the band
+    latitude nearest to it. A cell is fully covered when the whole rectangle
+    lies inside the cap: the band must lie within the cap's lat range and the
+    cell within the narrower of the two chords at the band's edges (chord
+    length is unimodal in latitude). The outer cap is padded and the inner
+    one shrunk by 1e-9 of the radius, so rounding can only turn a covered
+    cell into a candidate, never drop a neighbour.
+
+    Each step is its own projection, so every transcendental function runs
+    once per row (inlined, the nested bounds would repeat them many times).
+    """
+    rho_o, rho_i = rho * (1 + 1e-9), rho * (1 - 1e-9)
+    col = F.col
+    peak = F.asin(F.least(F.greatest(col("sin_q") / F.lit(math.cos(rho_o)), F.lit(-1.0)), F.lit(1.0)))
+    df = df.withColumn("_near", F.least(F.greatest(peak, col("phi0")), col("phi1")))
+    df = df.withColumns({"_sn": F.sin("_near"), "_cn": F.cos("_near")})
+    meets = (col("phi1") >= col("phi_q") - F.lit(rho_o)) & (col("phi0") <= col("phi_q") + F.lit(rho_o))
+    within = (col("phi0") >= col("phi_q") - F.lit(rho_i)) & (col("phi1") <= col("phi_q") + F.lit(rho_i))
+    df = df.withColumns({
+        "_ho": F.degrees(_cap_half_width(col("sin_q"), col("cos_q"), col("_sn"), col("_cn"), rho_o))
+        * F.lit(1 + 1e-9) + F.lit(1e-12),
+        "_hi": F.degrees(F.least(_cap_half_width(col("sin_q"), col("cos_q"), col("sin0"), col("cos0"), rho_i),
+                                 _cap_half_width(col("sin_q"), col("cos_q"), col("sin1"), col("cos1"), rho_i))),
+        "_meets": meets, "_within": within})
+    w, lon = F.lit(width_deg), col("lon")
+    df = df.withColumns({
+        f"{tag}c0": F.when(col("_meets"), F.floor((lon - col("_ho")) / w)).otherwise(F.lit(1)),
+        f"{tag}c1": F.when(col("_meets"), F.floor((lon + col("_ho")) / w)).otherwise(F.lit(0)),
+        f"{tag}f0": F.when(col("_within"), F.ceil((lon - col("_hi")) / w)).otherwise(F.lit(1)),
+        f"{tag}f1": F.when(col("_within"), F.floor((lon + col("_hi")) / w) - 1).otherwise(F.lit(0))})
+    return df.drop("_near", "_sn", "_cn", "_ho", "_hi", "_meets", "_within")
+
+
+def _grid(radius_m: float, cells_per_radius: int) -> tuple[float, float, float, int]:
+    """(rho, band height, cell width, cells around the globe). The cell
+    width divides 360 degrees so cell keys wrap at the antimeridian."""
+    rho = radius_m / K.EARTH_RADIUS_M
+    band = math.degrees(rho) / cells_per_radius
+    # about square cells at mid latitudes; any width is exact
+    ncell = max(1, math.ceil(360.0 / (band / math.cos(math.radians(45.0)))))
+    return rho, band, 360.0 / ncell, ncell
+
+
+def auto_cells_per_radius(hist_locs: DataFrame, radius_m: float = K.RADIUS_1KM) -> int:
+    """Grid resolution from the data's density, by one small aggregate.
+
+    Per query the join costs about 3.5 m^2 generated (query, cell) rows plus
+    the history points in the cells the circles cut, about 4 k / m for k
+    neighbours within the radius (m = cells per radius). Measured in local
+    mode a generated row costs about ten point pairs, which puts the minimum
+    near m = (0.025 k)^(1/3): m = 2 at k = 600, 5-6 at k = 6,000. k is
+    estimated as pi * sum(n^2) / sum(n) over cells one radius wide, i.e. the
+    neighbour count seen by an average history point.
+    """
+    rho_deg = math.degrees(radius_m / K.EARTH_RADIUS_M)
+    per_cell = (hist_locs.groupBy(F.floor(F.col("lat") / F.lit(rho_deg)).alias("b"),
+                                  F.floor(F.col("lon") * F.cos(F.radians("lat")) / F.lit(rho_deg)).alias("c"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    row = per_cell.agg(F.sum(F.col("n") * F.col("n")).alias("s2"), F.sum("n").alias("s1")).first()
+    if not row or not row["s1"]:
+        return 2
+    k = math.pi * row["s2"] / row["s1"]
+    return int(min(32, max(2, round((0.025 * k) ** (1.0 / 3.0)))))
 
 
 def location_features(query_locs: DataFrame, hist_locs: DataFrame,
                       radii: tuple[float, float] = (K.RADIUS_1KM, K.RADIUS_500M),
-                      ref_lat_deg: float = 45.0, cell_scale: float = 2.0,
-                      max_cell_locations: int = 50_000, partitions: int | None = None) -> DataFrame:
+                      cells_per_radius: int | str = "auto", max_cell_locations: int = 50_000,
+                      partitions: int | None = None) -> DataFrame:
     """Raw neighbourhood sums per distinct query location (lat, lon).
 
     Returns lat, lon, n_big, fatal_big, injury_big, score_big, n_small,
     fatal_small for the big and small radius; locations with no neighbour
     are absent (the caller left-joins).
 
-    Both join sides are hash-partitioned by the cell key into ``partitions``
-    (default: the session's shuffle partitions). The pair work per row is
-    large while the rows are narrow, so byte-based partition coalescing would
-    starve the join of parallelism; an explicit count keeps every core busy.
+    Two levels on one fine grid (``cells_per_radius`` cells per big radius):
+    a cell that lies entirely inside the big circle, and entirely inside or
+    entirely outside the small one, adds its pre-aggregated cell sums (one
+    joined row, however many crashes it holds); only cells the circles cut
+    through are joined point by point with the exact haversine test. Work per
+    query is then bounded by the grid and the boundary ring instead of by
+    every crash within 1 km, so denser data costs much less than pairs.
+
+    The point-level join is hash-partitioned by cell key into ``partitions``
+    (default: the session's shuffle partitions): its pair work per row is
+    large while rows are narrow, so byte-based coalescing would starve it.
     """
     r_big, r_small = radii
     spark = query_locs.sparkSession
     parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                               spark.sparkContext.defaultParallelism)
-    rho, band_deg, width_deg = _grid(r_big, ref_lat_deg, cell_scale)
-
-    h = (hist_locs
-         .withColumn("band", F.floor(F.col("lat") / F.lit(band_deg)))
-         .withColumn("cell", F.floor(F.col("lon") / F.lit(width_deg))))
-
-    # hot cells: split into ceil(locations / max_cell_locations) salts
+    m = auto_cells_per_radius(hist_locs, r_big) if cells_per_radius == "auto" else int(cells_per_radius)
+    rho, band_deg, width_deg, ncell = _grid(r_big, m)
+    rho_s = r_small / K.EARTH_RADIUS_M
+
+    def wrap(cell_index):
+        return F.pmod(cell_index, F.lit(ncell))
+
+    # bands reaching beyond the polar latitude are one cell each (plain band
+    # join): there a circle can span every longitude and lon cells shrink to
+    # nothing; everywhere else the cap's per-band chords are well defined
+    polar_lat = max(0.0, min(80.0, 90.0 - 3.0 * math.degrees(rho)))
+
+    def polar(band):
+        return ((band + 1) * F.lit(band_deg) > F.lit(polar_lat)) | (band * F.lit(band_deg) < F.lit(-polar_lat))
+
+    h = hist_locs.withColumn("band", F.floor(F.col("lat") / F.lit(band_deg)))
+    h = h.withColumn("cell", F.when(polar(F.col("band")), F.lit(-1)).otherwise(
+        wrap(F.floor(F.col("lon") / F.lit(width_deg)))))
+
+    # one history table, two kinds of rows keyed (band, cell, salt, whole):
+    # whole = true: per-cell sums, one row per non-empty cell (salt 0);
+    # whole = false: the cell's points, hot cells split into
+    # ceil(locations / max) salts
+    cell_sums = (h.groupBy("band", "cell")
+                 .agg(F.sum("h_n").alias("h_n"), F.sum("h_fatal").alias("h_fatal"),
+                      F.sum("h_injury").alias("h_injury"), F.sum("h_score").alias("h_score"))
+                 .select("band", "cell", F.lit(0).alias("salt"), F.lit(True).alias("whole"),
+                         *[F.lit(None).cast("double").alias(c) for c in ("h_lat", "h_phi", "h_lmb", "h_cos")],
+                         "h_n", "h_fatal", "h_injury", "h_score"))
     hot = (h.groupBy("band", "cell").agg(F.count(F.lit(1)).alias("locs"))
            .where(F.col("locs") > F.lit(max_cell_locations))
            .select("band", "cell",
                    F.ceil(F.col("locs") / F.lit(max_cell_locations)).cast("int").alias("nsalt")))
-
-    h = (h.join(hot, ["band", "cell"], "left")
-         .withColumn("salt", F.when(F.col("nsalt").isNull(), F.lit(0)).otherwise(
-             F.pmod(F.xxhash64("lat", "lon"), F.col("nsalt")).cast("int")))
-         .select("band", "cell", "salt",
-                 F.col("lat").alias("h_lat"), F.col("lon").alias("h_lon"),
-                 F.radians("lat").alias("h_phi"), F.radians("lon").alias("h_lmb"),
-                 F.cos(F.radians("lat")).alias("h_cos"),
-                 "h_n", "h_fatal", "h_injury", "h_score")
-         .repartition(parts, "band", "cell", "salt"))
-
+    pts = (h.join(hot, ["band", "cell"], "left")
+           .select("band", "cell",
+                   F.when(F.col("nsalt").isNull(), F.lit(0))
+                    .otherwise(F.pmod(F.xxhash64("lat", "lon"), F.col("nsalt")).cast("int")).alias("salt"),
+                   F.lit(False).alias("whole"),
+                   F.col("lat").alias("h_lat"),
+                   F.radians("lat").alias("h_phi"), F.radians("lon").alias("h_lmb"),
+                   F.cos(F.radians("lat")).alias("h_cos"),
+                   "h_n", "h_fatal", "h_injury", "h_score"))
+    hist_rows = cell_sums.unionByName(pts).repartition(parts, "band", "cell", "salt", "whole")
+
+    # query side: every cell of every band the big circle may reach, tagged
+    # covered (whole-cell sums) or not (point join)
+    rho_deg = math.degrees(rho * (1 + 1e-9)) + 1e-12
+    lat, lon = F.col("lat"), F.col("lon")
     q = (query_locs
-         .where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-         .select("lat", "lon", F.explode(_cell_keys(band_deg, width_deg, rho)).alias("k"))
-         .select("lat", "lon", F.col("k.band").alias("band"), F.col("k.cell").alias("cell"))
-         .join(hot, ["band", "cell"], "left")
-         .select("lat", "lon", "band", "cell",
-                 F.explode(F.sequence(F.lit(0), F.coalesce(F.col("nsalt"), F.lit(1)) - 1))
+         .where(lat.isNotNull() & lon.isNotNull())
+         .select("lat", "lon", F.radians(lat).alias("phi_q"),
+                 F.explode(F.sequence(F.floor((lat - F.lit(rho_deg)) / F.lit(band_deg)),
+                                      F.floor((lat + F.lit(rho_deg)) / F.lit(band_deg))))
+                 .alias("band"))
+         .withColumns({"sin_q": F.sin("phi_q"), "cos_q": F.cos("phi_q"),
+                       "phi0": F.radians(F.col("band") * F.lit(band_deg)),
+                       "phi1": F.radians((F.col("band") + 1) * F.lit(band_deg)),
+                       "polar": polar(F.col("band"))})
+         .withColumns({"sin0": F.sin("phi0"), "cos0": F.cos("phi0"),
+                       "sin1": F.sin("phi1"), "cos1": F.cos("phi1")}))
+    q = _band_cells(q, rho, width_deg, "b")
+    q = _band_cells(q, rho_s, width_deg, "s")
+    # a polar band is the single cell -1, always joined point by point. The
+    # bounds are made non-nullable (never null here): otherwise the optimizer
+    # infers not-null filters on them and pushes copies of the whole bound
+    # expressions below the explode
+    pb = F.col("polar")
+    q = q.select("lat", "lon", "band", "polar",
+                 *[F.coalesce(F.when(pb, F.lit(v)).otherwise(F.col(k)), F.lit(v)).alias(k)
+                   for k, v in (("bc0", -1), ("bc1", -1), ("bf0", 1), ("bf1", 0),
+                                ("sc0", 1), ("sc1", 0), ("sf0", 1), ("sf1", 0))])
+    # empty candidate ranges give a null array, which explode skips
+    q = q.select("lat", "lon", "band", "polar", "bf0", "bf1", "sc0", "sc1", "sf0", "sf1",
+                 F.explode(F.when(F.col("bc0") <= F.col("bc1"), F.sequence("bc0", "bc1"))).alias("c"))
+    c = F.col("c")
+    big_full = c.between(F.col("bf0"), F.col("bf1"))
+    small_full = c.between(F.col("sf0"), F.col("sf1"))
+    small_cand = c.between(F.col("sc0"), F.col("sc1"))
+    q = q.select("lat", "lon", "band", F.when(F.col("polar"), c).otherwise(wrap(c)).alias("cell"),
+                 (big_full & (small_full | ~small_cand)).alias("whole"),
+                 small_full.alias("in_small"))
+    q = (q.join(hot, ["band", "cell"], "left")
+         .select("lat", "lon", "band", "cell", "whole", "in_small",
+                 F.explode(F.sequence(F.lit(0), F.when(F.col("whole"), F.lit(0))
+                                      .otherwise(F.coalesce(F.col("nsalt"), F.lit(1)) - 1)))
                  .alias("salt"))
          .withColumns({"q_phi": F.radians("lat"), "q_lmb": F.radians("lon"),
                        "q_cos": F.cos(F.radians("lat"))})
-         .repartition(parts, "band", "cell", "salt"))
+         .repartition(parts, "band", "cell", "salt", "whole"))
 
     pre_deg = math.degrees(rho) * (1 + 1e-6) + 1e-9
-    pairs = (q.join(h, ["band", "cell", "salt"])
-             .where(F.abs(F.col("h_lat") - F.col("lat")) <= F.lit(pre_deg))
-             .withColumn("d", _haversine_pre("q_phi", "q_lmb", "q_cos", "h_phi", "h_lmb", "h_cos"))
-             .where(F.col("d") <= F.lit(r_big)))
-    small = F.col("d") <= F.lit(r_small)
-    return (pairs.groupBy("lat", "lon")
-            .agg(F.sum("h_n").alias("n_big"),
-                 F.sum("h_fatal").alias("fatal_big"),
-                 F.sum("h_injury").alias("injury_big"),
-                 F.sum("h_score").alias("score_big"),
-                 F.sum(F.when(small, F.col("h_n")).otherwise(0)).alias("n_small"),
-                 F.sum(F.when(small, F.col("h_fatal")).otherwise(0)).alias("fatal_small")))
+    joined = q.join(hist_rows, ["band", "cell", "salt", "whole"])
+    d = _haversine_pre("q_phi", "q_lmb", "q_cos", "h_phi", "h_lmb", "h_cos")
+    pairs = (joined
+             .where(F.col("whole") | (F.abs(F.col("h_lat") - F.col("lat")) <= F.lit(pre_deg)))
+             .withColumn("d", F.when(~F.col("whole"), d))
+             .where(F.col("whole") | (F.col("d") <= F.lit(r_big))))
+    small = F.when(F.col("whole"), F.col("in_small")).otherwise(F.col("d") <= F.lit(r_small))
+    near = pairs.select("lat", "lon", F.col("h_n").alias("n"), F.col("h_fatal").alias("fatal"),
+                        F.col("h_injury").alias("injury"), F.col("h_score").alias("score"),
+                        F.when(small, F.col("h_n")).otherwise(0).alias("n_s"),
+                        F.when(small, F.col("h_fatal")).otherwise(0).alias("fatal_s"))
+
+    return (near.groupBy("lat", "lon")
+            .agg(F.sum("n").alias("n_big"), F.sum("fatal").alias("fatal_big"),
+                 F.sum("injury").alias("injury_big"), F.sum("score").alias("score_big"),
+                 F.sum("n_s").alias("n_small"), F.sum("fatal_s").alias("fatal_small")))
 
 
 def _haversine_pre(q_phi, q_lmb, q_cos, h_phi, h_lmb, h_cos):

@@ -83,9 +83,34 @@ def test_held_out_and_hot_cells(spark):
     assert _run(spark, query, hist, False) == want
     # force every non-empty cell to be split into salts
     assert _run(spark, query, hist, False, max_cell_locations=2) == want
-    # coarser and finer grids give the same answer
-    assert _run(spark, query, hist, False, cell_scale=1.0) == want
-    assert _run(spark, query, hist, False, cell_scale=4.0) == want
+    # coarser and finer grids give the same answer: with 1 cell per radius
+    # almost everything is joined point by point, with 16 or 40 most of the
+    # dense blob comes from whole-cell sums
+    for m in (1, 2, 5, 16, 40):
+        assert _run(spark, query, hist, False, cells_per_radius=m) == want, m
+
+
+def test_leave_one_out_fine_grids(spark):
+    pts = fixture_points()
+    want = brute(pts, pts, True)
+    for m in (3, 24):
+        assert _run(spark, pts, pts, True, cells_per_radius=m) == want, m
+
+
+def test_random_points_many_grids(spark):
+    # random points at several latitudes, including close to a pole and
+    # across the antimeridian, against brute force
+    rnd = random.Random(11)
+    pts = []
+    for centre in ((42.35, -71.06), (-33.9, 151.2), (0.0, 179.995), (89.995, 10.0), (-89.996, -120.0)):
+        for _ in range(60):
+            lat = max(-90.0, min(90.0, centre[0] + rnd.uniform(-0.012, 0.012)))
+            lon = centre[1] + rnd.uniform(-0.02, 0.02)
+            lon = (lon + 180.0) % 360.0 - 180.0
+            pts.append((len(pts), lat, lon, rnd.choice(["Low", "Medium", "High"])))
+    want = brute(pts, pts, True)
+    for m in (2, 7, 20):
+        assert _run(spark, pts, pts, True, cells_per_radius=m) == want, m
 
 
 def test_edges(spark):
