@@ -130,3 +130,17 @@ def test_summary_runs(spark):
                     .when(F.col("severity_class") == "Medium", 1.0).otherwise(0.0))
     rows = spatial.feature_summary(enr).collect()
     assert {r["feature"] for r in rows} == set(K.SPATIAL_COLS)
+
+
+def test_grid_resolution_follows_density(spark):
+    # sparse: points about 10 km apart -> the coarsest grid
+    sparse = spark.range(50).select(
+        (F.lit(42.0) + (F.col("id") % 7) * F.lit(0.1)).alias("lat"),
+        (F.lit(-71.0) + (F.col("id") / 7).cast("int") * F.lit(0.13)).alias("lon"))
+    assert spatial.auto_cells_per_radius(sparse) == 2
+    # dense: 5,000 distinct locations within about 1 km^2 -> a finer grid
+    dense = spark.range(5000).select(
+        (F.lit(42.35) + (F.col("id") % 71) * F.lit(1e-4)).alias("lat"),
+        (F.lit(-71.06) + (F.col("id") / 71).cast("int") * F.lit(1.3e-4)).alias("lon"))
+    m = spatial.auto_cells_per_radius(dense)
+    assert 4 <= m <= 32
