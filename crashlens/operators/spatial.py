@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from crashlens import constants as K
 from crashlens.functions.features import severity_score
+from crashlens.session import stage_table
 
 FEATURES = list(K.SPATIAL_COLS)
 
@@ -125,7 +126,7 @@ def auto_cells_per_radius(hist_locs: DataFrame, radius_m: float = K.RADIUS_1KM)
     the history points in the cells the circles cut, about 4 k / m for k
     neighbours within the radius (m = cells per radius). Measured in local
     mode a generated row costs about ten point pairs, which puts the minimum
-    near m = (0.025 k)^(1/3): m = 2 at k = 600, 5-6 at k = 6,000. k is
+    near m = (0.02 k)^(1/3): m = 2 at k = 700, 5 at k = 6,000. k is
     estimated as pi * sum(n^2) / sum(n) over cells one radius wide, i.e. the
     neighbour count seen by an average history point.
     """
@@ -137,13 +138,13 @@ def auto_cells_per_radius(hist_locs: DataFrame, radius_m: float = K.RADIUS_1KM)
     if not row or not row["s1"]:
         return 2
     k = math.pi * row["s2"] / row["s1"]
-    return int(min(32, max(2, round((0.025 * k) ** (1.0 / 3.0)))))
+    return int(min(32, max(2, round((0.02 * k) ** (1.0 / 3.0)))))
 
 
 def location_features(query_locs: DataFrame, hist_locs: DataFrame,
                       radii: tuple[float, float] = (K.RADIUS_1KM, K.RADIUS_500M),
                       cells_per_radius: int | str = "auto", max_cell_locations: int = 50_000,
-                      partitions: int | None = None) -> DataFrame:
+                      partitions: int | None = None, stage: bool = True) -> DataFrame:
     """Raw neighbourhood sums per distinct query location (lat, lon).
 
     Returns lat, lon, n_big, fatal_big, injury_big, score_big, n_small,
@@ -158,6 +159,9 @@ def location_features(query_locs: DataFrame, hist_locs: DataFrame,
     query is then bounded by the grid and the boundary ring instead of by
     every crash within 1 km, so denser data costs much less than pairs.
 
+    With ``stage`` the history locations are written once under the shared
+    checkpoint folder and read back (see ``session.stage_table``).
+
     The point-level join is hash-partitioned by cell key into ``partitions``
     (default: the session's shuffle partitions): its pair work per row is
     large while rows are narrow, so byte-based coalescing would starve it.
@@ -166,6 +170,10 @@ def location_features(query_locs: DataFrame, hist_locs: DataFrame,
     spark = query_locs.sparkSession
     parts = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                               spark.sparkContext.defaultParallelism)
+    if stage:
+        # history locations feed four branches (density estimate, cell sums,
+        # points, hot cells): aggregate the crash history once, not per branch
+        hist_locs = stage_table(hist_locs, "radius-history")
     m = auto_cells_per_radius(hist_locs, r_big) if cells_per_radius == "auto" else int(cells_per_radius)
     rho, band_deg, width_deg, ncell = _grid(r_big, m)
     rho_s = r_small / K.EARTH_RADIUS_M
