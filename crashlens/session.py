@@ -48,29 +48,65 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` wins. Only when it is unset
-    (local tests) a private temporary folder is created and registered.
+    The folder named by ``spark.checkpoint.dir`` wins. When it is unset the
+    job fails on a cluster (executors could not see a folder of the driver's);
+    only a local master, where driver and executors are one process, gets a
+    private temporary folder, which is deleted when the session's JVM ends.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder that the driver and all "
+                f"executors share (master is {sc.master})")
         configured = tempfile.mkdtemp(prefix="crashlens-ckpt-")
+        _delete_on_exit(spark, configured)
     sc.setCheckpointDir(configured)
-    return configured
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    fs, hpath = _hadoop(spark, path)
+    fs.deleteOnExit(hpath)
+
+
+_STAGED: list[str] = []
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts lineage so a lost executor only recomputes from the written files,
-    never from the start of a long job.
+    never from the start of a long job. The folder goes with
+    :func:`release_staged`, or when the session's JVM ends.
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _delete_on_exit(spark, path)
+    _STAGED.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_staged(spark: SparkSession) -> int:
+    """Delete every folder :func:`stage_table` wrote so far; returns how many.
+
+    Call it after the action on a query's result: a DataFrame that still reads
+    a staged folder cannot run afterwards.
+    """
+    done = 0
+    while _STAGED:
+        fs, hpath = _hadoop(spark, _STAGED.pop())
+        done += bool(fs.delete(hpath, True))
+    return done
