@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlens.llm import mixing, quality_rules
+from crashlens.llm import byte_bpe, license_scan, mixing, quality_rules
 from crashlens.llm.common import table
 from crashlens.session import ensure_checkpoint_dir, stage_table
 
@@ -76,3 +76,20 @@ def op3(spark, sf):
                         "mix-sizes")
     return mixing.mix_plan(sized).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@register("op1_license_scan")
+def op1(spark, sf):
+    docs = table(spark, sf, "documents")
+    return docs.select("doc_id", license_scan.license_scan(F.col("text")).alias("_r")) \
+        .select("doc_id", "_r.*")
+
+
+@register("op4_byte_bpe")
+def op4(spark, sf):
+    import public_tokenizers
+
+    docs = table(spark, sf, "documents")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return docs.select("doc_id", byte_bpe.bpe_digests(F.col("text"), path).alias("_r")) \
+        .select("doc_id", "_r.*")

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 #: Most rows of a table that a join may broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 100_000
@@ -49,3 +54,44 @@ def spaced(text: Column) -> Column:
 def split_words(spaced_text: Column) -> Column:
     """Words of a text that went through :func:`spaced`."""
     return F.array_remove(F.split(spaced_text, " ", -1), "")
+
+
+def per_texts(make, returns: str):
+    """An Arrow UDF over one text column that yields one struct a row.
+
+    ``make()`` runs once a task and returns a function from a list of texts
+    (null comes as the empty text) to an iterable with one tuple of the
+    struct's fields for each, so caches live as long as the task.
+    """
+    kind = to_arrow_type(DataType.fromDDL(returns))
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        work = make()
+        for texts in batches:
+            rows = list(work([t.as_py() or "" for t in texts]))
+            columns = list(zip(*rows, strict=True)) if rows else [[] for _ in kind]
+            yield pa.StructArray.from_arrays(
+                [pa.array(c, type=f.type) for c, f in zip(columns, kind, strict=True)], fields=list(kind))
+
+    return F.arrow_udf(run, returnType=returns)
+
+
+def per_text(make, returns: str):
+    """As :func:`per_texts`, with a function of a single text."""
+    return per_texts(lambda: (lambda work: lambda texts: map(work, texts))(make()), returns)
+
+
+#: Bytes outside words of letters and digits (every byte from 0x80 up is inside).
+_GAPS = bytes(b if chr(b).isalnum() and b < 0x80 or b >= 0x80 else 0x20 for b in range(256))
+
+
+def word_chunks(text: str, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text with A-Z lower-cased,
+    as UTF-8, in lists of about ``size`` bytes, so long texts take little memory."""
+    data = text.encode().lower().translate(_GAPS)
+    at = 0
+    while at < len(data):
+        end = len(data) if len(data) - at <= size else data.find(b" ", at + size)
+        end = len(data) if end < 0 else end
+        yield data[at:end].split()
+        at = end
