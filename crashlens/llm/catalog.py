@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlens.llm import byte_bpe, license_scan, mixing, quality_rules
+from crashlens.llm import byte_bpe, labelled, license_scan, mixing, quality_model, quality_rules, toxicity
 from crashlens.llm.common import table
 from crashlens.session import ensure_checkpoint_dir, stage_table
 
@@ -93,3 +93,24 @@ def op4(spark, sf):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return docs.select("doc_id", byte_bpe.bpe_digests(F.col("text"), path).alias("_r")) \
         .select("doc_id", "_r.*")
+
+
+def _scored(docs, score, folds, fold):
+    return docs.select("doc_id", labelled.held_out(F.col("doc_id"), folds, fold).alias("held_out"),
+                       score.alias("score")) \
+        .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@register("op9_quality_model")
+def op9(spark, sf):
+    docs = table(spark, sf, "documents")
+    train = labelled.training_rows(docs, table(spark, sf, "labels"), "quality", 3, 1)
+    return _scored(docs, quality_model.quality_score(F.col("text"), quality_model.fit_quality(train)), 3, 1)
+
+
+@register("op10_toxicity")
+def op10(spark, sf):
+    docs = table(spark, sf, "documents")
+    train = stage_table(labelled.training_rows(docs, table(spark, sf, "labels"), "toxic", 5, 0),
+                        "toxic-sample")
+    return _scored(docs, toxicity.toxicity_score(F.col("text"), toxicity.fit_toxicity(train)), 5, 0)
