@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlens.llm import byte_bpe, labelled, license_scan, mixing, quality_model, quality_rules, toxicity
+from crashlens.llm import byte_bpe, labelled, license_scan, mixing, pii, quality_model, quality_rules, toxicity
 from crashlens.llm.common import table
 from crashlens.session import ensure_checkpoint_dir, stage_table
 
@@ -114,3 +114,10 @@ def op10(spark, sf):
     train = stage_table(labelled.training_rows(docs, table(spark, sf, "labels"), "toxic", 5, 0),
                         "toxic-sample")
     return _scored(docs, toxicity.toxicity_score(F.col("text"), toxicity.fit_toxicity(train)), 5, 0)
+
+
+@register("op5_pii")
+def op5(spark, sf):
+    docs = table(spark, sf, "documents")
+    known = pii.fit_pii(docs)
+    return docs.select("doc_id", pii.pii_spans(F.col("text"), known).alias("_r")).select("doc_id", "_r.*")
