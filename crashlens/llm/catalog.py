@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlens.llm import byte_bpe, labelled, license_scan, mixing, pii, quality_model, quality_rules, toxicity
+from crashlens.llm import (byte_bpe, labelled, license_scan, mixing, page_text, pii, quality_model,
+                           quality_rules, topk, toxicity)
 from crashlens.llm.common import table
 from crashlens.session import ensure_checkpoint_dir, stage_table
 
@@ -37,7 +38,7 @@ def op2(spark, sf):
 MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source,
-    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')) AS size
+    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size
   FROM documents),
 per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 turned AS (
@@ -121,3 +122,28 @@ def op5(spark, sf):
     docs = table(spark, sf, "documents")
     known = pii.fit_pii(docs)
     return docs.select("doc_id", pii.pii_spans(F.col("text"), known).alias("_r")).select("doc_id", "_r.*")
+
+
+@register("op6_page_text")
+def op6(spark, sf):
+    return page_text.extract_pages(table(spark, sf, "pages"))
+
+
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@register("op8_top_inner_products", TOPK_SQL)
+def op8(spark, sf):
+    return topk.top_inner_products(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
