@@ -238,6 +238,7 @@ class Codec:
 
 
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+WITH_IDS = RESULT + ", ids array<int>"
 
 
 def _codec(path: str):
@@ -245,8 +246,8 @@ def _codec(path: str):
     return ranks, classes
 
 
-def bpe_digests(text: Column, path: str) -> Column:
-    """Struct of n_tokens, ids_sha256 and decoded_sha256 of a text column.
+def bpe_digests(text: Column, path: str, with_ids: bool = False) -> Column:
+    """Struct of n_tokens, ids_sha256 and decoded_sha256 (and ids) of a text column.
 
     ``path`` names the rank file; its ranks (a fixed vocabulary) and the code
     point classes are read on the driver and shipped with the task. Null and
@@ -259,11 +260,12 @@ def bpe_digests(text: Column, path: str) -> Column:
 
         def digests(texts: list[str]):
             for ids, shown in codec.encode(texts):
-                yield (len(ids), hashlib.sha256(",".join(shown).encode()).hexdigest(),
+                row = (len(ids), hashlib.sha256(",".join(shown).encode()).hexdigest(),
                        hashlib.sha256(codec.decode(ids)).hexdigest())
+                yield (*row, ids.astype(np.int32)) if with_ids else row
         return digests
 
-    return per_texts(make, RESULT)(text)
+    return per_texts(make, WITH_IDS if with_ids else RESULT)(text)
 
 
 def bpe_encode(text: Column, path: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlens.llm import (byte_bpe, labelled, license_scan, mixing, page_text, pii, quality_model,
+from crashlens.llm import (byte_bpe, labelled, license_scan, mixing, ngram_join, page_text, pii, quality_model,
                            quality_rules, topk, toxicity)
 from crashlens.llm.common import table
 from crashlens.session import ensure_checkpoint_dir, stage_table
@@ -31,8 +31,7 @@ def register(name: str, sql: str | None = None):
 
 @register("op2_quality_rules")
 def op2(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
-    return quality_rules.quality_verdicts(docs, ["doc_id"])
+    return quality_rules.quality_verdicts(table(spark, sf, "documents"))
 
 
 MIX_SQL = r"""
@@ -147,3 +146,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 @register("op8_top_inner_products", TOPK_SQL)
 def op8(spark, sf):
     return topk.top_inner_products(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register("op7_ngram_join")
+def op7(spark, sf):
+    return ngram_join.ngram_join(table(spark, sf, "documents").select("doc_id", "text"))

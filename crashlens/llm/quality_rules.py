@@ -189,13 +189,12 @@ def judge(stats: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     # the whole corpus is one more group; sums per task come before the shuffle
     both = stats.select(F.explode(F.array(F.col("group"), F.lit("*"))).alias("group"), *FEATURES)
     est = mcd_estimates(both)
-    whole = est.where("group = '*'").select(
-        *[F.col(c).alias(f"all_{c}") for c in est.columns if c not in ("group", "n")])
+    whole = est.where("group = '*'").first()  # one row; none for an empty table
     k = float(SHRINK_ROWS)
-    mixed = stage_table(with_factors(est.where("group <> '*'").crossJoin(F.broadcast(whole)).select(
-        "group",
-        *[((F.col("n") * F.col(c) + k * F.col(f"all_{c}")) / (F.col("n") + k)).alias(c)
-          for c in est.columns if c not in ("group", "n")]), CONSISTENCY), "mcd-groups")
+    parts = [c for c in est.columns if c not in ("group", "n")]
+    mixed = stage_table(with_factors(est.where("group <> '*'").select("group", *[
+        ((F.col("n") * F.col(c) + k * (whole[c] if whole else 0.0)) / (F.col("n") + k)).alias(c)
+        for c in parts]), CONSISTENCY), "mcd-groups")
     judged = join_small(stats, mixed, "group", "left")
     # a group without an estimate cannot occur; a null distance counts as inside
     d2 = F.coalesce(squared_distance(), F.lit(0.0))
@@ -208,19 +207,29 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def quality_verdicts(docs: DataFrame, ident: list[str], cutoff: float = CUTOFF) -> DataFrame:
-    """One row per document: ``ident`` columns, the counts, base_failed,
-    distance2 and kept.
+def _verdicts(docs: DataFrame, carried: list[str], cutoff: float) -> DataFrame:
+    """Counts and verdicts next to the carried columns, named _id_0, _id_1, ..."""
+    stats = docs.select(*[F.col(f"`{c}`").alias(f"_id_{i}") for i, c in enumerate(carried)],
+                        "lang", "source", text_statistics(F.col("text")).alias("_s")) \
+        .select(*[f"_id_{i}" for i in range(len(carried))], "lang", "source", "_s.*")
+    judged = judge(stage_table(stats, "text-statistics"), cutoff)
+    return judged.withColumn("base_failed", base_failed()) \
+        .withColumn("kept", ~F.col("base_failed") & ~F.col("outlier"))
+
+
+def quality_verdicts(docs: DataFrame, ident: str = "doc_id", cutoff: float = CUTOFF) -> DataFrame:
+    """One row per document: its id, the counts, base_failed, kept, distance2.
 
     Null and empty texts have zero counts and fail the base rules. Repeated
     rows are judged alike; an empty table gives an empty result. Columns of
     ``docs`` other than ident, lang, source and text are not looked at.
     """
-    stats = docs.select(*[F.col(c).alias(f"_id_{i}") for i, c in enumerate(ident)],
-                        "lang", "source", text_statistics(F.col("text")).alias("_s")) \
-        .select(*[f"_id_{i}" for i in range(len(ident))], "lang", "source", "_s.*")
-    judged = judge(stage_table(stats, "text-statistics"), cutoff)
-    return judged.withColumn("base_failed", base_failed()).select(
-        *[F.col(f"_id_{i}").alias(c) for i, c in enumerate(ident)],
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ~F.col("outlier")).alias("kept"), "distance2")
+    return _verdicts(docs, [ident], cutoff).select(
+        F.col("_id_0").alias(ident), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "n_repeat_words", "base_failed", "kept", "distance2")
+
+
+def keep_good(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns (any names)."""
+    return _verdicts(docs, docs.columns, cutoff).where("kept").select(
+        *[F.col(f"_id_{i}").alias(c) for i, c in enumerate(docs.columns)])
