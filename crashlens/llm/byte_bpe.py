@@ -18,6 +18,7 @@ import base64
 import hashlib
 import unicodedata
 import zlib
+from heapq import heappop, heappush
 
 import numpy as np
 from pyspark.sql import Column
@@ -41,6 +42,8 @@ STATES = 10
 BLOCK = 64
 #: Characters that are scanned at once, and cached pieces.
 BATCH_CHARS = 1 << 19
+#: Bytes from which a piece is merged with a heap, and is not cached.
+LONG = 128
 CACHE = 400_000
 
 
@@ -182,6 +185,8 @@ class Codec:
         ranks = self.ranks
         if piece in ranks:
             return [ranks[piece]]
+        if len(piece) > LONG:
+            return self.merge_long(piece)
         parts = [piece[i:i + 1] for i in range(len(piece))]
         none = len(ranks) + 1 << 20
         pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
@@ -198,12 +203,44 @@ class Codec:
                 pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
         return [ranks[p] for p in parts]
 
+    def merge_long(self, piece: bytes) -> list[int]:
+        """The same by a heap of pairs over linked parts, for long pieces."""
+        ranks, n = self.ranks, len(piece)
+        ends, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        alive = [True] * n
+
+        def pair(i: int):
+            j = ends[i]
+            if j < n and (rank := ranks.get(piece[i:ends[j]])) is not None:
+                heappush(heap, (rank, i, j, ends[j]))
+
+        heap: list[tuple[int, int, int, int]] = []
+        for i in range(n - 1):
+            pair(i)
+        while heap:
+            _, i, j, end = heappop(heap)
+            if not alive[i] or ends[i] != j or not alive[j] or ends[j] != end:
+                continue  # one of the two has been merged since
+            ends[i], alive[j] = end, False
+            if end < n:
+                before[end] = i
+            pair(i)
+            if before[i] >= 0:
+                pair(before[i])
+        out, i = [], 0
+        while i < n:
+            out.append(ranks[piece[i:ends[i]]])
+            i = ends[i]
+        return out
+
     def encoded(self, piece: bytes) -> tuple[bytes, str]:
         """Ids of a piece as four bytes each, and as decimal digits; kept."""
         if len(self.cache) >= CACHE:
             self.cache.clear()
         ids = self.merge(piece)
-        self.cache[piece] = found = (np.array(ids, np.uint32).tobytes(), ",".join(map(str, ids)))
+        found = (np.array(ids, np.uint32).tobytes(), ",".join(map(str, ids)))
+        if len(piece) <= LONG:
+            self.cache[piece] = found
         return found
 
     def encode(self, texts: list[str]):
