@@ -101,10 +101,10 @@ def q_crashes_filter(spark, sf):
 
 @register("crashes_filter_all_fields", with_crashes(
     "SELECT crash_id, year, city_town_name, crash_severity_descr, weath_cond_descr "
-    "FROM crashes WHERE year = 2017 AND city_town_name ILIKE '%BOS%' "
+    "FROM crashes WHERE year = 2022 AND city_town_name ILIKE '%BOS%' "
     "AND severity_3class ILIKE '%Fatal%' AND weath_cond_descr ILIKE '%clear%'"))
 def q_crashes_filter_all_fields(spark, sf):
-    df = reads.filter_crashes(crashes(spark, sf), year=2017, city="BOS", severity="Fatal",
+    df = reads.filter_crashes(crashes(spark, sf), year=2022, city="BOS", severity="Fatal",
                               weather="clear", limit=None)
     return reads.project(df, ["crash_id", "year", "city_town_name", "crash_severity_descr",
                               "weath_cond_descr"])
@@ -143,7 +143,7 @@ LIGHT_SERVE = ("CASE WHEN hour_of_day BETWEEN 7 AND 18 THEN 'Daylight' "
 SPLIT_CTES = (
     "located AS (SELECT * FROM labelled WHERE lat IS NOT NULL AND lon IS NOT NULL)",
     "ranked AS (SELECT *, row_number() OVER (PARTITION BY severity_class ORDER BY "
-    "((crash_id % 1000003 + 1000003) % 1000003 * 7919 + 42) % 1000003, crash_id) AS rk, "
+    "CAST('0x' || substr(md5(crash_id || ':42'), 1, 8) AS BIGINT), crash_id) AS rk, "
     "count(*) OVER (PARTITION BY severity_class) AS ncls FROM located)",
     "splitted AS (SELECT * EXCLUDE (rk, ncls), rk <= (ncls * 20 + 99) // 100 AS is_test FROM ranked)",
 )
@@ -602,6 +602,25 @@ def q_reverse_geocode_parsed(spark, sf):
     return PL.parse_reverse_geocode(FXT.geocode_payloads(spark, sf))
 
 
+@register("routes_rejected", (
+    "SELECT DISTINCT user_id AS request_id, CASE WHEN user_id % 5 = 4 THEN NULL ELSE CAST(1 AS INT) END AS route_idx, "
+    "CASE user_id % 5 WHEN 4 THEN 'no route list' WHEN 2 THEN 'malformed polyline' ELSE 'malformed duration' END "
+    "AS reason FROM events WHERE user_id % 5 <> 3"))
+def q_routes_rejected(spark, sf):
+    return PL.rejected_routes(FXT.malformed_route_payloads(spark, sf))
+
+
+@register("geocode_parsed", with_crashes(
+    "SELECT 'Crash site ' || crash_id AS address, CASE WHEN ok THEN 'OK' ELSE 'ZERO_RESULTS' END AS status, "
+    "CASE WHEN ok THEN round(lat, 6) END AS lat, CASE WHEN ok THEN round(lon, 6) END AS lng, "
+    "CASE WHEN ok THEN crash_id || ' Harbor Rd, Boston, MA' END AS formatted_address, "
+    "CASE WHEN ok THEN 'place-' || crash_id END AS place_id, CASE WHEN ok THEN 'ROOFTOP' END AS location_type "
+    "FROM (SELECT *, crash_id % 19 <> 0 AS ok FROM crashes WHERE lat IS NOT NULL) t"))
+def q_geocode_parsed(spark, sf):
+    g = PL.parse_geocode(FXT.forward_geocode_payloads(spark, sf))
+    return g.withColumns({c: F.round(c, 6) for c in ("lat", "lng")})
+
+
 @register("request_time_features")
 def q_request_time_features(spark, sf):
     t = RR.request_time_features(FXT.route_payloads(spark, sf))
@@ -997,6 +1016,31 @@ def _smote_counts(df):
                                     F.sum(F.col("is_synthetic").cast("long")).alias("synthetic")))
 
 
+def _md5_32(text: str) -> str:
+    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+
+
+@register("smote_rows_embeddings", (
+    f"WITH e AS (SELECT vec_id AS id, {EMB_CLASS} AS cls, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), "
+    "sizes AS (SELECT cls, count(*) AS n, max(count(*)) OVER () - count(*) AS m FROM e GROUP BY cls), "
+    "p AS (SELECT a.id, b.id AS nid, b.v AS nv, list_distance(a.v, b.v) AS d FROM e a JOIN e b ON a.cls = b.cls AND a.id <> b.id), "
+    "nn AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d, nid) AS rk, count(*) OVER (PARTITION BY id) AS have FROM p), "
+    f"c AS (SELECT e.*, m // n + CAST(row_number() OVER (PARTITION BY e.cls ORDER BY {_md5_32("e.id || ':43'")}, e.id) <= m % n AS INT) AS q "
+    "FROM e JOIN sizes ON e.cls = sizes.cls WHERE m > 0), "
+    "s AS (SELECT id, cls, v, unnest(range(q)) AS j FROM c WHERE q > 0), "
+    f"x AS (SELECT s.*, nn.nv, {_md5_32("s.id || ':' || j || ':49'")} / 4294967296.0::DOUBLE AS u FROM s JOIN nn ON s.id = nn.id "
+    f"AND nn.rk = {_md5_32("s.id || ':' || j || ':42'")} % least(5, nn.have) + 1), "
+    "y AS (SELECT cls, id, j, list_transform(range(1, len(v) + 1), lambda i: v[i] + u * (nv[i] - v[i])) AS w FROM x) "
+    "SELECT cls AS label, id AS source_id, CAST(j AS INT) AS sample_no, round(w[1], 6) AS first, "
+    "round(w[len(w)], 6) AS last, round(list_sum(w), 5) AS total FROM y"))
+def q_smote_rows_embeddings(spark, sf):
+    rows = RS.smote(_embedding_classes(spark, sf), k=5, block=64, probe=None).where("is_synthetic")
+    return rows.select("label", "source_id", F.col("sample_no").cast("int").alias("sample_no"),
+                       F.round(F.get("vec", 0), 6).alias("first"),
+                       F.round(F.element_at("vec", -1), 6).alias("last"),
+                       F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
+
+
 @register("smote_counts_embeddings", (
     f"SELECT cls AS label, max(n) OVER () AS rows, max(n) OVER () - n AS synthetic FROM "
     f"(SELECT {EMB_CLASS} AS cls, count(*) AS n FROM embeddings GROUP BY 1) t"))

@@ -230,9 +230,9 @@ def seconds_to_minutes(s) -> Column:
 
 
 def duration_seconds(text) -> Column:
-    """Duration text such as ``"717s"`` -> 717 (missing -> 0)."""
+    """Duration text such as ``"717s"`` -> 717 (missing -> 0, malformed -> null)."""
     t = F.coalesce(_c(text), F.lit("0s"))
-    return F.regexp_extract(t, r"^(-?[0-9]+)s?$", 1).cast("long")
+    return F.regexp_extract(t, r"^(-?[0-9]+)s?$", 1).try_cast("long")
 
 
 def is_precipitation(rain_1h, snow_1h) -> Column:

@@ -7,6 +7,7 @@ name list; the value-level form is a ``regexp_replace`` column.
 from __future__ import annotations
 
 import re
+from itertools import count
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,17 +24,15 @@ def sanitize_col(col) -> Column:
 
 
 def dedupe(names: list[str]) -> list[str]:
-    """Later repeats of a name get ``_1``, ``_2``, ... in order of appearance."""
-    seen: dict[str, int] = {}
-    out = []
-    for n in names:
-        if n in seen:
-            seen[n] += 1
-            out.append(f"{n}_{seen[n]}")
-        else:
-            seen[n] = 0
-            out.append(n)
-    return out
+    """Unique names: a repeat gets the lowest number that makes a name which
+    occurs nowhere else, neither in the input nor among those given before."""
+    taken, out = set(names), dict[str, None]()
+    for name in names:
+        numbered = (f"{name}_{k}" for k in count(1))
+        free = name if name not in out else next(x for x in numbered if x not in taken)
+        taken.add(free)
+        out[free] = None
+    return list(out)
 
 
 def clean_names(names: list[str]) -> list[str]:

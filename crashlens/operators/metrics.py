@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from crashlens import constants as K
 from crashlens.functions.features import classify_with_thresholds
+from crashlens.session import stage_table
 
 
 def prob_array(cols: list[str]):
@@ -58,7 +59,6 @@ def class_report(scored: DataFrame, classes: list[str] = K.CLASSES, label_col: s
         F.when(tp + fn > 0, tp / (tp + fn)).otherwise(0.0).alias("recall"),
         F.when(2 * tp + fp + fn > 0, 2 * tp / (2 * tp + fp + fn)).otherwise(0.0).alias("f1"),
         F.col("support").cast("long").alias("support"), "tp", "total")
-    w = Window.partitionBy()
     macro = per.agg(F.lit("macro avg").alias("class"), F.avg("precision").alias("precision"),
                     F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
                     F.sum("support").alias("support"))
@@ -71,7 +71,6 @@ def class_report(scored: DataFrame, classes: list[str] = K.CLASSES, label_col: s
     acc = per.agg(F.lit("accuracy").alias("class"), *[
         (F.sum("tp") / F.first("total")).alias(c) for c in ("precision", "recall", "f1")],
         F.first("total").alias("support"))
-    del w
     base = per.select("class", "precision", "recall", "f1", "support")
     return base.unionByName(macro).unionByName(weighted).unionByName(acc)
 
@@ -151,42 +150,50 @@ def argmax_class(prob_cols: list[str], classes: list[str] = K.CLASSES):
 
 # ------------------------------------------------------------------ binary
 
-def prefix_sum(df: DataFrame, order_col: str, value_cols: list[str], partitions: int = 64) -> DataFrame:
+def prefix_sum(df: DataFrame, order_col: str, value_cols: list[str],
+               bucket_rows: int = 250_000) -> DataFrame:
     """Running totals of ``value_cols`` in ``order_col`` order, strictly
     before each row (exclusive), computed without a single-task window.
 
-    Rows are range-partitioned by ``order_col``; each partition runs its own
-    cumulative sum, and a table of per-partition totals (``partitions`` rows)
-    gives the offsets, joined back by broadcast.
+    Bounds of buckets of about ``bucket_rows`` rows are read once and become
+    literals, so the rows and the per-bucket totals use the same buckets, in
+    every run and on every retry. ``df`` is read three times: pass a written
+    table.
     """
-    parted = (df.repartitionByRange(partitions, order_col)
-              .withColumn("_pid", F.spark_partition_id()))
-    w = Window.partitionBy("_pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    local = parted
-    for c in value_cols:
-        local = local.withColumn(f"_loc_{c}", F.coalesce(F.sum(c).over(w), F.lit(0)))
-    totals = parted.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
-    wo = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select("_pid", *[F.coalesce(F.sum(f"_tot_{c}").over(wo), F.lit(0))
-                                    .alias(f"_off_{c}") for c in value_cols])
-    out = local.join(F.broadcast(offs), "_pid")
-    for c in value_cols:
-        out = out.withColumn(f"before_{c}", F.col(f"_loc_{c}") + F.col(f"_off_{c}"))
-    return out.drop("_pid", *[f"_loc_{c}" for c in value_cols], *[f"_off_{c}" for c in value_cols])
+    n = max(1, -(-df.count() // bucket_rows))
+    found = df.agg(F.percentile_approx(order_col, [k / n for k in range(1, n)], 100_000)).first()[0] \
+        if n > 1 else None
+    bounds = sorted(set(found or []))
+    bucket = F.lit(0)
+    if bounds:
+        array = F.array(*[F.lit(b) for b in bounds])
+        bucket = F.coalesce(F.size(F.filter(array, lambda b: b <= F.col(order_col))), F.lit(0))
+    placed = df.withColumn("_bucket", bucket)
+    within = Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row a bucket
+    totals = placed.groupBy("_bucket").agg(*[F.sum(c).alias(f"_sum_{c}") for c in value_cols]) \
+        .select("_bucket", *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_off_{c}")
+                             for c in value_cols])
+    out = placed.withColumns({f"_in_{c}": F.coalesce(F.sum(c).over(within), F.lit(0)) for c in value_cols}) \
+        .join(F.broadcast(totals), "_bucket")
+    return out.select(*df.columns, *[(F.col(f"_in_{c}") + F.col(f"_off_{c}")).alias(f"before_{c}")
+                                     for c in value_cols])
 
 
 def roc_auc(scored: DataFrame, score_col: str, label_col: str) -> DataFrame:
     """Exact ROC AUC with tied scores counted half (rank formula), one row.
 
     Grouped by distinct score first, then a distributed prefix sum of the
-    negatives below each score.
+    negatives below each score. Products of counts are taken in double.
     """
-    by_score = (scored.groupBy(F.col(score_col).cast("double").alias("s"))
-                .agg(F.sum((F.col(label_col) == 1).cast("long")).alias("pos"),
-                     F.sum((F.col(label_col) != 1).cast("long")).alias("neg")))
+    by_score = stage_table(scored.groupBy(F.col(score_col).cast("double").alias("s"))
+                           .agg(F.sum((F.col(label_col) == 1).cast("long")).alias("pos"),
+                                F.sum((F.col(label_col) != 1).cast("long")).alias("neg")), "auc-scores")
     ps = prefix_sum(by_score, "s", ["neg"])
-    return ps.agg(((F.sum(F.col("pos") * (F.col("before_neg") + F.col("neg") * 0.5)))
-                   / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
+    # twice the sum stays an integer: the result does not depend on the order of rows
+    twice = F.col("pos").cast("decimal(38,0)") * (2 * F.col("before_neg") + F.col("neg"))
+    return ps.agg((F.sum(twice).cast("double") / 2.0
+                   / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("roc_auc"))
 
 
 def binary_metrics(scored: DataFrame, label_col: str = "label", pred_col: str = "prediction",
@@ -219,10 +226,6 @@ def rank_models(results: DataFrame, metric: str = "macro_f1", name_col: str = "n
     return results.withColumn("rank", F.row_number().over(w))
 
 
-def best_model(results: DataFrame, metric: str = "macro_f1", name_col: str = "name") -> DataFrame:
-    return results.orderBy(F.col(metric).desc(), F.col(name_col).asc()).limit(1)
-
-
 def deploy_decision(default_f1, tuned_f1, baseline: float = K.V3_MACRO_F1):
     """``max(default, tuned) > baseline`` as a boolean column."""
     return F.greatest(default_f1, tuned_f1) > F.lit(baseline)

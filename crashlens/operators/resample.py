@@ -1,28 +1,33 @@
-"""SMOTE oversampling on the training rows (G2), on an exact distributed kNN.
+"""SMOTE oversampling on the training rows (G2), on a distributed kNN.
 
 k nearest neighbours within each class (Euclidean, self excluded, ties by
-id) without an all-pairs product:
+id):
 
-1. Pivots: per class the first ``P_c`` rows in hash order (a bounded top-k,
-   ``P_c`` grows with the class size), collected once (P_c x dim floats).
-2. Every row is assigned to its nearest pivot (its cell) in a vectorised
-   ``mapInPandas`` pass, keeping its distances to all pivots of its class.
+1. Pivots: per class the first ``sqrt(n) / 4`` rows in hash order, so the
+   number of cells and their size both grow with the square root of the class.
+2. Every row is assigned to its nearest pivot (its cell), a batch at a time.
 3. Cells are cut into hash blocks of at most ``block`` rows. Round one is a
    block-nested-loop join inside each cell: queries and targets meet per
    (cell, target block, query block) in a cogrouped ``applyInPandas`` that
    keeps only each query's k best (numpy, bounded block x block).
 4. Round two: a row only needs another cell j if the hyperplane bound
    ``(d(x, p_j) - d(x, p_own)) / 2`` does not exceed its current k-th
-   distance; it is sent to those cells alone, and the candidates merge.
+   distance; it is sent to those cells alone, and the candidates merge. Query
+   blocks are counted from the rows that visit a cell, so a small cell that a
+   whole class visits is many tasks.
 
-The result is exact: every row outside the visited cells is provably farther
-than the k found.
+With ``probe=None`` the result is exact: every row outside the visited cells
+is provably farther than the k found. In many dimensions that bound excludes
+little, and work tends to n^2; ``probe=c`` visits at most the c nearest cells
+of each row, which bounds the work by n * c * cell and is what
+:func:`smote` uses (neighbours may then be missed beyond the c-th cell).
 
 Synthetic rows: class c needs ``m = n_max - n_c`` rows. Every row of c
 yields ``m div n_c`` samples, and exactly ``m mod n_c`` rows (first in hash
 order, chosen without ranking the class in one task) one more. Sample ``j``
 of row ``x`` picks neighbour ``hash(x, j) mod k`` and gap ``u`` in [0, 1)
-from a second hash: ``x + u (nn - x)`` -- deterministic for a seed.
+from a second hash (32 bits of md5, which any SQL engine has):
+``x + u (nn - x)``, deterministic for a seed.
 """
 
 from __future__ import annotations
@@ -37,7 +42,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crashlens.operators.split import first_per_class, split_hash
+from crashlens.operators.split import first_per_class, hash32, split_hash
+from crashlens.session import stage_table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -47,44 +53,66 @@ CAND = T.StructType([T.StructField("qid", T.LongType()), T.StructField("cid", T.
 
 def _local_topk(k: int):
     def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or t.empty:
-            return pd.DataFrame({"qid": [], "cid": [], "dist": []})
-        Q = np.stack(q["vec"].to_numpy()).astype(np.float64)
-        X = np.stack(t["vec"].to_numpy()).astype(np.float64)
-        qid = q["id"].to_numpy()
-        tid = t["id"].to_numpy()
-        out_q, out_c, out_d = [], [], []
-        for s in range(0, len(Q), 256):                       # bounded memory per chunk
-            diff = Q[s:s + 256, None, :] - X[None, :, :]
-            d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-            d[qid[s:s + 256, None] == tid[None, :]] = np.inf  # self is not a neighbour
-            for i in range(d.shape[0]):
-                row = d[i]
-                ok = np.isfinite(row)
-                if not ok.any():
-                    continue
-                idx = np.nonzero(ok)[0]
-                order = np.lexsort((tid[idx], row[idx]))[:k]
-                sel = idx[order]
-                out_q += [qid[s + i]] * len(sel)
-                out_c += tid[sel].tolist()
-                out_d += row[sel].tolist()
-        return pd.DataFrame({"qid": np.asarray(out_q, dtype=np.int64),
-                             "cid": np.asarray(out_c, dtype=np.int64),
-                             "dist": np.asarray(out_d, dtype=np.float64)})
+        out = []
+        if len(q) and len(t):
+            Q, X = (np.stack(p["vec"].to_numpy()).astype(np.float64) for p in (q, t))
+            qid, tid = q["id"].to_numpy(), t["id"].to_numpy()
+            for s in range(0, len(Q), 128):  # bounded memory per chunk
+                diff = Q[s:s + 128, None, :] - X[None, :, :]
+                d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+                d[qid[s:s + 128, None] == tid[None, :]] = np.inf  # self is not a neighbour
+                order = np.lexsort((np.broadcast_to(tid, d.shape), d), axis=1)[:, :k]
+                best = np.take_along_axis(d, order, 1)
+                i, j = np.nonzero(np.isfinite(best))
+                out.append(pd.DataFrame({"qid": qid[s + i], "cid": tid[order[i, j]], "dist": best[i, j]}))
+        return pd.concat(out) if out else pd.DataFrame({"qid": [], "cid": [], "dist": []})
     return fn
 
 
+def _pivot_distances(pdf: pd.DataFrame, pivots: dict):
+    """(rows, distances to the class's pivots, their error bound) per class of a
+    batch, in pieces of bounded size."""
+    for label, rows in pdf.groupby("label").indices.items():
+        P = pivots[label]
+        for s in range(0, len(rows), 512):
+            part = rows[s:s + 512]
+            V = np.stack(pdf["vec"].to_numpy()[part]).astype(np.float64)
+            sv, sp = (V * V).sum(1), (P * P).sum(1)
+            d = np.sqrt(np.maximum(sv[:, None] + sp[None, :] - 2 * V @ P.T, 0))
+            error = np.sqrt(64 * np.finfo(float).eps * (sv + sp.max()))
+            yield part, d, error
+
+
 def _assign(pivots: dict):
     def fn(it):
         for pdf in it:
-            cells, pds = [], []
-            for lab, v in zip(pdf["label"], pdf["vec"]):
-                P = pivots[lab]
-                d = np.sqrt(((P - np.asarray(v, dtype=np.float64)) ** 2).sum(axis=1))
-                cells.append(int(np.argmin(d)))
-                pds.append(d.tolist())
-            yield pdf.assign(cell=cells, pd=pds)
+            cell = np.zeros(len(pdf), np.int32)
+            for rows, d, _ in _pivot_distances(pdf, pivots):
+                cell[rows] = d.argmin(1)
+            yield pdf.assign(cell=cell)
+    return fn
+
+
+def _visits(pivots: dict, probe: int | None):
+    """Rows with every other cell that may hold a nearer row than their k-th."""
+    def fn(it):
+        for pdf in it:
+            own, reach = pdf["cell"].to_numpy(), pdf["rk"].to_numpy()
+            at, to = [], []
+            for rows, d, error in _pivot_distances(pdf, pivots):
+                gap = (d - np.take_along_axis(d, own[rows][:, None], 1)) / 2
+                may = gap - error[:, None] <= reach[rows][:, None] * (1 + 1e-9)
+                may[np.arange(len(rows)), own[rows]] = False
+                if probe is not None and d.shape[1] > probe:
+                    far = np.argpartition(d, probe - 1, axis=1)[:, probe:]
+                    np.put_along_axis(may, far, False, 1)
+                i, j = np.nonzero(may)
+                at.append(rows[i])
+                to.append(j)
+            pick = np.concatenate(at) if at else np.zeros(0, np.int64)
+            out = pdf[["id", "label", "vec"]].iloc[pick].copy()
+            out["cell"] = np.concatenate(to).astype(np.int32) if to else np.zeros(0, np.int32)
+            yield out
     return fn
 
 
@@ -93,61 +121,51 @@ def _merge(cands: DataFrame, k: int) -> DataFrame:
     return cands.groupBy("qid").agg(best.alias("nn"))
 
 
-def knn_within_class(df: DataFrame, k: int = 5, block: int = 1024, max_pivots: int = 256,
-                     seed: int = 42) -> DataFrame:
+def knn_within_class(df: DataFrame, k: int = 5, block: int = 1024, seed: int = 42,
+                     probe: int | None = None) -> DataFrame:
     """``df``: (id long, label string, vec array<double>). Returns (id, label,
     nn_ids, nn_dists): the k nearest other rows of the same label, nearest
-    first, ties by id."""
-    spark = df.sparkSession
+    first, ties by id; exact unless ``probe`` limits the cells of a row."""
     base = df.select(F.col("id").cast("long"), F.col("label").cast("string"),
                      F.col("vec").cast("array<double>"))
     sizes = {r["label"]: r["n"] for r in base.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    npiv = {c: max(1, min(max_pivots, math.ceil(n / (4 * block)))) for c, n in sizes.items()}
     pivots = {}
     hashed = base.withColumn("_h", split_hash("id", seed))
-    for c, p in npiv.items():   # per class a bounded top-p: p rows reach the driver
-        rows = hashed.where(F.col("label") == c).orderBy("_h", "id").limit(p).collect()
+    for c, n in sizes.items():  # per class a top-p of sqrt(n) / 4 rows reaches the driver
+        rows = hashed.where(F.col("label") == c).orderBy("_h", "id").limit(math.ceil(math.sqrt(n) / 4)).collect()
         pivots[c] = np.array([r["vec"] for r in rows], dtype=np.float64)
-    schema = T.StructType(base.schema.fields + [T.StructField("cell", T.IntegerType()),
-                                                T.StructField("pd", T.ArrayType(T.DoubleType()))])
-    assigned = base.mapInPandas(_assign(pivots), schema)
-    from crashlens.session import stage_table
-    assigned = stage_table(assigned, "knn-assigned")
-
-    counts = (assigned.groupBy("label", "cell").agg(F.count(F.lit(1)).alias("n"))
-              .select("label", "cell", F.ceil(F.col("n") / F.lit(block)).cast("int").alias("nb")))
-    # one row per (class, cell): bounded by classes x max_pivots
-    a = assigned.join(F.broadcast(counts), ["label", "cell"])
-    # fresh aliases: both cogroup sides derive from the same table
-    fresh = [F.col(c).alias(c) for c in ("label", "cell")]
-    targets = a.select(*fresh, F.pmod(F.xxhash64("id"), F.col("nb")).cast("int").alias("tb"),
-                       F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("qb"),
-                       F.col("id").alias("id"), F.col("vec").alias("vec"))
-    q1 = a.select(*fresh, F.pmod(F.xxhash64("id", F.lit(17)), F.col("nb")).cast("int").alias("qb"),
-                  F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("tb"),
-                  F.col("id").alias("id"), F.col("vec").alias("vec"))
-    keys = ["label", "cell", "tb", "qb"]
-    topk = _local_topk(k)
-    r1 = q1.groupBy(*keys).cogroup(targets.groupBy(*keys)).applyInPandas(topk, CAND)
+    schema = T.StructType(base.schema.fields + [T.StructField("cell", T.IntegerType())])
+    assigned = stage_table(base.mapInPandas(_assign(pivots), schema), "knn-assigned")
+
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        # one row per (class, cell): bounded by the pivots
+        return rows.groupBy(F.col("label").alias("label"), F.col("cell").alias("cell")).agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias(name))
+
+    def laid(rows: DataFrame, own: str, other: str, salt: int) -> DataFrame:
+        """Rows in their block of the cell, once for each block of the other side."""
+        return rows.select(F.col("label").alias("label"), F.col("cell").alias("cell"),
+                           F.pmod(F.xxhash64("id", F.lit(salt)), F.col(own)).cast("int").alias(own[:2]),
+                           F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other[:2]),
+                           F.col("id").alias("id"), F.col("vec").alias("vec"))
+
+    on, keys, topk = ["label", "cell"], ["label", "cell", "tb", "qb"], _local_topk(k)
+    held = assigned.join(F.broadcast(blocks(assigned, "tbs")), on)
+    own = held.withColumn("qbs", F.col("tbs"))
+    r1 = laid(own, "qbs", "tbs", 17).groupBy(*keys).cogroup(
+        laid(own, "tbs", "qbs", 0).groupBy(*keys)).applyInPandas(topk, CAND)
     m1 = stage_table(_merge(r1, k), "knn-round1")
 
     # round two: cells the hyperplane bound cannot exclude
     rk = F.when(F.size("nn") >= k, F.element_at("nn", k)["dist"]).otherwise(F.lit(float("inf")))
-    mine = assigned.select(*[F.col(c).alias(c) for c in assigned.columns])
-    need = (mine.join(m1.withColumnRenamed("qid", "id"), "id", "left")
-            .withColumn("rk", F.coalesce(rk, F.lit(float("inf"))))
-            .select("id", "label", "vec", F.explode(F.filter(
-                F.sequence(F.lit(0), F.size("pd") - 1),
-                lambda j: (j != F.col("cell"))
-                & ((F.element_at("pd", j + 1) - F.element_at("pd", F.col("cell") + 1)) / 2
-                   <= F.col("rk") * F.lit(1 + 1e-9) + F.lit(1e-12)))).alias("cell")))
-    counts2 = counts.select(*[F.col(c).alias(c) for c in counts.columns])
-    q2 = (need.join(F.broadcast(counts2), ["label", "cell"])
-          .select(F.col("label").alias("label"), F.col("cell").alias("cell"),
-                  F.pmod(F.xxhash64("id", F.lit(17)), F.col("nb")).cast("int").alias("qb"),
-                  F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("tb"),
-                  F.col("id").alias("id"), F.col("vec").alias("vec")))
-    r2 = q2.groupBy(*keys).cogroup(targets.groupBy(*keys)).applyInPandas(topk, CAND)
+    reach = assigned.join(m1.select(F.col("qid").alias("_qid"), rk.alias("rk")),
+                          F.col("id") == F.col("_qid"), "left") \
+        .select("id", "label", "vec", "cell", F.coalesce("rk", F.lit(float("inf"))).alias("rk"))
+    need = stage_table(reach.mapInPandas(_visits(pivots, probe), schema), "knn-visits")
+    visitors = blocks(need, "qbs")
+    q2 = laid(need.join(F.broadcast(visitors), on).join(F.broadcast(blocks(assigned, "tbs")), on), "qbs", "tbs", 17)
+    t2 = laid(held.join(F.broadcast(visitors), on), "tbs", "qbs", 0)
+    r2 = q2.groupBy(*keys).cogroup(t2.groupBy(*keys)).applyInPandas(topk, CAND)
     first = m1.select("qid", F.explode("nn").alias("c")).select("qid", "c.cid", "c.dist")
     final = _merge(first.unionByName(r2), k)
     out = base.select("id", "label").join(final.withColumnRenamed("qid", "id"), "id", "left")
@@ -156,9 +174,12 @@ def knn_within_class(df: DataFrame, k: int = 5, block: int = 1024, max_pivots: i
                       F.transform(F.coalesce("nn", F.array()), lambda s: s["dist"]).alias("nn_dists"))
 
 
-def smote(df: DataFrame, k: int = 5, seed: int = 42, **knn) -> DataFrame:
+def smote(df: DataFrame, k: int = 5, seed: int = 42, probe: int | None = 8, **knn) -> DataFrame:
     """Oversample every class up to the largest one (train rows only).
 
+    Neighbours come from each row's cell and the ``probe`` nearest cells
+    (None: exact).
+
     ``df``: (id, label, vec). Returns the input rows plus synthetic rows with
     ``source_id`` / ``sample_no`` and ``is_synthetic``.
     """
@@ -172,7 +193,7 @@ def smote(df: DataFrame, k: int = 5, seed: int = 42, **knn) -> DataFrame:
     if not need:
         return orig
     minority = base.where(F.col("label").isin(*need))
-    nn = knn_within_class(minority, k=k, seed=seed, **knn)
+    nn = knn_within_class(minority, k=k, seed=seed, probe=probe, **knn)
 
     def by_class(vals: dict):
         e = None
@@ -187,8 +208,11 @@ def smote(df: DataFrame, k: int = 5, seed: int = 42, **knn) -> DataFrame:
            .where((F.col("q") > 0) & (F.size("nn_ids") > 0)))
     samples = per.select("id", "label", "vec", "nn_ids",
                          F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("sample_no"))
-    pick = F.pmod(F.xxhash64("id", "sample_no", F.lit(seed)), F.size("nn_ids")).cast("int")
-    gap = F.pmod(F.xxhash64("id", "sample_no", F.lit(seed + 7)), F.lit(1 << 31)).cast("double") / float(1 << 31)
+    def drawn(salt: int):
+        return hash32(F.concat_ws(":", F.col("id").cast("string"), F.col("sample_no").cast("string"),
+                                  F.lit(str(salt))))
+    pick = F.pmod(drawn(seed), F.size("nn_ids")).cast("int")
+    gap = drawn(seed + 7) / F.lit(float(1 << 32))
     samples = samples.select("id", "label", "vec", "sample_no",
                              F.get("nn_ids", pick).alias("nn_id"), gap.alias("u"))
     nbr = base.select(F.col("id").alias("nn_id"), F.col("vec").alias("nn_vec"))

@@ -138,7 +138,7 @@ def auto_cells_per_radius(hist_locs: DataFrame, radius_m: float = K.RADIUS_1KM)
     if not row or not row["s1"]:
         return 2
     k = math.pi * row["s2"] / row["s1"]
-    return int(min(32, max(2, round((0.02 * k) ** (1.0 / 3.0)))))
+    return max(2, round((0.02 * k) ** (1.0 / 3.0)))
 
 
 def location_features(query_locs: DataFrame, hist_locs: DataFrame,

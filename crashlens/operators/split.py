@@ -2,11 +2,12 @@
 
 Split rule (deterministic, exact per class, no global sort):
 
-    h(id)   = ((pmod(id, P) * 7919) + seed) mod P,  P = 1000003
+    h(id)   = first 32 bits of md5(id || ':' || seed)
     rank    = position of the row inside its class ordered by (h, id)
     test    = rank <= ceil(n_class * test_pct / 100)
 
-``h`` is plain integer arithmetic, so any SQL engine reproduces the split.
+The digest mixes id and seed, so seeds give independent splits, and any SQL
+engine reproduces it.
 Spark computes it without a per-class window (a class may hold most rows):
 rows are counted per (class, h-bucket) -- a table of at most
 ``classes x BUCKETS`` rows -- whose running totals decide whole buckets at
@@ -16,16 +17,20 @@ by row, and it holds about n_class / BUCKETS rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-P = 1_000_003
-MULT = 7919
+RANGE = 1 << 32
 BUCKETS = 65_536
 
 
 def split_hash(id_col: str = "crash_id", seed: int = 42):
-    return F.pmod(F.pmod(F.col(id_col), F.lit(P)) * F.lit(MULT) + F.lit(seed), F.lit(P))
+    return hash32(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
+
+
+def hash32(text: Column) -> Column:
+    """First 32 bits of a text's md5 as a non-negative long."""
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
 def stratified_split(df: DataFrame, label_col: str = "severity_class", id_col: str = "crash_id",
@@ -41,7 +46,7 @@ def first_per_class(df: DataFrame, label_col: str, id_col: str, quota, seed: int
     order. ``quota`` is a column expression that may use ``_ncls`` (the class
     size) and the label column."""
     rows = (df.withColumn("_h", split_hash(id_col, seed))
-              .withColumn("_b", (F.col("_h") * F.lit(BUCKETS) / F.lit(P)).cast("int")))
+              .withColumn("_b", F.floor(F.col("_h") / F.lit(RANGE // BUCKETS)).cast("int")))
     counts = rows.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     w_cls = Window.partitionBy(label_col)
     w_cum = w_cls.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -3,7 +3,7 @@
 Spark ML replaces the single-machine estimators:
 
 * logistic regression, 1000 iterations, class-weighted (G3)
-* random forest, 200 trees, class-weighted (G4)
+* random forest, 200 trees of Spark's default depth 5, class-weighted (G4)
 * gradient boosting, multiclass: ``OneVsRest(GBTClassifier)`` with balanced
   or manual weights (G5). Spark's GBT is binary; each class model's margin
   ``m`` gives ``sigmoid(2m)``, and the three are normalised to sum to 1 --
@@ -18,7 +18,6 @@ Training data is the staged feature matrix, so iterations re-read Parquet.
 from __future__ import annotations
 
 import json
-import os
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
@@ -31,6 +30,8 @@ from pyspark.sql import functions as F
 from crashlens import constants as K
 from crashlens.operators import metrics as M
 from crashlens.operators import split
+from crashlens.session import stage_table
+from crashlens.sources.sinks import path_exists
 
 PROB_COLS = ["p_high", "p_low", "p_medium"]
 
@@ -155,12 +156,13 @@ def load_bundle(path: str) -> tuple[PipelineModel, dict]:
 def resolve_bundle(root: str, versions: tuple[str, ...] = ("v4", "v3", "v2")) -> str:
     """First existing version folder under ``root`` (A6), newest first.
 
-    Works on local paths; on a cluster file system pass the version
-    explicitly instead of probing.
+    Paths are looked up through the session's Hadoop file system, so local
+    folders and shared stores work alike.
     """
+    spark = SparkSession.getActiveSession()
     for v in versions:
-        if os.path.exists(os.path.join(root, v, "model")):
-            return os.path.join(root, v)
+        if path_exists(spark, f"{root}/{v}/model"):
+            return f"{root}/{v}"
     raise FileNotFoundError(f"no model bundle under {root}")
 
 
@@ -187,6 +189,11 @@ def train_v4(matrix, variants: dict | None = None, tune_on: str = "test",
     df, feats = matrix.df, matrix.features
     train = df.where(~F.col("is_test"))
     test = df.where(F.col("is_test"))
+    tune_rows = test
+    if tune_on == "validation":  # carved out first: no validation row is ever fitted on
+        parts = stage_table(split.stratified_split(train.select("crash_id", "severity_class", *feats), seed=7,
+                                                   out_col="is_val"), "train-validation")
+        train, tune_rows = parts.where(~F.col("is_val")), parts.where(F.col("is_val"))
     variants = variants or {"gbt_balanced": ("gbt_ovr", "balanced"),
                             "gbt_manual_weights": ("gbt_ovr", dict(K.MANUAL_CLASS_WEIGHTS))}
     models, results = {}, None
@@ -198,11 +205,6 @@ def train_v4(matrix, variants: dict | None = None, tune_on: str = "test",
     ranked = M.rank_models(results).cache()
     best_row = ranked.where(F.col("rank") == 1).first()
     best = models[best_row["name"]]
-    tune_rows = test
-    if tune_on == "validation":
-        val = split.stratified_split(train.select("crash_id", "severity_class", *feats), seed=7,
-                                     out_col="is_val")
-        tune_rows = val.where(F.col("is_val"))
     tuned = M.tune_thresholds(score(best, tune_rows).withColumnRenamed("severity_class", "label"),
                               PROB_COLS)
     thr = {r["class"]: r["threshold"] for r in tuned.collect()}

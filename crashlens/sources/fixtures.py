@@ -10,8 +10,7 @@ every route query grows with the data:
 * routes: a user's located events split by ``event_id % 3`` into routes
   (position in the payload = route index), points ordered by (ts, event_id),
   encoded as a polyline; distance, duration and traffic intervals by formula.
-  A route never holds more than ``MAX_ROUTE_POINTS`` points: larger groups
-  are split by a hash into more routes, so no array is unbounded.
+  The rule is the same at every size; a route holds the points of one user.
 * weather: one payload per request, conditions and fields by formula, with
   empty condition lists, missing optional fields and rejected rows.
 * reverse geocode: one payload per distinct route point.
@@ -25,7 +24,6 @@ from pyspark.sql import functions as F
 from crashlens.functions.polyline import encode_polyline
 from crashlens.sources.tables import CRASH_EXPRS, load_table
 
-MAX_ROUTE_POINTS = 1000
 _LATLON = [e for e in CRASH_EXPRS if e.endswith(" AS lat") or e.endswith(" AS lon")]
 WEATHER_CONDITIONS = ["Clear", "Clouds", "Rain", "Drizzle", "Snow", "Mist", "Thunderstorm", "Haze",
                       "Squall", "Volcano"]
@@ -34,19 +32,10 @@ WEATHER_CONDITIONS = ["Clear", "Clouds", "Rain", "Drizzle", "Snow", "Mist", "Thu
 def route_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(request_id, route_key, event_id, ts, lat, lng) for located events."""
     ev = load_table(spark, sf_dir, "events")
-    pts = (ev.selectExpr("event_id", "user_id", "ts", *_LATLON).where("lat IS NOT NULL")
-           .select(F.col("user_id").alias("request_id"),
-                   F.pmod(F.col("event_id"), F.lit(3)).cast("int").alias("key0"),
-                   "event_id", "ts", "lat", F.col("lon").alias("lng")))
-    sizes = (pts.groupBy("request_id", "key0").agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > MAX_ROUTE_POINTS)
-             .select("request_id", "key0",
-                     F.ceil(F.col("_n") / F.lit(MAX_ROUTE_POINTS)).cast("int").alias("_chunks")))
-    pts = pts.join(sizes, ["request_id", "key0"], "left")
-    chunk = F.when(F.col("_chunks").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64("event_id"), F.col("_chunks")).cast("int"))
-    return pts.select("request_id", (F.col("key0") + 3 * chunk).alias("route_key"),
-                      "event_id", "ts", "lat", "lng")
+    return (ev.selectExpr("event_id", "user_id", "ts", *_LATLON).where("lat IS NOT NULL")
+            .select(F.col("user_id").alias("request_id"),
+                    F.pmod(F.col("event_id"), F.lit(3)).cast("int").alias("route_key"),
+                    "event_id", "ts", "lat", F.col("lon").alias("lng")))
 
 
 def _legs(n, rid, rkey):
@@ -166,3 +155,36 @@ def geocode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.struct(F.when(zero, F.lit("ZERO_RESULTS")).otherwise(F.lit("OK")).alias("status"),
                        F.filter(F.array(result), lambda x: ~zero).alias("results"))
     return locs.select("lat", "lng", F.to_json(payload).alias("geocode_json"))
+
+
+def malformed_route_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One payload per user, most of them broken: a fractional or a wordy
+    duration, a polyline that stops inside a number, and text that is no JSON."""
+    users = load_table(spark, sf_dir, "events").select(F.col("user_id").alias("request_id")).distinct()
+    kind = F.pmod("request_id", F.lit(5))
+
+    def payload(duration: str, polyline: str):
+        return F.lit('{"routes":[{"duration":"60s","distanceMeters":900,"polyline":{"encodedPolyline":'
+                     '"_p~iF~ps|U_ulLnnqC"}},{"duration":"%s","distanceMeters":700,"polyline":'
+                     '{"encodedPolyline":"%s"}}]}' % (duration, polyline))
+
+    return users.select("request_id", F.when(kind == 0, payload("717.5s", "_p~iF~ps|U"))
+                        .when(kind == 1, payload("abc", "_p~iF~ps|U"))
+                        .when(kind == 2, payload("90s", "_p~iF~ps|U_ulLnnq"))
+                        .when(kind == 3, payload("90s", "_p~iF~ps|U"))
+                        .otherwise(F.lit("no json")).alias("route_json"))
+
+
+def forward_geocode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One forward-geocode payload per located event, some without a result."""
+    ev = load_table(spark, sf_dir, "events").selectExpr("event_id", *_LATLON).where("lat IS NOT NULL")
+    k = F.col("event_id")
+    result = F.struct(F.concat(k.cast("string"), F.lit(" Harbor Rd, Boston, MA")).alias("formatted_address"),
+                      F.concat(F.lit("place-"), k.cast("string")).alias("place_id"),
+                      F.struct(F.struct("lat", F.col("lon").alias("lng")).alias("location"),
+                               F.lit("ROOFTOP").alias("location_type")).alias("geometry"))
+    zero = F.pmod(k, F.lit(19)) == 0
+    payload = F.struct(F.when(zero, F.lit("ZERO_RESULTS")).otherwise(F.lit("OK")).alias("status"),
+                       F.filter(F.array(result), lambda x: ~zero).alias("results"))
+    return ev.select(F.concat(F.lit("Crash site "), k.cast("string")).alias("address"),
+                     F.to_json(payload).alias("geocode_json"))

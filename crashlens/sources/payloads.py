@@ -35,12 +35,12 @@ WEATHER_PAYLOAD = T.StructType([
         T.StructField("main", T.StringType()), T.StructField("description", T.StringType())]))),
     T.StructField("main", T.StructType([
         T.StructField("temp", T.DoubleType()), T.StructField("feels_like", T.DoubleType()),
-        T.StructField("humidity", T.LongType()), T.StructField("pressure", T.LongType())])),
-    T.StructField("visibility", T.LongType()),
+        T.StructField("humidity", T.DoubleType()), T.StructField("pressure", T.DoubleType())])),
+    T.StructField("visibility", T.DoubleType()),
     T.StructField("wind", T.StructType([
-        T.StructField("speed", T.DoubleType()), T.StructField("deg", T.LongType()),
+        T.StructField("speed", T.DoubleType()), T.StructField("deg", T.DoubleType()),
         T.StructField("gust", T.DoubleType())])),
-    T.StructField("clouds", T.StructType([T.StructField("all", T.LongType())])),
+    T.StructField("clouds", T.StructType([T.StructField("all", T.DoubleType())])),
     T.StructField("rain", T.StructType([T.StructField("1h", T.DoubleType())])),
     T.StructField("snow", T.StructType([T.StructField("1h", T.DoubleType())])),
 ])
@@ -67,7 +67,8 @@ def parse_routes(payloads: DataFrame, json_col: str = "route_json",
                  keys: tuple[str, ...] = ("request_id",)) -> DataFrame:
     """One row per route: position in the payload (0 = default route),
     duration seconds, metres, encoded polyline and the speed intervals of all
-    legs in order (missing start/end -> 0, missing speed -> NORMAL)."""
+    legs in order (missing start/end -> 0, missing speed -> NORMAL). Broken
+    routes are left to :func:`rejected_routes`."""
     parsed = payloads.select(*keys, F.from_json(F.col(json_col), ROUTES_PAYLOAD).alias("p"))
     routes = parsed.select(*keys, F.posexplode(F.coalesce(F.col("p.routes"), F.array()))
                            .alias("route_idx", "r"))
@@ -79,14 +80,41 @@ def parse_routes(payloads: DataFrame, json_col: str = "route_json",
         F.coalesce(iv["startPolylinePointIndex"], F.lit(0)).alias("start"),
         F.coalesce(iv["endPolylinePointIndex"], F.lit(0)).alias("end"),
         F.coalesce(iv["speed"], F.lit("NORMAL")).alias("speed")))
-    return routes.select(
+    seconds = FX.duration_seconds(F.col("r.duration"))
+    line = F.coalesce(F.col("r.polyline.encodedPolyline"), F.lit(""))
+    good = routes.where(_route_fault(seconds, line).isNull())
+    return good.select(
         *keys, F.col("route_idx").cast("int").alias("route_idx"),
-        FX.duration_seconds(F.col("r.duration")).alias("duration_seconds"),
+        seconds.alias("duration_seconds"),
         F.coalesce(F.col("r.distanceMeters"), F.lit(0)).alias("distance_meters"),
-        F.coalesce(F.col("r.polyline.encodedPolyline"), F.lit("")).alias("encoded_polyline"),
+        line.alias("encoded_polyline"),
         intervals.alias("intervals"))
 
 
+def _route_fault(seconds, line):
+    """Why a route cannot be used, or null. The polyline test is the format's:
+    characters from ? to ~, every number ended, numbers in pairs."""
+    ended = F.regexp_replace(line, r"[_-~]*[?-^]", "1")
+    sound = line.rlike(r"^(?:[_-~]{0,11}[?-^])*$") & (F.length(ended) % 2 == 0)
+    return F.when(seconds.isNull(), F.lit("malformed duration")) \
+            .when(~sound, F.lit("malformed polyline"))
+
+
+def rejected_routes(payloads: DataFrame, json_col: str = "route_json",
+                    keys: tuple[str, ...] = ("request_id",)) -> DataFrame:
+    """Payloads without a readable route list (route_idx null) and single
+    routes that cannot be used, each with its reason."""
+    parsed = payloads.select(*keys, F.from_json(F.col(json_col), ROUTES_PAYLOAD).alias("p"))
+    unread = parsed.where(F.col("p.routes").isNull()).select(
+        *keys, F.lit(None).cast("int").alias("route_idx"), F.lit("no route list").alias("reason"))
+    routes = parsed.select(*keys, F.posexplode("p.routes").alias("route_idx", "r"))
+    fault = _route_fault(FX.duration_seconds(F.col("r.duration")),
+                         F.coalesce(F.col("r.polyline.encodedPolyline"), F.lit("")))
+    broken = routes.select(*keys, F.col("route_idx").cast("int").alias("route_idx"), fault.alias("reason")) \
+        .where("reason is not null")
+    return unread.unionByName(broken)
+
+
 # ------------------------------------------------------------------ weather
 
 def parse_weather(payloads: DataFrame, json_col: str = "weather_json",
@@ -102,18 +130,19 @@ def parse_weather(payloads: DataFrame, json_col: str = "weather_json",
     first = F.get(F.col("w.weather"), 0)
     rain = F.coalesce(F.col("w.rain")["1h"], F.lit(0.0))
     snow = F.coalesce(F.col("w.snow")["1h"], F.lit(0.0))
-    vis = F.coalesce(F.col("w.visibility"), F.lit(0))
+    whole = lambda c: c.cast("long")  # noqa: E731  towards zero, as int() does
+    vis = whole(F.coalesce(F.col("w.visibility"), F.lit(0.0)))
     parsed = p.where(ok).select(
         *keys,
         F.coalesce(first["main"], F.lit("Unknown")).alias("condition"),
         F.coalesce(first["description"], F.lit("unknown")).alias("description"),
         m["temp"].alias("temperature_f"), m["feels_like"].alias("feels_like_f"),
-        m["humidity"].alias("humidity_pct"), m["pressure"].alias("pressure_hpa"),
+        whole(m["humidity"]).alias("humidity_pct"), whole(m["pressure"]).alias("pressure_hpa"),
         vis.alias("visibility_meters"),
         F.coalesce(F.col("w.wind.speed"), F.lit(0.0)).alias("wind_speed_mph"),
-        F.coalesce(F.col("w.wind.deg"), F.lit(0)).alias("wind_direction_deg"),
+        whole(F.coalesce(F.col("w.wind.deg"), F.lit(0.0))).alias("wind_direction_deg"),
         F.coalesce(F.col("w.wind.gust"), F.lit(0.0)).alias("wind_gust_mph"),
-        F.coalesce(F.col("w.clouds.all"), F.lit(0)).alias("clouds_pct"),
+        whole(F.coalesce(F.col("w.clouds.all"), F.lit(0.0))).alias("clouds_pct"),
         rain.alias("rain_1h_mm"), snow.alias("snow_1h_mm"),
         FX.is_precipitation(rain, snow).alias("is_precipitation"),
         FX.is_low_visibility(vis).alias("is_low_visibility"))

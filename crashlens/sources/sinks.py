@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     """Path test through the Hadoop file system of the session (works for
     local, HDFS and object-store paths alike)."""
     jvm = spark.sparkContext._jvm
@@ -21,7 +21,7 @@ def cached_table(spark: SparkSession, path: str, build: Callable[[], DataFrame],
     """Return the Parquet table at ``path``; build and write it first when it
     is missing or ``force_refresh`` is set (A2). The written files are the
     hand-off between jobs, so later stages never recompute ``build``."""
-    if force_refresh or not _exists(spark, path):
+    if force_refresh or not path_exists(spark, path):
         w = build().write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)

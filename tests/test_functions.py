@@ -46,6 +46,8 @@ def test_thresholds(spark, probs, expected):
 
 def test_names():
     assert clean_names(["a b", "a-b", "a_b", "x"]) == ["a_b", "a_b_1", "a_b_2", "x"]
+    assert clean_names(["a", "a", "a_1"]) == ["a", "a_2", "a_1"]
+    assert len(set(clean_names(["a", "a_1", "a", "a_2", "a", "a_1"]))) == 6
 
 
 def test_polyline_round_trip():

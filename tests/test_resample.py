@@ -22,7 +22,7 @@ def _data(seed=5):
 def test_knn_exact(spark):
     rows = _data()
     df = spark.createDataFrame(rows, "id long, label string, vec array<double>")
-    got = {r["id"]: list(r["nn_ids"]) for r in RS.knn_within_class(df, k=5, block=8, max_pivots=16).collect()}
+    got = {r["id"]: list(r["nn_ids"]) for r in RS.knn_within_class(df, k=5, block=8).collect()}
     for i, lab, v in rows:
         cand = [(float(np.sqrt(((np.array(v) - np.array(w)) ** 2).sum())), j) for j, l2, w in rows
                 if l2 == lab and j != i]

@@ -1,5 +1,8 @@
 """Exact stratified split and metric tables."""
 
+import hashlib
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -13,7 +16,7 @@ def test_split_exact_and_complete(spark):
     got = split.stratified_split(df).toPandas()
     assert len(got) == len(rows) and got.crash_id.is_unique
     pdf = pd.DataFrame(rows, columns=["crash_id", "severity_class"])
-    pdf["h"] = ((pdf.crash_id % 1000003) * 7919 + 42) % 1000003
+    pdf["h"] = [int(hashlib.md5(f"{i}:42".encode()).hexdigest()[:8], 16) for i in pdf.crash_id]
     pdf = pdf.sort_values(["severity_class", "h", "crash_id"])
     pdf["rk"] = pdf.groupby("severity_class").cumcount() + 1
     n = pdf.groupby("severity_class").crash_id.transform("count")
@@ -39,3 +42,23 @@ def test_auc_ties(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.9), (1, 0.5), (0, 0.1)], "y int, s double")
     auc = M.roc_auc(df, "s", "y").first()["roc_auc"]
     assert abs(auc - 0.625) < 1e-12  # pairs: tie 0.5 + 1 + 0 + 1 over 4
+
+
+def test_seeds_give_independent_splits(spark):
+    df = spark.range(20_000).select(F.col("id").alias("crash_id"), F.lit("Low").alias("severity_class"))
+    a, b = ({r["crash_id"] for r in split.stratified_split(df, seed=s).where("is_test").collect()} for s in (42, 43))
+    assert len(a) == len(b) == 4000 and 0.17 < len(a & b) / 4000 < 0.23
+
+
+def test_auc_many_distinct_scores(spark):
+    n = 600_000
+    df = spark.range(n).select(F.md5(F.col("id").cast("string")).alias("m")).select(
+        (F.conv(F.substring("m", 1, 10), 16, 10).cast("double") / 1e12).alias("s"),
+        (F.conv(F.substring("m", 11, 2), 16, 10).cast("int") < 100).cast("int").alias("y"))
+    pdf = df.toPandas()
+    rank = pdf.s.rank().to_numpy()
+    pos = pdf.y.to_numpy() == 1
+    want = (rank[pos].sum() - pos.sum() * (pos.sum() + 1) / 2) / (pos.sum() * (n - pos.sum()))
+    got = [M.roc_auc(df.repartition(k), "s", "y").first()["roc_auc"] for k in (5, 11)]
+    assert got[0] == got[1] and abs(got[0] - want) < 1e-12
+    assert np.isfinite(got[0])
