@@ -325,7 +325,8 @@ def q_features_v4_long(spark, sf):
 def q_weather_keep_columns(spark, sf):
     from crashlens.functions.names import sanitize_col
     from crashlens.operators import onehot
-    rows = PF._v2_rows(PF.spatial_enriched(crashes(spark, sf)))
+    # the spatial columns are never null, so the counts need no radius join
+    rows = PF._v2_rows(PF.labelled(crashes(spark, sf)))
     return (rows.groupBy(onehot.filled("weath_cond_descr").alias("wv"))
             .agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= 50)
             .select(sanitize_col(F.concat(F.lit("weath_cond_descr_"), F.col("wv"))).alias("feature"),

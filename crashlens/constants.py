@@ -56,13 +56,11 @@ THRESHOLD_GRID_STEP = 0.05
 THRESHOLD_GRID_SIZE = 17        # 0.10, 0.15, ..., 0.90
 DEFAULT_THRESHOLD = 0.5
 V3_MACRO_F1 = 0.3894            # deploy baseline: v4 must beat it
-V2_MACRO_F1 = 0.4025
 
 # --- Fixed values: routes ----------------------------------------------------
 METERS_PER_MILE = 1609.344
 MIN_ROUTE_MILES = 0.3
 MIN_ROUTE_MINUTES = 2.0
-DEFAULT_NUM_SEGMENTS = 12
 # base speed by route distance: < 2 mi -> 25, < 10 mi -> 35, else 55
 SPEED_TIERS = [(2.0, 25.0), (10.0, 35.0)]
 SPEED_FAR = 55.0
@@ -97,14 +95,7 @@ NEIGHBOURHOOD_TYPES = ["neighborhood", "sublocality_level_1", "sublocality"]
 # --- Fixed values: recommendation text ---------------------------------------
 REASON_SINGLE = "Only one route available — no comparison possible."
 REASON_DEFAULT_CLEAN = "Default route is already the safest: no elevated-risk hotspots detected."
-REASON_DEFAULT_HOTSPOTS = "Default route is the safest available with {n} hotspot(s) ({h} high-risk)."
-REASON_ALTERNATIVE = "{label} is safest: {risk}, {time}."
-RISK_FEWER_HIGH = "{d} fewer high-risk hotspot(s) vs default route"
-RISK_FEWER_TOTAL = "{d} fewer total hotspot(s) vs default route"
-RISK_LOWER_SCORE = "lower safety score ({a} vs {b})"
 TIME_SAME = "at the same travel time"
-TIME_COST = "at cost of {x} extra min"
-TIME_SAVING = "saving {x} min"
 LABEL_DEFAULT = "Default route"
 LABEL_ALTERNATIVE = "Alternative {i}"
 ROUTE_TOO_SHORT = "Route too short for meaningful prediction"

@@ -182,20 +182,6 @@ def format_fixed(x, decimals: int) -> Column:
 
 # ------------------------------------------------------------------ spatial
 
-def haversine_m(lat1, lon1, lat2, lon2, radius_m: float = K.EARTH_RADIUS_M) -> Column:
-    """Great-circle distance in metres: 2R asin(sqrt(hav))."""
-    p1, p2 = F.radians(_c(lat1)), F.radians(_c(lat2))
-    s1 = F.sin((p2 - p1) / 2)
-    s2 = F.sin((F.radians(_c(lon2)) - F.radians(_c(lon1))) / 2)
-    a = s1 * s1 + F.cos(p1) * F.cos(p2) * (s2 * s2)
-    return F.lit(2.0 * radius_m) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
-
-
-def angular_radius_deg(radius_m: float) -> float:
-    return math.degrees(radius_m / K.EARTH_RADIUS_M)
-
-
-# ------------------------------------------------------------------ routes
 
 def distance_speed_default(miles) -> Column:
     """Base speed by route distance: < 2 mi 25, < 10 mi 35, else 55."""

@@ -61,19 +61,3 @@ def medians(df: DataFrame, cols: list[str], approx: bool = False) -> dict[str, f
         return {}
     row = df.agg(*[median(df, c, approx).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
-
-
-def impute_median(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
-    """Fill nulls with the column median, or 0 when the median is undefined.
-
-    Only columns that have nulls need a median; one pass finds them, one more
-    computes the medians, and the fill is a projection.
-    """
-    if not cols:
-        return df
-    nulls = df.agg(*[F.sum(F.col(c).isNull().cast("int")).alias(c) for c in cols]).first()
-    need = [c for c in cols if (nulls[c] or 0) > 0]
-    meds = medians(df, need, approx)
-    fills = {c: F.coalesce(F.col(c), F.lit(meds[c] if meds[c] is not None else 0))
-             for c in need}
-    return df.withColumns(fills) if fills else df

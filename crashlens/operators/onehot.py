@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crashlens import constants as K
-from crashlens.functions.names import sanitize
 
 
 def filled(col: str, fill: str = K.UNKNOWN_CATEGORY):
@@ -26,12 +25,6 @@ def category_counts(df: DataFrame, col: str, fill: str = K.UNKNOWN_CATEGORY) ->
     return sorted(((r["v"], r["n"]) for r in rows), key=lambda t: t[0])
 
 
-def kept_categories(df: DataFrame, col: str, min_rows: int = 0,
-                    fill: str = K.UNKNOWN_CATEGORY) -> list[str]:
-    """Categories with at least ``min_rows`` rows (D6), in value order."""
-    return [v for v, n in category_counts(df, col, fill) if n >= min_rows]
-
-
 def one_hot_columns(col: str, values: list[str], prefix: str | None = None,
                     fill: str = K.UNKNOWN_CATEGORY) -> list:
     """0/1 columns named ``<prefix>_<value>`` (raw names; sanitize later)."""
@@ -40,21 +33,6 @@ def one_hot_columns(col: str, values: list[str], prefix: str | None = None,
     return [F.when(src == F.lit(v), 1).otherwise(0).alias(f"{prefix}_{v}") for v in values]
 
 
-def one_hot(df: DataFrame, col: str, values: list[str] | None = None, prefix: str | None = None,
-            fill: str = K.UNKNOWN_CATEGORY, keep: list[str] | None = None) -> DataFrame:
-    """Append one-hot columns for ``col`` (all categories unless ``values``)."""
-    if values is None:
-        values = [v for v, _ in category_counts(df, col, fill)]
-    base = [F.col(c) for c in (keep if keep is not None else df.columns)]
-    return df.select(*base, *one_hot_columns(col, values, prefix, fill))
-
-
-def weather_keep_columns(df: DataFrame, col: str = "weath_cond_descr",
-                         min_sum: int = K.WEATHER_MIN_SUM) -> list[str]:
-    """Sanitized one-hot names of weather values with at least ``min_sum`` rows."""
-    return [sanitize(f"{col}_{v}") for v in kept_categories(df, col, min_sum)]
-
-
 def profile(df: DataFrame, cats: list[str], numeric: list[str] | None = None,
             fill: str = K.UNKNOWN_CATEGORY) -> tuple[dict[str, list[str]], list[str]]:
     """One pass: the distinct values of every categorical column (sorted) and

@@ -65,6 +65,10 @@ def test_binary_model(spark, matrix):
 
 def test_stream_equals_batch(spark):
     from __spark_entry__ import queries
-    streamed = queries()["stream_route_scoring"](spark, SF_SMALL)
-    assert streamed.count() > 0
-    assert streamed.select("request_id").distinct().count() == streamed.count()
+    from crashlens import catalog
+    streamed = {r["request_id"]: r for r in queries()["stream_route_scoring"](spark, SF_SMALL)
+                .drop("batch_id").collect()}
+    _, rec = catalog.route_risk_job(spark, SF_SMALL)
+    batch = {r["request_id"]: r for r in rec.collect()}
+    assert streamed and set(streamed) == set(batch)
+    assert all(streamed[k].asDict() == batch[k].asDict() for k in batch)
