@@ -32,14 +32,18 @@ def test_enriched_partitioned_and_schema_reads(spark):
     c = crashes(spark, SF_SMALL)
     sinks.write_enriched(c, out)
     assert any(d.startswith("year=") for d in os.listdir(out))
-    back = read_crashes(spark, out)
-    assert back.where(F.col("year") == 2020).count() == c.where(F.col("year") == 2020).count()
+    def same(back):  # every value comes back, in both directions
+        names = [x for x in c.columns if x in back.columns]
+        a, b = c.select(*names), back.select(*names)
+        return len(names) > 10 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    assert same(read_crashes(spark, out))
     js = os.path.join(tempfile.mkdtemp(prefix="crashlens-json-"), "j")
     c.write.json(js)
-    assert read_crashes(spark, js, "json").count() == c.count()
+    assert same(read_crashes(spark, js, "json"))
     csv = os.path.join(tempfile.mkdtemp(prefix="crashlens-csv-"), "c")
     c.write.option("header", "true").csv(csv)
-    assert read_crashes(spark, csv, "csv").count() == c.count()
+    assert same(read_crashes(spark, csv, "csv"))
 
 
 def test_align_columns(spark):
