@@ -248,8 +248,13 @@ def similarity_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     keys = texts.select("id", F.explode("bands").alias("key"))
     meet = keys.groupBy("key").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
     tied = keys.join(meet.select("key", "low"), "key").where("id <> low") \
-        .select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
-    groups = connected_components(stage_table(tied, "join-ties"))
+        .groupBy("id").agg(F.collect_set("low").alias("lows"))  # at most BANDS of them
+    # a text and all its ties go to the smallest tie; similar texts have the
+    # same ties, so few distinct edges are left of a large group
+    tied = stage_table(tied.withColumn("least", F.array_min("lows")), "join-ties")
+    edges = tied.select(F.explode("lows").alias("a"), F.col("least").alias("b")).where("a <> b").distinct() \
+        .union(tied.select(F.col("id").alias("a"), F.col("least").alias("b")))
+    groups = connected_components(edges)
     sizes = groups.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     members = stage_table(
         groups.join(sizes, "label").join(texts.select("id", "digest", "copies", "first"), "id")
