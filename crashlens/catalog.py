@@ -1046,7 +1046,7 @@ def q_smote_rows_embeddings(spark, sf):
     f"SELECT cls AS label, max(n) OVER () AS rows, max(n) OVER () - n AS synthetic FROM "
     f"(SELECT {EMB_CLASS} AS cls, count(*) AS n FROM embeddings GROUP BY 1) t"))
 def q_smote_counts_embeddings(spark, sf):
-    return _smote_counts(RS.smote(_embedding_classes(spark, sf), k=5, block=64))
+    return _smote_counts(RS.smote(_embedding_classes(spark, sf), k=5, block=64, probe=None))
 
 
 @register("smote_counts_v4_train", with_crashes(
@@ -1057,4 +1057,4 @@ def q_smote_counts_v4_train(spark, sf):
     train = fm.df.where(~F.col("is_test")).select(
         F.col("crash_id").alias("id"), F.col("severity_class").alias("label"),
         F.array(*[F.col(f) for f in fm.features]).alias("vec"))
-    return _smote_counts(RS.smote(train, k=5))
+    return _smote_counts(RS.smote(train, k=5, probe=None))

@@ -19,8 +19,8 @@ id):
 With ``probe=None`` the result is exact: every row outside the visited cells
 is provably farther than the k found. In many dimensions that bound excludes
 little, and work tends to n^2; ``probe=c`` visits at most the c nearest cells
-of each row, which bounds the work by n * c * cell and is what
-:func:`smote` uses (neighbours may then be missed beyond the c-th cell).
+of each row, which bounds the work by n * c * cell (neighbours may then be
+missed beyond the c-th cell). Exact is the default everywhere.
 
 Synthetic rows: class c needs ``m = n_max - n_c`` rows. Every row of c
 yields ``m div n_c`` samples, and exactly ``m mod n_c`` rows (first in hash
@@ -174,11 +174,11 @@ def knn_within_class(df: DataFrame, k: int = 5, block: int = 1024, seed: int = 4
                       F.transform(F.coalesce("nn", F.array()), lambda s: s["dist"]).alias("nn_dists"))
 
 
-def smote(df: DataFrame, k: int = 5, seed: int = 42, probe: int | None = 8, **knn) -> DataFrame:
+def smote(df: DataFrame, k: int = 5, seed: int = 42, probe: int | None = None, **knn) -> DataFrame:
     """Oversample every class up to the largest one (train rows only).
 
-    Neighbours come from each row's cell and the ``probe`` nearest cells
-    (None: exact).
+    Neighbours are exact; ``probe`` limits them to each row's cell and its
+    ``probe`` nearest cells.
 
     ``df``: (id, label, vec). Returns the input rows plus synthetic rows with
     ``source_id`` / ``sample_no`` and ``is_synthetic``.

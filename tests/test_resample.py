@@ -50,3 +50,18 @@ def test_smote_invariants(spark):
             if -1e-9 <= u <= 1 + 1e-9 and np.allclose(x + u * d, s, atol=1e-9):
                 ok = True
         assert ok
+
+
+def test_smote_default_neighbours_are_exact(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1700, 16))
+    rows = [(i, "B", v.tolist()) for i, v in enumerate(x)] + [(5000 + i, "A", [0.0] * 16) for i in range(2400)]
+    out = RS.smote(spark.createDataFrame(rows, "id long, label string, vec array<double>"), k=3)
+    made = out.where("is_synthetic").select("source_id", "vec").collect()
+    assert len(made) == 700
+    for r in made:
+        d = np.sqrt(((x - x[r["source_id"]]) ** 2).sum(1))
+        d[r["source_id"]] = np.inf
+        near, step = x[np.argsort(d)[:3]] - x[r["source_id"]], np.array(r["vec"]) - x[r["source_id"]]
+        u = (near @ step) / (near ** 2).sum(1)
+        assert np.abs(near * u[:, None] - step).max(1).min() < 1e-9
