@@ -3,13 +3,18 @@
 A page is cut into text lines (blocks) with the zone they stand in. Pages of a
 host are sorted by URL path, so each meets its nearest page; their lines are
 aligned by longest common subsequence and shared lines, the site's frame, are
-deleted. Lines that the page itself declares as its article are never deleted
-as shared: copies of one article under two URLs are common.
+deleted, also inside a declared article. Copies of one article under two URLs
+are common, so the nearest page is the nearest one that is no copy.
 """
 
 from __future__ import annotations
 
+import marshal
+import pickle
 import re
+import tempfile
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -17,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crashlens.llm.common import per_text
+
 TAG = re.compile(r"<!--.*?(?:-->|\Z)"
                  r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)"
                  r"(?P<attrs>(?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)/?>"
@@ -141,13 +148,29 @@ def shared_lines(a: list[str], b: list[str]) -> list[bool]:
     return shared
 
 
+#: Share of both pages' characters in equal lines from which two pages are copies
+#: of one text: of article lines, and of pages whose frame may be among the lines.
+COPY = {ARTICLE: 0.67, MAIN: 0.9, BODY: 0.9}
+
+
+def are_copies(a: list[tuple[int, str]], b: list[tuple[int, str]]) -> bool:
+    """Whether the lines of the best zone of both pages are mostly the same."""
+    zone = max((z for z, _ in a), default=BODY)
+    if zone != max((z for z, _ in b), default=BODY):
+        return False
+    x, y = (Counter(t for z, t in lines if z == zone) for lines in (a, b))
+    both = sum(len(t) * min(n, y[t]) for t, n in x.items())
+    most = max(sum(len(t) * n for t, n in c.items()) for c in (x, y))
+    return both >= COPY[zone] * most
+
+
 def main_text(lines: list[tuple[int, str]], nearest: list[tuple[int, str]] | None) -> str:
-    """The lines of the page's best zone. Lines shared with the nearest page go,
-    except those in a declared article; a page without any own line keeps all."""
+    """The lines of the page's best zone without those shared with ``nearest``, a
+    page that is no copy; a page without any own line keeps all."""
     zone = max((z for z, _ in lines), default=BODY)
-    shared = shared_lines([x for _, x in lines], [x for _, x in nearest]) if nearest else [False] * len(lines)
-    kept = [x for (z, x), s in zip(lines, shared, strict=True) if z == zone and (z == ARTICLE or not s)]
-    return "\n".join(kept or [x for z, x in lines if z == zone])
+    own = [x for z, x in lines if z == zone]
+    shared = shared_lines(own, [x for _, x in nearest]) if nearest else [False] * len(own)
+    return "\n".join([x for x, s in zip(own, shared, strict=True) if not s] or own)
 
 
 def _closeness(a: str, b: str) -> int:
@@ -159,48 +182,90 @@ def _closeness(a: str, b: str) -> int:
     return n
 
 
+class _Held:
+    """Rows that wait for the next page that is no copy; many go to a temporary file."""
+
+    def __init__(self, most: int = 1 << 25):
+        self.most, self.size, self.rows, self.file = most, 0, [], None
+
+    def add(self, row: tuple, size: int) -> None:
+        self.rows.append(row)
+        self.size += size
+        if self.size > self.most:
+            self.file = self.file or tempfile.TemporaryFile()
+            for r in self.rows:
+                pickle.dump(r, self.file)
+            self.size, self.rows = 0, []
+
+    def take(self) -> Iterator[tuple]:
+        if self.file:
+            end = self.file.tell()
+            self.file.seek(0)
+            while self.file.tell() < end:
+                yield pickle.load(self.file)
+            self.file.close()
+        yield from self.rows
+        self.size, self.rows, self.file = 0, [], None
+
+
+def _packed(html: str) -> tuple[bytes]:
+    return (zlib.compress(marshal.dumps(page_lines(html)), 1),)
+
+
+def _unpacked(packed: bytes) -> list[tuple[int, str]]:
+    return marshal.loads(zlib.decompress(packed))
+
+
+def _paired(rows: Iterator[tuple]) -> Iterator[tuple[tuple, tuple | None]]:
+    """Every row (page_id, url, host, path, packed lines) with the nearest page of
+    its host that is no copy.
+
+    Rows that follow each other and are copies form a run; the pages beside the
+    run are its neighbours, the one with the closer path counts (the earlier one
+    if equal).
+    """
+    held, prior, last, last_lines = _Held(), None, None, None
+
+    def flush(after):
+        for row in held.take():
+            near = [x for x in (prior, after) if x is not None]
+            yield row, max(near, key=lambda x: _closeness(x[3], row[3]), default=None)
+
+    for row in rows:
+        lines = _unpacked(row[4])
+        if last is not None and last[2] != row[2]:
+            yield from flush(None)
+            prior = None
+        elif last is not None and not are_copies(last_lines, lines):
+            yield from flush(row)
+            prior = last
+        held.add(row, len(row[4]))
+        last, last_lines = row, lines
+    yield from flush(None)
+
+
 def extract_pages(pages: DataFrame, ident: str = "page_id") -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages`` (ident, url, html).
 
-    Rows are range-partitioned by host and path, which splits hosts of any
-    size, and stream through each task with one row of lookahead: a page is
-    compared with the neighbour on its host whose path is closer (the earlier
-    one if equal). Null html gives an empty text; a null url is a host of its
-    own; repeated rows give repeated results.
+    Rows are cut into lines, range-partitioned by host and path, which splits
+    hosts of any size, and stream through each task: a page is compared with
+    the nearest page of its host that is no copy of it. Null html gives an empty
+    text; a null url is a host of its own; repeated rows give repeated results.
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    rows = pages.select(F.col(ident).alias("page_id"), "url", "html", host.alias("host"), path.alias("path"))
+    rows = pages.select(F.col(ident).cast("long").alias("page_id"), "url", host.alias("host"), path.alias("path"),
+                        per_text(lambda: _packed, "lines binary")(F.col("html"))["lines"].alias("lines"))
     ordered = rows.repartitionByRange("host", "path", "page_id") \
         .sortWithinPartitions("host", "path", "page_id")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def read():
-            for b in batches:
-                cols = [b.column(c) for c in ("page_id", "url", "html", "host", "path")]
-                for r in zip(*cols, strict=True):
-                    ident_, url, html, host_, path_ = (x.as_py() for x in r)
-                    yield ident_, url, host_, path_, page_lines(html or "")
-
-        def finish(before, row, after):
-            near = [x for x in (before, after) if x is not None and x[2] == row[2]]
-            best = max(near, key=lambda x: _closeness(x[3], row[3]), default=None)
-            return row[0], row[1], main_text(row[4], best[4] if best else None)
-
-        def results():
-            before = row = None
-            for after in read():
-                if row is not None:
-                    yield finish(before, row, after)
-                before, row = row, after
-            if row is not None:
-                yield finish(before, row, None)
-
         out: list = []
         size = 0
-        for r in results():
-            out.append(r)
-            size += len(r[2])
+        for row, best in _paired(_rows(batches)):
+            text = main_text(_unpacked(row[4]), _unpacked(best[4]) if best else None)
+            out.append((row[0], row[1], text))
+            size += len(text)
             if size > 1 << 22:
                 yield _batch(out)
                 out, size = [], 0
@@ -211,6 +276,12 @@ def extract_pages(pages: DataFrame, ident: str = "page_id") -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for b in batches:
+        for r in zip(*(b.column(c) for c in ("page_id", "url", "host", "path", "lines")), strict=True):
+            yield tuple(x.as_py() for x in r)
+
+
 def _batch(rows: list) -> pa.RecordBatch:
     a, b, c = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.string()),

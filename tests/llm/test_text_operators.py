@@ -221,3 +221,23 @@ def test_pages_lose_their_frame(spark):
         spark.createDataFrame(data, "page_id long, url string, html string").coalesce(1)).collect()}
     assert got[9] == "Site name\nAll topics"
     assert sum(got[i] == f"Story number {i}\nIts end {i}" for i in range(6)) >= 4  # alone in its range: no neighbour
+
+
+def test_shared_lines_inside_articles_go_and_copies_stay(spark):
+    page = "<p>Site name</p><article><p>Notice to all readers</p>{}<p>Send us your comments</p></article>"
+    data = [(10 * i + c, f"http://a.org/news/{i}?utm={c}", page.format(
+        f"<p>Story number {i} about a different river</p><p>Its long end {i}, told again</p>"))
+        for i in range(4) for c in range(3)]
+    got = {r["page_id"]: r["text"] for r in page_text.extract_pages(spark.createDataFrame(
+        data, "page_id long, url string, html string").coalesce(1)).collect()}
+    own = [got[10 * i + c] == f"Story number {i} about a different river\nIts long end {i}, told again"
+           for i in range(4) for c in range(3)]
+    assert sum(own) >= 9  # alone in its range: no neighbour
+
+
+def test_held_rows_spill_and_come_back():
+    held = page_text._Held(most=10)
+    rows = [(i, "x" * i) for i in range(30)]
+    for r in rows:
+        held.add(r, r[0])
+    assert list(held.take()) == rows and list(held.take()) == []
