@@ -32,13 +32,10 @@ SECOND = frozenset(b"you your yours youre u ur are tu eres usted du dich bist ih
 QUOTES = re.compile("[\"\u201c\u201d\u201e\u00ab\u00bb]")
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
-#: Stems: lengths, least share of toxic sample rows, how much rarer in clean
-#: rows, most candidates and most stems kept.
+#: Stems: lengths, least share of toxic sample rows, how much rarer in clean rows.
 STEM_LENGTHS = (4, 5, 6, 7)
 STEM_SHARE = 0.01
 STEM_RATIO = 0.02
-STEM_CANDIDATES = 3000
-STEMS = 300
 
 
 class Lexicon:
@@ -184,8 +181,9 @@ def features(lexicon: Lexicon, text: str) -> tuple[float, ...]:
 def learned_stems(train: DataFrame) -> list[str]:
     """Word beginnings that occur in toxic rows of the sample and hardly in clean ones.
 
-    Rows that share their smallest word hash (copies, mostly) count once. The
-    candidates are at most STEM_CANDIDATES, whatever the input.
+    Toxic rows that share their smallest word hash (copies, mostly) count once.
+    Every beginning is counted in toxic and clean rows alike, and each that
+    passes is kept: the sample bounds their number.
     """
     def beginnings(text: str):
         words = {w for part in word_chunks(text) for w in part}
@@ -196,33 +194,27 @@ def learned_stems(train: DataFrame) -> list[str]:
     def hash_of(w: str) -> int:
         return int.from_bytes(w.encode()[:16].ljust(16, b"\0"), "big") * 0x9E3779B97F4A7C15F39CC0605CEDC835 % (1 << 127)
 
-    rows = train.select("label", per_text(lambda: beginnings, "stems array<string>, sketch string")(
-        F.col("text")).alias("_s")).select("label", "_s.*")
-    toxic = rows.where("label = 1")
-    n_toxic, n_clean = toxic.count(), rows.where("label = 0").count()
+    sizes = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
+    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         return []
-    least = max(4, STEM_SHARE * n_toxic)
-    found = toxic.select("sketch", F.explode("stems").alias("stem")).distinct() \
-        .groupBy("stem").count().where(F.col("count") >= least) \
-        .orderBy(F.desc("count"), "stem").limit(STEM_CANDIDATES).collect()
-    known = {r["stem"] for r in found}
-
-    def present(text: str):
-        words = {w.decode() for part in word_chunks(text) for w in part}
-        return (sorted({w[:k] for w in words for k in STEM_LENGTHS} & known),)
-
-    clean = train.where("label = 0").select(F.explode(
-        per_text(lambda: present, "stems array<string>")(F.col("text"))["stems"]).alias("stem"))
-    seen = {r["stem"]: r["count"] for r in clean.groupBy("stem").count().collect()}
-    kept: list[str] = []
-    for r in sorted(found, key=lambda r: (-r["count"], -len(r["stem"]), r["stem"])):
-        stem, rate = r["stem"], r["count"] / n_toxic
-        if (seen.get(stem, 0) + 0.5) / n_clean <= STEM_RATIO * rate \
-                and not any(stem.startswith(k) or k.startswith(stem) for k in kept) \
-                and not any(t.startswith(stem) for t in LEXICON):
-            kept.append(stem)
-    return kept[:STEMS]
+    rows = train.select("label", per_text(lambda: beginnings, "stems array<string>, sketch string")(
+        F.col("text")).alias("_s")).select("label", "_s.*")
+    found = rows.select("label", F.when(F.col("label") == 1, F.col("sketch")).alias("sketch"),
+                        F.explode("stems").alias("stem")) \
+        .groupBy("stem", "label", "sketch").agg(F.count(F.lit(1)).alias("n")) \
+        .groupBy("stem").agg(F.count(F.when(F.col("label") == 1, 1)).alias("toxic"),
+                             F.coalesce(F.sum(F.when(F.col("label") == 0, F.col("n"))), F.lit(0)).alias("clean")) \
+        .where((F.col("toxic") >= max(4, STEM_SHARE * n_toxic))
+               & ((F.col("clean") + 0.5) / n_clean <= STEM_RATIO * F.col("toxic") / n_toxic)).collect()
+    kept: dict[str, None] = {}
+    begun: set[str] = {t[:k] for t in LEXICON for k in range(1, len(t) + 1)}  # beginnings of what is kept
+    for r in sorted(found, key=lambda r: (-r["toxic"], -len(r["stem"]), r["stem"])):
+        stem = r["stem"]
+        if stem not in begun and not any(stem[:k] in kept for k in STEM_LENGTHS):
+            kept[stem] = None
+            begun.update(stem[:k] for k in range(1, len(stem) + 1))
+    return list(kept)
 
 
 def fit_toxicity(train: DataFrame):

@@ -241,3 +241,13 @@ def test_held_rows_spill_and_come_back():
     for r in rows:
         held.add(r, r[0])
     assert list(held.take()) == rows and list(held.take()) == []
+
+
+def test_rare_stems_are_learned_among_many_common_words(spark):
+    rnd = random.Random(9)
+    words = ["".join(rnd.choices("bcdfghklmnprst", k=9)) for _ in range(3000)]
+    slurs = ["".join(rnd.choices("aeiou", k=4)) + "".join(rnd.choices("wxyz", k=4)) for _ in range(200)]
+    rows = [(1, " ".join(rnd.sample(words, 300) + slurs[10 * i % 200:10 * i % 200 + 10])) for i in range(200)]
+    rows += [(0, " ".join(rnd.sample(words, 300))) for i in range(1100)]
+    learned = set(toxicity.learned_stems(spark.createDataFrame(rows, "label int, text string")))
+    assert all(any(w.startswith(x) for x in learned) for w in slurs)
