@@ -4,8 +4,9 @@ The lexicon is a trie. The Levenshtein automata of all its terms are
 intersected with it at once: a state is the set of (trie node, edits so far),
 made deterministic as words need it, so most words leave the automaton after a
 few letters. Around each hit a window of words tells quotation and report from
-abuse. Stems that mark labelled toxic texts are learned and join the trie, and
-a logistic regression on the hits gives the score.
+abuse. Words and stems that mark labelled toxic texts are learned and join the
+trie, words with the same edits as the lexicon's terms; a logistic regression on
+the hits gives the score.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from crashlens.llm.labelled import fit_logistic
 LEXICON = ("idiot idiots moron morons imbecile stupid dumbass loser losers scum trash worthless "
            "pathetic disgusting clown bastard asshole bitch retard scumbag dickhead fuck fucking "
            "shit bullshit").split()
-#: Edits allowed by length of a term.
-EDITS = ((8, 2), (5, 1), (0, 0))
+#: Edits allowed by length of a term. An edit of four letters is often another
+#: word, so those hits count in a feature of their own.
+EDITS = ((8, 2), (5, 1), (4, 1), (0, 0))
+SHORT = 4
 #: Words on each side of a hit.
 WINDOW = 6
 REPORTS = frozenset(b"said says say saying quote quoted wrote called word words term terms insult "
@@ -39,15 +42,16 @@ STEM_RATIO = 0.02
 
 
 class Lexicon:
-    """Trie of terms and stems with the lazily built automaton."""
+    """Trie of terms, learned terms and stems with the lazily built automaton."""
 
-    def __init__(self, terms=LEXICON, stems=()):
+    def __init__(self, terms=LEXICON, stems=(), learned=()):
+        self.learned = frozenset(learned).difference(terms)
         self.child: list[dict[int, int]] = [{}]
         self.term: list[str | None] = [None]  # whole word
         self.stem: list[str | None] = [None]  # beginning of a word, without edits
         self.most = [0]  # edits that some term below allows
         self.allowed = [0]
-        for t in terms:
+        for t in (*terms, *sorted(self.learned)):
             self._add(t, self.term, next(e for n, e in EDITS if len(t) >= n))
         for t in stems:
             self._add(t, self.stem, 0)
@@ -76,6 +80,7 @@ class Lexicon:
         self.ids: dict[frozenset, int] = {}
         self.found: list[tuple[str, int] | None] = []
         self.begun: list[str | None] = []
+        self.held = 0
         self._state(self._closed({0: 0}))
 
     def _closed(self, nodes: dict[int, int]) -> dict[int, int]:
@@ -98,10 +103,11 @@ class Lexicon:
         if key not in self.ids:
             self.ids[key] = len(self.sets)
             self.sets.append(nodes)
+            self.held += len(nodes)
             self.moves.append({})
-            whole = min(((e, self.term[n]) for n, e in nodes.items()
+            whole = min(((e, e > 0 and len(self.term[n]) <= SHORT, self.term[n]) for n, e in nodes.items()
                          if self.term[n] is not None and e <= self.allowed[n]), default=None)
-            self.found.append((whole[1], whole[0]) if whole else None)
+            self.found.append((whole[2], whole[0]) if whole else None)
             self.begun.append(next((self.stem[n] for n, e in sorted(nodes.items())
                                     if e == 0 and self.stem[n] is not None), None))
         return self.ids[key]
@@ -132,17 +138,20 @@ class Lexicon:
                 return (begun, -1) if begun else None
             state = to
             begun = begun or self.begun[state]
-        return self.found[state] or ((begun, -1) if begun else None)
+        found = self.found[state]
+        if begun and found and found[1] and len(found[0]) <= SHORT:
+            return begun, -1
+        return found or ((begun, -1) if begun else None)
 
 
-#: Automaton states that are kept before it is built anew.
-MOST_STATES = 100_000
-FEATURES = 9
+#: Trie nodes in the automaton's states that are kept before it is built anew.
+MOST_NODES = 1_000_000
+FEATURES = 12
 
 
 def features(lexicon: Lexicon, text: str) -> tuple[float, ...]:
     """Counts of hits by closeness and context; all zero without a hit."""
-    if len(lexicon.sets) > MOST_STATES:
+    if lexicon.held > MOST_NODES:
         lexicon.clear()
     hits, n = {}, 0
     for words in word_chunks(text):
@@ -154,12 +163,13 @@ def features(lexicon: Lexicon, text: str) -> tuple[float, ...]:
         return (0.0,) * FEATURES
     data = text.encode()
     places = [(m.start(), m.end(), m.group()) for m in WORD.finditer(data.lower())]
-    exact = reported = one = two = stems = direct = 0
+    exact = reported = one = two = stems = direct = told = near_learned = short = 0
     for k, (a, b, w) in enumerate(places):
         if (hit := hits.get(w)) is None:
             continue
-        if hit[1] == -1:
-            stems += 1
+        term, edits = hit
+        if edits > 0 and len(term) <= SHORT:
+            short += 1
             continue
         around = places[max(0, k - WINDOW):k + WINDOW + 1]
         before = data[around[0][0]:a].decode(errors="ignore")
@@ -167,28 +177,43 @@ def features(lexicon: Lexicon, text: str) -> tuple[float, ...]:
         near = {x[2] for x in around}
         quoted = bool(QUOTES.search(before) and QUOTES.search(after)) or not near.isdisjoint(REPORTS)
         direct += not quoted and not near.isdisjoint(SECOND)
-        if hit[1] == 0:
+        if edits == -1 or term in lexicon.learned:
+            if edits > 0:
+                near_learned += not quoted
+            else:
+                stems += not quoted
+            told += quoted
+        elif edits == 0:
             exact, reported = exact + (not quoted), reported + quoted
         else:
-            one, two = one + (hit[1] == 1), two + (hit[1] == 2)
+            one, two = one + (edits == 1), two + (edits == 2)
     log = lambda v: float(np.log1p(v))
+    own = {t for t, e in hits.values() if e == 0 and t not in lexicon.learned}
+    marks = {w for w, (t, e) in hits.items() if e == -1 or e == 0 and t in lexicon.learned}
     return (log(exact), log(reported), log(one), log(two), log(stems), log(direct),
-            float(min(5, len({t for t, e in hits.values() if e == 0}))),
-            float(min(5, len({w for w, (_, e) in hits.items() if e == -1}))),
-            float(min(10.0, 100.0 * (exact + stems) / n)))
+            float(min(5, len(own))), float(min(5, len(marks))),
+            float(min(10.0, 100.0 * (exact + stems) / n)), log(told), log(near_learned), log(short))
 
 
-def learned_stems(train: DataFrame) -> list[str]:
-    """Word beginnings that occur in toxic rows of the sample and hardly in clean ones.
+class Stems(list):
+    """Learned beginnings, with the learned whole words in ``terms``."""
+
+    terms: tuple[str, ...] = ()
+
+
+def learned_stems(train: DataFrame) -> Stems:
+    """Word beginnings and whole words that occur in toxic rows of the sample and hardly in clean ones.
 
     Toxic rows that share their smallest word hash (copies, mostly) count once.
-    Every beginning is counted in toxic and clean rows alike, and each that
-    passes is kept: the sample bounds their number.
+    Every beginning and word (marked by a space at its end) is counted in toxic
+    and clean rows alike, and each that passes is kept: the sample bounds their
+    number.
     """
     def beginnings(text: str):
         words = {w for part in word_chunks(text) for w in part}
         shown = [w.decode() for w in words]
-        return (sorted({w[:k] for w in shown for k in STEM_LENGTHS if len(w) >= k}),
+        return (sorted({w[:k] for w in shown for k in STEM_LENGTHS if len(w) >= k}
+                       | {w + " " for w in shown if len(w) >= STEM_LENGTHS[0]}),
                 min(shown, key=lambda w: hash_of(w), default=""))
 
     def hash_of(w: str) -> int:
@@ -197,7 +222,7 @@ def learned_stems(train: DataFrame) -> list[str]:
     sizes = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
-        return []
+        return Stems()
     rows = train.select("label", per_text(lambda: beginnings, "stems array<string>, sketch string")(
         F.col("text")).alias("_s")).select("label", "_s.*")
     found = rows.select("label", F.when(F.col("label") == 1, F.col("sketch")).alias("sketch"),
@@ -211,10 +236,12 @@ def learned_stems(train: DataFrame) -> list[str]:
     begun: set[str] = {t[:k] for t in LEXICON for k in range(1, len(t) + 1)}  # beginnings of what is kept
     for r in sorted(found, key=lambda r: (-r["toxic"], -len(r["stem"]), r["stem"])):
         stem = r["stem"]
-        if stem not in begun and not any(stem[:k] in kept for k in STEM_LENGTHS):
+        if not stem.endswith(" ") and stem not in begun and not any(stem[:k] in kept for k in STEM_LENGTHS):
             kept[stem] = None
             begun.update(stem[:k] for k in range(1, len(stem) + 1))
-    return list(kept)
+    learned = Stems(kept)
+    learned.terms = tuple(sorted(r["stem"][:-1] for r in found if r["stem"].endswith(" ")))
+    return learned
 
 
 def fit_toxicity(train: DataFrame):
@@ -228,8 +255,10 @@ def fit_toxicity(train: DataFrame):
 
 
 def score_features(text: Column, stems: list[str]) -> Column:
+    words, terms = list(stems), getattr(stems, "terms", ())
+
     def make():
-        lexicon = Lexicon(LEXICON, stems)
+        lexicon = Lexicon(LEXICON, words, terms)
         return lambda t: (features(lexicon, t),)
     return per_text(make, "x array<double>")(text)
 
@@ -238,9 +267,10 @@ def toxicity_score(text: Column, model) -> Column:
     """Score from 0 to 1 of a text column; null and empty texts have no hit and
     get the intercept's score. Equal texts get equal scores."""
     stems, weights, intercept = model
+    words, terms = list(stems), getattr(stems, "terms", ())
 
     def make():
-        lexicon = Lexicon(LEXICON, stems)
+        lexicon = Lexicon(LEXICON, words, terms)
 
         def score(t: str):
             z = float(np.dot(features(lexicon, t), weights)) + intercept

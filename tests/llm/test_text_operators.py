@@ -251,3 +251,17 @@ def test_rare_stems_are_learned_among_many_common_words(spark):
     rows += [(0, " ".join(rnd.sample(words, 300))) for i in range(1100)]
     learned = set(toxicity.learned_stems(spark.createDataFrame(rows, "label int, text string")))
     assert all(any(w.startswith(x) for x in learned) for w in slurs)
+
+
+def test_learned_terms_have_edits_and_context():
+    lexicon = toxicity.Lexicon(stems=["grobn"], learned=["grobnikar"])
+    assert lexicon.look(b"grpbnikar") == ("grobnikar", 1) and lexicon.look(b"grobnoid") == ("grobn", -1)
+    assert lexicon.look(b"scvm") == ("scum", 1)
+    abuse = toxicity.features(lexicon, "you are a grobnikar and everyone knows")
+    stem = toxicity.features(lexicon, "you are a grobnoid and everyone knows")
+    quoted = toxicity.features(lexicon, 'the old play has "a grobnikar" in its title')
+    typo = toxicity.features(lexicon, "you are a grpbnikar and everyone knows")
+    short = toxicity.features(lexicon, "you are scvm and everyone knows")
+    assert abuse[4] > 0 and abuse[5] > 0 and abuse[9] == 0 and abuse[0] == 0
+    assert stem[4] > 0 and stem[5] > 0 and quoted[4] == 0 and quoted[9] > 0 and quoted[5] == 0
+    assert typo[10] > 0 and typo[5] > 0 and short[11] > 0 and sum(map(bool, short)) == 1
