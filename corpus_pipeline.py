@@ -30,7 +30,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data masked; n_chars follows the new text."""
     ensure_checkpoint_dir(spark)
-    masked = docs.withColumn("text", pii.redact(F.col("text"), pii.fit_pii(docs)))
+    masked = pii.redacted(docs, pii.fit_pii(docs))
     return masked.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else masked
 
 

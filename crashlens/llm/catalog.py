@@ -119,8 +119,7 @@ def op10(spark, sf):
 @register("op5_pii")
 def op5(spark, sf):
     docs = table(spark, sf, "documents")
-    known = pii.fit_pii(docs)
-    return docs.select("doc_id", pii.pii_spans(F.col("text"), known).alias("_r")).select("doc_id", "_r.*")
+    return pii.with_spans(docs.select("doc_id", "text"), pii.fit_pii(docs)).select("doc_id", "_r.*")
 
 
 @register("op6_page_text")

@@ -17,7 +17,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import join_small, per_text
+from crashlens.llm.common import BROADCAST_ROWS, per_text
 from crashlens.session import stage_table
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -36,12 +36,11 @@ CANDIDATE = re.compile(r"[^\s\"'<>(){}\[\],;=:]*[0-9][^\s\"'<>(){}\[\],;=:]*")
 DIGIT = re.compile("[0-9]")
 
 #: Rounds of scoring, prior weight against a pattern, confidence from which a
-#: pattern finds new spans, least share of a kind's seeds that a pattern must
-#: meet (so at most 1 / share patterns a kind are ever shipped to the tasks).
+#: pattern finds new spans, and least seeds it must meet.
 ROUNDS = 3
 PRIOR = 2.0
 CONFIDENCE = 0.85
-LEAST_SHARE = 2e-4
+LEAST_SEEDS = 3
 LEAST_DIGITS = 4
 LEAST_LENGTH = 8
 
@@ -174,23 +173,43 @@ def score_patterns(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return scored.select("kind", "pattern", "confidence", "n_seeds")
 
 
-def confident_patterns(scored: DataFrame, confidence: float = CONFIDENCE,
-                       least_share: float = LEAST_SHARE) -> dict[str, tuple[str, float]]:
-    """Patterns to extract with: at least ``confidence``, and at least
-    ``least_share`` of the pattern-seed meetings of their kind, which bounds
-    their number by 1 / least_share a kind at any size of the corpus."""
-    total = scored.groupBy("kind").agg(F.sum("n_seeds").alias("total"))
-    kept = join_small(scored, total, "kind").where(
-        (F.col("confidence") >= confidence) & (F.col("n_seeds") >= least_share * F.col("total"))
-        & (F.col("n_seeds") >= 3)).orderBy("confidence", "pattern").collect()
-    return {r["pattern"]: (r["kind"], r["confidence"]) for r in kept}
+def confident_patterns(scored: DataFrame, confidence: float = CONFIDENCE) -> dict[str, tuple[str, float]] | DataFrame:
+    """Patterns to extract with: at least ``confidence`` and LEAST_SEEDS seeds,
+    whatever else the corpus holds. Up to BROADCAST_ROWS of them are a dict to
+    ship to the tasks; more stay a table that texts are joined with."""
+    kept = scored.where((F.col("confidence") >= confidence) & (F.col("n_seeds") >= LEAST_SEEDS)) \
+        .select("pattern", "kind", "confidence")
+    if kept.count() > BROADCAST_ROWS:
+        return kept
+    return _known(kept.collect())
 
 
-def fit_pii(docs: DataFrame) -> dict[str, tuple[str, float]]:
+def _known(rows) -> dict[str, tuple[str, float]]:
+    rows = sorted(rows, key=lambda r: (r["confidence"], r["pattern"], r["kind"]))
+    return {r["pattern"]: (r["kind"], r["confidence"]) for r in rows}
+
+
+def fit_pii(docs: DataFrame) -> dict[str, tuple[str, float]] | DataFrame:
     """Bootstrap over all rows of ``docs`` (column text)."""
     return confident_patterns(stage_table(score_patterns(docs.select("text")), "pii-scored"))
 
 
+def _met(text: str):
+    return (sorted({p for kind, a, b in instances(text) if kind is None for p in patterns(text, a, b)}),)
+
+
+def _with_known(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``docs`` with ``_in``: the text and those of the patterns that it meets.
+    Patterns are met per distinct text, so copies are joined once."""
+    key = F.sha2(F.col("text"), 256)
+    met = docs.where("text is not null").select(key.alias("_key"), F.explode(
+        per_text(lambda: _met, "p array<string>")(F.col("text"))["p"]).alias("pattern")).distinct()
+    found = met.join(known, "pattern").groupBy("_key").agg(
+        F.collect_list(F.struct("pattern", "kind", "confidence")).alias("_known"))
+    return docs.withColumn("_key", key).join(found, "_key", "left").withColumn(
+        "_in", F.struct(F.col("text").alias("text"), F.col("_known").alias("known"))).drop("_key", "_known")
+
+
 def all_spans(text: str, known: dict[str, tuple[str, float]]) -> list[tuple[str, int, int]]:
     """Base spans, then secrets and whatever the confident patterns find;
     found spans never overlap a base span."""
@@ -211,29 +230,50 @@ def _joined(spans) -> str:
 RESULT = ("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
+def _scan(t: str, known):
+    base = base_spans(t)
+    counts = [sum(k == kind for k, _, _ in base) for kind in BASE_KINDS]
+    return (*counts, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(all_spans(t, known)))
+
+
+def _masked(t: str, known):
+    out, at = [], 0
+    for kind, a, b in sorted(all_spans(t, known), key=lambda s: (s[1], -s[2])):
+        if a >= at:
+            out += [t[at:a], f"<{kind.upper()}>"]
+        at = max(at, b)
+    return ("".join([*out, t[at:]]),)
+
+
+def _of_row(work):
+    return lambda row: work(row["text"] or "", _known(row["known"] or []))
+
+
 def pii_spans(text: Column, known: dict[str, tuple[str, float]]) -> Column:
     """Struct of base counts, digest of the base spans and all spans.
 
     Null and empty texts have no span. Texts are read whole; equal texts give
     equal spans. ``known`` comes from :func:`fit_pii`.
     """
-    def scan(t: str):
-        base = base_spans(t)
-        counts = [sum(k == kind for k, _, _ in base) for kind in BASE_KINDS]
-        return (*counts, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(all_spans(t, known)))
-
-    return per_text(lambda: scan, RESULT)(text)
+    return per_text(lambda: lambda t: _scan(t, known), RESULT)(text)
 
 
 def redact(text: Column, known: dict[str, tuple[str, float]]) -> Column:
     """The text with every span replaced by its kind in angle brackets; spans
     that overlap become one. A null text stays null."""
-    def masked(t: str):
-        out, at = [], 0
-        for kind, a, b in sorted(all_spans(t, known), key=lambda s: (s[1], -s[2])):
-            if a >= at:
-                out += [t[at:a], f"<{kind.upper()}>"]
-            at = max(at, b)
-        return ("".join([*out, t[at:]]),)
-
-    return F.when(text.isNotNull(), per_text(lambda: masked, "text string")(text)["text"])
+    return F.when(text.isNotNull(), per_text(lambda: lambda t: _masked(t, known), "text string")(text)["text"])
+
+
+def with_spans(docs: DataFrame, known: dict[str, tuple[str, float]] | DataFrame) -> DataFrame:
+    """``docs`` with ``_r``, the struct of :func:`pii_spans`, for few or many patterns."""
+    if isinstance(known, dict):
+        return docs.withColumn("_r", pii_spans(F.col("text"), known))
+    return _with_known(docs, known).withColumn("_r", per_text(lambda: _of_row(_scan), RESULT)(F.col("_in"))).drop("_in")
+
+
+def redacted(docs: DataFrame, known: dict[str, tuple[str, float]] | DataFrame) -> DataFrame:
+    """``docs`` with text as :func:`redact` gives it, for few or many patterns."""
+    if isinstance(known, dict):
+        return docs.withColumn("text", redact(F.col("text"), known))
+    new = per_text(lambda: _of_row(_masked), "text string")(F.col("_in"))["text"]
+    return _with_known(docs, known).withColumn("text", F.when(F.col("text").isNotNull(), new)).drop("_in")

@@ -265,3 +265,19 @@ def test_learned_terms_have_edits_and_context():
     assert abuse[4] > 0 and abuse[5] > 0 and abuse[9] == 0 and abuse[0] == 0
     assert stem[4] > 0 and stem[5] > 0 and quoted[4] == 0 and quoted[9] > 0 and quoted[5] == 0
     assert typo[10] > 0 and typo[5] > 0 and short[11] > 0 and sum(map(bool, short)) == 1
+
+
+def test_pii_patterns_of_a_small_source_survive_a_hot_one(spark, monkeypatch):
+    rows = [("card", "L|hot line", 0.99, 4_000_000), ("card", "L|to account", 0.95, 500), ("card", "L|seen once", 0.99, 1)]
+    scored = spark.createDataFrame(rows, "kind string, pattern string, confidence double, n_seeds long")
+    known = pii.confident_patterns(scored)
+    assert known == {"L|hot line": ("card", 0.99), "L|to account": ("card", 0.95)}
+    docs = spark.createDataFrame([(0, "wire to account ZX123456789 now"), (1, "no"), (2, None),
+                                  (3, "wire to account ZX123456789 now")], "i long, text string")
+    monkeypatch.setattr(pii, "BROADCAST_ROWS", 1)
+    many = pii.confident_patterns(scored)
+    assert not isinstance(many, dict)
+    for call, column in ((pii.with_spans, "_r"), (pii.redacted, "text")):
+        few, joined = ({r["i"]: r[column] for r in call(docs, k).collect()} for k in (known, many))
+        assert few == joined
+    assert joined[0] == joined[3] == "wire to account <CARD> now" and joined[2] is None
