@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +32,10 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Seeds of secrets: named assignments and the public form of access key ids.
 SECRET = re.compile(r"(?:\b(?:password|passwd|pwd|token|secret|api[_-]?key)\s?[=:]\s?\"?([^\s\"]{6,})"
                     r"|\b(AKIA[0-9A-Z]{16})\b)")
-#: What may be an identifier: a run of visible characters with a digit.
-CANDIDATE = re.compile(r"[^\s\"'<>(){}\[\],;=:]*[0-9][^\s\"'<>(){}\[\],;=:]*")
+#: What may be an identifier: a run of visible characters. Runs with a digit that
+#: single spaces or hyphens join may also be one together.
+TOKEN = re.compile(r"[^\s\"'<>(){}\[\],;=:]+")
+JOINTS = frozenset((" ", "-", " -", "- "))
 DIGIT = re.compile("[0-9]")
 
 #: Rounds of scoring, prior weight against a pattern, confidence from which a
@@ -41,8 +44,6 @@ ROUNDS = 3
 PRIOR = 2.0
 CONFIDENCE = 0.85
 LEAST_SEEDS = 3
-LEAST_DIGITS = 4
-LEAST_LENGTH = 8
 
 
 def _luhn(digits: str) -> bool:
@@ -88,6 +89,7 @@ def shape(token: str) -> str:
     return re.sub(r"([aA9])\1+", r"\1+", kinds)
 
 
+@lru_cache(1 << 16)
 def _word(text: str) -> str:
     return re.sub(r"\d+", "#", text.strip(".,;!?\"'()[]{}").lower())
 
@@ -104,56 +106,126 @@ def patterns(text: str, first: int, last: int) -> list[str]:
     return made
 
 
+def asked(text: str, first: int, last: int) -> list[str]:
+    """Patterns that may find [first, last). Without a digit these are marked ones,
+    scored over words too, so that words take nothing from the others' confidence."""
+    made = patterns(text, first, last)
+    return made if DIGIT.search(text, first, last) else ["~" + p for p in made]
+
+
+def met_by(text: str, first: int, last: int) -> list[str]:
+    """Patterns whose count the instance raises: with a digit, plain and marked."""
+    made = asked(text, first, last)
+    return made + ["~" + p for p in made] if made[0][0] != "~" else made
+
+
+def lefts_of(found) -> frozenset[str]:
+    """The words before an instance that any of the patterns asks for."""
+    out = set()
+    for p in found:
+        p = p.removeprefix("~")
+        kind, rest = p[0], p[2:]
+        if kind == "L":
+            out.add(rest.rsplit(" ", 1)[-1])
+        else:  # a word may hold the mark itself
+            parts = rest.split("|")
+            out.update("|".join(parts[:k]) for k in range(1, len(parts) + 1))
+    return frozenset(out)
+
+
 def _free(spans, first: int, last: int) -> bool:
     return all(last <= a or b <= first for _, a, b in spans)
 
 
-def instances(text: str):
-    """(kind or None, first, last) of seeds and of other candidates."""
+def seeds(text: str):
+    """(kind, first, last) of what the recognisers find."""
     spans = base_spans(text)
     if spans or DIGIT.search(text):
         for m in SECRET.finditer(text):
             g = 1 if m[1] else 2
-            if _free(spans, *m.span(g)) and DIGIT.search(m[g]):
+            if DIGIT.search(m[g]) and _free(spans, *m.span(g)):
                 spans.append(("secret", *m.span(g)))
-    if not DIGIT.search(text):
-        return spans
-    taken = sorted((a, b) for _, a, b in spans)
-    more, k = [], 0
-    for m in CANDIDATE.finditer(text):
+    return spans
+
+
+def candidates(text: str, taken, lefts: frozenset[str] | None = None):
+    """(first, last) of what may be an identifier and overlaps no seed: every
+    token, and every run of tokens with digits joined by a space or hyphen.
+    With ``lefts``, only those that follow one of these words."""
+    taken = sorted((a, b) for _, a, b in taken)
+    out, k, begin, end, size = [], 0, 0, 0, 0  # the open run
+
+    def after_left(a: int) -> bool:
+        if lefts is None:
+            return True
+        words = text[max(0, a - 80):a].replace('"', " ").rsplit(None, 1)
+        return (_word(words[-1]) if words else "") in lefts
+
+    def close():
+        if size > 1 and after_left(begin):
+            out.append((begin, end))
+
+    for m in TOKEN.finditer(text):
         a, b = m.span()
-        b -= len(m[0]) - len(m[0].rstrip(".!?-"))
+        shown = m[0].rstrip(".!?-")
+        cut = b - a - len(shown)
+        b -= cut
         while k < len(taken) and taken[k][1] <= a:
             k += 1
-        if (k == len(taken) or b <= taken[k][0]) and b - a >= LEAST_LENGTH \
-                and sum(c.isdigit() for c in text[a:b]) >= LEAST_DIGITS:
-            more.append((None, a, b))
-    return spans + more
+        free = a < b and (k == len(taken) or b <= taken[k][0])
+        if free and after_left(a):
+            out.append((a, b))
+        if free and DIGIT.search(shown):
+            if size and text[end:a] in JOINTS:
+                size, end = size + 1, b
+            else:
+                close()
+                begin, end, size = a, b, 1
+        elif size:
+            close()
+            size = 0
+    close()
+    return out
 
 
-def _edges(text: str):
+def _edges(text: str, induced: frozenset[str] | None, lefts: frozenset[str] | None):
+    found = seeds(text)
     made = []
-    for kind, a, b in instances(text):
-        who = hashlib.blake2b(text[a:b].encode(), digest_size=8).hexdigest()
-        made += [(kind, who, p) for p in patterns(text, a, b)]
+    for kind, a, b in found + [(None, *c) for c in candidates(text, found, lefts)]:
+        met = [p for p in met_by(text, a, b) if induced is None or p in induced]
+        if met:
+            who = hashlib.blake2b(text[a:b].encode(), digest_size=8).hexdigest()
+            made += [(kind, who, p) for p in met]
     return (made,)
 
 
+def _seed_patterns(text: str):
+    return ([(kind, p) for kind, a, b in seeds(text) for p in met_by(text, a, b)],)
+
+
 def score_patterns(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """kind, pattern, confidence, n_seeds of the patterns that seeds induce.
 
-    Edges are counted before any shuffle that could meet a hot pattern or a
-    hot instance, and written to the shared folder, as each round reads them.
-    An instance that a recogniser knows has confidence 1 for its kind; another
-    starts at 0 and becomes 1 - product(1 - confidence of its patterns).
+    A first pass counts the patterns of the seeds; a second one the edges of
+    these patterns alone, as no other can ever be scored (more patterns than
+    can be shipped are told apart by a join). Edges are counted before any
+    shuffle that could meet a hot pattern or a hot instance, and written to the
+    shared folder, as each round reads them. An instance that a recogniser
+    knows has confidence 1 for its kind; another starts at 0 and becomes
+    1 - product(1 - confidence of its patterns).
     """
+    induced = stage_table(docs.select(F.explode(per_text(
+        lambda: _seed_patterns, "e array<struct<kind: string, pattern: string>>")(F.col("text"))["e"]).alias("e"))
+        .select("e.*").groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("n_seeds")), "pii-induced")
+    names = induced.select("pattern").distinct()
+    few = names.count() <= BROADCAST_ROWS
+    only = frozenset(r["pattern"] for r in names.collect()) if few else None
+    lefts = lefts_of(only) if few else None
     edges = docs.select(F.explode(per_text(
-        lambda: _edges, "e array<struct<kind: string, who: string, pattern: string>>")(
+        lambda: lambda t: _edges(t, only, lefts), "e array<struct<kind: string, who: string, pattern: string>>")(
         F.col("text"))["e"]).alias("e")).select("e.*")
-    edges = stage_table(edges.groupBy("kind", "who", "pattern").agg(F.count(F.lit(1)).alias("n")),
-                        "pii-edges")
-    seeds = edges.where("kind is not null")
-    induced = stage_table(seeds.groupBy("kind", "pattern").agg(F.sum("n").alias("n_seeds")), "pii-induced")
+    edges = edges.groupBy("kind", "who", "pattern").agg(F.count(F.lit(1)).alias("n"))
+    edges = stage_table(edges if few else edges.join(names, "pattern", "left_semi"), "pii-edges")
     # per pattern: everything it meets
     met = edges.groupBy("pattern").agg(F.sum("n").alias("n_all"))
     open_edges = stage_table(edges.where("kind is null").select("who", "pattern", "n")
@@ -195,7 +267,7 @@ def fit_pii(docs: DataFrame) -> dict[str, tuple[str, float]] | DataFrame:
 
 
 def _met(text: str):
-    return (sorted({p for kind, a, b in instances(text) if kind is None for p in patterns(text, a, b)}),)
+    return (sorted({p for a, b in candidates(text, seeds(text)) for p in asked(text, a, b)}),)
 
 
 def _with_known(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -210,16 +282,23 @@ def _with_known(docs: DataFrame, known: DataFrame) -> DataFrame:
         "_in", F.struct(F.col("text").alias("text"), F.col("_known").alias("known"))).drop("_key", "_known")
 
 
-def all_spans(text: str, known: dict[str, tuple[str, float]]) -> list[tuple[str, int, int]]:
-    """Base spans, then secrets and whatever the confident patterns find;
-    found spans never overlap a base span."""
-    out = []
-    for kind, a, b in instances(text):
-        if kind is None:
-            best = max((known[p][::-1] for p in patterns(text, a, b) if p in known), default=None)
-            kind = best[1] if best else None
-        if kind is not None:
-            out.append((kind, a, b))
+def all_spans(text: str, known: dict[str, tuple[str, float]],
+              lefts: frozenset[str] | None = None) -> list[tuple[str, int, int]]:
+    """Base spans, then secrets and whatever the confident patterns find; found
+    spans never overlap a base span or each other: the surer one counts, then
+    the longer one."""
+    out = seeds(text)
+    if known:
+        found = []
+        for a, b in candidates(text, out, lefts_of(known) if lefts is None else lefts):
+            best = max((known[p][::-1] for p in asked(text, a, b) if p in known), default=None)
+            if best:
+                found.append((best[0], b - a, -a, best[1]))
+        taken: list[tuple[str, int, int]] = []
+        for _, size, at, kind in sorted(found, reverse=True):
+            if _free(taken, -at, size - at):
+                taken.append((kind, -at, size - at))
+        out += taken
     return sorted(out, key=lambda s: (KINDS.index(s[0]), s[1]))
 
 
@@ -230,15 +309,15 @@ def _joined(spans) -> str:
 RESULT = ("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
-def _scan(t: str, known):
+def _scan(t: str, known, lefts=None):
     base = base_spans(t)
     counts = [sum(k == kind for k, _, _ in base) for kind in BASE_KINDS]
-    return (*counts, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(all_spans(t, known)))
+    return (*counts, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(all_spans(t, known, lefts)))
 
 
-def _masked(t: str, known):
+def _masked(t: str, known, lefts=None):
     out, at = [], 0
-    for kind, a, b in sorted(all_spans(t, known), key=lambda s: (s[1], -s[2])):
+    for kind, a, b in sorted(all_spans(t, known, lefts), key=lambda s: (s[1], -s[2])):
         if a >= at:
             out += [t[at:a], f"<{kind.upper()}>"]
         at = max(at, b)
@@ -255,13 +334,16 @@ def pii_spans(text: Column, known: dict[str, tuple[str, float]]) -> Column:
     Null and empty texts have no span. Texts are read whole; equal texts give
     equal spans. ``known`` comes from :func:`fit_pii`.
     """
-    return per_text(lambda: lambda t: _scan(t, known), RESULT)(text)
+    lefts = lefts_of(known)
+    return per_text(lambda: lambda t: _scan(t, known, lefts), RESULT)(text)
 
 
 def redact(text: Column, known: dict[str, tuple[str, float]]) -> Column:
     """The text with every span replaced by its kind in angle brackets; spans
     that overlap become one. A null text stays null."""
-    return F.when(text.isNotNull(), per_text(lambda: lambda t: _masked(t, known), "text string")(text)["text"])
+    lefts = lefts_of(known)
+    new = per_text(lambda: lambda t: _masked(t, known, lefts), "text string")(text)["text"]
+    return F.when(text.isNotNull(), new)
 
 
 def with_spans(docs: DataFrame, known: dict[str, tuple[str, float]] | DataFrame) -> DataFrame:

@@ -281,3 +281,18 @@ def test_pii_patterns_of_a_small_source_survive_a_hot_one(spark, monkeypatch):
         few, joined = ({r["i"]: r[column] for r in call(docs, k).collect()} for k in (known, many))
         assert few == joined
     assert joined[0] == joined[3] == "wire to account <CARD> now" and joined[2] is None
+
+
+def test_pii_finds_grouped_short_and_digitless_identifiers():
+    known = {"L|call me": ("phone", 0.9), "L|my iban": ("card", 0.9), "L|account no": ("card", 0.9),
+             "~L|my password:": ("secret", 0.95)}
+
+    def found(t):
+        return [(k, t[a:b]) for k, a, b in pii.all_spans(t, known)]
+
+    assert found("please call me 0171 234 5678 today") == [("phone", "0171 234 5678")]
+    assert found("please call me 0171-234 5678.") == [("phone", "0171-234 5678")]
+    assert found("my iban DE89 3704 0044 0532 0130 00 is") == [("card", "DE89 3704 0044 0532 0130 00")]
+    assert found("account no 123456, thanks") == [("card", "123456")]
+    assert found("my password: horsebattery is") == [("secret", "horsebattery")]
+    assert found("nothing 0171 234 5678 here") == []
