@@ -19,10 +19,12 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crashlens.llm.common import per_text
+from crashlens.session import stage_partitions
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)"
                  r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)"
@@ -216,15 +218,22 @@ def _unpacked(packed: bytes) -> list[tuple[int, str]]:
     return marshal.loads(zlib.decompress(packed))
 
 
-def _paired(rows: Iterator[tuple]) -> Iterator[tuple[tuple, tuple | None]]:
+NOTHING = (None, None)
+
+
+def _paired(rows: Iterator[tuple], before: tuple = NOTHING, ahead: tuple = NOTHING) -> Iterator[tuple]:
     """Every row (page_id, url, host, path, packed lines) with the nearest page of
     its host that is no copy.
 
     Rows that follow each other and are copies form a run; the pages beside the
     run are its neighbours, the one with the closer path counts (the earlier one
-    if equal).
+    if equal). ``before``: the row before these and the last page of the run
+    before that row's; ``ahead``: the row after these and the first page of the
+    run after that row's.
     """
-    held, prior, last, last_lines = _Held(), None, None, None
+    held = _Held()
+    last, prior = before
+    last_lines = _unpacked(last[4]) if last else None
 
     def flush(after):
         for row in held.take():
@@ -241,28 +250,85 @@ def _paired(rows: Iterator[tuple]) -> Iterator[tuple[tuple, tuple | None]]:
             prior = last
         held.add(row, len(row[4]))
         last, last_lines = row, lines
-    yield from flush(None)
+    yield from flush(_beside(last, *ahead))
+
+
+def _beside(row: tuple | None, other: tuple | None, beyond: tuple | None) -> tuple | None:
+    """The page beside the run of ``row``, given the row next to it and the page
+    beside that row's run."""
+    if row is None or other is None or row[2] != other[2]:
+        return None
+    return beyond if are_copies(_unpacked(row[4]), _unpacked(other[4])) else other
+
+
+def _edges(rows: Iterator[tuple]) -> list[tuple[str, tuple]]:
+    """First and last row; unless all are one run, also the first page of the
+    second run and the last page of the run before the last, marked by whether
+    they are of the host of the first or last row."""
+    first = second = prior = last = lines = None
+    for row in rows:
+        now = _unpacked(row[4])
+        if last is None:
+            first = row
+        elif last[2] != row[2] or not are_copies(lines, now):
+            second, prior = second or row, last
+        last, lines = row, now
+    if first is None:
+        return []
+    return [("first", first), ("last", last)] + ([("second", second), ("prior", prior)] if second else [])
+
+
+def _contexts(edges: dict[int, dict[str, tuple]]) -> dict[int, tuple[tuple, tuple]]:
+    """What stands before and after each partition, where a host goes on there."""
+    before, ahead = {}, {}
+    for beside, todo, (near, far, inner) in (
+            (before, sorted(edges), ("first", "last", "prior")),
+            (ahead, sorted(edges, reverse=True), ("last", "first", "second"))):
+        state = NOTHING
+        for part in todo:
+            e = edges[part]
+            beside[part] = state if state[0] and state[0][2] == e[near][2] else NOTHING
+            if inner in e:
+                state = e[far], e[inner] if e[inner][2] == e[far][2] else None
+            else:
+                state = e[far], _beside(e[near], *state)
+    return {part: (before[part], ahead[part]) for part in edges}
 
 
 def extract_pages(pages: DataFrame, ident: str = "page_id") -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages`` (ident, url, html).
 
     Rows are cut into lines, range-partitioned by host and path, which splits
-    hosts of any size, and stream through each task: a page is compared with
-    the nearest page of its host that is no copy of it. Null html gives an empty
+    hosts of any size, and written once; a few rows at the edges of each range
+    go to its neighbours. Then they stream through each task: a page is compared
+    with the nearest page of its host that is no copy of it, in whatever range. Null html gives an empty
     text; a null url is a host of its own; repeated rows give repeated results.
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     rows = pages.select(F.col(ident).cast("long").alias("page_id"), "url", host.alias("host"), path.alias("path"),
                         per_text(lambda: _packed, "lines binary")(F.col("html"))["lines"].alias("lines"))
-    ordered = rows.repartitionByRange("host", "path", "page_id") \
-        .sortWithinPartitions("host", "path", "page_id")
+    ordered = stage_partitions(rows.repartitionByRange("host", "path", "page_id")
+                               .sortWithinPartitions("host", "path", "page_id"))
+
+    def rim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for place, row in _edges(_rows(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (part, place)] + [
+                pa.array([x], t) for x, t in zip(row, (pa.int64(), *[pa.string()] * 3, pa.binary()), strict=True)],
+                ["part", "place", "page_id", "url", "host", "path", "lines"])
+
+    # at most four rows a partition
+    edges: dict[int, dict[str, tuple]] = {}
+    for r in ordered.mapInArrow(rim, "part long, place string, page_id long, url string, host string, path string, "
+                                     "lines binary").collect():
+        edges.setdefault(r["part"], {})[r["place"]] = (*r[2:6], bytes(r["lines"]))
+    contexts = {k: v for k, v in _contexts(edges).items() if v != (NOTHING, NOTHING)}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list = []
         size = 0
-        for row, best in _paired(_rows(batches)):
+        for row, best in _paired(_rows(batches), *contexts.get(TaskContext.get().partitionId(), (NOTHING, NOTHING))):
             text = main_text(_unpacked(row[4]), _unpacked(best[4]) if best else None)
             out.append((row[0], row[1], text))
             size += len(text)

@@ -99,8 +99,20 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_partitions(df: DataFrame) -> DataFrame:
+    """As :func:`stage_table`, but partitions and the order of their rows stay."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    staged = df.checkpoint()
+    path = staged._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if path.isDefined():
+        _delete_on_exit(spark, path.get())
+        _STAGED.append(path.get())
+    return staged
+
+
 def release_staged(spark: SparkSession) -> int:
-    """Delete every folder :func:`stage_table` wrote so far; returns how many.
+    """Delete every folder that staging wrote so far; returns how many.
 
     Call it after the action on a query's result: a DataFrame that still reads
     a staged folder cannot run afterwards.

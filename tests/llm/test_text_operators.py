@@ -296,3 +296,20 @@ def test_pii_finds_grouped_short_and_digitless_identifiers():
     assert found("account no 123456, thanks") == [("card", "123456")]
     assert found("my password: horsebattery is") == [("secret", "horsebattery")]
     assert found("nothing 0171 234 5678 here") == []
+
+
+def test_pages_at_the_edge_of_a_range_see_their_neighbours(spark):
+    page = "<p>Site name</p><p>All topics</p>{}<p>Imprint</p>"
+    data = [(10 * i + c, f"http://a.org/news/{i}", page.format(f"<p>Story number {i}</p><p>Its end {i}</p>"))
+            for i in range(12) for c in range(4 if i % 5 == 2 else 1)]
+    docs = spark.createDataFrame(data, "page_id long, url string, html string")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in (1, 3, 7, 30):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            got = {r["page_id"]: r["text"] for r in page_text.extract_pages(docs).collect()}
+            assert got == {i: f"Story number {i // 10}\nIts end {i // 10}" for i, _, _ in data}, n
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
