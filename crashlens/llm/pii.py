@@ -35,6 +35,7 @@ SECRET = re.compile(r"(?:\b(?:password|passwd|pwd|token|secret|api[_-]?key)\s?[=
 #: What may be an identifier: a run of visible characters. Runs with a digit that
 #: single spaces or hyphens join may also be one together.
 TOKEN = re.compile(r"[^\s\"'<>(){}\[\],;=:]+")
+SHOWN = re.compile(r"[^\s\"]+")
 JOINTS = frozenset((" ", "-", " -", "- "))
 DIGIT = re.compile("[0-9]")
 
@@ -148,6 +149,23 @@ def seeds(text: str):
     return spans
 
 
+def _tokens(text: str, lefts: frozenset[str] | None):
+    """Spans of tokens; with ``lefts``, without most of those that cannot count."""
+    if lefts is None:
+        yield from (m.span() for m in TOKEN.finditer(text))
+        return
+    follows, at = "" in lefts, 0
+    for m in SHOWN.finditer(text):
+        a, b = m.span()
+        # far words are cut by the window of the patterns
+        word = m[0]
+        plain = word.strip(".!?").isalpha()  # one token without a digit
+        if follows or not plain or a - at > 40:
+            yield from (x.span() for x in TOKEN.finditer(text, a, b))
+        known = word.strip(".!?").lower() if plain else _word(word)
+        follows, at = b - a > 40 or known in lefts, b
+
+
 def candidates(text: str, taken, lefts: frozenset[str] | None = None):
     """(first, last) of what may be an identifier and overlaps no seed: every
     token, and every run of tokens with digits joined by a space or hyphen.
@@ -165,11 +183,9 @@ def candidates(text: str, taken, lefts: frozenset[str] | None = None):
         if size > 1 and after_left(begin):
             out.append((begin, end))
 
-    for m in TOKEN.finditer(text):
-        a, b = m.span()
-        shown = m[0].rstrip(".!?-")
-        cut = b - a - len(shown)
-        b -= cut
+    for a, b in _tokens(text, lefts):
+        shown = text[a:b].rstrip(".!?-")
+        b = a + len(shown)
         while k < len(taken) and taken[k][1] <= a:
             k += 1
         free = a < b and (k == len(taken) or b <= taken[k][0])
