@@ -59,7 +59,9 @@ def _is_frame(name: str, attrs: str) -> bool:
         value = next((v for v in values if v), "").lower()
         if key.lower() == "hidden" or key.lower() == "aria-hidden" and value == "true":
             return True
-        if key.lower() in ("class", "id", "role") and not FRAME_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
+        # a name such as has-sidebar or entry-header says something else than its words
+        if key.lower() in ("class", "id", "role") and name != "article" and any(
+                FRAME_WORDS.issuperset(re.findall(r"[a-z0-9]+", n) or [n]) for n in value.split()):
             return True
     return False
 
@@ -85,7 +87,7 @@ def page_lines(html: str) -> list[tuple[int, str]]:
         if a < b and (not skip or head_only and heading):
             held.append(html[a:b])
 
-    at = 0
+    at, endless = 0, set()
     while True:
         m = TAG.search(html, at)
         if m is None:
@@ -96,9 +98,10 @@ def page_lines(html: str) -> list[tuple[int, str]]:
             continue
         name, closes = m["name"].lower(), bool(m["close"])
         if name in RAW and not closes:
-            if name not in ("head", "select", "svg", "math", "object", "audio", "video") \
-                    or re.search(f"</{name}\\b", html[at:at + 1_000_000], re.I):
+            if name not in endless:
                 end = re.compile(f"</{name}\\b[^>]*>", re.I).search(html, at)
+                if end is None:
+                    endless.add(name)  # nor is there one for later elements
                 at = end.end() if end else len(html) if name in ("script", "style") else at
             continue
         if name in BLOCKS:

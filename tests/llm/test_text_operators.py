@@ -313,3 +313,10 @@ def test_pages_at_the_edge_of_a_range_see_their_neighbours(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_class_names_count_whole_and_long_elements_end():
+    assert page_text.page_lines('<article class="post has-sidebar comments"><div class="entry-header"><h1>Head</h1></div>'
+                                '<p>Text</p><div class="cookie-banner">ad</div></article>') == [(2, "Head"), (2, "Text")]
+    assert page_text.page_lines('<div class="content no-sidebar"><p>Text</p></div>') == [(0, "Text")]
+    assert page_text.page_lines("<p>a</p><svg>" + "<text>x</text>" * 90_000 + "</svg><p>b</p>") == [(0, "a"), (0, "b")]
