@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlens.llm import (byte_bpe, labelled, license_scan, mixing, ngram_join, page_text, pii, quality_model,
+from crashlens.llm import (byte_bpe, collocations, labelled, license_scan, mixing, ngram_join, page_text, pii, quality_model,
                            quality_rules, topk, toxicity)
 from crashlens.llm.common import table
 from crashlens.session import ensure_checkpoint_dir, stage_table
@@ -150,3 +150,50 @@ def op8(spark, sf):
 @register("op7_ngram_join")
 def op7(spark, sf):
     return ngram_join.ngram_join(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+COLLOCATION_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM docs),
+lists AS (
+  SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+one AS (SELECT lang, unnest(w) AS phrase FROM lists),
+two AS (
+  SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS phrase FROM lists),
+three AS (
+  SELECT lang, unnest(list_transform(range(1, len(w) - 1),
+    lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS phrase FROM lists WHERE len(w) > 2),
+f AS (
+  SELECT lang, phrase, 1 AS size, count(*) AS n FROM one GROUP BY ALL
+  UNION ALL SELECT lang, phrase, 2, count(*) FROM two GROUP BY ALL HAVING count(*) >= 10
+  UNION ALL SELECT lang, phrase, 3, count(*) FROM three GROUP BY ALL HAVING count(*) >= 10),
+cand AS (SELECT lang, phrase, size, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10),
+inside AS (
+  SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, a FROM cand WHERE size = 3),
+kept AS (
+  SELECT * FROM cand c WHERE NOT EXISTS (
+    SELECT 1 FROM inside i WHERE c.size = 2 AND i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.a >= 50 * c.a)),
+cuts AS (
+  SELECT lang, phrase, size, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM kept)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.n AS l, y.n AS r,
+    CAST((1000000 * CAST(c.a AS HUGEINT) * c.a) // (CAST(x.n AS HUGEINT) * y.n) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.x JOIN f y ON y.lang = c.lang AND y.phrase = c.y),
+lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS turn FROM scored),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest WHERE turn = 1)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score
+FROM ranked r JOIN (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang) t ON t.lang = r.lang
+WHERE r.rank <= 2000
+"""
+
+
+@register("op11_collocations", COLLOCATION_SQL)
+def op11(spark, sf):
+    return collocations.mine_collocations(table(spark, sf, "documents"))
