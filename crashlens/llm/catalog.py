@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlens.llm import (byte_bpe, collocations, labelled, license_scan, mixing, ngram_join, page_text, pii, quality_model,
+from crashlens.llm import (byte_bpe, collocations, labelled, license_scan, merkle, mixing, ngram_join, page_text, pii, quality_model,
                            quality_rules, topk, toxicity)
 from crashlens.llm.common import table
 from crashlens.session import ensure_checkpoint_dir, stage_table
@@ -197,3 +197,68 @@ WHERE r.rank <= 2000
 @register("op11_collocations", COLLOCATION_SQL)
 def op11(spark, sf):
     return collocations.mine_collocations(table(spark, sf, "documents"))
+
+
+#: Unsigned CRC-32 of a decimal number: eight shifts for each of its digits.
+_CRC = """(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({x}, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda v, _: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))))"""
+
+
+def _field_sql(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(CAST({value} AS VARCHAR)) || ':' || {value} END"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_UP_SQL = """SELECT g, level + 1, list_transform(range(0, (len(hs) + 2) // 3),
+    lambda i: sha256(array_to_string(hs[3 * i + 1:3 * i + 3], ''))) FROM {t} WHERE len(hs) > 1"""
+
+MERKLE_SQL = f"""
+WITH RECURSIVE base AS (
+  SELECT doc_id, source, {_leaf_sql('text')} AS leaf,
+    CASE WHEN text IS NOT NULL AND xor({_CRC.format(x="CAST(doc_id AS VARCHAR)")}, 4294967295) % 2 = 0
+      THEN {_leaf_sql("replace(text, chr(10), '')")} END AS found
+  FROM documents),
+leaves AS (
+  SELECT *, coalesce('v' || source, 'n') AS g, row_number() OVER (
+    PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, found) - 1 AS place FROM base),
+tree(g, level, hs) AS (
+  SELECT g, 0, list(leaf ORDER BY place) FROM leaves GROUP BY g
+  UNION ALL {_UP_SQL.format(t='tree')}),
+subs AS (
+  SELECT g, hs[1] AS subroot, row_number() OVER (ORDER BY g) - 1 AS turn FROM tree WHERE len(hs) = 1),
+top(g, level, hs) AS (
+  SELECT 'all', 0, list(subroot ORDER BY turn) FROM subs
+  UNION ALL {_UP_SQL.format(t='top')}),
+steps AS (
+  SELECT l.g, l.place, t.level AS level, t.hs, CAST(floor(l.place / pow(3, t.level)) AS BIGINT) AS p
+  FROM leaves l JOIN tree t ON t.g = l.g AND len(t.hs) > 1
+  UNION ALL
+  SELECT l.g, l.place, 1000 + t.level, t.hs, CAST(floor(s.turn / pow(3, t.level)) AS BIGINT)
+  FROM leaves l JOIN subs s ON s.g = l.g JOIN top t ON len(t.hs) > 1),
+sides AS (
+  SELECT g, place, row_number() OVER (PARTITION BY g, place ORDER BY level) AS turn,
+    array_to_string(hs[p - p % 3 + 1:p], '') AS x, array_to_string(hs[p + 2:p - p % 3 + 3], '') AS y FROM steps),
+proof AS (
+  SELECT g, place, string_agg(x || y, '' ORDER BY turn) AS joined FROM sides GROUP BY g, place),
+folding(g, place, turn, h) AS (
+  SELECT g, place, 0, coalesce(found, leaf) FROM leaves
+  UNION ALL
+  SELECT f.g, f.place, f.turn + 1, sha256(s.x || f.h || s.y) FROM folding f
+  JOIN sides s ON s.g = f.g AND s.place = f.place AND s.turn = f.turn + 1),
+folded AS (SELECT g, place, arg_max(h, turn) AS h FROM folding GROUP BY g, place)
+SELECT l.doc_id, l.leaf, s.subroot, r.hs[1] AS root, sha256(coalesce(p.joined, '')) AS proof_sha256,
+  f.h AS folded_root, f.h = r.hs[1] AS verified
+FROM leaves l JOIN subs s ON s.g = l.g JOIN top r ON len(r.hs) = 1 JOIN folded f ON f.g = l.g AND f.place = l.place
+LEFT JOIN proof p ON p.g = l.g AND p.place = l.place
+"""
+
+
+@register("op13_merkle_manifest", MERKLE_SQL)
+def op13(spark, sf):
+    half = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return merkle.manifest(table(spark, sf, "documents"),
+                           F.when(half, F.replace(F.col("text"), F.lit("\n"), F.lit(""))))

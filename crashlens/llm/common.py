@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
+from crashlens.session import stage_table
+
 #: Most rows of a table that a join may broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 100_000
 
@@ -39,6 +41,30 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> Data
     return big.join(small, on, how)
 
 
+def in_order(rows: DataFrame, keys: list[str], name: str, group: str) -> DataFrame:
+    """``rows`` with ``place``, their position from 0 within ``group`` (the first of
+    ``keys``, never null) in the order of ``keys``, nulls first, and ``size``, the
+    group's number of rows.
+
+    No group comes together in one task: rows are dealt in ranges of ``keys``
+    and written, and a place is that in the range plus the rows of the group in
+    earlier ranges, a table of one row a range and group. Pass a written table,
+    as ranges are found by sampling it, with keys that tell hot rows apart.
+    """
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order) \
+        .withColumn("_at", F.monotonically_increasing_id())  # range and row within it
+    dealt = stage_table(dealt.withColumn("_range", F.shiftright("_at", 33)), name)
+    parts = dealt.groupBy(group, "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(group)
+    before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    parts = stage_table(parts.select(
+        group, "_range", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum("_n").over(whole).alias("size")), f"{name}-ranges")
+    return join_small(dealt, parts, [group, "_range"]) \
+        .withColumn("place", F.col("_at") + F.col("_shift")).drop("_at", "_range", "_shift")
+
+
 #: The white space that separates words in the digest columns.
 SPACES = " \t\n\x0b\f\r"
 
