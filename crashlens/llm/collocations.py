@@ -1,38 +1,48 @@
 """Phrase collocation mining: phrases whose words meet far more often than by chance.
 
-Phrases are counted level by level, single words, then pairs, then triples: a
-longer phrase is never more frequent than its parts, so only phrases whose parts
-reach the least count are looked at, and nothing that could be a candidate is
-lost. Each task counts in a HAT-trie: a shallow trie of word ids over burstable
-hash containers. When the trie is full, its largest subtrees leave as sorted
-runs; Spark brings the runs of a prefix together and adds them up.
-
-What may extend a phrase is told to the tasks by a Bloom filter of fixed size.
-It has no false negatives, and whatever passes by chance fails the exact count.
+Two passes over the texts. The first counts words and pairs as cells of 2^40
+hashes only: a phrase is never more frequent than its cell, and a longer phrase
+never more than its parts, so what lies in no frequent cell cannot be a
+candidate. The second pass counts words, pairs and triples that are left, word
+by word, in HAT-tries: shallow tries of word ids over burstable hash containers.
+When a task's tries are full, their largest subtrees leave as sorted runs; Spark
+brings the runs of a prefix together and adds them up, and counts are exact.
+
+The frequent cells reach the tasks as a Bloom filter of fixed size. It has no
+false negatives, and whatever passes by chance fails the exact count.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crashlens.session import stage_table
 
-#: Entries that burst a container, entries of a task's tries that make one spill,
+#: Entries that burst a container, entries of a task's tries that make them spill,
 #: and bits of a word's number (a task numbers no more words before it starts anew).
 BURST = 4096
 FULL = 1_000_000
 WORD_BITS = 19
-#: Bits of a Bloom filter (8 MB); more filtered phrases only let more pass.
+#: First words that have a container of their own; the others, which a task met
+#: later and so mostly are rare, share one by ranges of 2^SHARED_BITS numbers.
+OWN, SHARED_BITS = 4096, 10
+#: Bits of a cell, cells that a task holds back to count them, and bits of the
+#: Bloom filter (8 MB); more frequent cells than it tells apart only let more pass.
+CELL_BITS = 40
+CELLS_HELD = 1 << 22
 FILTER_BITS = 1 << 26
-#: Characters of text that are worked on at once.
-SLICE = 1 << 21
+#: Characters of text that are worked on at once, and words of a language.
+SLICE = 1 << 20
+WORDS = 1 << 18
 #: Parts that every prefix is cut into, so that a hot one is many tasks' work.
 PREFIX_PARTS = 16
 #: Parts of a language that are ranked on their own first.
@@ -46,8 +56,7 @@ _MASK = (1 << WORD_BITS) - 1
 
 def words_of(text: str) -> Iterator[list[bytes]]:
     """Words of a text, A-Z lower-cased, as UTF-8, with END behind each piece, in
-    lists of about SLICE characters. A piece is only cut where it exceeds memory
-    anyway: lists end at the end of a piece."""
+    lists of about SLICE characters that end with a piece."""
     at = 0
     while at < len(text):
         end = len(text)
@@ -59,77 +68,74 @@ def words_of(text: str) -> Iterator[list[bytes]]:
 
 
 class HatTrie:
-    """Counts of phrases of ``size`` words, given as packed word ids.
+    """Counts of phrases, given as packed word ids, the first word in the highest bits.
 
-    The root leads from the first word to a hash container of the rest; a
-    container with more than BURST entries bursts into a node that leads from
-    the next word to containers of their own, as long as words are left.
+    The root leads from the first word to a hash container of phrases. The
+    container of one word that grows beyond BURST entries bursts into a node
+    that leads from the second word to containers of their own.
     """
 
-    def __init__(self, size: int):
-        self.depth = size - 1  # levels of words that containers may still be split by
+    def __init__(self):
         self.root: dict[int, dict] = {}
-        self.burst: set[int] = set()
+        self.burst: dict[int, dict[int, dict]] = {}
         self.sizes: dict[int, int] = {}
         self.entries = 0
 
+    @staticmethod
+    def slots(keys: np.ndarray) -> np.ndarray:
+        """Where the root leads to; grows with the key."""
+        first = keys >> (2 * WORD_BITS)
+        return np.where(first < OWN, first, OWN + (first >> SHARED_BITS))
+
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """Add sorted distinct packed phrases (first word in the highest bits)."""
+        """Add sorted distinct phrases."""
         if not len(keys):
             return
-        first = keys >> (2 * WORD_BITS)
-        cuts = np.flatnonzero(np.diff(first)) + 1
-        rest = (keys & ((1 << 2 * WORD_BITS) - 1)).tolist()
-        counts, starts = counts.tolist(), [0, *cuts.tolist(), len(rest)]
-        for k, word in enumerate(first[[0, *cuts.tolist()]].tolist()):
-            a, b = starts[k], starts[k + 1]
-            tree = self.root.setdefault(word, {})
-            before = self.sizes.get(word, 0)
-            grown = 0
-            if word in self.burst:
-                for r, n in zip(rest[a:b], counts[a:b], strict=True):
-                    box = tree.setdefault(r >> WORD_BITS, {})
-                    last = r & _MASK
-                    if last in box:
-                        box[last] += n
-                    else:
-                        box[last] = n
-                        grown += 1
+        slots = self.slots(keys)
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(slots)) + 1, [len(keys)]]).tolist()
+        packed, n = keys.tolist(), counts.tolist()
+        for slot, a, b in zip(slots[starts[:-1]].tolist(), starts, starts[1:], strict=False):
+            had = self.sizes.get(slot, 0)
+            if slot in self.burst:
+                grown = self._into_node(self.burst[slot], packed[a:b], n[a:b])
             else:
-                had = len(tree)
-                for r, n in zip(rest[a:b], counts[a:b], strict=True):
-                    tree[r] = tree.get(r, 0) + n
-                grown = len(tree) - had
-                if len(tree) > BURST and self.depth > 1:
-                    self._split(word)
-            self.sizes[word] = before + grown
+                box = self.root.setdefault(slot, {})
+                for key, count in zip(packed[a:b], n[a:b], strict=True):
+                    box[key] = box.get(key, 0) + count
+                grown = len(box) - had
+                if len(box) > BURST and slot < OWN:
+                    self.burst[slot] = {}
+                    self._into_node(self.burst[slot], box.keys(), box.values())
+                    del self.root[slot]
+            self.sizes[slot] = had + grown
             self.entries += grown
 
-    def _split(self, word: int) -> None:
-        node: dict[int, dict] = {}
-        for r, n in self.root[word].items():
-            node.setdefault(r >> WORD_BITS, {})[r & _MASK] = n
-        self.root[word] = node
-        self.burst.add(word)
+    @staticmethod
+    def _into_node(node: dict[int, dict], keys, counts) -> int:
+        grown = 0
+        for key, count in zip(keys, counts, strict=True):
+            second = key >> WORD_BITS & _MASK
+            box = node.get(second)
+            if box is None:
+                box = node[second] = {}
+            if key in box:
+                box[key] += count
+            else:
+                box[key] = count
+                grown += 1
+        return grown
 
     def spill(self, keep: int) -> tuple[np.ndarray, np.ndarray]:
         """Take whole subtrees out, the largest first, until ``keep`` entries are left."""
-        keys, counts = [], []
-        for word in sorted(self.sizes, key=lambda w: (-self.sizes[w], w)):
+        boxes: list[dict] = []
+        for slot in sorted(self.sizes, key=lambda s: (-self.sizes[s], s)):
             if self.entries <= keep:
                 break
-            tree = self.root.pop(word)
-            high = word << (2 * WORD_BITS)
-            boxes = ((high | (w << WORD_BITS), box) for w, box in tree.items()) if word in self.burst \
-                else [(high, tree)]
-            for top, box in boxes:
-                keys.append(np.fromiter(box.keys(), np.int64, len(box)) | top)
-                counts.append(np.fromiter(box.values(), np.int64, len(box)))
-            self.burst.discard(word)
-            self.entries -= self.sizes.pop(word)
-        if not keys:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(keys), np.concatenate(counts)
+            boxes += self.burst.pop(slot).values() if slot in self.burst else [self.root.pop(slot)]
+            self.entries -= self.sizes.pop(slot)
+        size = sum(map(len, boxes))
+        return (np.fromiter(chain.from_iterable(boxes), np.int64, size),
+                np.fromiter(chain.from_iterable(b.values() for b in boxes), np.int64, size))
 
 
 class _Ids(dict):
@@ -151,171 +157,211 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
-def _places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    return (h % np.uint64(bits)).astype(np.int64), ((h >> np.uint64(33)) % np.uint64(bits)).astype(np.int64)
+def _cells(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
-def _word_hashes(lang: str, words) -> np.ndarray:
-    seed = xxhash.xxh32_intdigest(lang.encode())
-    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64)
-
-
-class _Bloom:
-    def __init__(self, data: bytes):
-        self.bytes = np.frombuffer(data, np.uint8)
-
-    def has(self, h: np.ndarray) -> np.ndarray:
-        found = np.ones(len(h), bool)
-        for at in _places(h, 8 * len(self.bytes)):
-            found &= (self.bytes[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-        return found
+def _places(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of the filter for each cell: by its low and by its high bits."""
+    return cells & (FILTER_BITS - 1), (cells >> 13) & (FILTER_BITS - 1)
 
 
 class _Lang:
-    """What a task knows of one language: word numbers, their hashes and the trie."""
+    """What a task knows of one language: numbers, counts and hashes of its words."""
 
-    def __init__(self, lang: str, size: int):
-        self.lang, self.ids, self.trie = lang, _Ids(), HatTrie(size)
+    def __init__(self, lang: str):
+        self.ids, self.trie = _Ids(), HatTrie()
+        self.seed = xxhash.xxh32_intdigest(lang.encode())
         self.hashes = np.zeros(1, np.uint64)
-        self.known = np.zeros(1, bool)  # a word that passes the filter; the mark never does
+        self.counts = np.zeros(1, np.int64)
 
-    def numbered(self, words: list[bytes], single: _Bloom | None) -> np.ndarray:
+    def numbered(self, words: list[bytes]) -> np.ndarray:
         had = len(self.ids)
         ids = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
         if len(self.ids) > had:
-            fresh = _word_hashes(self.lang, list(self.ids)[had:])
-            self.hashes = np.concatenate([self.hashes, fresh])
-            self.known = np.concatenate([self.known, single.has(fresh) if single else np.ones(len(fresh), bool)])
+            fresh = islice(self.ids, had, None)
+            self.hashes = np.concatenate([self.hashes, np.fromiter(
+                (xxhash.xxh64_intdigest(w, self.seed) for w in fresh), np.uint64, len(self.ids) - had)])
+            self.counts = np.concatenate([self.counts, np.zeros(len(self.ids) - had, np.int64)])
         return ids
 
+    def count(self, ids: np.ndarray) -> None:
+        self.counts += np.bincount(ids, minlength=len(self.counts))
+
 
-def _phrases(state: _Lang, ids: np.ndarray, size: int, pairs: _Bloom | None) -> np.ndarray:
-    """Packed phrases of ``size`` words whose parts pass the filter."""
-    known = state.known[ids]
-    if size == 1:
-        return ids[ids > 0] << (2 * WORD_BITS)
-    both = known[:-1] & known[1:]
-    if size == 2:
-        at = np.flatnonzero(both)
-        return (ids[at] << (2 * WORD_BITS)) | (ids[at + 1] << WORD_BITS)
-    at = np.flatnonzero(both)
-    h = state.hashes[ids]
-    both[at] = pairs.has(_mixed(h[at], h[at + 1]))
-    at = np.flatnonzero(both[:-1] & both[1:])
-    return (ids[at] << (2 * WORD_BITS)) | (ids[at + 1] << WORD_BITS) | ids[at + 2]
-
-
-def _run(state: _Lang, size: int, keep: int) -> Iterator[pa.RecordBatch]:
-    """Spilled subtrees as one run, sorted by prefix and last word."""
-    keys, counts = state.trie.spill(keep)
-    if not len(keys):
-        return
-    words = pa.array(list(state.ids), pa.binary())
-    word = [words.take(pa.array((keys >> (s * WORD_BITS)) & _MASK)).cast(pa.string(), safe=False)
-            for s in (2, 1, 0)][:size]
-    if size == 1:
-        prefix, last = word[0], pa.array([""] * len(keys), pa.string())
-    else:
-        prefix = word[0] if size == 2 else pa.compute.binary_join_element_wise(word[0], word[1], " ")
-        last = word[-1]
-    made = pa.table({"lang": pa.array([state.lang] * len(keys), pa.string()), "prefix": prefix, "last": last,
-                     "n": pa.array(counts)}).sort_by([("prefix", "ascending"), ("last", "ascending")])
-    yield from made.combine_chunks().to_batches(1 << 16)
-
-
-def _slices(langs: list[str], texts: list[str | None]):
-    """(lang, words) of a batch: texts of a language joined up to SLICE characters."""
-    held: dict[str, list] = {}
-    sizes: dict[str, int] = {}
-    for lang, text in zip(langs, texts, strict=True):
-        for words in words_of(text or ""):
-            held.setdefault(lang, []).extend(words)
-            sizes[lang] = sizes.get(lang, 0) + len(words)
-            if sizes[lang] > SLICE // 8:
-                yield lang, held.pop(lang)
-                sizes[lang] = 0
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+    """(lang, words) of (lang, text) batches: whole pieces, a language's texts joined
+    up to about WORDS words, or one piece if it alone is longer."""
+    held: dict[str, list[bytes]] = {}
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for words in words_of(text or ""):
+                    mine = held.setdefault(lang, [])
+                    mine += words
+                    if len(mine) > WORDS:
+                        yield lang, held.pop(lang)
+            if sum(map(len, held.values())) > 4 * WORDS:  # many languages
+                yield from held.items()
+                held = {}
     yield from held.items()
 
 
-def _counting(size: int, filters):
-    """Task function: (lang, text) batches to sorted runs of partial counts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        single, pairs = (None if f is None else _Bloom(f.value) for f in filters)
-        states: dict[str, _Lang] = {}
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                for lang, words in _slices(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    state = states.get(lang)
-                    if state is None:
-                        state = states[lang] = _Lang(lang, size)
-                    for cut in range(0, len(words), 1 << (WORD_BITS - 1)):
-                        # words of the next cut may end a phrase of this one
-                        some = words[cut:cut + (1 << (WORD_BITS - 1)) + size - 1]
-                        if sum(len(s.ids) for s in states.values()) + len(some) > _MASK:
-                            for full in states.values():
-                                yield from _run(full, size, 0)
-                            states = {lang: _Lang(lang, size)}
-                            state = states[lang]
-                        ids = state.numbered(some, single)
-                        if size == 1:
-                            ids = ids[:1 << (WORD_BITS - 1)]
-                        state.trie.add(*np.unique(_phrases(state, ids, size, pairs), return_counts=True))
-                    entries = sum(s.trie.entries for s in states.values())
-                    if entries > FULL:  # the fullest language makes room
-                        most = max(states.values(), key=lambda s: s.trie.entries)
-                        yield from _run(most, size, most.trie.entries // 4)
-        for state in states.values():
-            yield from _run(state, size, 0)
-    return run
+def _numbered(batches: Iterator[pa.RecordBatch], states: dict[str, _Lang], leave) -> Iterator:
+    """Word ids, slice by slice, as (lang, state, ids). Before the numbers run out
+    ``leave()`` yields what the states hold, and all of them start anew."""
+    step = 1 << (WORD_BITS - 1)
+    for lang, words in _slices(batches):
+        for at in range(0, len(words), step):
+            some = words[at:at + step + 2]  # the last two only end phrases of this step
+            if sum(len(s.ids) for s in states.values()) + len(some) > _MASK:
+                yield from leave()
+                states.clear()
+            state = states.get(lang) or states.setdefault(lang, _Lang(lang))
+            yield lang, state, state.numbered(some), min(step, len(some))
 
 
-COUNTS = "lang string, prefix string, last string, n long"
+CELLS = "cell long, n long"
 
 
-def count_phrases(docs: DataFrame, size: int, single=None, pairs=None) -> DataFrame:
-    """lang, prefix (all words but the last; a single word itself), last, n of every
-    phrase of ``size`` words in ``docs`` (lang, text) whose parts pass the filters.
+def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial counts of the cells of words and pairs."""
+    states: dict[str, _Lang] = {}
+    held: list[np.ndarray] = []
 
-    Runs are merged per prefix; every prefix is cut into PREFIX_PARTS parts by its
-    last words, so that a prefix that heads a third of all phrases is many tasks.
-    """
-    runs = docs.select("lang", "text").mapInArrow(_counting(size, (single, pairs)), COUNTS)
-    part = F.pmod(F.xxhash64("last"), F.lit(PREFIX_PARTS))
-    return runs.withColumn("part", part).repartition("lang", "prefix", "part") \
-        .groupBy("lang", "prefix", "part", "last").agg(F.sum("n").alias("n")).drop("part")
+    def made(cells, n):
+        return pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n)], ["cell", "n"])
+
+    def words():
+        for state in states.values():
+            met = np.flatnonzero(state.counts[1:]) + 1
+            yield made(_cells(state.hashes[met]), state.counts[met])
+
+    for item in _numbered(batches, states, words):
+        if isinstance(item, pa.RecordBatch):
+            yield item
+            continue
+        _, state, ids, step = item
+        state.count(ids[:step])
+        ids = ids[:step + 1]
+        at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+        h = state.hashes[ids]
+        held.append(_cells(_mixed(h[at], h[at + 1])))
+        if sum(map(len, held)) > CELLS_HELD:
+            yield made(*np.unique(np.concatenate(held), return_counts=True))
+            held = []
+    yield from words()
+    if held:
+        yield made(*np.unique(np.concatenate(held), return_counts=True))
 
 
 def _filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(place, bits) of the phrases of each batch in a filter of 64-bit cells."""
+    """(place, bits) of the cells of each batch in a filter of 64-bit fields."""
     for batch in batches:
-        langs, prefixes, lasts = (batch.column(i).to_pylist() for i in range(3))
-        h = np.zeros(len(langs), np.uint64)
-        for lang in set(langs):
-            mine = [i for i, x in enumerate(langs) if x == lang]
-            of = _word_hashes(lang, [prefixes[i].encode() for i in mine])
-            if any(lasts[i] for i in mine):
-                of = _mixed(of, _word_hashes(lang, [lasts[i].encode() for i in mine]))
-            h[mine] = of
-        at = np.concatenate(_places(h, FILTER_BITS))
-        cell, where = np.unique(at >> 6, return_inverse=True)
-        bits = np.zeros(len(cell), np.uint64)
+        at = np.concatenate(_places(batch.column(0).to_numpy()))
+        place, where = np.unique(at >> 6, return_inverse=True)
+        bits = np.zeros(len(place), np.uint64)
         np.bitwise_or.at(bits, where, np.uint64(1) << (at & 63).astype(np.uint64))
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(bits.view(np.int64))], ["cell", "bits"])
+        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(bits.view(np.int64))], ["place", "bits"])
 
 
-def bloom_filter(phrases: DataFrame):
-    """Broadcast filter of FILTER_BITS bits over (lang, prefix, last), set in tasks
-    and combined by Spark; at most FILTER_BITS / 64 cells reach the driver."""
-    cells = phrases.select("lang", "prefix", "last").mapInArrow(_filter_bits, "cell long, bits long") \
-        .groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
+def frequent_cells(docs: DataFrame, least: int):
+    """Broadcast filter of FILTER_BITS bits over the cells of words and pairs that are
+    met ``least`` times in ``docs`` (lang, text). Its bits are set in tasks and
+    combined by Spark; at most FILTER_BITS / 64 fields reach the driver."""
+    cells = docs.mapInArrow(_count_cells, CELLS).groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    fields = cells.select("cell").mapInArrow(_filter_bits, "place long, bits long") \
+        .groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
     made = np.zeros(FILTER_BITS // 64, np.int64)
-    made[cells["cell"].to_numpy()] = cells["bits"].to_numpy()
-    return phrases.sparkSession.sparkContext.broadcast(made.astype("<i8").tobytes())
+    made[fields["place"].to_numpy()] = fields["bits"].to_numpy()
+    return docs.sparkSession.sparkContext.broadcast(made.astype("<i8").tobytes())
 
 
-def _phrase(size: int):
-    return F.col("prefix") if size == 1 else F.concat_ws(" ", "prefix", "last")
+COUNTS = "lang string, prefix string, last string, n long"
+
+
+def _run(lang: str, state: _Lang, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Phrases as a run of rows sorted by their words; ``prefix`` is all words but the
+    last, of a single word the word."""
+    words = np.array(list(state.ids), object)
+    parts = [(keys >> (s * WORD_BITS)) & _MASK for s in (2, 1, 0)]
+    used = np.unique(np.concatenate(parts))  # 0 stands for no word
+    names = [b"" if i == 0 else words[i] for i in used.tolist()]
+    rank = np.zeros(len(names), np.int64)
+    rank[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
+    local = [np.searchsorted(used, p) for p in parts]
+    order = np.lexsort([rank[p] for p in reversed(local)])
+    array = pa.array(names, pa.binary()).cast(pa.string())
+    for at in range(0, len(order), 1 << 16):
+        rows = order[at:at + (1 << 16)]
+        one, two, three = (array.take(pa.array(p[rows])) for p in local)
+        long = pa.array(parts[2][rows] > 0)
+        joined = pc.binary_join_element_wise(one, two, " ")
+        yield pa.RecordBatch.from_arrays(
+            [pa.repeat(pa.scalar(lang), len(rows)), pc.if_else(long, joined, one), pc.if_else(long, three, two),
+             pa.array(counts[rows])], ["lang", "prefix", "last", "n"])
+
+
+def _count_phrases(frequent):
+    """Task function: (lang, text) batches to sorted runs of partial counts. A row
+    with an empty prefix counts all words of its language."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states: dict[str, _Lang] = {}
+        bits = np.frombuffer(frequent.value, np.uint8)
+
+        def has(h):
+            found = np.ones(len(h), bool)
+            for at in _places(_cells(h)):
+                found &= (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            return found
+
+        def leave(keep=0):
+            for lang, state in states.items():
+                if not keep:
+                    met = np.flatnonzero(has(state.hashes) & (state.counts > 0))
+                    yield from _run(lang, state, met[met > 0] << (2 * WORD_BITS), state.counts[met[met > 0]])
+                    yield from _run(lang, state, np.zeros(1, np.int64), state.counts[1:].sum(keepdims=True))
+                yield from _run(lang, state, *state.trie.spill(keep * state.trie.entries // 4))
+
+        for item in _numbered(batches, states, leave):
+            if isinstance(item, pa.RecordBatch):
+                yield item
+                continue
+            _, state, ids, step = item
+            state.count(ids[:step])
+            both = (ids[:-1] > 0) & (ids[1:] > 0)
+            at = np.flatnonzero(both)
+            h = state.hashes[ids]
+            both[at] = has(_mixed(h[at], h[at + 1]))
+            at = np.flatnonzero(both[:step])
+            pairs = (ids[at] << (2 * WORD_BITS)) | (ids[at + 1] << WORD_BITS)
+            at = np.flatnonzero((both[:-1] & both[1:])[:step])
+            triples = (ids[at] << (2 * WORD_BITS)) | (ids[at + 1] << WORD_BITS) | ids[at + 2]
+            state.trie.add(*np.unique(np.concatenate([pairs, triples]), return_counts=True))
+            if sum(s.trie.entries for s in states.values()) > FULL:
+                yield from leave(keep=1)
+        yield from leave()
+    return run
+
+
+def count_phrases(docs: DataFrame, least: int = 10) -> DataFrame:
+    """lang, prefix, last, n of every word, pair and triple that ``docs`` (lang, text)
+    hold ``least`` times, and of all words of a language with an empty prefix.
+    ``prefix`` is all words but the last; a single word is a prefix with no last.
+
+    Runs are merged per prefix; every prefix is cut into PREFIX_PARTS parts by its
+    last words, so that a prefix that heads a third of all phrases is many tasks.
+    """
+    frequent = frequent_cells(docs, least)
+    runs = docs.mapInArrow(_count_phrases(frequent), COUNTS)
+    part = F.pmod(F.xxhash64("last"), F.lit(PREFIX_PARTS))
+    counts = runs.withColumn("part", part).repartition("lang", "prefix", "part") \
+        .groupBy("lang", "prefix", "part", "last").agg(F.sum("n").alias("n")).drop("part") \
+        .where((F.col("n") >= least) | (F.col("prefix") == ""))
+    counts = stage_table(counts, "phrases")
+    frequent.unpersist()
+    return counts
 
 
 def mine_collocations(docs: DataFrame, least: int = 10, top: int = 2000) -> DataFrame:
@@ -327,28 +373,27 @@ def mine_collocations(docs: DataFrame, least: int = 10, top: int = 2000) -> Data
     phrase. Long texts are worked on in slices; an empty table, or one where no
     phrase occurs ``least`` times, gives no row. Counts up to 10^14 stay exact.
     """
-    docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-                       F.col("text").alias("text"))
-    every = stage_table(count_phrases(docs, 1), "phrase-words")
-    words = every.where(F.col("n") >= least)
-    single = bloom_filter(words)
-    two = stage_table(count_phrases(docs, 2, single).where(F.col("n") >= least), "phrase-pairs")
-    pairs = bloom_filter(two)
-    three = stage_table(count_phrases(docs, 3, single, pairs).where(F.col("n") >= least), "phrase-triples")
-    for used in (single, pairs):
-        used.unpersist()
-
-    known = words.select("lang", _phrase(1).alias("phrase"), "n").unionByName(
-        two.select("lang", _phrase(2).alias("phrase"), "n"))
-    pair = two.select("lang", _phrase(2).alias("phrase"), F.col("n").alias("a"), F.array(
-        F.struct(F.lit(1).alias("k"), F.col("prefix").alias("first"), F.col("last").alias("rest"))).alias("cuts"))
+    counts = count_phrases(docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
+                                       F.col("text").alias("text")), least)
+    totals = counts.where("prefix = ''").select("lang", "n")
+    counts = counts.where("prefix <> ''")
+    words = F.when(F.col("last") == "", 1).when(F.instr("prefix", " ") == 0, 2).otherwise(3)
+    whole = F.when(F.col("last") == "", F.col("prefix")).otherwise(F.concat_ws(" ", "prefix", "last"))
+    counts = counts.select("lang", "prefix", "last", "n", words.alias("size"), whole.alias("phrase"))
+    known = counts.where("size < 3").select("lang", "phrase", "n")
+    two, three = counts.where("size = 2"), counts.where("size = 3")
+
+    def cut(k: int, first, rest):
+        return F.struct(F.lit(k).alias("k"), first.alias("first"), rest.alias("rest"))
     head, tail = F.substring_index("prefix", " ", 1), F.substring_index("prefix", " ", -1)
-    triple = three.select("lang", _phrase(3).alias("phrase"), F.col("n").alias("a"), F.array(
-        F.struct(F.lit(1).alias("k"), head.alias("first"), F.concat_ws(" ", tail, "last").alias("rest")),
-        F.struct(F.lit(2).alias("k"), F.col("prefix").alias("first"), F.col("last").alias("rest"))).alias("cuts"))
+    end = F.concat_ws(" ", tail, "last")
+    pair = two.select("lang", "phrase", F.col("n").alias("a"),
+                      F.array(cut(1, F.col("prefix"), F.col("last"))).alias("cuts"))
+    triple = three.select("lang", "phrase", F.col("n").alias("a"),
+                          F.array(cut(1, head, end), cut(2, F.col("prefix"), F.col("last"))).alias("cuts"))
     # a pair is dropped for a triple that holds it at least half as often
     inside = three.select("lang", F.col("n").alias("longer"), F.explode(F.array(
-        F.col("prefix"), F.concat_ws(" ", tail, "last"))).alias("phrase")) \
+        F.col("prefix"), end)).alias("phrase")) \
         .groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     pair = pair.join(inside, ["lang", "phrase"], "left") \
         .where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * 50)).drop("longer")
@@ -367,7 +412,6 @@ def mine_collocations(docs: DataFrame, least: int = 10, top: int = 2000) -> Data
     part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
     first = best.withColumn("part", part).withColumn(
         "rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
-    totals = every.groupBy("lang").agg(F.sum("n").alias("n"))
     return first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")) \
         .where(F.col("rank") <= top).join(totals, "lang") \
         .select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
