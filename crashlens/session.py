@@ -91,12 +91,17 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     :func:`release_staged`, or when the session's JVM ends.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
+    path = staged_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder that is deleted like a staged table."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
     _delete_on_exit(spark, path)
     _STAGED.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def stage_partitions(df: DataFrame) -> DataFrame:
