@@ -30,7 +30,7 @@ from crashlens.session import stage_table
 #: Entries that burst a container, entries of a task's tries that make them spill,
 #: and bits of a word's number (a task numbers no more words before it starts anew).
 BURST = 4096
-FULL = 1_000_000
+FULL = 600_000
 WORD_BITS = 19
 #: First words that have a container of their own; the others, which a task met
 #: later and so mostly are rare, share one by ranges of 2^SHARED_BITS numbers.
@@ -38,8 +38,10 @@ OWN, SHARED_BITS = 4096, 10
 #: Bits of a cell, cells that a task holds back to count them, and bits of the
 #: Bloom filter (8 MB); more frequent cells than it tells apart only let more pass.
 CELL_BITS = 40
-CELLS_HELD = 1 << 22
+CELLS_HELD = 1 << 21
 FILTER_BITS = 1 << 26
+#: Rows that a task hands over at once.
+ROWS = 1 << 15
 #: Characters of text that are worked on at once, and words of a language.
 SLICE = 1 << 20
 WORDS = 1 << 18
@@ -231,12 +233,12 @@ def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[np.ndarray] = []
 
     def made(cells, n):
-        return pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n)], ["cell", "n"])
+        return pa.Table.from_arrays([pa.array(cells), pa.array(n)], ["cell", "n"]).to_batches(ROWS)
 
     def words():
         for state in states.values():
             met = np.flatnonzero(state.counts[1:]) + 1
-            yield made(_cells(state.hashes[met]), state.counts[met])
+            yield from made(_cells(state.hashes[met]), state.counts[met])
 
     for item in _numbered(batches, states, words):
         if isinstance(item, pa.RecordBatch):
@@ -249,11 +251,11 @@ def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = state.hashes[ids]
         held.append(_cells(_mixed(h[at], h[at + 1])))
         if sum(map(len, held)) > CELLS_HELD:
-            yield made(*np.unique(np.concatenate(held), return_counts=True))
+            yield from made(*np.unique(np.concatenate(held), return_counts=True))
             held = []
     yield from words()
     if held:
-        yield made(*np.unique(np.concatenate(held), return_counts=True))
+        yield from made(*np.unique(np.concatenate(held), return_counts=True))
 
 
 def _filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,8 +295,8 @@ def _run(lang: str, state: _Lang, keys: np.ndarray, counts: np.ndarray) -> Itera
     local = [np.searchsorted(used, p) for p in parts]
     order = np.lexsort([rank[p] for p in reversed(local)])
     array = pa.array(names, pa.binary()).cast(pa.string())
-    for at in range(0, len(order), 1 << 16):
-        rows = order[at:at + (1 << 16)]
+    for at in range(0, len(order), ROWS):
+        rows = order[at:at + ROWS]
         one, two, three = (array.take(pa.array(p[rows])) for p in local)
         long = pa.array(parts[2][rows] > 0)
         joined = pc.binary_join_element_wise(one, two, " ")
