@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crashlens.llm import (byte_bpe, collocations, labelled, license_scan, merkle, mixing, ngram_join, page_text, pii, quality_model,
-                           quality_rules, topk, toxicity)
+                           quality_rules, token_files, topk, toxicity)
 from crashlens.llm.common import table
 from crashlens.session import ensure_checkpoint_dir, stage_table
 
@@ -262,3 +262,10 @@ def op13(spark, sf):
     half = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
     return merkle.manifest(table(spark, sf, "documents"),
                            F.when(half, F.replace(F.col("text"), F.lit("\n"), F.lit(""))))
+
+
+@register("op12_token_files")
+def op12(spark, sf):
+    import public_tokenizers
+
+    return token_files.token_files(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
