@@ -6,7 +6,8 @@ never more than its parts, so what lies in no frequent cell cannot be a
 candidate. The second pass counts words, pairs and triples that are left, word
 by word, in HAT-tries: shallow tries of word ids over burstable hash containers.
 When a task's tries are full, their largest subtrees leave as sorted runs; Spark
-brings the runs of a prefix together and adds them up, and counts are exact.
+brings the runs of a prefix together, tasks merge them, and counts are exact. A
+run travels as one compressed row for each partition of prefixes.
 
 The frequent cells reach the tasks as a Bloom filter of fixed size. It has no
 false negatives, and whatever passes by chance fails the exact count.
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crashlens.session import stage_table
@@ -40,8 +41,11 @@ OWN, SHARED_BITS = 4096, 10
 CELL_BITS = 40
 CELLS_HELD = 1 << 21
 FILTER_BITS = 1 << 26
-#: Rows that a task hands over at once.
+#: Rows that a task hands over at once, and merged rows that it holds.
 ROWS = 1 << 15
+MERGED = 1 << 21
+#: Partitions of prefixes for each partition of a shuffle.
+FINER = 4
 #: Characters of text that are worked on at once, and words of a language.
 SLICE = 1 << 20
 WORDS = 1 << 18
@@ -224,38 +228,92 @@ def _numbered(batches: Iterator[pa.RecordBatch], states: dict[str, _Lang], leave
             yield lang, state, state.numbered(some), min(step, len(some))
 
 
+CELL_RUNS = "part int, n long, cells binary, counts binary"
 CELLS = "cell long, n long"
 
 
-def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts of the cells of words and pairs."""
-    states: dict[str, _Lang] = {}
-    held: list[np.ndarray] = []
+def _packed(data) -> bytes:
+    return pa.compress(data, codec="zstd", asbytes=True)
 
+
+def _parts(spark: SparkSession) -> int:
+    return FINER * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _count_cells(parts: int):
+    """Task function: runs of sorted cells of words and pairs, with their counts."""
     def made(cells, n):
-        return pa.Table.from_arrays([pa.array(cells), pa.array(n)], ["cell", "n"]).to_batches(ROWS)
-
-    def words():
-        for state in states.values():
-            met = np.flatnonzero(state.counts[1:]) + 1
-            yield from made(_cells(state.hashes[met]), state.counts[met])
-
-    for item in _numbered(batches, states, words):
-        if isinstance(item, pa.RecordBatch):
-            yield item
-            continue
-        _, state, ids, step = item
-        state.count(ids[:step])
-        ids = ids[:step + 1]
-        at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-        h = state.hashes[ids]
-        held.append(_cells(_mixed(h[at], h[at + 1])))
-        if sum(map(len, held)) > CELLS_HELD:
-            yield from made(*np.unique(np.concatenate(held), return_counts=True))
-            held = []
-    yield from words()
-    if held:
-        yield from made(*np.unique(np.concatenate(held), return_counts=True))
+        cells, where = np.unique(cells, return_inverse=True)
+        n = np.bincount(where, n).astype("<u4")
+        part = cells * parts >> CELL_BITS
+        cuts = np.searchsorted(part, np.arange(parts + 1))
+        rows = [(k, b - a, _packed(cells[a:b].astype("<i8").view("<u1").reshape(-1, 8)[:, :5].T.tobytes()),
+                 _packed(n[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
+        for at in range(0, len(rows), 256):
+            yield pa.RecordBatch.from_pylist(
+                [dict(zip(("part", "n", "cells", "counts"), r, strict=True)) for r in rows[at:at + 256]],
+                pa.schema([("part", pa.int32()), ("n", pa.int64()), ("cells", pa.binary()), ("counts", pa.binary())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states: dict[str, _Lang] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def leave():
+            for state in states.values():
+                met = np.flatnonzero(state.counts[1:]) + 1
+                held.append((_cells(state.hashes[met]), state.counts[met]))
+            if held:
+                yield from made(*map(np.concatenate, zip(*held, strict=True)))
+            held.clear()
+
+        for item in _numbered(batches, states, leave):
+            if isinstance(item, pa.RecordBatch):
+                yield item
+                continue
+            _, state, ids, step = item
+            state.count(ids[:step])
+            ids = ids[:step + 1]
+            at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
+            h = state.hashes[ids]
+            held.append(np.unique(_cells(_mixed(h[at], h[at + 1])), return_counts=True))
+            if sum(len(c) for c, _ in held) > CELLS_HELD:
+                yield from made(*map(np.concatenate, zip(*held, strict=True)))
+                held.clear()
+        yield from leave()
+    return run
+
+
+def _merge_cells(least: int):
+    """Task function: runs to the cells met ``least`` times. Where a task holds more
+    distinct cells than it may, all it has leave as partial counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, n, whole = np.zeros(0, np.int64), np.zeros(0, np.int64), True
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged():
+            found, where = np.unique(np.concatenate([cells, *(c for c, _ in held)]), return_inverse=True)
+            counts = np.bincount(where, np.concatenate([n, *(k for _, k in held)])).astype(np.int64)
+            held.clear()
+            return found, counts
+
+        def made(keep):
+            yield from pa.Table.from_arrays([pa.array(cells[keep]), pa.array(n[keep])], ["cell", "n"]).to_batches(ROWS)
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                wide = np.zeros((row["n"], 8), "<u1")
+                wide[:, :5] = np.frombuffer(pa.decompress(row["cells"], 5 * row["n"], "zstd"), "<u1").reshape(5, -1).T
+                held.append((wide.view("<i8").ravel(), np.frombuffer(
+                    pa.decompress(row["counts"], 4 * row["n"], "zstd"), "<u4").astype(np.int64)))
+                if sum(len(c) for c, _ in held) > MERGED:
+                    cells, n = merged()
+                    if len(cells) > 2 * MERGED:
+                        yield from made(n > 0)
+                        cells, n, whole = cells[:0], n[:0], False
+        cells, n = merged()
+        yield from made(n >= (least if whole else 1))
+    return run
 
 
 def _filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,42 +330,98 @@ def frequent_cells(docs: DataFrame, least: int):
     """Broadcast filter of FILTER_BITS bits over the cells of words and pairs that are
     met ``least`` times in ``docs`` (lang, text). Its bits are set in tasks and
     combined by Spark; at most FILTER_BITS / 64 fields reach the driver."""
-    cells = docs.mapInArrow(_count_cells, CELLS).groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    spark = docs.sparkSession
+    cells = docs.mapInArrow(_count_cells(_parts(spark)), CELL_RUNS).repartition("part") \
+        .mapInArrow(_merge_cells(least), CELLS).groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     fields = cells.select("cell").mapInArrow(_filter_bits, "place long, bits long") \
         .groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
     made = np.zeros(FILTER_BITS // 64, np.int64)
     made[fields["place"].to_numpy()] = fields["bits"].to_numpy()
-    return docs.sparkSession.sparkContext.broadcast(made.astype("<i8").tobytes())
-
-
-COUNTS = "lang string, prefix string, last string, n long"
-
-
-def _run(lang: str, state: _Lang, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Phrases as a run of rows sorted by their words; ``prefix`` is all words but the
-    last, of a single word the word."""
-    words = np.array(list(state.ids), object)
-    parts = [(keys >> (s * WORD_BITS)) & _MASK for s in (2, 1, 0)]
-    used = np.unique(np.concatenate(parts))  # 0 stands for no word
-    names = [b"" if i == 0 else words[i] for i in used.tolist()]
+    return spark.sparkContext.broadcast(made.astype("<i8").tobytes())
+
+
+RUNS = "part int, lang string, phrases binary, size long, counts binary"
+COUNTS = "lang string, phrase string, n long"
+
+
+def _run(lang: str, state: _Lang, keys: np.ndarray, counts: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """Phrases as runs, one for each part of the prefixes (all words but the last; a
+    single word itself), every part in order: a line a phrase, and its counts."""
+    if not len(keys):
+        return
+    ids = [(keys >> (s * WORD_BITS)) & _MASK for s in (2, 1, 0)]
+    one, two, three = (state.hashes[i] for i in ids)
+    prefix = np.where(ids[2] > 0, _mixed(one, two), one)
+    last = np.where(ids[2] > 0, three, two) % np.uint64(PREFIX_PARTS)
+    part = (_mixed(prefix, last) % np.uint64(parts)).astype(np.int64)
+    used = np.unique(np.concatenate(ids))  # 0 stands for no word
+    words = list(state.ids)
+    names = [words[i] if i else b"" for i in used.tolist()]
     rank = np.zeros(len(names), np.int64)
     rank[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
-    local = [np.searchsorted(used, p) for p in parts]
-    order = np.lexsort([rank[p] for p in reversed(local)])
-    array = pa.array(names, pa.binary()).cast(pa.string())
-    for at in range(0, len(order), ROWS):
-        rows = order[at:at + ROWS]
-        one, two, three = (array.take(pa.array(p[rows])) for p in local)
-        long = pa.array(parts[2][rows] > 0)
-        joined = pc.binary_join_element_wise(one, two, " ")
+    local = [np.searchsorted(used, i) for i in ids]
+    order = np.lexsort([*(rank[i] for i in reversed(local)), part])
+    array = pa.array(names, pa.large_binary())
+    first, second, third = (array.take(pa.array(i[order])) for i in local)
+    blank, line = (pa.scalar(x, pa.large_binary()) for x in (b" ", b"\n"))
+    none = pa.scalar(b"", pa.large_binary())
+    lines = pc.binary_join_element_wise(
+        first, pc.if_else(pa.array(ids[1][order] > 0), blank, none), second,
+        pc.if_else(pa.array(ids[2][order] > 0), blank, none), third, line, none)
+    at, text = np.frombuffer(lines.buffers()[1], np.int64), lines.buffers()[2]
+    counts, part = counts[order].astype("<i8"), part[order]
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    for k in range(0, len(cuts) - 1, 256):
+        some = list(zip(cuts[k:k + 257], cuts[k + 1:k + 257], strict=False))
         yield pa.RecordBatch.from_arrays(
-            [pa.repeat(pa.scalar(lang), len(rows)), pc.if_else(long, joined, one), pc.if_else(long, three, two),
-             pa.array(counts[rows])], ["lang", "prefix", "last", "n"])
+            [pa.array(part[[a for a, _ in some]], pa.int32()), pa.array([lang] * len(some), pa.string()),
+             pa.array([_packed(text[int(at[a]):int(at[b])]) for a, b in some], pa.binary()),
+             pa.array([int(at[b] - at[a]) for a, b in some], pa.int64()),
+             pa.array([_packed(counts[a:b].tobytes()) for a, b in some], pa.binary())],
+            ["part", "lang", "phrases", "size", "counts"])
+
+
+def _merge_runs(least: int):
+    """Task function: runs to the phrases met ``least`` times, and the line without
+    a word, which counts all. Where a task holds more distinct phrases than it may,
+    all it has leave as partial counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[pa.Table]] = {}
+        whole, waiting = True, 0
+
+        def merge():
+            for lang, tables in held.items():
+                held[lang] = [pa.concat_tables(tables).group_by("phrase").aggregate([("n", "sum")])
+                              .rename_columns({"n_sum": "n"})]
+
+        def made(least):
+            for lang, (table,) in held.items():
+                table = table.filter(pc.or_(pc.greater_equal(table["n"], least), pc.equal(table["phrase"], b"")))
+                table = table.add_column(0, "lang", pa.repeat(pa.scalar(lang), len(table)))
+                yield from table.set_column(1, "phrase", table["phrase"].cast(pa.string())).to_batches(ROWS)
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                lines = pa.decompress(row["phrases"], row["size"], "zstd", asbytes=True).split(b"\n")[:-1]
+                n = np.frombuffer(pa.decompress(row["counts"], 8 * len(lines), "zstd"), "<i8")
+                held.setdefault(row["lang"], []).append(
+                    pa.table({"phrase": pa.array(lines, pa.binary()), "n": pa.array(n)}))
+                waiting += len(lines)
+                if waiting > MERGED // 2:
+                    merge()
+                    waiting = 0
+                    if sum(len(t) for (t,) in held.values()) > MERGED:
+                        yield from made(1)
+                        held, whole = {}, False
+        merge()
+        yield from made(least if whole else 1)
+    return run
 
 
-def _count_phrases(frequent):
-    """Task function: (lang, text) batches to sorted runs of partial counts. A row
-    with an empty prefix counts all words of its language."""
+def _count_phrases(frequent, parts: int):
+    """Task function: (lang, text) batches to sorted runs of partial counts. The
+    phrase without a word counts all words of its language."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states: dict[str, _Lang] = {}
         bits = np.frombuffer(frequent.value, np.uint8)
@@ -322,9 +436,9 @@ def _count_phrases(frequent):
             for lang, state in states.items():
                 if not keep:
                     met = np.flatnonzero(has(state.hashes) & (state.counts > 0))
-                    yield from _run(lang, state, met[met > 0] << (2 * WORD_BITS), state.counts[met[met > 0]])
-                    yield from _run(lang, state, np.zeros(1, np.int64), state.counts[1:].sum(keepdims=True))
-                yield from _run(lang, state, *state.trie.spill(keep * state.trie.entries // 4))
+                    yield from _run(lang, state, met[met > 0] << (2 * WORD_BITS), state.counts[met[met > 0]], parts)
+                    yield from _run(lang, state, np.zeros(1, np.int64), state.counts[1:].sum(keepdims=True), parts)
+                yield from _run(lang, state, *state.trie.spill(keep * state.trie.entries // 4), parts)
 
         for item in _numbered(batches, states, leave):
             if isinstance(item, pa.RecordBatch):
@@ -348,19 +462,17 @@ def _count_phrases(frequent):
 
 
 def count_phrases(docs: DataFrame, least: int = 10) -> DataFrame:
-    """lang, prefix, last, n of every word, pair and triple that ``docs`` (lang, text)
-    hold ``least`` times, and of all words of a language with an empty prefix.
-    ``prefix`` is all words but the last; a single word is a prefix with no last.
+    """lang, phrase, n of every word, pair and triple that ``docs`` (lang, text) hold
+    ``least`` times, and of all words of a language with an empty phrase.
 
     Runs are merged per prefix; every prefix is cut into PREFIX_PARTS parts by its
     last words, so that a prefix that heads a third of all phrases is many tasks.
+    A last aggregate adds up what a task had to let go in parts.
     """
     frequent = frequent_cells(docs, least)
-    runs = docs.mapInArrow(_count_phrases(frequent), COUNTS)
-    part = F.pmod(F.xxhash64("last"), F.lit(PREFIX_PARTS))
-    counts = runs.withColumn("part", part).repartition("lang", "prefix", "part") \
-        .groupBy("lang", "prefix", "part", "last").agg(F.sum("n").alias("n")).drop("part") \
-        .where((F.col("n") >= least) | (F.col("prefix") == ""))
+    runs = docs.mapInArrow(_count_phrases(frequent, _parts(docs.sparkSession)), RUNS)
+    counts = runs.repartition("part").mapInArrow(_merge_runs(least), COUNTS) \
+        .groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("phrase") == ""))
     counts = stage_table(counts, "phrases")
     frequent.unpersist()
     return counts
@@ -377,11 +489,11 @@ def mine_collocations(docs: DataFrame, least: int = 10, top: int = 2000) -> Data
     """
     counts = count_phrases(docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                                        F.col("text").alias("text")), least)
-    totals = counts.where("prefix = ''").select("lang", "n")
-    counts = counts.where("prefix <> ''")
-    words = F.when(F.col("last") == "", 1).when(F.instr("prefix", " ") == 0, 2).otherwise(3)
-    whole = F.when(F.col("last") == "", F.col("prefix")).otherwise(F.concat_ws(" ", "prefix", "last"))
-    counts = counts.select("lang", "prefix", "last", "n", words.alias("size"), whole.alias("phrase"))
+    totals = counts.where("phrase = ''").select("lang", "n")
+    words = F.split("phrase", " ", -1)
+    counts = counts.where("phrase <> ''").select(
+        "lang", "phrase", "n", F.size(words).alias("size"), F.element_at(words, -1).alias("last"),
+        F.concat_ws(" ", F.slice(words, 1, F.size(words) - 1)).alias("prefix"))
     known = counts.where("size < 3").select("lang", "phrase", "n")
     two, three = counts.where("size = 2"), counts.where("size = 3")
 
