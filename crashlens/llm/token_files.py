@@ -4,8 +4,8 @@ A folder holds two tables. ``codes`` has the code length of every id that
 occurs; canonical codes follow from the lengths alone. ``blocks`` has the ids of
 all documents in order of ``doc_id``, cut into blocks of BLOCK ids that can be
 decoded without any other: the packed codes, the bit offset of every STEP-th id,
-and the pieces of documents the block is made of. Blocks belong to shards, the
-ordered ranges that Spark wrote them by.
+and the pieces of documents the block is made of. Blocks are ordered by their
+shard, a range of doc_id, and their first id's position in it.
 
 Decoding looks codes up in one table and works on all stretches between two
 checkpoints of a block at once.
@@ -13,8 +13,10 @@ checkpoints of a block at once.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,22 +32,30 @@ LONGEST = 16
 #: Ids of a block, and from one checkpoint to the next.
 BLOCK = 1 << 16
 STEP = 256
-#: Words whose ids a task remembers.
-REMEMBERED = 1 << 17
+#: Words whose ids a task remembers, words that shortcuts are tried on, and marks
+#: that end a word of ASCII letters and digits.
+REMEMBERED = 1 << 18
+PROBES = ("a", "zebra", "tokenization", "s", "qxjvzk", "unbelievably")
+ENDS = re.compile(rb"(?<=[A-Za-z0-9])([.,;:!?]+)(?=\s|$)")
 
 CODES = "id int, length int"
 PIECE = "struct<doc_no: long, doc_id: long, n: long>"
-BLOCKS = ("shard int, block long, first long, n long, checkpoints array<int>, payload binary, "
+BLOCKS = ("shard int, first long, n long, checkpoints array<int>, payload binary, "
           f"pieces array<{PIECE}>")
 
 
 # ------------------------------------------------------------------ tokens
 
 class WordTokenizer:
-    """Ids of texts by a tokenizer that no match of which spans white space, as
-    is that of a vocabulary with word ends: the ids of a text are those of its
-    words one after the other. Every word goes through the library once and is
-    then remembered."""
+    """Ids of texts by a tokenizer none of whose matches spans white space, as is
+    that of a vocabulary with word ends: the ids of a text are those of its words
+    one after the other. Every word goes through the library once and is then
+    remembered.
+
+    Three shortcuts make words fewer or cheaper; each is used only if the library
+    gives the same ids for PROBES: A-Z folded to a-z before, sentence marks at the
+    end of a word of their own, and words of a-z alone given straight to the model.
+    """
 
     def __init__(self, path: str):
         import os
@@ -56,19 +66,42 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their names in a text are ordinary text
         self.known: dict[bytes, bytes] = {}
-
-    def ids(self, text: str) -> np.ndarray:
-        words = text.encode().split()  # ASCII white space
-        fresh = list(set(words).difference(self.known))
-        if fresh:
-            if len(self.known) + len(fresh) > REMEMBERED:
-                self.known.clear()
-                fresh = list(set(words))
-            for at in range(0, len(fresh), 4096):
-                part = fresh[at:at + 4096]
-                found = self.library.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-                self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, found, strict=True))
-        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4")
+        self.folds = all(self._whole(w) == self._whole(w.upper()) for w in PROBES)
+        self.parts = all(self._whole(w + m) == self._whole(w) + self._whole(m) for w in PROBES for m in (".", "?!", ",;:"))
+        self.plain = all(self._whole(w) == self._model(w) for w in PROBES)
+
+    def _whole(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def _model(self, word: str) -> list[int]:
+        return [t.id for t in self.library.model.tokenize(word)]
+
+    def _words(self, text: str) -> list[bytes]:
+        data = text.encode()
+        if self.folds:
+            data = data.lower()
+        if self.parts:
+            data = ENDS.sub(rb" \1", data)
+        return data.split()  # at ASCII white space
+
+    def _learn(self, words: set[bytes]) -> None:
+        plain = {w for w in words if w.isalpha() and w.islower()} if self.plain else set()
+        for w in plain:
+            self.known[w] = np.array(self._model(w.decode()), "<u4").tobytes()
+        rest = list(words - plain)
+        found = self.library.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
+        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(rest, found, strict=True))
+
+    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        split = list(map(self._words, texts))
+        fresh = set(chain.from_iterable(split)).difference(self.known)
+        if len(self.known) + len(fresh) > REMEMBERED:
+            self.known.clear()
+            fresh = set(chain.from_iterable(split))
+        self._learn(fresh)
+        for words in split:
+            yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4")
 
 
 # ------------------------------------------------------------------ codes
@@ -156,78 +189,78 @@ def _maker(ids: bytes, lengths: bytes):
 
 # ------------------------------------------------------------------ writing
 
-def _texts(batches: Iterator[pa.RecordBatch], column: int):
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            yield from (t or "" for t in batch.column(column).slice(at, 256).to_pylist())
+IDS = "shard int, doc_no long, doc_id long, first long, n long, ids binary"
 
 
-def _counting(path: str, end: int):
+def _encoding(path: str, end: int, width: str):
+    """Task function: (shard, doc_id, text) in order to the ids of the shard's documents."""
     def run(batches):
-        tokenizer, counts = WordTokenizer(path), np.zeros(end + 1, np.int64)
-        for text in _texts(batches, 0):
-            ids = tokenizer.ids(text)
-            found = np.bincount(ids, minlength=len(counts))
-            found[:len(counts)] += counts
-            counts = found
-            counts[end] += 1
-        met = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(counts[met])], ["id", "n"])
+        tokenizer, doc_no, first = WordTokenizer(path), 0, 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                ids = [np.append(i, np.uint32(end)).astype(width)
+                       for i in tokenizer.ids([t or "" for t in part.column(2).to_pylist()])]
+                n = np.array([len(i) for i in ids])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(np.arange(doc_no, doc_no + len(n))), part.column(1),
+                     pa.array(first + np.cumsum(n) - n), pa.array(n), pa.array([i.tobytes() for i in ids], pa.binary())],
+                    ["shard", "doc_no", "doc_id", "first", "n", "ids"])
+                doc_no, first = doc_no + len(n), first + int(n.sum())
     return run
 
 
-def count_ids(docs: DataFrame, path: str, end: int) -> DataFrame:
-    """id and n over all texts, an end id behind each: a row an id of the vocabulary."""
-    return docs.select("text").mapInArrow(_counting(path, end), "id int, n long") \
-        .groupBy("id").agg(F.sum("n").alias("n"))
+def _counting(width: str):
+    def run(batches):
+        counts = np.zeros(1, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                ids = np.frombuffer(b"".join(batch.column(0).slice(at, 256).to_pylist()), width)
+                found = np.bincount(ids, minlength=len(counts))
+                found[:len(counts)] += counts
+                counts = found
+        met = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(counts[met])], ["id", "n"])
+    return run
 
 
-def _blocks(path: str, end: int, make):
-    """Task function: (shard, doc_id, text) in order to the blocks of the shard."""
+def _blocks(width: str, make):
+    """Task function: rows of IDS in order to blocks."""
     def run(batches):
-        tokenizer, code = WordTokenizer(path), make()
-        shard = block = first = doc_no = held = 0
-        parts: list[np.ndarray] = []
-        pieces: list[tuple] = []
-        ready: list[tuple] = []
+        code = make()
         kind = pa.struct([("doc_no", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64())])
+        schema = pa.schema([("shard", pa.int32()), ("first", pa.int64()), ("n", pa.int64()),
+                            ("checkpoints", pa.list_(pa.int32())), ("payload", pa.binary()), ("pieces", pa.list_(kind))])
+        parts: list[np.ndarray] = []
+        pieces: list[dict] = []
+        shard = first = held = 0
 
         def close():
-            nonlocal block, first, held, parts, pieces
             ids = np.concatenate(parts)
             payload, checkpoints = code.encode(ids)
-            ready.append((shard, block, first, len(ids), checkpoints, payload,
-                          [dict(zip(("doc_no", "doc_id", "n"), p, strict=True)) for p in pieces]))
-            block, first, held, parts, pieces = block + 1, first + len(ids), 0, [], []
-
-        def made():
-            types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary(), pa.list_(kind)]
-            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*ready, strict=True), types, strict=True)],
-                                             [f.split()[0] for f in BLOCKS.split(", ")][:7])
-            ready.clear()
-            return out
+            row = {"shard": shard, "first": first, "n": len(ids), "checkpoints": checkpoints, "payload": payload,
+                   "pieces": list(pieces)}
+            parts.clear()
+            pieces.clear()
+            return pa.RecordBatch.from_pylist([row], schema)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                for s, doc_id, text in zip(*(part.column(c).to_pylist() for c in range(3)), strict=True):
-                    shard = s
-                    ids = np.append(tokenizer.ids(text or ""), np.uint32(end))
-                    taken = 0
+                for row in batch.slice(at, 256).to_pylist():
+                    if parts and (row["shard"], row["first"]) != (shard, first + held):
+                        yield close()
+                    ids, taken = np.frombuffer(row["ids"], width).astype(np.int64), 0
                     while taken < len(ids):
+                        if not parts:
+                            shard, first, held = row["shard"], row["first"] + taken, 0
                         some = ids[taken:taken + BLOCK - held]
                         parts.append(some)
-                        pieces.append((doc_no, doc_id, len(some)))
+                        pieces.append({"doc_no": row["doc_no"], "doc_id": row["doc_id"], "n": len(some)})
                         taken, held = taken + len(some), held + len(some)
                         if held == BLOCK:
-                            close()
-                    doc_no += 1
-                    if len(ready) >= 16:
-                        yield made()
+                            yield close()
         if parts:
-            close()
-        if ready:
-            yield made()
+            yield close()
     return run
 
 
@@ -236,22 +269,30 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end: int = 2) ->
 
     ``path`` is the tokenizer's file, ``end`` the id behind each document. Null
     texts are empty; null ids come first; rows of one id are in order of a hash of
-    their text, and equal rows are as many documents. Texts are read twice and
-    whole: once to count ids, whose number the vocabulary bounds, and once in
-    order, dealt in ranges of doc_id, so no file of plain ids is ever written.
+    their text, and equal rows are as many documents. Texts are read whole and
+    dealt in ranges of doc_id before they are encoded; the ids are written once
+    without a code, as their counts come first. A long document spans blocks.
     Other columns are not looked at; an empty table gives empty files.
     """
+    from tokenizers import Tokenizer
+
     spark = docs.sparkSession
+    width = "<u2" if max(end + 1, Tokenizer.from_file(path).get_vocab_size()) <= 1 << 16 else "<u4"
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    counts = count_ids(docs, path, end).toPandas().sort_values("id")
-    ids, lengths = (a.astype("<i4") for a in (counts["id"].to_numpy(), code_lengths(counts["n"].to_numpy())))
-    spark.createDataFrame(list(zip(ids.tolist(), lengths.tolist(), strict=True)), CODES).coalesce(1) \
-        .write.mode("overwrite").parquet(f"{folder}/codes")
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("row")]
     dealt = docs.withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()}) \
         .repartitionByRange(*order).sortWithinPartitions(*order) \
         .select(F.spark_partition_id().alias("shard"), "doc_id", "text")
-    dealt.mapInArrow(_blocks(path, end, _maker(ids.tobytes(), lengths.tobytes())), BLOCKS) \
+    plain = staged_path(spark, "token-ids")
+    dealt.mapInArrow(_encoding(path, end, width), IDS).write.option("compression", "zstd").parquet(plain)
+    rows = spark.read.schema(IDS).parquet(plain)
+    # a row an id of the vocabulary
+    counts = rows.select("ids").mapInArrow(_counting(width), "id int, n long") \
+        .groupBy("id").agg(F.sum("n").alias("n")).toPandas().sort_values("id")
+    ids, lengths = (a.astype("<i4") for a in (counts["id"].to_numpy(), code_lengths(counts["n"].to_numpy())))
+    spark.createDataFrame(list(zip(ids.tolist(), lengths.tolist(), strict=True)), CODES).coalesce(1) \
+        .write.mode("overwrite").parquet(f"{folder}/codes")
+    rows.mapInArrow(_blocks(width, _maker(ids.tobytes(), lengths.tobytes())), BLOCKS) \
         .write.mode("overwrite").parquet(f"{folder}/blocks")
 
 
@@ -280,7 +321,7 @@ def join_crc(first: int, second: int, size: int) -> int:
 
 
 def _pieces(make):
-    """Task function: blocks to (shard, doc_no, block, doc_id, start, n, crc) of their pieces."""
+    """Task function: blocks to (shard, doc_no, doc_id, start, n, crc) of their pieces."""
     def run(batches):
         code = make()
         for batch in batches:
@@ -290,12 +331,12 @@ def _pieces(make):
                 at, out = 0, []
                 for piece in row["pieces"]:
                     own = ids[at:at + piece["n"]]
-                    out.append((row["shard"], piece["doc_no"], row["block"], piece["doc_id"],
-                                row["first"] + at, piece["n"], zlib.crc32(own)))
+                    out.append((row["shard"], piece["doc_no"], piece["doc_id"], row["first"] + at, piece["n"],
+                                zlib.crc32(own)))
                     at += piece["n"]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int32() if k == 0 else pa.int64()) for k, c in enumerate(zip(*out, strict=True))],
-                    ["shard", "doc_no", "block", "doc_id", "start", "n", "crc"])
+                    ["shard", "doc_no", "doc_id", "start", "n", "crc"])
     return run
 
 
@@ -329,12 +370,12 @@ def document_digests(spark: SparkSession, folder: str) -> DataFrame:
     little-endian unsigned 32-bit integers) of every document, decoded from files."""
     blocks, codes = read_blocks(spark, folder)
     code = _maker(codes["id"].to_numpy("<i4").tobytes(), codes["length"].to_numpy("<i4").tobytes())
-    shift = blocks.select("shard", "block", (F.col("first") + F.col("before")).alias("first"), "n", "checkpoints",
-                          "payload", "pieces")
-    found = shift.mapInArrow(_pieces(code), "shard int, doc_no long, block long, doc_id long, start long, n long, crc long")
+    placed = blocks.select("shard", (F.col("first") + F.col("before")).alias("first"), "n", "checkpoints", "payload",
+                           "pieces")
+    found = placed.mapInArrow(_pieces(code), "shard int, doc_no long, doc_id long, start long, n long, crc long")
     docs = found.groupBy("shard", "doc_no").agg(
         F.max("doc_id").alias("doc_id"), F.min("start").alias("start"), F.sum("n").alias("n_tokens"),
-        F.array_sort(F.collect_list(F.struct("block", "crc", "n"))).alias("parts"))
+        F.array_sort(F.collect_list(F.struct("start", "crc", "n"))).alias("parts"))
     return docs.select("doc_id", "start", "n_tokens", _joined()("parts").alias("ids_crc32"))
 
 
