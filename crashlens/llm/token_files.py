@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -32,11 +33,17 @@ LONGEST = 16
 #: Ids of a block, and from one checkpoint to the next.
 BLOCK = 1 << 16
 STEP = 256
-#: Words whose ids a task remembers, words that shortcuts are tried on, and marks
-#: that end a word of ASCII letters and digits.
+#: Words whose ids a task remembers, and words that shortcuts are tried on.
 REMEMBERED = 1 << 18
-PROBES = ("a", "zebra", "tokenization", "s", "qxjvzk", "unbelievably")
-ENDS = re.compile(rb"(?<=[A-Za-z0-9])([.,;:!?]+)(?=\s|$)")
+PROBES = ("zebra", "tokenization", "qxjvzk", "s", "gr\xf6\xdfe", "\xf1and\xfa", "x.", "a@b-c.de", "(+41)", "\"so\"?!", "2026,")
+#: Simple characters: a-z, small letters of Latin-1, digits, signs without the apostrophe.
+_LETTER = rb"[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]"
+SIMPLE = re.compile(rb"(?:[!-&(-@\[-~]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+UNIT = re.compile(rb"(?:" + _LETTER + rb")+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+#: How byte-level vocabularies show a byte: printable ones of Latin-1 as they are,
+#: the others, in order, from U+0100 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+SHOWN = dict(zip(sorted(set(range(256)) - set(_PRINTED)), range(0x100, 0x200)))
 
 CODES = "id int, length int"
 PIECE = "struct<doc_no: long, doc_id: long, n: long>"
@@ -52,9 +59,10 @@ class WordTokenizer:
     one after the other. Every word goes through the library once and is then
     remembered.
 
-    Three shortcuts make words fewer or cheaper; each is used only if the library
-    gives the same ids for PROBES: A-Z folded to a-z before, sentence marks at the
-    end of a word of their own, and words of a-z alone given straight to the model.
+    Two shortcuts make words fewer or cheaper; each is used only if the library
+    gives the same ids for PROBES: A-Z folded to a-z before, and words of simple
+    characters split into runs of letters, digits and runs of signs, which the
+    library's model takes one by one.
     """
 
     def __init__(self, path: str):
@@ -65,36 +73,36 @@ class WordTokenizer:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their names in a text are ordinary text
+        self.model = self.library.model
         self.known: dict[bytes, bytes] = {}
-        self.folds = all(self._whole(w) == self._whole(w.upper()) for w in PROBES)
-        self.parts = all(self._whole(w + m) == self._whole(w) + self._whole(m) for w in PROBES for m in (".", "?!", ",;:"))
-        self.plain = all(self._whole(w) == self._model(w) for w in PROBES)
+        self.folds = all(self._whole(w) == self._whole(w.upper()) for w in PROBES[:4])
+        self.plain = all(self._whole(w) == np.frombuffer(self._simple(w.encode()), "<u4").tolist() for w in PROBES)
 
     def _whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def _model(self, word: str) -> list[int]:
-        return [t.id for t in self.library.model.tokenize(word)]
-
-    def _words(self, text: str) -> list[bytes]:
-        data = text.encode()
-        if self.folds:
-            data = data.lower()
-        if self.parts:
-            data = ENDS.sub(rb" \1", data)
-        return data.split()  # at ASCII white space
+    def _simple(self, word: bytes) -> bytes:
+        """Ids of a word of simple characters."""
+        if word.isalpha():
+            return array("I", [t.id for t in self.model.tokenize(word.decode())]).tobytes()
+        out = []
+        for unit in UNIT.findall(word):
+            ids = self.known.get(unit) if unit != word else None
+            out.append(ids or array("I", [t.id for t in self.model.tokenize(unit.decode("latin-1").translate(SHOWN))])
+                       .tobytes())
+        return b"".join(out)
 
     def _learn(self, words: set[bytes]) -> None:
-        plain = {w for w in words if w.isalpha() and w.islower()} if self.plain else set()
-        for w in plain:
-            self.known[w] = np.array(self._model(w.decode()), "<u4").tobytes()
-        rest = list(words - plain)
+        simple = [w for w in words if SIMPLE.fullmatch(w)] if self.plain else []
+        self.known.update((w, self._simple(w)) for w in simple)
+        rest = list(words.difference(simple))
         found = self.library.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(rest, found, strict=True))
+        self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(rest, found, strict=True))
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
-        split = list(map(self._words, texts))
+        folded = (t.encode().lower() if self.folds else t.encode() for t in texts)
+        split = [data.split() for data in folded]  # at ASCII white space
         fresh = set(chain.from_iterable(split)).difference(self.known)
         if len(self.known) + len(fresh) > REMEMBERED:
             self.known.clear()
