@@ -1058,3 +1058,66 @@ def q_smote_counts_v4_train(spark, sf):
         F.col("crash_id").alias("id"), F.col("severity_class").alias("label"),
         F.array(*[F.col(f) for f in fm.features]).alias("vec"))
     return _smote_counts(RS.smote(train, k=5, probe=None))
+
+
+# ---------------------------------------------------------------- training jobs (G3-G5, G8): facts that SQL can state
+
+#: Settings of the registered jobs; the estimators' own defaults are the reference's.
+JOB = {"logistic": {"max_iter": 100}, "random_forest": {"trees": 50}, "softmax": {"rounds": 5}}
+
+
+def _sums_to_one(scored: DataFrame, by: str = "severity_class") -> DataFrame:
+    p = [F.col(c) for c in PROB_COLS]
+    fine = (F.abs(p[0] + p[1] + p[2] - 1) < 1e-9) & (F.least(*p) >= 0) & F.col("predicted_class").isin(*K.CLASSES)
+    return scored.groupBy(by).agg(F.count(F.lit(1)).alias("test_rows"), F.sum(fine.cast("long")).alias("sums_to_one"))
+
+
+@register("softmax_boosting_v4", with_crashes(
+    "SELECT severity_class, count(*) AS test_rows, count(*) AS sums_to_one, CAST(20 AS BIGINT) AS rounds, "
+    "true AS loss_falls_each_round FROM v4rows WHERE is_test GROUP BY severity_class", *_V4_CTES))
+def q_softmax_boosting_v4(spark, sf):
+    fm = _v4_matrix(spark, sf)
+    model = TRN.fit(fm.df.where(~F.col("is_test")), fm.features, "softmax", rounds=20)
+    falls = all(b < a for a, b in zip(model.losses, model.losses[1:]))
+    return _sums_to_one(TRN.score(model, fm.df.where(F.col("is_test")))).withColumns(
+        {"rounds": F.lit(len(model.rounds)).cast("long"), "loss_falls_each_round": F.lit(falls)})
+
+
+def _version_sql(rows: str, ctes: tuple, smote: bool = False) -> str:
+    train = "max(train) OVER ()" if smote else "train"
+    return with_crashes(
+        f"SELECT severity_class, {train} AS train_rows, {train} - train AS synthetic_rows, test AS test_rows, "
+        "3 * test AS sums_to_one, true AS best_is_largest FROM (SELECT severity_class, "
+        "count(*) FILTER (WHERE NOT is_test) AS train, count(*) FILTER (WHERE is_test) AS test FROM ("
+        "SELECT severity_class, row_number() OVER (PARTITION BY severity_class ORDER BY "
+        f"{_md5_32("crash_id || ':42'")}, crash_id) <= (count(*) OVER (PARTITION BY severity_class) * 20 + 99) // 100 "
+        f"AS is_test FROM {rows}) a GROUP BY 1) b", *ctes)
+
+
+def _version_facts(matrix, smote: bool = False) -> DataFrame:
+    from functools import reduce
+    from crashlens.session import stage_table
+    matrix.df = stage_table(matrix.df, "version-matrix")
+    job = TRN.train_version(matrix, smote=smote, settings=JOB)
+    f1 = {r["name"]: r["macro_f1"] for r in job["results"].collect()}  # a row a model
+    made = F.sum(F.col("is_synthetic").cast("long")) if smote else F.lit(0).cast("long")
+    train = job["train"].groupBy("severity_class").agg(F.count(F.lit(1)).alias("train_rows"), made.alias("synthetic_rows"))
+    scored = reduce(DataFrame.unionByName, [_sums_to_one(TRN.score(m, job["test"])) for m in job["models"].values()])
+    scored = scored.groupBy("severity_class").agg(F.max("test_rows").alias("test_rows"),
+                                                  F.sum("sums_to_one").alias("sums_to_one"))
+    return train.join(scored, "severity_class").withColumn("best_is_largest", F.lit(f1[job["best"]] == max(f1.values())))
+
+
+@register("training_v1", _version_sql("v1rows", _V1_CTES))
+def q_training_v1(spark, sf):
+    return _version_facts(PF.build_v1(crashes(spark, sf)))
+
+
+@register("training_v2", _version_sql("v2rows", _V2_CTES))
+def q_training_v2(spark, sf):
+    return _version_facts(PF.build_v2(crashes(spark, sf)))
+
+
+@register("training_v3_smote", _version_sql("v2rows", _V2_CTES, smote=True))
+def q_training_v3_smote(spark, sf):
+    return _version_facts(PF.build_v2(crashes(spark, sf)), smote=True)

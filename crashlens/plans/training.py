@@ -4,10 +4,10 @@ Spark ML replaces the single-machine estimators:
 
 * logistic regression, 1000 iterations, class-weighted (G3)
 * random forest, 200 trees of Spark's default depth 5, class-weighted (G4)
-* gradient boosting, multiclass: ``OneVsRest(GBTClassifier)`` with balanced
-  or manual weights (G5). Spark's GBT is binary; each class model's margin
-  ``m`` gives ``sigmoid(2m)``, and the three are normalised to sum to 1 --
-  usable for ranking and thresholds, but not calibrated like a softmax.
+* gradient boosting, multiclass: ``softmax``, trees of all classes boosted
+  together (:mod:`crashlens.plans.boosting`), with balanced or manual weights
+  (G5). ``gbt_ovr`` is Spark's binary GBT one-vs-rest; each class model's margin
+  ``m`` gives ``sigmoid(2m)``, normalised to sum to 1, which is not calibrated.
 * binary gradient boosting, Safe vs Elevated (G6)
 
 Every model is a ``PipelineModel`` (assembler + estimator) scored in one
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from crashlens import constants as K
 from crashlens.operators import metrics as M
 from crashlens.operators import split
+from crashlens.plans.boosting import SoftmaxBoosting, fit_softmax
 from crashlens.session import stage_table
 from crashlens.sources.sinks import path_exists
 
@@ -63,8 +64,9 @@ def estimator(kind: str, weight_col: str | None = "weight", seed: int = 42,
 
 
 def fit(train: DataFrame, features: list[str], kind: str, label_col: str = "severity_class",
-        weights: str | dict | None = "balanced", **kw) -> PipelineModel:
-    """Fit assembler + label index + estimator on ``train``.
+        weights: str | dict | None = "balanced", **kw) -> PipelineModel | SoftmaxBoosting:
+    """Fit assembler + label index + estimator on ``train``; kind ``softmax``
+    takes the settings of :func:`fit_softmax`.
 
     ``weights``: ``"balanced"`` (n / (k n_class)), a fixed class map, or None.
     """
@@ -79,6 +81,8 @@ def fit(train: DataFrame, features: list[str], kind: str, label_col: str = "seve
         df, wcol = split.with_weights(df, label_col), "weight"
     elif isinstance(weights, dict):
         df, wcol = split.with_weights(df, label_col, manual=weights), "weight"
+    if kind == "softmax":
+        return fit_softmax(df, features, label_col, list(K.CLASSES), weight_col=wcol, **kw)
     stages = [VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")]
     if not binary:
         stages.append(label_indexer(label_col))
@@ -86,9 +90,11 @@ def fit(train: DataFrame, features: list[str], kind: str, label_col: str = "seve
     return Pipeline(stages=stages).fit(df)
 
 
-def score(model: PipelineModel, df: DataFrame, classes: list[str] = K.CLASSES) -> DataFrame:
+def score(model: PipelineModel | SoftmaxBoosting, df: DataFrame, classes: list[str] = K.CLASSES) -> DataFrame:
     """Batch scoring (G7): class probabilities as ``p_high, p_low, p_medium``
     (or ``p_elevated`` for binary models) plus the argmax ``prediction``."""
+    if isinstance(model, SoftmaxBoosting):
+        return model.scored(df, PROB_COLS).withColumn("predicted_class", M.argmax_class(PROB_COLS, classes))
     out = model.transform(df)
     est = model.stages[-1]
     if "probability" in out.columns:
@@ -115,11 +121,13 @@ def evaluate(scored: DataFrame, name: str, label_col: str = "severity_class",
     return M.summary_metrics(rep).select(F.lit(name).alias("name"), "accuracy", "macro_f1")
 
 
-def feature_importance(model: PipelineModel, features: list[str], top_k: int = 15) -> DataFrame:
+def feature_importance(model: PipelineModel | SoftmaxBoosting, features: list[str], top_k: int = 15) -> DataFrame:
     """Top-k importances of a tree model, with a spatial tag."""
     spark = SparkSession.getActiveSession()
-    est = model.stages[-1]
-    if hasattr(est, "featureImportances"):
+    est = None if isinstance(model, SoftmaxBoosting) else model.stages[-1]
+    if est is None:
+        imp = model.importances()
+    elif hasattr(est, "featureImportances"):
         imp = est.featureImportances.toArray().tolist()
     elif hasattr(est, "models"):
         imp = [0.0] * len(features)
@@ -135,11 +143,14 @@ def feature_importance(model: PipelineModel, features: list[str], top_k: int = 1
 
 # ------------------------------------------------------------------ persistence
 
-def save_bundle(model: PipelineModel, path: str, features: list[str], thresholds: dict,
+def save_bundle(model: PipelineModel | SoftmaxBoosting, path: str, features: list[str], thresholds: dict,
                 weather_keep: list[str] | None = None, classes: list[str] = K.CLASSES) -> None:
     """Model plus its metadata (features, classes, thresholds, kept weather
     columns) under one folder (A5)."""
-    model.write().overwrite().save(f"{path}/model")
+    if isinstance(model, SoftmaxBoosting):
+        model.save(f"{path}/model")
+    else:
+        model.write().overwrite().save(f"{path}/model")
     spark = SparkSession.getActiveSession()
     meta = {"features": features, "classes": classes, "thresholds": thresholds,
             "weather_keep": weather_keep or []}
@@ -147,10 +158,11 @@ def save_bundle(model: PipelineModel, path: str, features: list[str], thresholds
         .write.mode("overwrite").text(f"{path}/meta")
 
 
-def load_bundle(path: str) -> tuple[PipelineModel, dict]:
+def load_bundle(path: str) -> tuple[PipelineModel | SoftmaxBoosting, dict]:
     spark = SparkSession.getActiveSession()
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
-    return PipelineModel.load(f"{path}/model"), meta
+    boosted = path_exists(spark, f"{path}/model/softmax")
+    return (SoftmaxBoosting if boosted else PipelineModel).load(f"{path}/model"), meta
 
 
 def resolve_bundle(root: str, versions: tuple[str, ...] = ("v4", "v3", "v2")) -> str:
@@ -175,7 +187,51 @@ def write_reports(results: DataFrame, thresholds: DataFrame, features: list[str]
         .write.mode("overwrite").text(f"{out}/feature_list")
 
 
-# ------------------------------------------------------------------ training job
+# ------------------------------------------------------------------ training jobs
+
+#: The three estimators that versions 1 to 3 are compared by, class-balanced.
+COMPARED = {"LogisticRegression": ("logistic", "balanced"), "RandomForest": ("random_forest", "balanced"),
+            "Boosting": ("softmax", "balanced")}
+
+
+def compare(train: DataFrame, test: DataFrame, feats: list[str], variants: dict, settings: dict | None = None,
+            **kw) -> tuple[dict, DataFrame]:
+    """Fit each variant (name: (kind, weights)) on ``train`` and rank them by macro F1
+    on ``test`` (name breaks ties, E3); returns the models and the written ranking.
+    ``settings`` holds a kind's own settings, ``kw`` those of all."""
+    models, results = {}, None
+    for name, (kind, weights) in variants.items():
+        models[name] = fit(train, feats, kind, weights=weights, **kw, **(settings or {}).get(kind, {}))
+        r = evaluate(score(models[name], test), name)
+        results = r if results is None else results.unionByName(r)
+    return models, stage_table(M.rank_models(results), "model-ranking")
+
+
+def resampled(train: DataFrame, feats: list[str], label_col: str = "severity_class", key: str = "crash_id",
+              **smote_settings) -> DataFrame:
+    """Training rows oversampled to equal classes by SMOTE, written once, with
+    ``label_col``, the feature columns and ``is_synthetic`` (v3)."""
+    from crashlens.operators import resample
+    rows = resample.smote(train.select(F.col(key).alias("id"), F.col(label_col).alias("label"),
+                                       F.array(*[F.col(f).cast("double") for f in feats]).alias("vec")),
+                          **smote_settings)
+    return stage_table(rows.select(F.col("label").alias(label_col), "is_synthetic",
+                                   *[F.get("vec", i).alias(f) for i, f in enumerate(feats)]), "resampled")
+
+
+def train_version(matrix, smote: bool = False, variants: dict | None = None, seed: int = 42, **kw) -> dict:
+    """Training job of versions 1 to 3: a stratified split of the matrix, SMOTE on
+    the training rows alone if asked for (v3), the compared estimators, their
+    ranking on the test rows, and the best of them."""
+    parts = stage_table(split.stratified_split(matrix.df, seed=seed), "version-split")
+    train, test = parts.where(~F.col("is_test")), parts.where(F.col("is_test"))
+    if smote:
+        train = resampled(train, matrix.features)
+    models, ranked = compare(train, test, matrix.features, variants or COMPARED, **kw)
+    best = ranked.where(F.col("rank") == 1).first()["name"]
+    return {"models": models, "results": ranked, "best": best, "train": train, "test": test}
+
+
 
 def train_v4(matrix, variants: dict | None = None, tune_on: str = "test",
              baseline: float = K.V3_MACRO_F1, **kw) -> dict:
@@ -194,15 +250,9 @@ def train_v4(matrix, variants: dict | None = None, tune_on: str = "test",
         parts = stage_table(split.stratified_split(train.select("crash_id", "severity_class", *feats), seed=7,
                                                    out_col="is_val"), "train-validation")
         train, tune_rows = parts.where(~F.col("is_val")), parts.where(F.col("is_val"))
-    variants = variants or {"gbt_balanced": ("gbt_ovr", "balanced"),
-                            "gbt_manual_weights": ("gbt_ovr", dict(K.MANUAL_CLASS_WEIGHTS))}
-    models, results = {}, None
-    for name, (kind, weights) in variants.items():
-        m = fit(train, feats, kind, weights=weights, **kw)
-        models[name] = m
-        r = evaluate(score(m, test), name)
-        results = r if results is None else results.unionByName(r)
-    ranked = M.rank_models(results).cache()
+    variants = variants or {"boosting_balanced": ("softmax", "balanced"),
+                            "boosting_manual_weights": ("softmax", dict(K.MANUAL_CLASS_WEIGHTS))}
+    models, ranked = compare(train, test, feats, variants, **kw)
     best_row = ranked.where(F.col("rank") == 1).first()
     best = models[best_row["name"]]
     tuned = M.tune_thresholds(score(best, tune_rows).withColumnRenamed("severity_class", "label"),
