@@ -1125,3 +1125,107 @@ def q_training_v2(spark, sf):
 @register("training_v3_smote", _version_sql("v2rows", _V2_CTES, smote=True))
 def q_training_v3_smote(spark, sf):
     return _version_facts(PF.build_v2(crashes(spark, sf)), smote=True)
+
+
+# ---------------------------------------------------------------- nested results, labels, whole routes
+
+_GEO_CTES = (
+    "places AS (SELECT lat, lng, k, CASE WHEN k % 5 = 0 THEN NULL ELSE 'Street ' || CAST(k % 40 AS VARCHAR) END "
+    "AS street_name, CASE WHEN k % 3 = 0 THEN 'Back Bay' WHEN k % 3 = 1 THEN 'Allston' END AS neighborhood "
+    "FROM (SELECT " + _Q.format(c="lat") + " AS lat, " + _Q.format(c="lon")
+    + " AS lng, min(event_id) AS k FROM pts GROUP BY 1, 2) a WHERE k % 19 <> 0)",
+    "labels AS (SELECT *, CASE WHEN street_name IS NOT NULL AND neighborhood IS NOT NULL THEN street_name || ', ' "
+    "|| neighborhood WHEN street_name IS NOT NULL THEN street_name WHEN neighborhood IS NOT NULL THEN neighborhood "
+    "WHEN k % 11 <> 0 THEN CAST(k AS VARCHAR) || ' Harbor Rd, Boston, MA' ELSE printf('%.4f, %.4f', lat, lng) END "
+    "AS short_label FROM places)",
+)
+_NESTED_OUT = "segment_idx, lat, lng, distance_from_start_miles, risk_class, confidence"
+
+
+@register("route_segments_nested", with_crashes(
+    f"SELECT request_id, route_idx, 'segment' AS kind, segment_idx AS pos, {_NESTED_OUT}, p_high_r, p_low_r, p_medium_r, "
+    "CAST(NULL AS DOUBLE) AS estimated_minutes_from_start, CAST(NULL AS VARCHAR) AS street_name, "
+    "CAST(NULL AS VARCHAR) AS neighborhood, CAST(NULL AS VARCHAR) AS short_label FROM sr UNION ALL "
+    "SELECT request_id, route_idx, 'hotspot', row_number() OVER (PARTITION BY request_id, route_idx ORDER BY segment_idx) - 1, "
+    "segment_idx, sr.lat, sr.lng, distance_from_start_miles, risk_class, confidence, NULL, NULL, NULL, "
+    "estimated_minutes_from_start, street_name, neighborhood, short_label "
+    "FROM sr LEFT JOIN labels l ON round(l.lat * 1e5) = round(sr.lat * 1e5) AND round(l.lng * 1e5) = round(sr.lng * 1e5) "
+    "WHERE is_hotspot", *RISK_CTES, *_GEO_CTES))
+def q_route_segments_nested(spark, sf):
+    """The nested segment and hotspot lists of every route, a row an element."""
+    geo = PL.parse_reverse_geocode(FXT.geocode_payloads(spark, sf))
+    per_route, _ = RR.route_risk(_scored_segments(spark, sf), geocoded=geo)
+    keys = ["request_id", "route_idx"]
+
+    def elements(column: str, kind: str) -> DataFrame:
+        return per_route.select(*keys, F.lit(kind).alias("kind"), F.posexplode(column).alias("pos", "x")) \
+            .select(*keys, "kind", "pos", "x.*")
+    both = elements("segments", "segment").drop("polyline_index").unionByName(
+        elements("hotspots", "hotspot"), allowMissingColumns=True)
+    return both.withColumn("pos", F.col("pos").cast("long"))
+
+
+@register("hotspot_nearest_label", with_crashes(
+    f"SELECT {_SK}, place_lat, place_lng, place_m, street_name, short_label FROM (SELECT {_SK}, p.lat AS place_lat, "
+    "p.lng AS place_lng, p.m AS place_m, p.street_name, p.short_label FROM sr LEFT JOIN ("
+    "SELECT qlat, qlng, arg_min({'lat': lat, 'lng': lng, 'm': m, 'street_name': street_name, 'short_label': short_label}, "
+    "(m, lat, lng)) AS p FROM (SELECT q.lat AS qlat, q.lng AS qlng, h.lat, h.lon AS lng, h.street_name, h.short_label, "
+    f"round({HAV}, 6) AS m FROM (SELECT DISTINCT lat, lng, lng AS lon FROM sr WHERE is_hotspot) q JOIN "
+    "(SELECT *, lng AS lon FROM labels WHERE street_name IS NOT NULL) h ON h.lat BETWEEN q.lat - 0.0091 AND q.lat + 0.0091) d "
+    "WHERE m <= 1000 GROUP BY qlat, qlng) n ON n.qlat = sr.lat AND n.qlng = sr.lng WHERE is_hotspot) x",
+    *RISK_CTES, *_GEO_CTES))
+def q_hotspot_nearest_label(spark, sf):
+    """Each hotspot with the nearest landed address that has a street, within 1 km."""
+    from crashlens.operators import rollup
+    seg = rollup.segment_risk(_scored_segments(spark, sf), RR.PROB_COLS, K.DEFAULT_THRESHOLDS).where("is_hotspot")
+    geo = PL.parse_reverse_geocode(FXT.geocode_payloads(spark, sf)).where("street_name is not null")
+    return RR.attach_nearest_labels(seg, geo).select(*RR.SEG_KEYS, "place_lat", "place_lng", "place_m", "street_name",
+                                                     "short_label")
+
+
+_WHOLE_CTES = SERVE_CTES + (
+    "mid AS (SELECT r.request_id, r.duration_minutes, r.distance_miles, m.plat AS lat, m.plng AS lng FROM rt2 r "
+    "JOIN qp m ON m.request_id = r.request_id AND m.route_key = r.route_key AND m.pidx = r.n // 2 WHERE r.route_idx = 0)",
+    "msp AS (SELECT request_id, count(*) FILTER (WHERE hs = 'High') AS f1, count(*) FILTER (WHERE hs = 'Medium') AS i1 "
+    "FROM (SELECT q.request_id, h.severity_class AS hs, " + HAV.replace("q.lon", "q.lng") + " AS d FROM mid q JOIN hist h "
+    "ON h.lat BETWEEN q.lat - 0.0091 AND q.lat + 0.0091) s WHERE d <= 1000 GROUP BY 1)",
+    f"mfeat AS (SELECT m.*, t.hour_of_day, w.condition, w.temperature_f, w.rain_1h_mm > 0 OR w.snow_1h_mm > 0 "
+    "AS is_precipitation, w.visibility_meters < 5000 AS is_low_visibility, "
+    f"CASE w.condition {_WMAP} ELSE 'weath_cond_descr_Not_Reported' END AS wmapped, "
+    + _dbl(0.02) + " + COALESCE(p.f1, 0) * " + _dbl(0.05) + " + t.is_rush_hour * " + _dbl(0.05) + " AS ph, "
+    + _dbl(0.2) + " + CAST(COALESCE(p.i1, 0) % 7 AS DOUBLE) * " + _dbl(0.06) + " AS pm, " + _dbl(0.5) + " AS pl "
+    "FROM mid m JOIN rtf t ON t.request_id = m.request_id JOIN wp w ON w.request_id = m.request_id "
+    "LEFT JOIN msp p ON p.request_id = m.request_id)",
+    "msc AS (SELECT *, ph / (ph + pm + pl) AS p_high, pl / (ph + pm + pl) AS p_low, pm / (ph + pm + pl) AS p_medium "
+    "FROM mfeat)",
+    "trips AS (SELECT request_id, CAST(sum(CASE WHEN route_idx > 0 THEN 1 ELSE 0 END) AS BIGINT) AS num_alternatives, "
+    "max(CASE WHEN route_idx = 0 THEN duration_seconds END) AS own, "
+    "min(CASE WHEN route_idx > 0 THEN duration_seconds END) AS fastest FROM rt2 GROUP BY request_id)",
+)
+
+
+@register("whole_route_risk", with_crashes(
+    "SELECT m.request_id, CASE WHEN NOT (p_high >= 0.15 OR p_low >= 0.25 OR p_medium >= CAST(0.4 AS DOUBLE)) THEN "
+    "CASE WHEN p_high >= p_low AND p_high >= p_medium THEN 'High' WHEN p_low >= p_medium THEN 'Low' ELSE 'Medium' END "
+    "WHEN p_high >= 0.15 AND (NOT p_low >= 0.25 OR p_high >= p_low) "
+    "AND (NOT p_medium >= CAST(0.4 AS DOUBLE) OR p_high >= p_medium) THEN 'High' "
+    "WHEN p_low >= 0.25 AND (NOT p_medium >= CAST(0.4 AS DOUBLE) OR p_low >= p_medium) THEN 'Low' "
+    "ELSE 'Medium' END AS risk_class, " + _xr("greatest(p_high, p_low, p_medium)", 4) + " AS confidence, "
+    + ", ".join(_xr(c, 4) + f" AS {c}" for c in PROB_COLS) + ", lat AS midpoint_lat, lng AS midpoint_lng, "
+    "duration_minutes, distance_miles, num_alternatives, CASE WHEN num_alternatives > 0 THEN "
+    + _xr("greatest(own - fastest, 0) / CAST(60 AS DOUBLE)", 2) + " ELSE CAST(0 AS DOUBLE) END "
+    "AS best_alternative_savings_minutes, num_alternatives AS alternative_polylines, condition, temperature_f, "
+    "is_precipitation, is_low_visibility, CASE WHEN wmapped IN (SELECT f FROM wkeep) THEN wmapped "
+    "ELSE 'weath_cond_descr_Not_Reported' END AS weather_feature, hour_of_day "
+    "FROM msc m JOIN trips t ON t.request_id = m.request_id", *_WHOLE_CTES))
+def q_whole_route_risk(spark, sf):
+    """One prediction a request for its default route, by formula scores at the midpoint."""
+    from crashlens.session import stage_table
+    requests = stage_table(FXT.route_payloads(spark, sf), "route_payloads")
+    table = stage_table(RR.parsed_routes(requests).drop("points", "intervals"), "whole-routes")
+    req_time = RR.request_time_features(requests)
+    weather, _ = PL.parse_weather(FXT.weather_payloads(spark, sf))
+    names = serving_feature_names(spark, sf)
+    feats = RR.whole_route_features(table, req_time, weather, RR.serving_history(crashes(spark, sf)), names)
+    out = RR.whole_route_risk(RR.formula_scores(feats), table, req_time, weather, names)
+    return out.withColumn("alternative_polylines", F.size("alternative_polylines").cast("long")).drop("polyline")
