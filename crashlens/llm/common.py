@@ -82,22 +82,44 @@ def split_words(spaced_text: Column) -> Column:
     return F.array_remove(F.split(spaced_text, " ", -1), "")
 
 
+#: Bytes of texts that a task turns into Python objects at once.
+SLICE = 1 << 21
+
+
+def byte_slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of an array of values of any size, each of about SLICE bytes or one value."""
+    at, n = 0, len(texts)
+    step = max(1, min(n, n * SLICE // max(texts.nbytes, 1)))
+    while at < n:
+        part = texts.slice(at, step)
+        if part.nbytes > 2 * SLICE and len(part) > 1:
+            step = max(1, step // 2)
+            continue
+        yield part
+        at += step
+
+
 def per_texts(make, returns: str):
     """An Arrow UDF over one text column that yields one struct a row.
 
     ``make()`` runs once a task and returns a function from a list of texts
     (null comes as the empty text) to an iterable with one tuple of the
-    struct's fields for each, so caches live as long as the task.
+    struct's fields for each, so caches live as long as the task. Texts are
+    worked on in lists of about SLICE bytes, so few results are Python objects
+    at a time.
     """
     kind = to_arrow_type(DataType.fromDDL(returns))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = make()
         for texts in batches:
-            rows = list(work([t.as_py() or "" for t in texts]))
-            columns = list(zip(*rows, strict=True)) if rows else [[] for _ in kind]
-            yield pa.StructArray.from_arrays(
-                [pa.array(c, type=f.type) for c, f in zip(columns, kind, strict=True)], fields=list(kind))
+            made = []
+            for part in byte_slices(texts):
+                rows = list(work([t.as_py() or "" for t in part]))
+                made.append(pa.StructArray.from_arrays(
+                    [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), kind, strict=True)],
+                    fields=list(kind)))
+            yield pa.concat_arrays(made) if made else pa.array([], kind)
 
     return F.arrow_udf(run, returnType=returns)
 

@@ -4,9 +4,10 @@ The recognisers give the base spans (email, ip, card, phone) and seeds of the
 kind ``secret``. Seeds induce lexical patterns: the words before an instance,
 the word before and after it, and its own shape. Spark counts the edges of the
 graph of patterns and instances and scores both sides in turns: a pattern is
-as good as the instances it meets, an instance as good as its patterns. The
-patterns that stay above a confidence then find identifiers that no recogniser
-knows.
+as good as the instances it meets, an instance as good as its patterns.
+Instances that come out sure induce patterns of their own, which are counted and
+scored with the others. The patterns that stay above a confidence then find
+identifiers that no recogniser knows.
 """
 
 from __future__ import annotations
@@ -39,8 +40,10 @@ SHOWN = re.compile(r"[^\s\"]+")
 JOINTS = frozenset((" ", "-", " -", "- "))
 DIGIT = re.compile("[0-9]")
 
-#: Rounds of scoring, prior weight against a pattern, confidence from which a
-#: pattern finds new spans, and least seeds it must meet.
+#: Turns of induction, rounds of scoring in each, prior weight against a pattern,
+#: confidence from which a pattern finds new spans and an instance induces
+#: patterns, and least instances that must induce a pattern.
+TURNS = 2
 ROUNDS = 3
 PRIOR = 2.0
 CONFIDENCE = 0.85
@@ -90,9 +93,15 @@ def shape(token: str) -> str:
     return re.sub(r"([aA9])\1+", r"\1+", kinds)
 
 
+#: Marks around a word that its pattern leaves out.
+MARKS = ".,;!?\"'()[]{}"
+#: Marks that may end a plain word.
+ENDS = ".,;:!?"
+
+
 @lru_cache(1 << 16)
 def _word(text: str) -> str:
-    return re.sub(r"\d+", "#", text.strip(".,;!?\"'()[]{}").lower())
+    return re.sub(r"\d+", "#", text.strip(MARKS).lower())
 
 
 def patterns(text: str, first: int, last: int) -> list[str]:
@@ -120,18 +129,99 @@ def met_by(text: str, first: int, last: int) -> list[str]:
     return made + ["~" + p for p in made] if made[0][0] != "~" else made
 
 
-def lefts_of(found) -> frozenset[str]:
-    """The words before an instance that any of the patterns asks for."""
-    out = set()
-    for p in found:
-        p = p.removeprefix("~")
-        kind, rest = p[0], p[2:]
-        if kind == "L":
-            out.add(rest.rsplit(" ", 1)[-1])
-        else:  # a word may hold the mark itself
-            parts = rest.split("|")
-            out.update("|".join(parts[:k]) for k in range(1, len(parts) + 1))
-    return frozenset(out)
+_GONE = (MARKS + ":#0123456789").encode()
+
+
+def _bare(text: str) -> str:
+    """The text in small letters without marks and digits."""
+    return text.lower().encode().translate(None, _GONE).decode()
+
+
+#: Digits that :func:`_bare` leaves, and white space that may push a word out of a window.
+ODD = re.compile(r"[^\D0-9]|[\s\"]{12,}")
+#: Longest word that surely lies whole in the windows of :func:`patterns`.
+SHORT = 25
+#: White space that may push a word out of a window.
+GAP = re.compile(r"[\s\"]{12,}")
+
+
+class Near:
+    """Where in a text any of some patterns may hold, told from neighbouring words.
+
+    A token of letters alone has no digit, sign or mark in its shape; unless a
+    pattern has such a shape, it can only meet pairs of words: the two before it,
+    or the one before and the one after. Other tokens must follow a known word.
+    """
+
+    def __init__(self, found):
+        self.lefts, self.before, self.around, self.shapes = set(), set(), set(), set()
+        for p in found:
+            p = p.removeprefix("~")
+            kind, rest = p[0], p[2:]
+            if kind == "L":
+                pairs = [tuple(rest.rsplit(" ", 1))]
+            else:  # a word may hold the mark itself
+                parts = rest.split("|")
+                pairs = [("|".join(parts[:k]), "|".join(parts[k:])) for k in range(1, len(parts))]
+            if kind == "L":
+                self.before.update(pairs)
+                self.lefts.add(pairs[0][1])
+            else:
+                self.lefts.update(left for left, _ in pairs)
+                if kind == "R":
+                    self.around.update(pairs)
+                else:
+                    self.shapes.update(left for left, shown in pairs if shown.replace("+", "").isalpha())
+
+        # what a text must hold for any pair to be in it, all marks and digits left out
+        # of the words; a pair that loses a word this way is looked for by the other
+        bare = {k: {tuple(map(_bare, p)) for p in pairs} for k, pairs in (("before", self.before), ("around", self.around))}
+        self.bare_before, self.bare_around = ({p for p in bare[k] if all(p)} for k in ("before", "around"))
+        alone = [p for pairs in bare.values() for p in pairs if not all(p)]
+        self.alone = {w for p in alone for w in p if w} | {_bare(w) for w in self.shapes if _bare(w)}
+        self.always = any(not any(p) for p in alone) or any(not _bare(w) for w in self.shapes)
+
+    def runs(self, text: str):
+        """Spans of the visible runs that may hold a token to look at."""
+        words = SHOWN.findall(text)
+        if not words:
+            return
+        # a word with anything but letters, marks at its end aside
+        picked = {i for i, w in enumerate(words) if not (w.isalpha() or w.rstrip(ENDS).isalpha())}
+        bare = _bare(text).split()
+        if self.always or ODD.search(text) or not self.alone.isdisjoint(bare):
+            picked |= self._by_pairs(text, words)
+        else:
+            for sought, pairs in ((self.bare_before, zip(bare, bare[1:])), (self.bare_around, zip(bare, bare[2:]))):
+                if not sought.isdisjoint(pairs):
+                    if len(bare) != len(words):  # a word of marks alone: places differ
+                        picked |= self._by_pairs(text, words)
+                    elif sought is self.bare_before:
+                        picked.update(i + 2 for i, pair in enumerate(zip(bare, bare[1:])) if pair in sought)
+                    else:
+                        picked.update(i + 1 for i, pair in enumerate(zip(bare, bare[2:])) if pair in sought)
+        if max(map(len, words)) > SHORT:  # windows may cut it
+            picked.update(j for i, w in enumerate(words) if len(w) > SHORT for j in range(i - 1, i + 3))
+        if picked:
+            for i, m in enumerate(SHOWN.finditer(text)):
+                if i in picked:
+                    yield m.span()
+
+    def _by_pairs(self, text: str, words: list[str]) -> set[int]:
+        if GAP.search(text):
+            return set(range(len(words)))
+        known = [w.strip(MARKS).lower() for w in words]
+        known = [k if k.isalpha() else _word(k) for k in known]
+        left = ["", *known]
+        bare = [w.rstrip(ENDS) for w in words]
+        # the mark at the end of a word, or the next word
+        after = [n if len(t) == len(w) else _word(w[len(t):])
+                 for w, t, n in zip(words, bare, [*known[1:], ""], strict=True)]
+        picked = {i + 1 for i, pair in enumerate(zip(left, known, strict=False)) if pair in self.before}
+        picked.update(i for i, pair in enumerate(zip(left, after, strict=False)) if pair in self.around)
+        if self.shapes:
+            picked.update(i for i, w in enumerate(left[:-1]) if w in self.shapes)
+        return picked
 
 
 def _free(spans, first: int, last: int) -> bool:
@@ -149,41 +239,30 @@ def seeds(text: str):
     return spans
 
 
-def _tokens(text: str, lefts: frozenset[str] | None):
-    """Spans of tokens; with ``lefts``, without most of those that cannot count."""
-    if lefts is None:
-        yield from (m.span() for m in TOKEN.finditer(text))
-        return
-    follows, at = "" in lefts, 0
-    for m in SHOWN.finditer(text):
-        a, b = m.span()
-        # far words are cut by the window of the patterns
-        word = m[0]
-        plain = word.strip(".!?").isalpha()  # one token without a digit
-        if follows or not plain or a - at > 40:
-            yield from (x.span() for x in TOKEN.finditer(text, a, b))
-        known = word.strip(".!?").lower() if plain else _word(word)
-        follows, at = b - a > 40 or known in lefts, b
-
-
-def candidates(text: str, taken, lefts: frozenset[str] | None = None):
+def _tokens(text: str, near: Near | None):
+    """Spans of tokens; with ``near``, without most of those that cannot count."""
+    for a, b in [(0, len(text))] if near is None else near.runs(text):
+        yield from (m.span() for m in TOKEN.finditer(text, a, b))
+
+
+def candidates(text: str, taken, near: Near | None = None):
     """(first, last) of what may be an identifier and overlaps no seed: every
     token, and every run of tokens with digits joined by a space or hyphen.
-    With ``lefts``, only those that follow one of these words."""
+    With ``near``, only those that some of its patterns may meet."""
     taken = sorted((a, b) for _, a, b in taken)
     out, k, begin, end, size = [], 0, 0, 0, 0  # the open run
 
     def after_left(a: int) -> bool:
-        if lefts is None:
+        if near is None:
             return True
         words = text[max(0, a - 80):a].replace('"', " ").rsplit(None, 1)
-        return (_word(words[-1]) if words else "") in lefts
+        return (_word(words[-1]) if words else "") in near.lefts
 
     def close():
         if size > 1 and after_left(begin):
             out.append((begin, end))
 
-    for a, b in _tokens(text, lefts):
+    for a, b in _tokens(text, near):
         shown = text[a:b].rstrip(".!?-")
         b = a + len(shown)
         while k < len(taken) and taken[k][1] <= a:
@@ -204,14 +283,24 @@ def candidates(text: str, taken, lefts: frozenset[str] | None = None):
     return out
 
 
-def _edges(text: str, induced: frozenset[str] | None, lefts: frozenset[str] | None):
+#: An edge: ``seed`` is the kind of an instance that a recogniser knows, ``sought``
+#: tells whether the pattern is one of those asked for, ``sure`` whether the instance
+#: has a digit, without which it induces nothing.
+EDGE = "seed: string, who: binary, pattern: string, sought: boolean, sure: boolean"
+
+
+def _edges(text: str, sought: frozenset[str] | None, near: Near | None):
+    """Edges of what meets a pattern sought for, with all its patterns."""
     found = seeds(text)
     made = []
-    for kind, a, b in found + [(None, *c) for c in candidates(text, found, lefts)]:
-        met = [p for p in met_by(text, a, b) if induced is None or p in induced]
-        if met:
-            who = hashlib.blake2b(text[a:b].encode(), digest_size=8).hexdigest()
-            made += [(kind, who, p) for p in met]
+    for kind, a, b in found + [(None, *c) for c in candidates(text, found, near)]:
+        met = met_by(text, a, b)
+        hits = [sought is None or p in sought for p in met]
+        if any(hits):
+            who = hashlib.blake2b(text[a:b].encode(), digest_size=8).digest()
+            sure = kind is None and bool(DIGIT.search(text, a, b))
+            # a recogniser's instance has induced its patterns already
+            made += [(kind, who, p, hit, sure) for p, hit in zip(met, hits, strict=True) if hit or sure]
     return (made,)
 
 
@@ -219,32 +308,40 @@ def _seed_patterns(text: str):
     return ([(kind, p) for kind, a, b in seeds(text) for p in met_by(text, a, b)],)
 
 
-def score_patterns(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """kind, pattern, confidence, n_seeds of the patterns that seeds induce.
+def _shipped(names: DataFrame) -> frozenset[str] | None:
+    """The patterns as a set for the tasks, or None if they are more than may be sent."""
+    rows = names.select("pattern").distinct().limit(BROADCAST_ROWS + 1).collect()
+    return frozenset(r["pattern"] for r in rows) if len(rows) <= BROADCAST_ROWS else None
+
 
-    A first pass counts the patterns of the seeds; a second one the edges of
-    these patterns alone, as no other can ever be scored (more patterns than
-    can be shipped are told apart by a join). Edges are counted before any
-    shuffle that could meet a hot pattern or a hot instance, and written to the
-    shared folder, as each round reads them. An instance that a recogniser
-    knows has confidence 1 for its kind; another starts at 0 and becomes
-    1 - product(1 - confidence of its patterns).
+def _graph(docs: DataFrame, induced: DataFrame) -> DataFrame:
+    """seed, who, pattern, sought, sure, n of all that meets a pattern of ``induced``.
+
+    Edges are counted before any shuffle that could meet a hot pattern or a hot
+    instance. More patterns than can be sent to the tasks are told apart by a
+    join: then every token is an edge first.
     """
-    induced = stage_table(docs.select(F.explode(per_text(
-        lambda: _seed_patterns, "e array<struct<kind: string, pattern: string>>")(F.col("text"))["e"]).alias("e"))
-        .select("e.*").groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("n_seeds")), "pii-induced")
-    names = induced.select("pattern").distinct()
-    few = names.count() <= BROADCAST_ROWS
-    only = frozenset(r["pattern"] for r in names.collect()) if few else None
-    lefts = lefts_of(only) if few else None
-    edges = docs.select(F.explode(per_text(
-        lambda: lambda t: _edges(t, only, lefts), "e array<struct<kind: string, who: string, pattern: string>>")(
-        F.col("text"))["e"]).alias("e")).select("e.*")
-    edges = edges.groupBy("kind", "who", "pattern").agg(F.count(F.lit(1)).alias("n"))
-    edges = stage_table(edges if few else edges.join(names, "pattern", "left_semi"), "pii-edges")
-    # per pattern: everything it meets
-    met = edges.groupBy("pattern").agg(F.sum("n").alias("n_all"))
-    open_edges = stage_table(edges.where("kind is null").select("who", "pattern", "n")
+    sought = _shipped(induced)
+    made = docs.select(F.explode(per_text(
+        lambda: (lambda near: lambda t: _edges(t, sought, near))(None if sought is None else Near(sought)),
+        f"e array<struct<{EDGE}>>")(F.col("text"))["e"]).alias("e")).select("e.*")
+    keys = ["seed", "who", "pattern", "sought", "sure"]
+    edges = made.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if sought is None:
+        names = induced.select("pattern", F.lit(True).alias("_known")).distinct()
+        edges = edges.drop("sought").join(names, "pattern", "left").withColumn("sought", F.col("_known").isNotNull()) \
+            .drop("_known").where(F.col("sought") | F.col("sure"))
+    return stage_table(edges.select(*keys, "n"), "pii-edges")
+
+
+def _scored(edges: DataFrame, induced: DataFrame, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """Patterns with their confidence, and (kind, who, belief) of open instances.
+
+    An instance that a recogniser knows has confidence 1 for its kind; another
+    starts at 0 and becomes 1 - product(1 - confidence of its patterns).
+    """
+    met = edges.where("sought").groupBy("pattern").agg(F.sum("n").alias("n_all"))
+    open_edges = stage_table(edges.where("sought and seed is null").select("who", "pattern", "n")
                              .join(induced.select("kind", "pattern"), "pattern"), "pii-open")
     scored = induced.join(met, "pattern").withColumn(
         "confidence", F.col("n_seeds") / (F.col("n_all") + PRIOR))
@@ -253,12 +350,42 @@ def score_patterns(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         known = open_edges.join(scored.select("kind", "pattern", "confidence"), ["kind", "pattern"]) \
             .groupBy("kind", "who").agg(
                 (1 - F.exp(F.sum(F.log(1 - F.least(F.col("confidence"), F.lit(0.999)))))).alias("belief"))
+        known = stage_table(known, "pii-beliefs")
         gained = open_edges.join(known, ["kind", "who"]).groupBy("kind", "pattern") \
             .agg(F.sum(F.col("n") * F.col("belief")).alias("gained"))
         scored = scored.drop("confidence", "gained").join(gained, ["kind", "pattern"], "left") \
             .withColumn("confidence", (F.col("n_seeds") + F.coalesce(F.col("gained"), F.lit(0.0)))
                         / (F.col("n_all") + PRIOR)).drop("gained")
-    return scored.select("kind", "pattern", "confidence", "n_seeds")
+    return stage_table(scored, "pii-scored"), known
+
+
+def score_patterns(docs: DataFrame, rounds: int = ROUNDS, turns: int = TURNS) -> DataFrame:
+    """kind, pattern, confidence, n_seeds of the patterns that instances induce.
+
+    A first pass counts the patterns of the seeds; those of LEAST_SEEDS instances
+    are the first turn's. Each turn is a pass that counts what meets its patterns,
+    and rounds of scoring. Instances with a digit and a belief of CONFIDENCE
+    then induce their other patterns, if again LEAST_SEEDS of them do, for the
+    next turn. ``n_seeds`` counts the instances that induced a
+    pattern.
+    """
+    induced = stage_table(docs.select(F.explode(per_text(
+        lambda: _seed_patterns, "e array<struct<kind: string, pattern: string>>")(F.col("text"))["e"]).alias("e"))
+        .select("e.*").groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("n_seeds"))
+        .where(F.col("n_seeds") >= LEAST_SEEDS).withColumn("support", F.col("n_seeds")), "pii-induced")
+    for turn in range(turns):
+        edges = _graph(docs, induced)
+        scored, beliefs = _scored(edges, induced, rounds)
+        if turn == turns - 1:
+            break
+        fresh = edges.where("sure and not sought").join(
+            beliefs.where(F.col("belief") >= CONFIDENCE).select("kind", "who"), "who") \
+            .groupBy("kind", "pattern").agg(F.sum("n").alias("support")).where(F.col("support") >= LEAST_SEEDS)
+        fresh = stage_table(fresh.select("kind", "pattern", F.lit(0).cast("long").alias("n_seeds"), "support"), "pii-fresh")
+        if fresh.isEmpty():
+            break
+        induced = induced.unionByName(fresh)
+    return scored.select("kind", "pattern", "confidence", F.col("support").alias("n_seeds"))
 
 
 def confident_patterns(scored: DataFrame, confidence: float = CONFIDENCE) -> dict[str, tuple[str, float]] | DataFrame:
@@ -287,26 +414,28 @@ def _met(text: str):
 
 
 def _with_known(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """``docs`` with ``_in``: the text and those of the patterns that it meets.
-    Patterns are met per distinct text, so copies are joined once."""
+    """(row, in): each row of ``docs`` as a struct, and its text with those of the
+    patterns that it meets. Patterns are met per distinct text, so copies are
+    joined once."""
     key = F.sha2(F.col("text"), 256)
-    met = docs.where("text is not null").select(key.alias("_key"), F.explode(
+    met = docs.where("text is not null").select(key.alias("key"), F.explode(
         per_text(lambda: _met, "p array<string>")(F.col("text"))["p"]).alias("pattern")).distinct()
-    found = met.join(known, "pattern").groupBy("_key").agg(
-        F.collect_list(F.struct("pattern", "kind", "confidence")).alias("_known"))
-    return docs.withColumn("_key", key).join(found, "_key", "left").withColumn(
-        "_in", F.struct(F.col("text").alias("text"), F.col("_known").alias("known"))).drop("_key", "_known")
+    found = met.join(known, "pattern").groupBy("key").agg(
+        F.collect_list(F.struct("pattern", "kind", "confidence")).alias("known"))
+    rows = docs.select(key.alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(found, "key", "left").select(
+        "row", F.struct(F.col("row.text").alias("text"), F.col("known")).alias("in"))
 
 
 def all_spans(text: str, known: dict[str, tuple[str, float]],
-              lefts: frozenset[str] | None = None) -> list[tuple[str, int, int]]:
+              near: Near | None = None) -> list[tuple[str, int, int]]:
     """Base spans, then secrets and whatever the confident patterns find; found
     spans never overlap a base span or each other: the surer one counts, then
     the longer one."""
     out = seeds(text)
     if known:
         found = []
-        for a, b in candidates(text, out, lefts_of(known) if lefts is None else lefts):
+        for a, b in candidates(text, out, Near(known) if near is None else near):
             best = max((known[p][::-1] for p in asked(text, a, b) if p in known), default=None)
             if best:
                 found.append((best[0], b - a, -a, best[1]))
@@ -325,15 +454,15 @@ def _joined(spans) -> str:
 RESULT = ("n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
-def _scan(t: str, known, lefts=None):
+def _scan(t: str, known, near=None):
     base = base_spans(t)
     counts = [sum(k == kind for k, _, _ in base) for kind in BASE_KINDS]
-    return (*counts, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(all_spans(t, known, lefts)))
+    return (*counts, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(all_spans(t, known, near)))
 
 
-def _masked(t: str, known, lefts=None):
+def _masked(t: str, known, near=None):
     out, at = [], 0
-    for kind, a, b in sorted(all_spans(t, known, lefts), key=lambda s: (s[1], -s[2])):
+    for kind, a, b in sorted(all_spans(t, known, near), key=lambda s: (s[1], -s[2])):
         if a >= at:
             out += [t[at:a], f"<{kind.upper()}>"]
         at = max(at, b)
@@ -350,15 +479,13 @@ def pii_spans(text: Column, known: dict[str, tuple[str, float]]) -> Column:
     Null and empty texts have no span. Texts are read whole; equal texts give
     equal spans. ``known`` comes from :func:`fit_pii`.
     """
-    lefts = lefts_of(known)
-    return per_text(lambda: lambda t: _scan(t, known, lefts), RESULT)(text)
+    return per_text(lambda: (lambda near: lambda t: _scan(t, known, near))(Near(known)), RESULT)(text)
 
 
 def redact(text: Column, known: dict[str, tuple[str, float]]) -> Column:
     """The text with every span replaced by its kind in angle brackets; spans
     that overlap become one. A null text stays null."""
-    lefts = lefts_of(known)
-    new = per_text(lambda: lambda t: _masked(t, known, lefts), "text string")(text)["text"]
+    new = per_text(lambda: (lambda near: lambda t: _masked(t, known, near))(Near(known)), "text string")(text)["text"]
     return F.when(text.isNotNull(), new)
 
 
@@ -366,12 +493,20 @@ def with_spans(docs: DataFrame, known: dict[str, tuple[str, float]] | DataFrame)
     """``docs`` with ``_r``, the struct of :func:`pii_spans`, for few or many patterns."""
     if isinstance(known, dict):
         return docs.withColumn("_r", pii_spans(F.col("text"), known))
-    return _with_known(docs, known).withColumn("_r", per_text(lambda: _of_row(_scan), RESULT)(F.col("_in"))).drop("_in")
+    made = per_text(lambda: _of_row(_scan), RESULT)(F.col("in"))
+    return _with_known(docs, known).select("row", made.alias("_r")).select("row.*", "_r")
 
 
 def redacted(docs: DataFrame, known: dict[str, tuple[str, float]] | DataFrame) -> DataFrame:
-    """``docs`` with text as :func:`redact` gives it, for few or many patterns."""
+    """``docs`` with text as :func:`redact` gives it, for few or many patterns.
+
+    Null texts stay null, empty and long ones are read whole, repeated rows stay
+    as many; all other columns, whatever their names, are kept as they are. An
+    empty table gives an empty one.
+    """
     if isinstance(known, dict):
         return docs.withColumn("text", redact(F.col("text"), known))
-    new = per_text(lambda: _of_row(_masked), "text string")(F.col("_in"))["text"]
-    return _with_known(docs, known).withColumn("text", F.when(F.col("text").isNotNull(), new)).drop("_in")
+    new = per_text(lambda: _of_row(_masked), "text string")(F.col("in"))["text"]
+    rows = _with_known(docs, known).select("row", F.when(F.col("in.text").isNotNull(), new).alias("new"))
+    return rows.select(*[F.col("new").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c)
+                         for c in docs.columns])
