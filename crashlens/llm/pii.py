@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import re
 from functools import lru_cache
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -137,8 +138,10 @@ def _bare(text: str) -> str:
     return text.lower().encode().translate(None, _GONE).decode()
 
 
-#: Digits that :func:`_bare` leaves, and white space that may push a word out of a window.
-ODD = re.compile(r"[^\D0-9]|[\s\"]{12,}")
+#: Digits that :func:`_bare` leaves.
+DIGITS = re.compile(r"[^\D0-9]")
+#: Most words that a text is searched for one by one.
+FEW = 64
 #: Longest word that surely lies whole in the windows of :func:`patterns`.
 SHORT = 25
 #: White space that may push a word out of a window.
@@ -179,17 +182,24 @@ class Near:
         self.bare_before, self.bare_around = ({p for p in bare[k] if all(p)} for k in ("before", "around"))
         alone = [p for pairs in bare.values() for p in pairs if not all(p)]
         self.alone = {w for p in alone for w in p if w} | {_bare(w) for w in self.shapes if _bare(w)}
+        few = {_bare(left) for left in self.lefts}
+        self.few = sorted(few) if len(few) <= FEW and "" not in few else None
         self.always = any(not any(p) for p in alone) or any(not _bare(w) for w in self.shapes)
 
     def runs(self, text: str):
         """Spans of the visible runs that may hold a token to look at."""
+        bare = _bare(text)
+        if self.few is not None and not any(left in bare for left in self.few) and (text.isascii() or not DIGITS.search(text)):
+            return  # no word before an instance, not even within a run
         words = SHOWN.findall(text)
         if not words:
             return
         # a word with anything but letters, marks at its end aside
         picked = {i for i, w in enumerate(words) if not (w.isalpha() or w.rstrip(ENDS).isalpha())}
-        bare = _bare(text).split()
-        if self.always or ODD.search(text) or not self.alone.isdisjoint(bare):
+        bare = bare.split()
+        spare = len(text) - sum(map(len, words)) - len(words)  # white space beyond one between words
+        if self.always or not self.alone.isdisjoint(bare) or spare > 8 and GAP.search(text) \
+                or not text.isascii() and DIGITS.search(text):
             picked |= self._by_pairs(text, words)
         else:
             for sought, pairs in ((self.bare_before, zip(bare, bare[1:])), (self.bare_around, zip(bare, bare[2:]))):
@@ -202,7 +212,10 @@ class Near:
                         picked.update(i + 1 for i, pair in enumerate(zip(bare, bare[2:])) if pair in sought)
         if max(map(len, words)) > SHORT:  # windows may cut it
             picked.update(j for i, w in enumerate(words) if len(w) > SHORT for j in range(i - 1, i + 3))
-        if picked:
+        if spare == -1:  # words one apart: places follow from lengths
+            begins = list(accumulate(map(len, words), initial=0))
+            yield from ((begins[i] + i, begins[i + 1] + i) for i in sorted(picked) if 0 <= i < len(words))
+        elif picked:
             for i, m in enumerate(SHOWN.finditer(text)):
                 if i in picked:
                     yield m.span()
@@ -373,8 +386,10 @@ def score_patterns(docs: DataFrame, rounds: int = ROUNDS, turns: int = TURNS) ->
         lambda: _seed_patterns, "e array<struct<kind: string, pattern: string>>")(F.col("text"))["e"]).alias("e"))
         .select("e.*").groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("n_seeds"))
         .where(F.col("n_seeds") >= LEAST_SEEDS).withColumn("support", F.col("n_seeds")), "pii-induced")
+    edges, fresh = None, induced
     for turn in range(turns):
-        edges = _graph(docs, induced)
+        new = _graph(docs, fresh)  # no pattern is in two turns
+        edges = new if edges is None else edges.unionByName(new)
         scored, beliefs = _scored(edges, induced, rounds)
         if turn == turns - 1:
             break
