@@ -47,6 +47,9 @@ DIGIT = re.compile("[0-9]")
 TURNS = 2
 ROUNDS = 3
 PRIOR = 2.0
+#: Least share of a pattern's meetings that must be with instances that induced it;
+#: patterns below it are part of ordinary text and stay out of the graph.
+HOPE = 0.02
 CONFIDENCE = 0.85
 LEAST_SEEDS = 3
 
@@ -354,10 +357,10 @@ def _scored(edges: DataFrame, induced: DataFrame, rounds: int) -> tuple[DataFram
     starts at 0 and becomes 1 - product(1 - confidence of its patterns).
     """
     met = edges.where("sought").groupBy("pattern").agg(F.sum("n").alias("n_all"))
+    scored = stage_table(induced.join(met, "pattern").where(F.col("support") >= HOPE * F.col("n_all")).withColumn(
+        "confidence", F.col("n_seeds") / (F.col("n_all") + PRIOR)), "pii-hopeful")
     open_edges = stage_table(edges.where("sought and seed is null").select("who", "pattern", "n")
-                             .join(induced.select("kind", "pattern"), "pattern"), "pii-open")
-    scored = induced.join(met, "pattern").withColumn(
-        "confidence", F.col("n_seeds") / (F.col("n_all") + PRIOR))
+                             .join(scored.select("kind", "pattern"), "pattern"), "pii-open")
     for _ in range(rounds):
         scored = stage_table(scored, "pii-scores")
         known = open_edges.join(scored.select("kind", "pattern", "confidence"), ["kind", "pattern"]) \

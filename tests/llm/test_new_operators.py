@@ -1,0 +1,285 @@
+"""Collocations, token files and the Merkle manifest: brute force and awkward input."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+from fractions import Fraction
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from crashlens.llm import collocations, merkle, token_files
+from crashlens.session import staged_path
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+# ------------------------------------------------------------------ collocations
+
+def _collocations(rows, least, top):
+    out = []
+    langs = {}
+    for lang, text in rows:
+        folded = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        f = langs.setdefault(lang or "und", Counter())
+        for piece in re.split(r"[.,;:!?\x0a-\x0d]", folded):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for size in (1, 2, 3):
+                f.update(tuple(words[i:i + size]) for i in range(len(words) - size + 1))
+    for lang, f in langs.items():
+        cand = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        kept = []
+        for p, a in cand.items():
+            if any(len(q) > len(p) and 100 * b >= 50 * a and any(q[i:i + len(p)] == p for i in range(len(q)))
+                   for q, b in cand.items()):
+                continue
+            cuts = [(10 ** 6 * a * a // (f[p[:k]] * f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p))]
+            score, _, left, right = min(cuts)
+            kept.append((-score, -a, " ".join(p).encode(), left, right))
+        n = sum(c for p, c in f.items() if len(p) == 1)
+        out += [(lang, k + 1, p.decode(), -a, x, y, n, -s) for k, (s, a, p, x, y) in enumerate(sorted(kept)[:top])]
+    return sorted(out)
+
+
+def _random_rows(seed, n=150):
+    rng = random.Random(seed)
+    words = ["New", "new", "york", "a", "of", "the", "x|y", "é", "É", "Zürich", " ", "q\x1cq", "日本", "\"w\""]
+    glue = [" ", " ", "  ", "\t", ", ", ". ", "\n", "\r\n", "; ", "!?"]
+    return [(rng.choice(["en", "de", None]), "".join(rng.choice(words) + rng.choice(glue) for _ in range(rng.randint(0, 60))))
+            for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed, burst, full, bits", [(1, 4096, 600_000, 19), (2, 3, 40, 6)])
+def test_collocations_equal_brute_force(spark, monkeypatch, seed, burst, full, bits):
+    """Also with containers that burst, tries that spill and word numbers that run out."""
+    for name, value in (("BURST", burst), ("FULL", full), ("WORD_BITS", bits), ("_MASK", (1 << bits) - 1)):
+        monkeypatch.setattr(collocations, name, value)
+    rows = _random_rows(seed) + [("en", None), (None, ""), ("en", "the end " * 3000)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "lang string, text string, n int").repartition(5)
+    got = collocations.mine_collocations(df, least=4, top=25)
+    assert sorted(map(tuple, got.collect())) == _collocations(rows, 4, 25)
+
+
+def test_collocations_merge_what_tasks_let_go(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "MERGED", 8)
+    monkeypatch.setattr(collocations, "CELLS_HELD", 16)
+    rows = _random_rows(3, 60)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    assert sorted(map(tuple, collocations.mine_collocations(df, least=3, top=40).collect())) == _collocations(rows, 3, 40)
+
+
+def test_collocations_without_rows(spark):
+    assert collocations.mine_collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
+    assert collocations.mine_collocations(spark.createDataFrame([(None, None)], "lang string, text string")).count() == 0
+
+
+def test_hat_trie_keeps_counts(monkeypatch):
+    monkeypatch.setattr(collocations, "BURST", 5)
+    rng, trie, want, got = random.Random(5), collocations.HatTrie(), Counter(), Counter()
+    for _ in range(60):
+        some = Counter(rng.randint(1, 9) << 38 | rng.randint(1, 9) << 19 | rng.randint(0, 5) for _ in range(50))
+        want.update(some)
+        keys = np.array(sorted(some), np.int64)
+        trie.add(keys, np.array([some[k] for k in keys.tolist()], np.int64))
+        if trie.entries > 200:
+            got.update(dict(zip(*(a.tolist() for a in trie.spill(50)), strict=True)) or {})
+    for k, n in zip(*(a.tolist() for a in trie.spill(0)), strict=True):
+        got[k] += n
+    assert got == want and trie.entries == 0 and trie.burst == {}
+
+
+# ------------------------------------------------------------------ token files
+
+def _kraft(lengths):
+    return sum(Fraction(1, 2 ** int(n)) for n in lengths)
+
+
+def test_code_lengths_are_optimal():
+    """Against all length assignments of small alphabets."""
+    from itertools import product
+    rng = random.Random(2)
+    for _ in range(60):
+        n, limit = rng.randint(2, 5), rng.randint(3, 4)
+        counts = [rng.choice([1, 1, 2, 3, 9, 40, 1000]) for _ in range(n)]
+        got = token_files.code_lengths(np.array(counts), limit)
+        assert _kraft(got) <= 1 and got.max() <= limit
+        best = min(sum(c * x for c, x in zip(counts, xs)) for xs in product(range(1, limit + 1), repeat=n) if _kraft(xs) <= 1)
+        assert int((got * counts).sum()) == best
+    assert token_files.code_lengths(np.array([7])).tolist() == [1]
+    many = token_files.code_lengths(2 ** np.arange(40), 16)
+    assert many.max() == 16 and _kraft(many) <= 1
+    assert token_files.code_lengths(np.ones(40, int), 3).max() == 6  # more ids than three bits tell apart
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 5000])
+def test_code_round_trip(n):
+    rng = np.random.default_rng(n)
+    ids = np.minimum(rng.geometric(0.05, n) * 7, 60000)
+    known = np.unique(np.append(ids, [3, 11]))
+    counts = np.array([(ids == k).sum() + 1 for k in known])
+    code = token_files.Code(known, token_files.code_lengths(counts))
+    payload, checkpoints = code.encode(ids)
+    assert len(checkpoints) == -(-n // token_files.STEP)
+    assert code.decode(payload, checkpoints, n).tolist() == ids.tolist()
+
+
+def test_words_are_encoded_as_whole_texts():
+    tokenizer = token_files.WordTokenizer(PATH)
+    rng = random.Random(4)
+    signs = "abAB'sSdé É́̈Σσ.,;:!?\"()<|>endoftext12९ \n\t \u0085\x1c\x01日本ßİ×÷ÿ@#$%^&*-_=+[]{}~`/\\ñö°²¿ﬃ"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
+    for text, ids in zip(texts, tokenizer.ids(texts), strict=True):
+        assert ids.tolist() == tokenizer.library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_join_crc():
+    a, b = b"some bytes", bytes(range(256)) * 5
+    assert token_files.join_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+    assert token_files.join_crc(zlib.crc32(a), zlib.crc32(b""), 0) == zlib.crc32(a)
+
+
+def test_token_files_equal_the_library(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "BLOCK", 512)  # documents span blocks
+    library = token_files.WordTokenizer(PATH).library
+    rows = [(i, f"Document {i}, said \"it\" " * (i % 40)) for i in range(300)]
+    rows += [(7, "twice"), (7, "twice"), (None, "no id"), (400, None), (401, ""), (402, "long text, " * 4000)]
+    df = spark.createDataFrame([(*r, 0, "x") for r in rows], "doc_id long, text string, n int, shard string").repartition(6)
+    got = token_files.token_files(df, PATH).collect()
+    want = Counter()
+    for doc_id, text in rows:
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
+        want[doc_id, len(ids), zlib.crc32(ids.tobytes())] += 1
+    assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == want
+    got = sorted(got, key=lambda r: r["start"])
+    assert [r["start"] for r in got] == np.cumsum([0] + [r["n_tokens"] for r in got])[:-1].tolist()
+    order = [r["doc_id"] for r in got]
+    assert order[0] is None and order[1:] == sorted(order[1:])
+
+
+def test_token_files_without_rows(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert token_files.token_files(none, PATH).count() == 0
+
+
+def test_token_files_are_compact(spark):
+    folder = staged_path(spark, "test-tokens")
+    df = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("the same words again and again " * 20).alias("text"))
+    token_files.write_token_files(df, folder, PATH)
+    bits, n = spark.read.parquet(f"{folder}/blocks").agg(F.sum(F.length("payload") * 8), F.sum("n")).first()
+    assert n == 200 * 121 and bits / n < 3
+
+
+# ------------------------------------------------------------------ Merkle manifest
+
+def _h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def _tree(leaves):
+    """The root and the proof (left, right per level) of every leaf."""
+    proofs, groups, nodes = [[] for _ in leaves], [[i] for i in range(len(leaves))], list(leaves)
+    while len(nodes) > 1:
+        up, merged = [], []
+        for a in range(0, len(nodes), 3):
+            run = nodes[a:a + 3]
+            for k in range(len(run)):
+                for leaf in groups[a + k]:
+                    proofs[leaf].append(("".join(run[:k]), "".join(run[k + 1:])))
+            up.append(_h(*run))
+            merged.append([x for g in groups[a:a + 3] for x in g])
+        nodes, groups = up, merged
+    return nodes[0], proofs
+
+
+def _manifest(rows, tampered):
+    def leaf(r, text):
+        return _h(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (r[0], r[1], r[2], r[3], text)])
+    sources = sorted({r[1] for r in rows}, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for s in sources:
+        own = sorted(((r[0] is not None, r[0] or 0, leaf(r, r[4]), r) for r in rows if r[1] == s), key=lambda x: x[:3])
+        trees[s] = (own, *_tree([x[2] for x in own]))
+    root, tops = _tree([trees[s][1] for s in sources])
+    out = []
+    for k, s in enumerate(sources):
+        own, subroot, proofs = trees[s]
+        for (_, _, digest, r), proof in zip(own, proofs, strict=True):
+            steps, h = proof + tops[k], digest
+            if tampered(r):
+                h = leaf(r, r[4].replace("\n", ""))
+            for left, right in steps:
+                h = _h(left, h, right)
+            out.append((r[0], digest, subroot, root, _h(*[x for pair in steps for x in pair]), h, h == root))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("sizes", [{"a": 1}, {"a": 3, "b": 4, None: 28}, {"a": 9, "B": 10, "é": 1, "": 2, None: 1, "zz": 82}])
+def test_manifest_equals_brute_force(spark, sizes):
+    rng = random.Random(8)
+    rows = []
+    for source, n in sizes.items():
+        for _ in range(n):
+            rows.append((rng.choice([None, *range(40)]), source, rng.choice(["en", None, "日"]), rng.choice([None, 5]),
+                         rng.choice([None, "", "one\nline", "é\n\n", "plain", "x" * 5000])))
+    rows += rows[:2]  # equal rows are leaves of their own
+    df = spark.createDataFrame([(*r, "t", 1) for r in rows], "doc_id long, source string, lang string, n_chars long, "
+                               "text string, tree string, place int").repartition(4)
+    odd = F.col("doc_id") % 2 == 1
+    got = merkle.manifest(df, F.when(odd, F.replace("text", F.lit("\n"), F.lit("")))).collect()
+    want = _manifest(rows, lambda r: r[0] is not None and r[0] % 2 == 1 and r[4] is not None)
+    assert sorted(map(tuple, got), key=str) == want
+
+
+def test_manifest_without_rows_or_tampering(spark):
+    schema = "doc_id long, source string, lang string, n_chars long, text string"
+    assert merkle.manifest(spark.createDataFrame([], schema)).count() == 0
+    rows = [(i, "s", "en", 1, f"text {i}\n") for i in range(30)]
+    assert all(r["verified"] for r in merkle.manifest(spark.createDataFrame(rows, schema)).collect())
+
+
+# ------------------------------------------------------------------ bootstrapping of personal data
+
+def test_pii_found_only_through_an_induced_pattern(spark):
+    """Values too short for a recogniser are found by the words around them; their
+    shape then finds one between other words."""
+    from crashlens.llm import pii
+    texts = [f"please password=ab{k:07d} today" for k in range(40)]
+    texts += [f"please password=k-{k:02d}x today" for k in range(10, 50)]
+    target = "his password=q-77z gone"
+    texts += [target, *(f"words number {k} of the usual kind" for k in range(50))]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = [pii.confident_patterns(pii.score_patterns(df, turns=k)) for k in (1, 2)]
+    spans = [[s for s in pii.all_spans(target, known) if target[s[1]:s[2]] == "q-77z"] for known in found]
+    assert spans == [[], [("secret", 13, 18)]]
+    assert not any(p.startswith("S|password=|a-9") for p in found[0])
+    assert pii.all_spans("words number 7 of the usual kind", found[1]) == []
+
+
+def test_pii_look_ahead_leaves_no_edge_out():
+    """Edges of what the neighbouring words let through are those of all tokens."""
+    from crashlens.llm import pii
+    rng = random.Random(5)
+    words = ["at", "the", "of", "token", "=", "a|b", "x" * 28, "id", "id:", "42", "A9-7", "foo.", "bar,", "(baz)", "l'eau",
+             "é", "\"q\"", "user=joe", "call", "me", "+41 79", "٣", "²", "-", ","]
+    gaps = [" ", " ", " ", "  ", "\n", " " * 13, "\t", "\" \"", "\u00a0"]
+    texts = ["".join(rng.choice(words) + rng.choice(gaps) for _ in range(rng.randint(0, 30))) for _ in range(400)]
+    every = sorted({p for t in texts for c in pii.candidates(t, []) for p in pii.met_by(t, *c)})
+    for size in (2, 60, 60, 60, 400):
+        some = frozenset(rng.sample(every, size))
+        near = pii.Near(some)
+        for t in texts:
+            assert sorted(map(str, pii._edges(t, some, near)[0])) == sorted(map(str, pii._edges(t, some, None)[0])), t
+
+
+def test_redacted_keeps_odd_columns(spark):
+    from crashlens.llm import pii
+    df = spark.createDataFrame([("mail a.b@c.de", 1, 2, 3), (None, 4, 5, 6)], "text string, _key int, _in int, row int")
+    known = spark.createDataFrame([("R|x|y", "secret", 0.9)], "pattern string, kind string, confidence double")
+    for patterns in ({}, known):
+        got = pii.redacted(df, patterns)
+        assert got.columns == df.columns
+        assert sorted(map(tuple, got.collect()), key=str) == [("mail <EMAIL>", 1, 2, 3), (None, 4, 5, 6)]
