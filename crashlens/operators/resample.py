@@ -181,12 +181,12 @@ def smote(df: DataFrame, k: int = 5, seed: int = 42, probe: int | None = None, *
     ``probe`` nearest cells.
 
     ``df``: (id, label, vec). Returns the input rows plus synthetic rows with
-    ``source_id`` / ``sample_no`` and ``is_synthetic``.
+    ``source_id`` / ``sample_no`` and ``is_synthetic``. An empty table stays empty.
     """
     base = df.select(F.col("id").cast("long"), F.col("label").cast("string"),
                      F.col("vec").cast("array<double>"))
     sizes = {r["label"]: r["n"] for r in base.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_max = max(sizes.values())
+    n_max = max(sizes.values(), default=0)
     need = {c: n_max - n for c, n in sizes.items() if n < n_max and n >= 2}
     orig = base.select("id", "label", "vec", F.lit(None).cast("long").alias("source_id"),
                        F.lit(None).cast("int").alias("sample_no"), F.lit(False).alias("is_synthetic"))

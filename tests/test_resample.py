@@ -65,3 +65,9 @@ def test_smote_default_neighbours_are_exact(spark):
         near, step = x[np.argsort(d)[:3]] - x[r["source_id"]], np.array(r["vec"]) - x[r["source_id"]]
         u = (near @ step) / (near ** 2).sum(1)
         assert np.abs(near * u[:, None] - step).max(1).min() < 1e-9
+
+
+def test_smote_of_an_empty_table(spark):
+    from crashlens.operators.resample import smote
+    none = spark.createDataFrame([], "id long, label string, vec array<double>")
+    assert smote(none).count() == 0
