@@ -2,6 +2,11 @@
 
 Each stage takes the documents that its predecessor kept, written as Parquet
 and read again, and returns their columns; the last one returns token ids.
+
+All stages: texts are read whole, however long; a null text counts as empty and
+stays null; repeated rows are rows of their own (the near-copy stage keeps one of
+them); an empty table gives an empty one; further columns are kept as they are,
+whatever their names, up to the last stage.
 """
 
 from __future__ import annotations
@@ -51,7 +56,7 @@ STAGES = [("quality_rules", quality), ("ngram_jaccard_join", near_copies), ("pii
           ("mix_sources", mixture), ("byte_bpe", token_ids)]
 
 #: SQL cannot express the robust estimates, the bootstrapping or the encoding;
-#: tests/llm compares the stages with brute-force versions.
+#: tests/llm holds what can be against brute force, operator by operator.
 ORACLE_SQL = None
 
 
