@@ -13,6 +13,7 @@ a query, so no pair list is ever written.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +33,26 @@ HEAD = 0.25
 #: Relative slack of bounds computed in floating point.
 SLACK = 1e-6
 EXACT = float(1 << 53)
+#: The smallest score that 64 bits hold.
+LEAST = -(1 << 63)
 
 
 def integer_vector(embedding: Column) -> Column:
     """floor(256 x) of each component as double; null for a vector that is null
-    or holds a null, NaN or infinite component."""
+    or holds a null, NaN or infinite component, or one whose 256-fold no double holds.
+    A double from 2^52 on has no fraction and is its own floor."""
     fine = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x)
-                    & (F.abs(x.cast("double")) < F.lit(float("inf"))))
-    return F.when(embedding.isNotNull() & fine,
-                  F.transform(embedding, lambda x: F.floor(x.cast("double") * 256.0).cast("double")))
+                    & (F.abs(x.cast("double") * 256.0) < F.lit(float("inf"))))
+
+    def whole(x: Column) -> Column:
+        y = x.cast("double") * 256.0
+        return F.when(F.abs(y) < float(1 << 52), F.floor(y).cast("double")).otherwise(y)
+    return F.when(embedding.isNotNull() & fine, F.transform(embedding, whole))
+
+
+def _length(m: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore", invalid="ignore"):
+        return np.sqrt(np.einsum("ij,ij->i", m, m))
 
 
 def _matrix(column) -> np.ndarray:
@@ -69,14 +81,20 @@ def rotation(vectors: DataFrame, d: int) -> np.ndarray:
     return np.linalg.eigh(total)[1][:, ::-1] if d else np.zeros((0, 0))
 
 
-def exact_scores(q: np.ndarray, x: np.ndarray, bound: float) -> np.ndarray:
-    """Inner products of integer vectors. ``bound`` is the product of the largest
-    lengths: below 2^53 every partial sum is exact in double, beyond it Python
-    integers are used, and a score outside 64 bits raises OverflowError."""
-    if bound < EXACT:
-        return (q @ x.T).astype(np.int64)
-    as_int = lambda m: np.array([[int(v) for v in row] for row in m], object).reshape(m.shape)
-    return (as_int(q) @ as_int(x).T).astype(np.int64)
+def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inner products of integer vectors. Where the product of two lengths is below
+    2^53 every partial sum is exact in double; the other pairs are summed as Python
+    integers, and a score outside 64 bits becomes the nearest 64-bit integer."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        large = ~(np.outer(_length(q), _length(x)) * (1 + SLACK) < EXACT)
+        s = np.where(large, 0, q @ x.T).astype(np.int64)
+    rows, cols = np.nonzero(large)
+    left = {i: [int(v) for v in q[i]] for i in set(rows.tolist())}
+    right = {j: [int(v) for v in x[j]] for j in set(cols.tolist())}
+    for i, j in zip(rows.tolist(), cols.tolist(), strict=True):
+        score = sum(map(mul, left[i], right[j]))
+        s[i, j] = min(max(score, LEAST), -LEAST - 1)
+    return s
 
 
 def search_block(qid, q, xid, x, turn, k, floor=None):
@@ -88,9 +106,7 @@ def search_block(qid, q, xid, x, turn, k, floor=None):
     xid, x = xid[order], x[order]
     head = max(1, int(np.ceil(HEAD * q.shape[1]))) if q.shape[1] else 0
     xr, qr = x @ turn, q @ turn
-    length = lambda m: np.sqrt(np.einsum("ij,ij->i", m, m))
-    x_len, x_rest, q_rest, q_len = length(x), length(xr[:, head:]), length(qr[:, head:]), length(q)
-    bound = float(x_len.max(initial=0) * q_len.max(initial=0)) * (1 + SLACK)
+    x_len, x_rest, q_rest, q_len = _length(x), _length(xr[:, head:]), _length(qr[:, head:]), _length(q)
     least = np.full(len(q), -np.inf) if floor is None else floor.astype(float)
     best_id = np.zeros((len(q), 0), np.int64)
     best = np.zeros((len(q), 0), np.int64)
@@ -98,11 +114,12 @@ def search_block(qid, q, xid, x, turn, k, floor=None):
     for a in range(0, len(x), STRIP):
         part = slice(a, a + STRIP)
         slack = SLACK * (1 + q_len * x_len[a])
-        open_q = np.flatnonzero(q_len * x_len[a] + slack >= least)
+        # bounds that are no number, of lengths beyond double, exclude nothing
+        open_q = np.flatnonzero(~(q_len * x_len[a] + slack < least))
         if not len(open_q):
             break  # all that follow are shorter still
         upper = qr[open_q, :head] @ xr[part, :head].T + np.outer(q_rest[open_q], x_rest[part])
-        may = upper + slack[open_q, None] >= least[open_q, None]
+        may = ~(np.maximum(upper, LEAST) + slack[open_q, None] < least[open_q, None])
         own = qid[open_q][:, None] == xid[part][None, :]
         may &= ~own
         rows = may.any(1)
@@ -110,14 +127,12 @@ def search_block(qid, q, xid, x, turn, k, floor=None):
             continue
         open_q, may = open_q[rows], may[rows]
         cols = np.flatnonzero(may.any(0))
-        s = exact_scores(q[open_q], x[part][cols], bound)
+        s = exact_scores(q[open_q], x[part][cols])
         ok = may[:, cols]
         ids = np.concatenate([best_id[open_q], np.broadcast_to(xid[part][cols], s.shape)], 1)
         s = np.concatenate([best[open_q], s], 1)
         ok = np.concatenate([real[open_q], ok], 1)
-        lowest = np.iinfo(np.int64).min
-        rank = np.lexsort((ids, -np.where(ok, s, lowest).astype(float) if bound < EXACT
-                           else -np.where(ok, s, lowest // 2), ~ok), axis=1)[:, :k]
+        rank = np.lexsort((ids, ~s, ~ok), axis=1)[:, :k]  # ~s falls as s grows, within 64 bits
         width = max(best.shape[1], rank.shape[1])
         if best.shape[1] < width:
             grow = ((0, 0), (0, width - best.shape[1]))
@@ -140,7 +155,9 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, ident:
     repeated candidate rows each count, and of query rows with one id the
     smallest vector is the query. Rows without an id take no part, nor do
     vectors that :func:`integer_vector` rejects; shorter vectors are filled up
-    with zeros. Fewer rows than k give all of them; empty tables give none.
+    with zeros. Fewer rows than k give all of them; empty tables give none. Scores
+    are exact within 64 bits; one beyond them counts as the nearest 64-bit integer,
+    so such scores may tie.
     """
     held = vectors.select(F.col(ident).cast("long").alias("vec_id"),
                           integer_vector(F.col(embedding)).alias("v"), is_query.alias("q")) \
@@ -184,7 +201,7 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, ident:
             least = np.full(len(qid), -np.inf)
             for a in range(0, len(qid), STRIP):
                 part = slice(a, a + STRIP)
-                s = exact_scores(q[part], top, _lengths(q[part]) * _lengths(top)).astype(float)
+                s = exact_scores(q[part], top).astype(float)
                 s[qid[part][:, None] == top_id[None, :]] = -np.inf
                 if s.shape[1] >= k:
                     least[part] = np.sort(s, 1)[:, -k]
@@ -217,7 +234,3 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, ident:
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")
-
-
-def _lengths(m: np.ndarray) -> float:
-    return float(np.sqrt((m * m).sum(1)).max(initial=0)) * (1 + SLACK) if m.size else 0.0

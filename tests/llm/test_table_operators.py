@@ -1,5 +1,6 @@
 """Joins, searches, mixing, models and the pipeline against brute force."""
 
+import math
 import random
 from collections import defaultdict
 
@@ -118,9 +119,32 @@ def test_top_inner_products(spark, sizes, monkeypatch):
 def test_scores_beyond_double():
     big = float(1 << 40)
     q, x = np.array([[big, 3.0]]), np.array([[big / 2 ** 20, 1.0], [1.0, -1.0]])
-    assert topk.exact_scores(q, x, 1e30).tolist() == [[2 ** 60 + 3, 2 ** 40 - 3]]
-    with pytest.raises(OverflowError):
-        topk.exact_scores(np.array([[big]]), np.array([[big]]), 1e30)
+    assert topk.exact_scores(q, x).tolist() == [[2 ** 60 + 3, 2 ** 40 - 3]]
+    assert topk.exact_scores(np.array([[big], [1.0]]), np.array([[big], [-big]])).tolist() == [
+        [2 ** 63 - 1, -2 ** 63], [2 ** 40, -2 ** 40]]
+
+
+@pytest.mark.parametrize("sizes", [(4096, 8192), (3, 10)])
+def test_top_inner_products_of_huge_components(spark, sizes, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", sizes[0])
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", sizes[1])
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(120, 4)) * rng.choice([1.0, 1e7, 1e16, 1e30, 3e38, 1e200], size=(120, 1))
+    x[7] = [5e16, 0.3, -0.3, 0.0]  # the floor of its first component passes 64 bits
+    x[50] = [1.0, 2.0, 3.0, 4.0]
+    x[100] = [3e38, -3e38, 1e30, 0.0]
+    lost = {11: [1e307, 1.0, 0.0, 0.0]}  # no double holds its 256-fold
+    for i, v in lost.items():
+        x[i] = v
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in topk.top_inner_products(df.repartition(3), F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    ints = {i: [math.floor(256.0 * float(v)) for v in r] for i, r in enumerate(x) if i not in lost}
+    for q in (0, 50, 100):
+        score = {c: max(-2 ** 63, min(2 ** 63 - 1, sum(a * b for a, b in zip(ints[q], ints[c], strict=True))))
+                 for c in ints if c != q}
+        assert got[q] == sorted(score.items(), key=lambda p: (-p[1], p[0]))[:5]
 
 
 def test_targets_are_reshared(spark):
