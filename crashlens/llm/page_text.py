@@ -47,32 +47,69 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main nav ol p "
                    "pre section summary table tbody tfoot thead tr ul caption".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-BODY, MAIN, ARTICLE = 0, 1, 2
-
-
-def _is_frame(name: str, attrs: str) -> bool:
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Zones of a line; a heading within an article is marked, to go or stay with its section.
+BODY, MAIN, ARTICLE, HEADING = 0, 1, 2, 3
+#: Why an element is left out: for good, or for a class, id or role that says no
+#: more than where it stands, as wrappers round whole pages have them, too.
+NEVER, NAMED = 1, 2
+WRAPPER_WORDS = frozenset("header masthead sidebar complementary popup modal overlay search toolbar widget widgets "
+                          "login".split())
+#: A NAMED element is opened after all if it holds this many
+#: times the running text of the rest of the page.
+WRAPS = 20
+
+
+def _frame(name: str, attrs: str) -> int:
+    """Why an element is part of the frame; 0 if it is none."""
     if name in FRAME:
-        return True
+        return NEVER
+    found = 0
     if not attrs or name in ("html", "body", "main"):
-        return False
+        return found
     for key, *values in ATTR.findall(attrs):
         value = next((v for v in values if v), "").lower()
         if key.lower() == "hidden" or key.lower() == "aria-hidden" and value == "true":
-            return True
+            return NEVER
         # a name such as has-sidebar or entry-header says something else than its words
-        if key.lower() in ("class", "id", "role") and name != "article" and any(
-                FRAME_WORDS.issuperset(re.findall(r"[a-z0-9]+", n) or [n]) for n in value.split()):
-            return True
-    return False
+        if key.lower() in ("class", "id", "role") and name != "article":
+            words = [re.findall(r"[a-z0-9]+", n) or [n] for n in value.split()]
+            words = [w for w in words if FRAME_WORDS.issuperset(w)]
+            if not all(WRAPPER_WORDS.issuperset(w) for w in words):
+                return NEVER
+            found = NAMED if words else found
+    return found
 
 
 def page_lines(html: str) -> list[tuple[int, str]]:
-    """(zone, line) of every text block outside frames, scripts and markup.
+    """(zone, line) of every text block outside frames, scripts and markup."""
+    return [(min(z, ARTICLE), line) for z, line in marked_lines(html)]
+
+
+def marked_lines(html: str) -> list[tuple[int, str]]:
+    """As :func:`page_lines`, with headings of articles marked as HEADING.
 
     Open elements are tracked by name only, so unclosed inline or paragraph
-    tags do no harm. Within an article a header keeps its headings.
+    tags do no harm. Within an article a header keeps its headings. An element
+    that is left out as :data:`NAMED` and holds nearly all running text (that
+    outside links and other frames) is a wrapper: the page is read again with it
+    open, until no such element is left.
     """
+    opened: set[int] = set()
+    while True:
+        lines, running, left_out = _page_lines(html, opened)
+        at = max(left_out, key=lambda p: (left_out[p], -p), default=None)
+        if at is None or left_out[at] <= WRAPS * (running + sum(left_out.values()) - left_out[at]):
+            return lines
+        opened.add(at)
+
+
+def _page_lines(html: str, opened: set[int]) -> tuple[list[tuple[int, str]], int, dict[int, int]]:
+    """Lines; characters of running text that is kept; and by place of an element
+    left out for its class those within it. ``opened``: places not left out."""
     lines: list[tuple[int, str]] = []
+    left_out: dict[int, int] = {}
+    running, links, inner, place = 0, 0, [], -1
     held: list[str] = []
     depth = {"article": 0, "main": 0}
     skip, skip_depth, head_only, heading = "", 0, False, False
@@ -81,13 +118,20 @@ def page_lines(html: str) -> list[tuple[int, str]]:
         text = SPACE.sub(" ", unescape("".join(held))).strip()
         held.clear()
         if text:
-            lines.append((ARTICLE if depth["article"] else MAIN if depth["main"] else BODY, text))
+            lines.append(((HEADING if titled else ARTICLE) if depth["article"] else MAIN if depth["main"] else BODY,
+                          text))
 
     def text(a: int, b: int) -> None:
-        if a < b and (not skip or head_only and heading):
+        nonlocal running
+        if a >= b:
+            return
+        if not skip or head_only and heading:
             held.append(html[a:b])
+            running += 0 if links else len(html[a:b].strip())
+        elif place >= 0 and not links and not inner:
+            left_out[place] = left_out.get(place, 0) + len(html[a:b].strip())
 
-    at, endless = 0, set()
+    at, endless, titled = 0, set(), False
     while True:
         m = TAG.search(html, at)
         if m is None:
@@ -106,24 +150,36 @@ def page_lines(html: str) -> list[tuple[int, str]]:
             continue
         if name in BLOCKS:
             flush()
+            titled = name in HEADINGS and not closes
         elif name in ("br", "td", "th"):
             held.append(" ")
+        if name == "a":
+            links = 0 if closes else 1
         if skip:
+            if inner:
+                if name == inner[0] and name not in VOID:
+                    inner[1] += -1 if closes else 1
+                    if not inner[1]:
+                        inner = []
+            elif place >= 0 and not closes and name not in VOID and _frame(name, m["attrs"] or "") == NEVER:
+                inner = [name, 1]  # frames within the element are no running text of it
             if name == skip and name not in VOID:
                 skip_depth += -1 if closes else 1
                 if not skip_depth:
-                    skip, head_only = "", False
-            if name in ("h1", "h2", "h3", "h4", "h5", "h6"):
+                    skip, head_only, place, inner = "", False, -1, []
+            if name in HEADINGS:
                 heading = not closes
             continue
-        if not closes and name not in VOID and _is_frame(name, m["attrs"] or ""):
+        frame = 0 if closes or name in VOID or m.start() in opened else _frame(name, m["attrs"] or "")
+        if frame:
             skip, skip_depth, heading = name, 1, False
             head_only = name == "header" and depth["article"] > 0
+            place = m.start() if frame == NAMED else -1
         elif name in depth:
             depth[name] = max(0, depth[name] + (-1 if closes else 1))
     text(at, len(html))
     flush()
-    return lines
+    return lines, running, left_out
 
 
 def shared_lines(a: list[str], b: list[str]) -> list[bool]:
@@ -158,12 +214,34 @@ def shared_lines(a: list[str], b: list[str]) -> list[bool]:
 COPY = {ARTICLE: 0.67, MAIN: 0.9, BODY: 0.9}
 
 
+def best_zone(lines: list[tuple[int, str]]) -> int:
+    """The zone that holds the page's text: articles, else the main element, else the
+    body; an outer zone with over LARGER times the text of the inner one wins, as
+    the inner one is a teaser or a note beside the text then."""
+    size = Counter()
+    for z, text in lines:
+        size[min(z, ARTICLE)] += len(text)
+    best = max(size, default=BODY)
+    for zone in (MAIN, BODY):
+        if zone < best and size[zone] > LARGER[zone] * size[best]:
+            best = zone
+    return best
+
+
+#: How many times the text of the inner zone an outer one must hold to be chosen.
+LARGER = {MAIN: 2, BODY: 4}
+
+
+def zone_lines(lines: list[tuple[int, str]], zone: int) -> list[tuple[int, str]]:
+    return [x for x in lines if min(x[0], ARTICLE) == zone]
+
+
 def are_copies(a: list[tuple[int, str]], b: list[tuple[int, str]]) -> bool:
     """Whether the lines of the best zone of both pages are mostly the same."""
-    zone = max((z for z, _ in a), default=BODY)
-    if zone != max((z for z, _ in b), default=BODY):
+    zone = best_zone(a)
+    if zone != best_zone(b):
         return False
-    x, y = (Counter(t for z, t in lines if z == zone) for lines in (a, b))
+    x, y = (Counter(t for _, t in zone_lines(lines, zone)) for lines in (a, b))
     both = sum(len(t) * min(n, y[t]) for t, n in x.items())
     most = max(sum(len(t) * n for t, n in c.items()) for c in (x, y))
     return both >= COPY[zone] * most
@@ -171,11 +249,16 @@ def are_copies(a: list[tuple[int, str]], b: list[tuple[int, str]]) -> bool:
 
 def main_text(lines: list[tuple[int, str]], nearest: list[tuple[int, str]] | None) -> str:
     """The lines of the page's best zone without those shared with ``nearest``, a
-    page that is no copy; a page without any own line keeps all."""
-    zone = max((z for z, _ in lines), default=BODY)
-    own = [x for z, x in lines if z == zone]
-    shared = shared_lines(own, [x for _, x in nearest]) if nearest else [False] * len(own)
-    return "\n".join([x for x, s in zip(own, shared, strict=True) if not s] or own)
+    page that is no copy; a page without any own line keeps all. A heading within
+    an article goes only with the line that follows it."""
+    zone = best_zone(lines)
+    own = zone_lines(lines, zone)
+    texts = [x for _, x in own]
+    shared = shared_lines(texts, [x for _, x in zone_lines(nearest, zone)]) if nearest else [False] * len(own)
+    for i in range(len(own) - 2, -1, -1):
+        if own[i][0] == HEADING:
+            shared[i] = shared[i] and shared[i + 1]
+    return "\n".join([x for x, s in zip(texts, shared, strict=True) if not s] or texts)
 
 
 def _closeness(a: str, b: str) -> int:
@@ -214,7 +297,7 @@ class _Held:
 
 
 def _packed(html: str) -> tuple[bytes]:
-    return (zlib.compress(marshal.dumps(page_lines(html)), 1),)
+    return (zlib.compress(marshal.dumps(marked_lines(html)), 1),)
 
 
 def _unpacked(packed: bytes) -> list[tuple[int, str]]:

@@ -235,6 +235,54 @@ def test_shared_lines_inside_articles_go_and_copies_stay(spark):
     assert sum(own) >= 9  # alone in its range: no neighbour
 
 
+def test_page_zone_and_wrappers():
+    story = "A story of the river and its bridges, told at length. " * 6
+    text = lambda html: page_text.main_text(page_text.marked_lines(html), None)
+    assert text(f"<main><p>{story}</p><article><p>A teaser</p></article></main>") == story.strip()
+    assert text(f"<main><p>By us</p><article><p>{story}</p></article><p>More soon</p></main>") == story.strip()
+    # a wrapper with a frame's class; frames within it stay out
+    wrapped = f"<nav>Menu</nav><p>{story}</p><div class='ads'>Buy</div><div class='comments'>{story * 30}</div>"
+    assert text(f"<body><div class='login widget'>{wrapped}</div></body>") == story.strip()
+    assert text(f"<body><div class='widget'><div id='popup'>{wrapped}</div></div></body>") == story.strip()
+    assert text(f"<body><article><p>{story}</p></article><div class='widget'><p>{story}</p></div></body>") == story.strip()
+    # nothing but a frame is no text
+    assert text("<body><div class='cookie popup'><p>We use cookies.</p></div></body>") == ""
+    assert text("<body><div class='sidebar'><a href='/'>All topics</a></div></body>") == ""
+
+
+def test_headings_stay_with_their_section():
+    page = lambda i: page_text.marked_lines(
+        f"<article><h1>Title {i}</h1><h2>Summary</h2><p>The text of page {i}</p><h3>Related</h3><p>Read on</p></article>")
+    assert page_text.main_text(page(1), page(2)) == "Title 1\nSummary\nThe text of page 1"
+
+
+def test_page_query_equals_brute_force(spark):
+    """All of extract_pages against pages whose text is known, at several partition counts."""
+    rnd = random.Random(12)
+    data, want = [], {}
+    for i in range(120):
+        host, own = f"h{i % 3}.org", [f"Sentence {rnd.random()} of page {i}" for _ in range(rnd.randint(2, 6))]
+        frame = [f"Site {host}", "All topics of the day"], ["Imprint and contact"]
+        body = "".join(f"<p>{x}</p>" for x in own)
+        if i % 4 == 0:
+            html = f"<p>{frame[0][0]}</p><article><h2>Summary</h2>{body}<p>Write to us</p></article>"
+            want[i] = "\n".join(["Summary", *own])
+        else:
+            html = "".join(f"<p>{x}</p>" for x in frame[0]) + body + f"<p>{frame[1][0]}</p>"
+            want[i] = "\n".join(own)
+        # pages of one kind stand together by path, so each has a neighbour of its kind
+        data.append((i, f"http://{host}/{'art' if i % 4 == 0 else 'plain'}/{i:03}", html))
+    df = spark.createDataFrame(data, "page_id long, url string, html string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (1, 5):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = {r["page_id"]: (r["text"], r["n_chars"]) for r in page_text.extract_pages(df).collect()}
+            assert got == {i: (t, len(t)) for i, t in want.items()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_held_rows_spill_and_come_back():
     held = page_text._Held(most=10)
     rows = [(i, "x" * i) for i in range(30)]
