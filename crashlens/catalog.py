@@ -1229,3 +1229,66 @@ def q_whole_route_risk(spark, sf):
     feats = RR.whole_route_features(table, req_time, weather, RR.serving_history(crashes(spark, sf)), names)
     out = RR.whole_route_risk(RR.formula_scores(feats), table, req_time, weather, names)
     return out.withColumn("alternative_polylines", F.size("alternative_polylines").cast("long")).drop("polyline")
+
+
+# ---------------------------------------------------------------- ingestion with drift, incremental enrichment (A1-A3)
+
+from pyspark.sql import types as T  # noqa: E402
+
+from crashlens.plans import incremental  # noqa: E402
+from crashlens.session import staged_path  # noqa: E402
+from crashlens.sources import drift  # noqa: E402
+from crashlens.sources import snapshots as SN  # noqa: E402
+from crashlens.sources.tables import CRASH_SCHEMA  # noqa: E402
+
+DRIFT_SCHEMA = T.StructType([CRASH_SCHEMA[c] for c in FXT.DRIFT_FIELDS])
+_GOOD = "crash_id % 41 <> 0"
+
+
+@register("crash_json_ingested", with_crashes(
+    "SELECT crash_id % 4 AS batch, crash_id AS line_id, "
+    + ", ".join(f"CASE WHEN {_GOOD} THEN {c} END AS {c}" for c in FXT.DRIFT_FIELDS
+                if c not in ("speed_limit", "numb_vehc"))
+    + f", CASE WHEN {_GOOD} AND (crash_id % 4 <> 3 OR crash_id % 8 = 3) THEN speed_limit END AS speed_limit, "
+    f"CASE WHEN {_GOOD} AND crash_id % 4 <> 2 THEN numb_vehc END AS numb_vehc, "
+    "CASE WHEN crash_id % 41 = 0 THEN '{\"crash_id\":' || crash_id "
+    "WHEN crash_id % 4 = 1 THEN '{\"reporter\":\"unit ' || (crash_id % 5) || '\"}' "
+    "WHEN crash_id % 8 = 7 AND speed_limit IS NOT NULL "
+    "THEN '{\"speed_limit\":\"' || CAST(speed_limit AS INT) || ' mph\"}' END AS rescued, "
+    "crash_id % 41 = 0 AS is_bad FROM crashes"))
+def q_crash_json_ingested(spark, sf):
+    return drift.ingest_json(FXT.drifting_crash_lines(spark, sf), DRIFT_SCHEMA)
+
+
+@register("crash_json_drift", with_crashes(
+    "SELECT batch, 'reporter' AS field, 'added' AS drift, n_rows, n_rows AS n_present, 'text' AS kinds "
+    "FROM sizes WHERE batch = 1 UNION ALL "
+    "SELECT batch, 'numb_vehc', 'missing', n_rows, 0, '' FROM sizes WHERE batch = 2 UNION ALL "
+    "SELECT batch, 'speed_limit', 'retyped', n_rows, n_speed, 'text' FROM sizes WHERE batch = 3",
+    "sizes AS (SELECT crash_id % 4 AS batch, COUNT(*) AS n_rows, COUNT(speed_limit) AS n_speed "
+    f"FROM crashes WHERE {_GOOD} GROUP BY 1)"))
+def q_crash_json_drift(spark, sf):
+    return drift.schema_drift(FXT.drifting_crash_lines(spark, sf), DRIFT_SCHEMA, "batch")
+
+
+@register("incremental_neighbourhoods", with_crashes(
+    "SELECT lat, lon, CAST(SUM(n) FILTER (WHERE d <= 1000) AS BIGINT) AS n_big, "
+    "CAST(SUM(f) FILTER (WHERE d <= 1000) AS BIGINT) AS fatal_big, "
+    "CAST(SUM(i) FILTER (WHERE d <= 1000) AS BIGINT) AS injury_big, "
+    "CAST(SUM(i + 2 * f) FILTER (WHERE d <= 1000) AS DOUBLE) AS score_big, "
+    "CAST(SUM(n) FILTER (WHERE d <= 500) AS BIGINT) AS n_small, "
+    "CAST(SUM(f) FILTER (WHERE d <= 500) AS BIGINT) AS fatal_small "
+    f"FROM (SELECT q.lat, q.lon, h.n, h.f, h.i, {HAV} AS d FROM places q JOIN places h "
+    "ON h.lat BETWEEN q.lat - 0.0091 AND q.lat + 0.0091) p GROUP BY 1, 2",
+    LABELLED_CTE,
+    "places AS (SELECT lat, lon, COUNT(*) AS n, COUNT(*) FILTER (WHERE severity_class = 'High') AS f, "
+    "COUNT(*) FILTER (WHERE severity_class = 'Medium') AS i FROM labelled "
+    "WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY lat, lon)"))
+def q_incremental_neighbourhoods(spark, sf):
+    """A first state and two batches, the last of them delivered twice."""
+    base = PF.labelled(crashes(spark, sf)).select("lat", "lon", "severity_class", "year")
+    path = staged_path(spark, "neighbourhoods")
+    for name, years in (("to-2021", F.col("year") <= 2021), ("2022", F.col("year").between(2022, 2023)),
+                        ("2024", F.col("year") >= 2024), ("2024", F.col("year") >= 2024)):
+        incremental.refresh(spark, path, base.where(years), name)
+    return SN.read(spark, path, ["sums"])[0].select("lat", "lon", *incremental.SUMS)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crashlens.functions.polyline import encode_polyline
-from crashlens.sources.tables import CRASH_EXPRS, load_table
+from crashlens.sources.tables import CRASH_EXPRS, crashes, load_table
 
 _LATLON = [e for e in CRASH_EXPRS if e.endswith(" AS lat") or e.endswith(" AS lon")]
 WEATHER_CONDITIONS = ["Clear", "Clouds", "Rain", "Drizzle", "Snow", "Mist", "Thunderstorm", "Haze",
@@ -188,3 +188,24 @@ def forward_geocode_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.filter(F.array(result), lambda x: ~zero).alias("results"))
     return ev.select(F.concat(F.lit("Crash site "), k.cast("string")).alias("address"),
                      F.to_json(payload).alias("geocode_json"))
+
+
+DRIFT_FIELDS = ["crash_id", "year", "severity_3class", "lat", "speed_limit", "numb_vehc", "city_town_name"]
+
+
+def drifting_crash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crash rows as JSON lines in four batches: as declared; with a further
+    field; without one; with speeds as text, half of them with a unit. Every
+    41st line breaks off."""
+    df = crashes(spark, sf_dir).withColumn("batch", F.pmod("crash_id", F.lit(4)))
+    b, rest = F.col("batch"), [F.col(c) for c in DRIFT_FIELDS if c not in ("speed_limit", "numb_vehc")]
+    speed, text = F.col("speed_limit"), F.col("speed_limit").cast("int").cast("string")
+    text = F.when(F.pmod("crash_id", F.lit(8)) == 3, text).otherwise(F.concat(text, F.lit(" mph")))
+    line = F.when(b == 0, F.to_json(F.struct(*rest, speed, "numb_vehc"))) \
+        .when(b == 1, F.to_json(F.struct(*rest, speed, "numb_vehc", F.concat(
+            F.lit("unit "), F.pmod("crash_id", F.lit(5)).cast("string")).alias("reporter")))) \
+        .when(b == 2, F.to_json(F.struct(*rest, speed))) \
+        .otherwise(F.to_json(F.struct(*rest, text.alias("speed_limit"), "numb_vehc")))
+    broken = F.concat(F.lit('{"crash_id":'), F.col("crash_id").cast("string"))
+    return df.select("batch", F.col("crash_id").alias("line_id"),
+                     F.when(F.pmod("crash_id", F.lit(41)) == 0, broken).otherwise(line).alias("value"))

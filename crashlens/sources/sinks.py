@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from crashlens.sources import snapshots
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Path test through the Hadoop file system of the session (works for
@@ -18,15 +20,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def cached_table(spark: SparkSession, path: str, build: Callable[[], DataFrame],
                  force_refresh: bool = False, partition_by: list[str] | None = None) -> DataFrame:
-    """Return the Parquet table at ``path``; build and write it first when it
+    """Return the cached table at ``path``; build and commit it first when it
     is missing or ``force_refresh`` is set (A2). The written files are the
-    hand-off between jobs, so later stages never recompute ``build``."""
-    if force_refresh or not path_exists(spark, path):
-        w = build().write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-    return spark.read.parquet(path)
+    hand-off between jobs, so later stages never recompute ``build``. A refresh
+    commits a further version (see ``snapshots``): readers of the last one go on."""
+    if force_refresh or not snapshots.versions(spark, path):
+        snapshots.commit(spark, path, {"table": build()}, partition_by=partition_by)
+        snapshots.vacuum(spark, path)
+    return snapshots.read(spark, path, ["table"])[0]
 
 
 def write_enriched(enriched: DataFrame, path: str) -> None:
