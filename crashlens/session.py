@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,6 +83,33 @@ def _delete_on_exit(spark: SparkSession, path: str) -> None:
 
 
 _STAGED: list[str] = []
+_SCOPES = threading.local()
+
+
+@contextmanager
+def staged_scope(spark: SparkSession):
+    """Deletes the folders that this thread stages within the block when it ends:
+    results that read them must be written before that. Scopes may be nested."""
+    outer, mine = getattr(_SCOPES, "paths", None), []
+    _SCOPES.paths = mine
+    try:
+        yield
+    finally:
+        _SCOPES.paths = outer
+        for path in mine:
+            if path in _STAGED:  # not released in between
+                _STAGED.remove(path)
+                fs, hpath = _hadoop(spark, path)
+                fs.delete(hpath, True)
+                fs.cancelDeleteOnExit(hpath)
+
+
+def _staged(spark: SparkSession, path: str) -> None:
+    _delete_on_exit(spark, path)
+    _STAGED.append(path)
+    paths = getattr(_SCOPES, "paths", None)
+    if paths is not None:
+        paths.append(path)
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
@@ -99,8 +128,7 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
 def staged_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared checkpoint folder that is deleted like a staged table."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
-    _delete_on_exit(spark, path)
-    _STAGED.append(path)
+    _staged(spark, path)
     return path
 
 
@@ -111,8 +139,7 @@ def stage_partitions(df: DataFrame) -> DataFrame:
     staged = df.checkpoint()
     path = staged._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
     if path.isDefined():
-        _delete_on_exit(spark, path.get())
-        _STAGED.append(path.get())
+        _staged(spark, path.get())
     return staged
 
 

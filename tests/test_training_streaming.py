@@ -1,5 +1,6 @@
 """Models at sf0.001 (small tree counts for speed), bundles, streaming."""
 
+import os
 import tempfile
 
 import pytest
@@ -72,3 +73,31 @@ def test_stream_equals_batch(spark):
     batch = {r["request_id"]: r for r in rec.collect()}
     assert streamed and set(streamed) == set(batch)
     assert all(streamed[k].asDict() == batch[k].asDict() for k in batch)
+
+
+def test_redelivered_requests_are_scored_once(spark, matrix, tmp_path):
+    from crashlens.plans import route_risk as RR
+    from crashlens.session import ensure_checkpoint_dir
+    from crashlens.sources import fixtures as FXT
+    from crashlens.streaming import route_feed
+    feed = FXT.route_payloads(spark, SF_SMALL).join(FXT.weather_payloads(spark, SF_SMALL), "request_id") \
+        .select(*[f.name for f in route_feed.FEED_SCHEMA]).where("request_id % 5 = 0")
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    first = feed.coalesce(1)
+    first.unionByName(first.where("request_id % 2 = 0")).coalesce(1).write.mode("append").parquet(src)
+    first.write.mode("append").parquet(src)  # all of them land again
+    model = TR.fit(matrix.df, matrix.features, "random_forest", trees=5)
+
+    def staged():
+        root = ensure_checkpoint_dir(spark).removeprefix("file:")
+        return {d for d in os.listdir(root) if d.startswith("stage-")}
+    before = staged()
+    q = route_feed.start(spark, src, out, str(tmp_path / "ck"), model, matrix.features,
+                         RR.serving_history(crashes(spark, SF_SMALL)), max_files_per_trigger=1)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert {d.split("-")[1] + "-" + d.split("-")[2] for d in staged() - before} == {"feed-history"}
+    rec = spark.read.parquet(f"{out}/recommendations")
+    assert rec.count() == rec.select("request_id").distinct().count() > 0
+    ids = {r["request_id"] for r in rec.collect()}
+    assert ids <= {r["request_id"] for r in feed.collect()}
