@@ -1292,3 +1292,108 @@ def q_incremental_neighbourhoods(spark, sf):
                         ("2024", F.col("year") >= 2024), ("2024", F.col("year") >= 2024)):
         incremental.refresh(spark, path, base.where(years), name)
     return SN.read(spark, path, ["sums"])[0].select("lat", "lon", *incremental.SUMS)
+
+
+# ---------------------------------------------------------------- written and read again (A1-A6); facts of binary models
+
+from crashlens.sources import sinks, tables  # noqa: E402
+
+
+@register("crashes_round_trip", with_crashes(
+    "SELECT f.fmt, c.* FROM crashes c CROSS JOIN (VALUES ('csv'), ('json'), ('parquet')) f(fmt)"))
+def q_crashes_round_trip(spark, sf):
+    """All crash rows landed in each format and read with the explicit schema."""
+    rows, found = crashes(spark, sf), None
+    for fmt in ("csv", "json", "parquet"):
+        path = staged_path(spark, f"landed-{fmt}")
+        w = rows.write.mode("overwrite")
+        (w.option("header", "true") if fmt == "csv" else w).format(fmt).save(path)
+        back = tables.read_crashes(spark, path, fmt).select(F.lit(fmt).alias("fmt"), *rows.columns)
+        found = back if found is None else found.unionByName(back)
+    return found
+
+
+@register("crash_stats_cached", with_crashes(
+    "SELECT year, COUNT(*) AS crashes, CAST(SUM(COALESCE(numb_fatal_injr, 0)) AS BIGINT) AS fatalities, "
+    "CAST(SUM(COALESCE(numb_nonfatal_injr, 0)) AS BIGINT) AS injuries, read_as FROM crashes "
+    "CROSS JOIN (VALUES ('built'), ('cached'), ('refreshed')) r(read_as) "
+    "WHERE read_as = 'refreshed' OR year < 2020 GROUP BY year, read_as"))
+def q_crash_stats_cached(spark, sf):
+    """The cache is built from the rows before 2020, read again although all rows
+    are there by then, and refreshed; the three readers each keep their version."""
+    path, every = staged_path(spark, "stats-cache"), crashes(spark, sf)
+    built = sinks.cached_table(spark, path, lambda: reads.stats_by_year(every.where("year < 2020")), partition_by=["year"])
+    cached = sinks.cached_table(spark, path, lambda: reads.stats_by_year(every), partition_by=["year"])
+    fresh = sinks.cached_table(spark, path, lambda: reads.stats_by_year(every), force_refresh=True, partition_by=["year"])
+    parts = [d.withColumn("read_as", F.lit(n)) for n, d in (("built", built), ("cached", cached), ("refreshed", fresh))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("enriched_round_trip", with_crashes(
+    f"SELECT year, {', '.join(SPATIAL_OUT)} FROM enriched", LABELLED_CTE, *SPATIAL_CTES))
+def q_enriched_round_trip(spark, sf):
+    path = staged_path(spark, "enriched")
+    sinks.write_enriched(PF.spatial_enriched(crashes(spark, sf)).select("year", *SPATIAL_OUT), path)
+    return spark.read.parquet(path).select("year", *SPATIAL_OUT)
+
+
+def _reports(spark, sf) -> tuple[DataFrame, DataFrame, str]:
+    path = staged_path(spark, "reports")
+    results, thresholds = q_model_choice(spark, sf), q_threshold_search(spark, sf)
+    TRN.write_reports(results, thresholds, K.V2_NUMERIC_COLS, path)
+    return results, thresholds, path
+
+
+@register("comparison_report_read", ORACLE["model_choice"])
+def q_comparison_report_read(spark, sf):
+    results, _, path = _reports(spark, sf)
+    return spark.read.schema(results.schema).option("header", "true").csv(f"{path}/model_comparison")
+
+
+@register("thresholds_report_read", ORACLE["threshold_search"])
+def q_thresholds_report_read(spark, sf):
+    _, thresholds, path = _reports(spark, sf)
+    return spark.read.schema(thresholds.schema).json(f"{path}/thresholds")
+
+
+@register("bundle_scores", with_crashes(
+    "SELECT severity_class, count(*) AS test_rows, count(*) AS equal_rows, 'v4' AS version "
+    "FROM v4rows WHERE is_test GROUP BY severity_class", *_V4_CTES))
+def q_bundle_scores(spark, sf):
+    """Bundles of versions 2 and 4 are saved; the newest is found, loaded, and
+    scores every test row as the model in memory does."""
+    fm, root = _v4_matrix(spark, sf), staged_path(spark, "bundles")
+    train, test = fm.df.where(~F.col("is_test")), fm.df.where(F.col("is_test"))
+    older = K.V2_NUMERIC_COLS
+    TRN.save_bundle(TRN.fit(train, older, "logistic", **JOB["logistic"]), f"{root}/v2", older, K.DEFAULT_THRESHOLDS)
+    model = TRN.fit(train, fm.features, "random_forest", **JOB["random_forest"])
+    TRN.save_bundle(model, f"{root}/v4", fm.features, K.DEFAULT_THRESHOLDS, fm.weather_keep)
+    path = TRN.resolve_bundle(root)
+    loaded, meta = TRN.load_bundle(path)
+    same = meta["features"] == fm.features and meta["thresholds"] == K.DEFAULT_THRESHOLDS \
+        and meta["weather_keep"] == fm.weather_keep
+    a, b = (TRN.score(m, test).select("crash_id", "severity_class", F.struct(*PROB_COLS, "predicted_class").alias(n))
+            for m, n in ((model, "kept"), (loaded, "read")))
+    return a.join(b.drop("severity_class"), "crash_id").groupBy("severity_class").agg(
+        F.count(F.lit(1)).alias("test_rows"),
+        F.sum(((F.col("kept") == F.col("read")) & F.lit(same)).cast("long")).alias("equal_rows")) \
+        .withColumn("version", F.lit(path.rsplit("/", 1)[-1]))
+
+
+@register("binary_boosting_facts", with_crashes(
+    "SELECT CASE severity_class WHEN 'Low' THEN 0 ELSE 1 END AS label, count(*) AS test_rows, count(*) AS probabilities, "
+    "count(*) AS decided_at_half, CAST(1 AS DOUBLE) AS importance_total, true AS importance_falls "
+    "FROM v4rows WHERE is_test GROUP BY 1", *_V4_CTES))
+def q_binary_boosting_facts(spark, sf):
+    """Each scored row has a probability and the class it means; the importances of
+    all features add up to 1 and the list falls."""
+    fm = _v4_matrix(spark, sf)
+    model = TRN.fit(fm.df.where(~F.col("is_test")), fm.features, "gbt_binary", trees=10)
+    scored = TRN.score(model, fm.df.where(F.col("is_test")))
+    p = F.col("p_elevated")
+    ranked = [r["importance"] for r in TRN.feature_importance(model, fm.features, top_k=len(fm.features)).collect()]
+    return scored.groupBy(FX.binary_target("severity_class").cast("int").alias("label")).agg(
+        F.count(F.lit(1)).alias("test_rows"), F.sum(p.between(0, 1).cast("long")).alias("probabilities"),
+        F.sum(((p > 0.5) == (F.col("prediction") == 1)).cast("long")).alias("decided_at_half")) \
+        .withColumns({"importance_total": F.lit(round(sum(ranked), 6)),
+                      "importance_falls": F.lit(all(x >= y for x, y in zip(ranked, ranked[1:])))})

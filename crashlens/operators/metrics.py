@@ -150,32 +150,24 @@ def argmax_class(prob_cols: list[str], classes: list[str] = K.CLASSES):
 
 # ------------------------------------------------------------------ binary
 
-def prefix_sum(df: DataFrame, order_col: str, value_cols: list[str],
-               bucket_rows: int = 250_000) -> DataFrame:
+def prefix_sum(df: DataFrame, order_col: str, value_cols: list[str]) -> DataFrame:
     """Running totals of ``value_cols`` in ``order_col`` order, strictly
     before each row (exclusive), computed without a single-task window.
 
-    Bounds of buckets of about ``bucket_rows`` rows are read once and become
-    literals, so the rows and the per-bucket totals use the same buckets, in
-    every run and on every retry. ``df`` is read three times: pass a written
-    table.
+    Rows are dealt in ranges of ``order_col`` and written once, each with the
+    number of its range, so rows and totals share the ranges in every run and on
+    every retry; a total is that within the range plus those of earlier ranges,
+    a table of one row a range. The plan is the same at every size. ``df`` is
+    read twice, once to find the ranges: pass a written table.
     """
-    n = max(1, -(-df.count() // bucket_rows))
-    found = df.agg(F.percentile_approx(order_col, [k / n for k in range(1, n)], 100_000)).first()[0] \
-        if n > 1 else None
-    bounds = sorted(set(found or []))
-    bucket = F.lit(0)
-    if bounds:
-        array = F.array(*[F.lit(b) for b in bounds])
-        bucket = F.coalesce(F.size(F.filter(array, lambda b: b <= F.col(order_col))), F.lit(0))
-    placed = df.withColumn("_bucket", bucket)
-    within = Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row a bucket
-    totals = placed.groupBy("_bucket").agg(*[F.sum(c).alias(f"_sum_{c}") for c in value_cols]) \
-        .select("_bucket", *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_off_{c}")
-                             for c in value_cols])
+    placed = stage_table(df.repartitionByRange(order_col).withColumn("_range", F.spark_partition_id()), "prefix-ranges")
+    within = Window.partitionBy("_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    totals = placed.groupBy("_range").agg(*[F.sum(c).alias(f"_sum_{c}") for c in value_cols]) \
+        .select("_range", *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_off_{c}")
+                            for c in value_cols])
     out = placed.withColumns({f"_in_{c}": F.coalesce(F.sum(c).over(within), F.lit(0)) for c in value_cols}) \
-        .join(F.broadcast(totals), "_bucket")
+        .join(F.broadcast(totals), "_range")
     return out.select(*df.columns, *[(F.col(f"_in_{c}") + F.col(f"_off_{c}")).alias(f"before_{c}")
                                      for c in value_cols])
 
