@@ -144,3 +144,22 @@ def test_grid_resolution_follows_density(spark):
         (F.lit(-71.06) + (F.col("id") / 71).cast("int") * F.lit(1.3e-4)).alias("lon"))
     m = spatial.auto_cells_per_radius(dense)
     assert 4 <= m <= 32
+
+
+def test_query_locations_stay_single_rows(spark):
+    # a dense square kilometre: each circle meets thousands of locations
+    n = 4000
+    dense = spark.range(n).select((F.lit(42.35) + F.pmod(F.col("id") * 7919, F.lit(n)) * F.lit(9e-3 / n)).alias("lat"),
+                                  (F.lit(-71.06) + F.col("id") * F.lit(1.2e-2 / n)).alias("lon"),
+                                  F.lit("Low").alias("severity_class"))
+    locations = spatial.history_locations(dense)
+    sums = spatial.location_features(locations.select("lat", "lon"), locations)
+    plan = sums._jdf.queryExecution().optimizedPlan().toString()
+    # only history is laid out, over the tiles its circle meets: bands and cells
+    assert plan.count("Generate explode") == 2
+    rows = {r["lat"]: r for r in sums.collect()}
+    assert len(rows) == n
+    points = [(r["lat"], r["lon"]) for r in locations.select("lat", "lon").collect()]
+    for p in points[::400]:
+        assert rows[p[0]]["n_big"] == sum(hav(p, q) <= 1000 for q in points)
+        assert rows[p[0]]["n_small"] == sum(hav(p, q) <= 500 for q in points)
