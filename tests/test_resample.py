@@ -71,3 +71,25 @@ def test_smote_of_an_empty_table(spark):
     from crashlens.operators.resample import smote
     none = spark.createDataFrame([], "id long, label string, vec array<double>")
     assert smote(none).count() == 0
+
+
+def test_knn_sends_each_row_to_few_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(900, 24)), np.repeat(rng.normal(size=(3, 24)), 60, axis=0)])
+    df = spark.createDataFrame([(i, "A", v.tolist()) for i, v in enumerate(x)], "id long, label string, vec array<double>")
+
+    def neighbours():
+        return {r["id"]: (list(r["nn_ids"]), np.round(r["nn_dists"], 9).tolist())
+                for r in RS.knn_within_class(df, k=5, block=8).collect()}
+    staged = []
+    real = RS.stage_table
+    monkeypatch.setattr(RS, "stage_table", lambda d, name: staged.append((name, real(d, name))) or staged[-1][1])
+    got = neighbours()
+    for i in range(0, len(x), 9):
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        d[i] = np.inf
+        assert got[i][0] == sorted(range(len(x)), key=lambda j: (d[j], j))[:5], i
+    assert dict(staged)["knn-visits"].count() == 0  # 200 KB of vectors are one block
+    monkeypatch.setattr(RS, "BLOCK_BYTES", 64 * 24 * 8)  # many blocks and cells: equal results
+    assert neighbours() == got
+    assert max(r["cell"] for r in dict(staged)["knn-visits"].select("cell").distinct().collect()) > 3
