@@ -56,3 +56,18 @@ def test_awkward_tables(spark):
     assert nearest.nearest_places(point.limit(0), places, ["name"]).count() == 0
     with pytest.raises(ValueError, match="name"):
         nearest.nearest_places(point.withColumnRenamed("id", "name"), places, ["name"])
+
+
+def test_staged_tables_are_not_broadcast(spark, monkeypatch):
+    # compressed files of tables that are far larger in memory look small
+    plans, real = [], nearest.stage_table
+    monkeypatch.setattr(nearest, "stage_table", lambda d, name: plans.append(_plan(d)) or real(d, name))
+    points = spark.range(300).selectExpr("id", "42.0 + id * 1e-4 as lat", "-71.0 + id * 1e-4 as lng")
+    places = points.selectExpr("lat + 2e-5 as lat", "lng", "'street' as name")
+    out = nearest.nearest_places(points, places, ["name"])
+    assert out.where("name = 'street'").count() == 300
+    assert not any("BroadcastHashJoin" in p for p in [*plans, _plan(out)])
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
