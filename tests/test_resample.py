@@ -93,3 +93,12 @@ def test_knn_sends_each_row_to_few_blocks(spark, monkeypatch):
     monkeypatch.setattr(RS, "BLOCK_BYTES", 64 * 24 * 8)  # many blocks and cells: equal results
     assert neighbours() == got
     assert max(r["cell"] for r in dict(staged)["knn-visits"].select("cell").distinct().collect()) > 3
+
+
+def test_tables_of_vectors_are_not_broadcast(spark, tmp_path):
+    df = spark.createDataFrame(_data(), "id long, label string, vec array<double>")
+    df.write.parquet(str(tmp_path / "rows"))  # read from files, their size is known and small
+    out = RS.smote(spark.read.parquet(str(tmp_path / "rows")), k=5, block=16)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rightHint=(strategy=merge)") == 3
+    assert out.where("is_synthetic").count() > 0
