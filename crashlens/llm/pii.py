@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from functools import lru_cache
 from itertools import accumulate
 
@@ -50,6 +51,8 @@ PRIOR = 2.0
 #: Least share of a pattern's meetings that must be with instances that induced it;
 #: patterns below it are part of ordinary text and stay out of the graph.
 HOPE = 0.02
+#: Parts of the texts (one of so many) that patterns below HOPE are told from first.
+SIEVE = (64, 8)
 CONFIDENCE = 0.85
 LEAST_SEEDS = 3
 
@@ -136,15 +139,13 @@ def met_by(text: str, first: int, last: int) -> list[str]:
 _GONE = (MARKS + ":#0123456789").encode()
 
 
-def _bare(text: str) -> str:
-    """The text in small letters without marks and digits."""
-    return text.lower().encode().translate(None, _GONE).decode()
+def _bare(text: str) -> bytes:
+    """The text in small letters without marks and digits, as UTF-8."""
+    return text.lower().encode().translate(None, _GONE)
 
 
 #: Digits that :func:`_bare` leaves.
 DIGITS = re.compile(r"[^\D0-9]")
-#: Most words that a text is searched for one by one.
-FEW = 64
 #: Longest word that surely lies whole in the windows of :func:`patterns`.
 SHORT = 25
 #: White space that may push a word out of a window.
@@ -157,72 +158,85 @@ class Near:
     A token of letters alone has no digit, sign or mark in its shape; unless a
     pattern has such a shape, it can only meet pairs of words: the two before it,
     or the one before and the one after. Other tokens must follow a known word.
+    Patterns of ``also`` are looked for at tokens with a digit alone.
     """
 
-    def __init__(self, found):
+    def __init__(self, found, also=()):
         self.lefts, self.before, self.around, self.shapes = set(), set(), set(), set()
         for p in found:
-            p = p.removeprefix("~")
-            kind, rest = p[0], p[2:]
-            if kind == "L":
-                pairs = [tuple(rest.rsplit(" ", 1))]
-            else:  # a word may hold the mark itself
-                parts = rest.split("|")
-                pairs = [("|".join(parts[:k]), "|".join(parts[k:])) for k in range(1, len(parts))]
+            kind, pairs = self._pairs(p)
+            self.lefts.update(self._left(kind, pairs))
             if kind == "L":
                 self.before.update(pairs)
-                self.lefts.add(pairs[0][1])
+            elif kind == "R":
+                self.around.update(pairs)
             else:
-                self.lefts.update(left for left, _ in pairs)
-                if kind == "R":
-                    self.around.update(pairs)
-                else:
-                    self.shapes.update(left for left, shown in pairs if shown.replace("+", "").isalpha())
-
-        # what a text must hold for any pair to be in it, all marks and digits left out
-        # of the words; a pair that loses a word this way is looked for by the other
-        bare = {k: {tuple(map(_bare, p)) for p in pairs} for k, pairs in (("before", self.before), ("around", self.around))}
-        self.bare_before, self.bare_around = ({p for p in bare[k] if all(p)} for k in ("before", "around"))
-        alone = [p for pairs in bare.values() for p in pairs if not all(p)]
-        self.alone = {w for p in alone for w in p if w} | {_bare(w) for w in self.shapes if _bare(w)}
-        few = {_bare(left) for left in self.lefts}
-        self.few = sorted(few) if len(few) <= FEW and "" not in few else None
-        self.always = any(not any(p) for p in alone) or any(not _bare(w) for w in self.shapes)
+                self.shapes.update(left for left, shown in pairs if shown.replace("+", "").isalpha())
+        self.digit_lefts = self.lefts.union(*(self._left(*self._pairs(p)) for p in also))
+
+        # the same without marks and digits, which may leave nothing of a word
+        self.bare_lefts = set(map(_bare, self.lefts))
+        self.bare_before = {tuple(map(_bare, p)) for p in self.before}
+        self.bare_around = {tuple(map(_bare, p)) for p in self.around}
+        self.bare_last = {left for left, after in self.bare_around if not after}
+        self.bare_shapes = set(map(_bare, self.shapes))
+        self.bare_first = self.bare_lefts.union(first for first, _ in self.bare_before)
+
+    @staticmethod
+    def _pairs(p: str):
+        p = p.removeprefix("~")
+        kind, rest = p[0], p[2:]
+        if kind == "L":
+            return kind, [tuple(rest.rsplit(" ", 1))]
+        parts = rest.split("|")  # a word may hold the mark itself
+        return kind, [("|".join(parts[:k]), "|".join(parts[k:])) for k in range(1, len(parts))]
+
+    @staticmethod
+    def _left(kind: str, pairs) -> list[str]:
+        return [pairs[0][1]] if kind == "L" else [left for left, _ in pairs]
 
     def runs(self, text: str):
         """Spans of the visible runs that may hold a token to look at."""
-        bare = _bare(text)
-        if self.few is not None and not any(left in bare for left in self.few) and (text.isascii() or not DIGITS.search(text)):
-            return  # no word before an instance, not even within a run
-        words = SHOWN.findall(text)
+        words = text.replace('"', " ").split()  # the runs that SHOWN finds
         if not words:
             return
-        # a word with anything but letters, marks at its end aside
-        picked = {i for i, w in enumerate(words) if not (w.isalpha() or w.rstrip(ENDS).isalpha())}
-        bare = bare.split()
-        spare = len(text) - sum(map(len, words)) - len(words)  # white space beyond one between words
-        if self.always or not self.alone.isdisjoint(bare) or spare > 8 and GAP.search(text) \
-                or not text.isascii() and DIGITS.search(text):
-            picked |= self._by_pairs(text, words)
+        sizes = [*map(len, words)]
+        begins = list(accumulate(sizes, initial=0))
+        spare = len(text) - begins[-1] - len(words)  # white space beyond one between words
+        # words with anything but letters, marks at their end aside
+        odd = [i for i, w in enumerate(words) if not w.isalpha() and not w.rstrip(ENDS).isalpha()]
+        if spare > 8 and GAP.search(text) or not text.isascii() and DIGITS.search(text):
+            picked = self._by_pairs(text, words).union(odd)
         else:
-            for sought, pairs in ((self.bare_before, zip(bare, bare[1:])), (self.bare_around, zip(bare, bare[2:]))):
-                if not sought.isdisjoint(pairs):
-                    if len(bare) != len(words):  # a word of marks alone: places differ
-                        picked |= self._by_pairs(text, words)
-                    elif sought is self.bare_before:
-                        picked.update(i + 2 for i, pair in enumerate(zip(bare, bare[1:])) if pair in sought)
-                    else:
-                        picked.update(i + 1 for i, pair in enumerate(zip(bare, bare[2:])) if pair in sought)
-        if max(map(len, words)) > SHORT:  # windows may cut it
-            picked.update(j for i, w in enumerate(words) if len(w) > SHORT for j in range(i - 1, i + 3))
+            picked = self._by_bare(words, odd)
+        if max(sizes) > SHORT:  # windows may cut it
+            picked.update(j for i, n in enumerate(sizes) if n > SHORT for j in range(i - 1, i + 3))
         if spare == -1:  # words one apart: places follow from lengths
-            begins = list(accumulate(map(len, words), initial=0))
             yield from ((begins[i] + i, begins[i + 1] + i) for i in sorted(picked) if 0 <= i < len(words))
         elif picked:
             for i, m in enumerate(SHOWN.finditer(text)):
                 if i in picked:
                     yield m.span()
 
+    def _by_bare(self, words: list[str], odd: list[int]) -> set[int]:
+        """Places of words by what is left of their neighbours."""
+        bare, first, end = _bare(" ".join(words)).split(b" "), self.bare_first, len(words) - 1
+        picked = set()
+        for i in odd:  # a token that begins with the word, without a digit, must follow a known word
+            if (bare[i - 1] if i else b"") in self.bare_lefts or not TOKEN.fullmatch(words[i]) or DIGIT.search(words[i]):
+                picked.add(i)
+        for i in [-1, *(i for i, w in enumerate(bare) if w in first)]:
+            left, at = bare[i] if i >= 0 else b"", i + 1
+            if at > end:
+                break
+            after = bare[at + 1] if at < end else b""
+            if left in self.bare_shapes or (left, after) in self.bare_around \
+                    or left in self.bare_last and (at == end or not words[at].isalpha()):  # or a mark at its end
+                picked.add(at)
+            if i >= 0 and (left, bare[at]) in self.bare_before:
+                picked.add(at + 1)
+        return picked
+
     def _by_pairs(self, text: str, words: list[str]) -> set[int]:
         if GAP.search(text):
             return set(range(len(words)))
@@ -268,14 +282,14 @@ def candidates(text: str, taken, near: Near | None = None):
     taken = sorted((a, b) for _, a, b in taken)
     out, k, begin, end, size = [], 0, 0, 0, 0  # the open run
 
-    def after_left(a: int) -> bool:
+    def after_left(a: int, digit) -> bool:
         if near is None:
             return True
         words = text[max(0, a - 80):a].replace('"', " ").rsplit(None, 1)
-        return (_word(words[-1]) if words else "") in near.lefts
+        return (_word(words[-1]) if words else "") in (near.digit_lefts if digit else near.lefts)
 
     def close():
-        if size > 1 and after_left(begin):
+        if size > 1 and after_left(begin, True):
             out.append((begin, end))
 
     for a, b in _tokens(text, near):
@@ -284,9 +298,10 @@ def candidates(text: str, taken, near: Near | None = None):
         while k < len(taken) and taken[k][1] <= a:
             k += 1
         free = a < b and (k == len(taken) or b <= taken[k][0])
-        if free and after_left(a):
+        digit = DIGIT.search(shown)
+        if free and after_left(a, digit):
             out.append((a, b))
-        if free and DIGIT.search(shown):
+        if free and digit:
             if size and text[end:a] in JOINTS:
                 size, end = size + 1, b
             else:
@@ -305,21 +320,30 @@ def candidates(text: str, taken, near: Near | None = None):
 EDGE = "seed: string, who: binary, pattern: string, sought: boolean, sure: boolean"
 
 
-def _edges(text: str, sought: frozenset[str] | None, near: Near | None):
-    """Edges of what meets a pattern sought for, with all its patterns."""
+def _edges(text: str, sought: frozenset[str] | None, near: Near | None, hopeless: frozenset[str] = frozenset()):
+    """Edges of what meets a pattern sought for, with all its patterns but hopeless ones."""
     found = seeds(text)
     made = []
     for kind, a, b in found + [(None, *c) for c in candidates(text, found, near)]:
         met = met_by(text, a, b)
         hits = [sought is None or p in sought for p in met]
         if any(hits):
-            who = hashlib.blake2b(text[a:b].encode(), digest_size=8).digest()
             sure = kind is None and bool(DIGIT.search(text, a, b))
             # a recogniser's instance has induced its patterns already
-            made += [(kind, who, p, hit, sure) for p, hit in zip(met, hits, strict=True) if hit or sure]
+            kept = [(p, hit) for p, hit in zip(met, hits, strict=True) if (hit or sure) and p not in hopeless]
+            if kept:
+                who = hashlib.blake2b(text[a:b].encode(), digest_size=8).digest()
+                made += [(kind, who, p, hit, sure) for p, hit in kept]
     return (made,)
 
 
+def _met_often(text: str, sought: frozenset[str], near: Near):
+    """How often a text meets each of some patterns."""
+    found = seeds(text)
+    spans = [(a, b) for _, a, b in found] + candidates(text, found, near)
+    return (list(Counter(p for a, b in spans for p in met_by(text, a, b) if p in sought).items()),)
+
+
 def _seed_patterns(text: str):
     return ([(kind, p) for kind, a, b in seeds(text) for p in met_by(text, a, b)],)
 
@@ -330,17 +354,41 @@ def _shipped(names: DataFrame) -> frozenset[str] | None:
     return frozenset(r["pattern"] for r in rows) if len(rows) <= BROADCAST_ROWS else None
 
 
+def _hopeless(docs: DataFrame, induced: DataFrame, sought: frozenset[str]) -> frozenset[str]:
+    """Patterns that HOPE surely rules out: those whose meetings in some of the texts are
+    already too many for their support. The others are counted in all texts later.
+
+    Such patterns of ordinary words are few but hold nearly all meetings, and the more
+    text, the more of them are induced. Most show in a small part of the texts; the next
+    part is larger and is searched for the rest alone.
+    """
+    support = {r["pattern"]: r["support"] for r in induced.groupBy("pattern").agg(F.max("support").alias("support")).collect()}
+    gone: frozenset[str] = frozenset()
+    for one_of in SIEVE:
+        left = sought - gone
+        met = docs.where(F.pmod(F.xxhash64("text"), F.lit(one_of)) == 0).select(F.explode(per_text(
+            lambda left=left: (lambda near: lambda t: _met_often(t, left, near))(Near(left)),
+            "m array<struct<pattern: string, n: long>>")(F.col("text"))["m"]).alias("m")) \
+            .groupBy("m.pattern").agg(F.sum("m.n").alias("n")).collect()  # a row a pattern
+        gone |= {r["pattern"] for r in met if support[r["pattern"]] < HOPE * r["n"]}
+    return gone
+
+
 def _graph(docs: DataFrame, induced: DataFrame) -> DataFrame:
-    """seed, who, pattern, sought, sure, n of all that meets a pattern of ``induced``.
+    """seed, who, pattern, sought, sure, n of all that meets a pattern of ``induced``,
+    without the edges of patterns that are surely hopeless.
 
     Edges are counted before any shuffle that could meet a hot pattern or a hot
     instance. More patterns than can be sent to the tasks are told apart by a
     join: then every token is an edge first.
     """
     sought = _shipped(induced)
-    made = docs.select(F.explode(per_text(
-        lambda: (lambda near: lambda t: _edges(t, sought, near))(None if sought is None else Near(sought)),
-        f"e array<struct<{EDGE}>>")(F.col("text"))["e"]).alias("e")).select("e.*")
+    gone = frozenset() if sought is None else _hopeless(docs, induced, sought)
+
+    def work():  # what meets a hopeless pattern alone is an edge only for its other patterns, if it has a digit
+        near = None if sought is None else Near(sought - gone, gone)
+        return lambda t: _edges(t, sought, near, gone)
+    made = docs.select(F.explode(per_text(work, f"e array<struct<{EDGE}>>")(F.col("text"))["e"]).alias("e")).select("e.*")
     keys = ["seed", "who", "pattern", "sought", "sure"]
     edges = made.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     if sought is None:
