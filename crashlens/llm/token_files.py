@@ -36,14 +36,13 @@ STEP = 256
 #: Words whose ids a task remembers, and words that shortcuts are tried on.
 REMEMBERED = 1 << 18
 PROBES = ("zebra", "tokenization", "qxjvzk", "s", "gr\xf6\xdfe", "\xf1and\xfa", "x.", "a@b-c.de", "(+41)", "\"so\"?!", "2026,")
-#: Simple characters: a-z, small letters of Latin-1, digits, signs without the apostrophe.
-_LETTER = rb"[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]"
-SIMPLE = re.compile(rb"(?:[!-&(-@\[-~]|\xc3[\x9f-\xb6\xb8-\xbf])+")
-UNIT = re.compile(rb"(?:" + _LETTER + rb")+|[0-9]|[!-&(-/:-@\[-`{-~]+")
-#: How byte-level vocabularies show a byte: printable ones of Latin-1 as they are,
-#: the others, in order, from U+0100 on.
-_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-SHOWN = dict(zip(sorted(set(range(256)) - set(_PRINTED)), range(0x100, 0x200)))
+#: Words of simple characters: a-z, small letters of Latin-1, digits, signs without the
+#: apostrophe; and the runs that such a word is made of.
+SIMPLE = re.compile(rb"[!-&(-@\[-~]*+(?:\xc3[\x9f-\xb6\xb8-\xbf][!-&(-@\[-~]*+)*+")
+UNIT = re.compile(rb"[a-z\x80-\xff]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+#: Mark of a word's last token in the vocabulary, and runs that go to the library together.
+WORD_END = "</w>"
+TOGETHER = 1 << 12
 
 CODES = "id int, length int"
 PIECE = "struct<doc_no: long, doc_id: long, n: long>"
@@ -61,21 +60,27 @@ class WordTokenizer:
 
     Two shortcuts make words fewer or cheaper; each is used only if the library
     gives the same ids for PROBES: A-Z folded to a-z before, and words of simple
-    characters split into runs of letters, digits and runs of signs, which the
-    library's model takes one by one.
+    characters split into runs of letters, digits and runs of signs. Each of these
+    is learned once, many in one call of the library: their ids are told apart by
+    the vocabulary's word ends, and one by one should the ends not be as many.
     """
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task is one thread
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their names in a text are ordinary text
-        self.model = self.library.model
+        self.of_units = Tokenizer(self.library.model)  # runs need no normalizing and no expression to split them
+        self.of_units.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.known: dict[bytes, bytes] = {}
         self.folds = all(self._whole(w) == self._whole(w.upper()) for w in PROBES[:4])
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         self.plain = all(self._whole(w) == np.frombuffer(self._simple(w.encode()), "<u4").tolist() for w in PROBES)
 
     def _whole(self, text: str) -> list[int]:
@@ -83,21 +88,34 @@ class WordTokenizer:
 
     def _simple(self, word: bytes) -> bytes:
         """Ids of a word of simple characters."""
-        if word.isalpha():
-            return array("I", [t.id for t in self.model.tokenize(word.decode())]).tobytes()
-        out = []
-        for unit in UNIT.findall(word):
-            ids = self.known.get(unit) if unit != word else None
-            out.append(ids or array("I", [t.id for t in self.model.tokenize(unit.decode("latin-1").translate(SHOWN))])
-                       .tobytes())
-        return b"".join(out)
-
-    def _learn(self, words: set[bytes]) -> None:
+        units = UNIT.findall(word)
+        self._learn_units(set(units).difference(self.known))
+        return b"".join(map(self.known.__getitem__, units))
+
+    def _learn_units(self, units: set[bytes]) -> None:
+        fresh = sorted(units)
+        parts = [fresh[at:at + TOGETHER] for at in range(0, len(fresh), TOGETHER)]
+        found = self.of_units.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False)
+        for part, encoded in zip(parts, found, strict=True):
+            ids = np.array(encoded.ids, "<u4")
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) == len(part) and last[-1] == len(ids):
+                data, ends = ids.tobytes(), (4 * last).tolist()
+                self.known.update((u, data[a:b]) for u, a, b in zip(part, [0, *ends], ends, strict=False))
+            else:
+                self.known.update((u, array("I", self._whole(u.decode())).tobytes()) for u in part)
+
+    def _learn(self, words: set[bytes]) -> list[bytes]:
+        """Learn words; returns those made of several runs, which need not be remembered."""
         simple = [w for w in words if SIMPLE.fullmatch(w)] if self.plain else []
-        self.known.update((w, self._simple(w)) for w in simple)
+        split = {w: UNIT.findall(w) for w in simple if not w.isalpha()}
+        self._learn_units({w for w in simple if w not in split}.union(*split.values()).difference(self.known))
+        split = {w: u for w, u in split.items() if len(u) > 1}
+        self.known.update((w, b"".join(map(self.known.__getitem__, u))) for w, u in split.items())
         rest = list(words.difference(simple))
         found = self.library.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
         self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(rest, found, strict=True))
+        return list(split)
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
@@ -107,9 +125,11 @@ class WordTokenizer:
         if len(self.known) + len(fresh) > REMEMBERED:
             self.known.clear()
             fresh = set(chain.from_iterable(split))
-        self._learn(fresh)
+        passing = self._learn(fresh)
         for words in split:
             yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4")
+        for word in passing:
+            del self.known[word]
 
 
 # ------------------------------------------------------------------ codes

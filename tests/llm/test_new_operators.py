@@ -275,6 +275,41 @@ def test_pii_look_ahead_leaves_no_edge_out():
             assert sorted(map(str, pii._edges(t, some, near)[0])) == sorted(map(str, pii._edges(t, some, None)[0])), t
 
 
+def test_pii_edges_leave_out_patterns_of_ordinary_text(spark, monkeypatch):
+    """A pattern that ordinary words meet everywhere is told by a part of the texts and
+    makes no edges; the scored patterns are those of counting all of them."""
+    from crashlens.llm import pii
+    rng = random.Random(8)
+    plain = ["the", "of", "and", "call", "note"]
+    texts = [f"of the {'ab' * (k % 3 + 3)}-{k:05d}@x{k}.org of the password=k{k:06d} today id r-{k:03d}x" for k in range(12)]
+    texts += [f"of the r-{k:03d}x and on" for k in range(12)]
+    texts += [" ".join(rng.choice(plain) for _ in range(300)) + f" {k}" for k in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+
+    def run(sieve):
+        made = []
+        whole = pii._graph
+        with monkeypatch.context() as m:
+            m.setattr(pii, "SIEVE", sieve)
+            m.setattr(pii, "_graph", lambda docs, induced: made.append(whole(docs, induced)) or made[-1])
+            scored = sorted(map(tuple, pii.score_patterns(df).collect()), key=str)
+        return scored, made[0].where("pattern = '~L|of the'").count(), made[0].count()
+
+    (scored, hot, n), (all_scored, all_hot, all_n) = run((2,)), run(())
+    assert scored == all_scored and scored
+    assert hot == 0 < all_hot and n < all_n
+
+
+def test_words_of_several_runs_are_not_remembered():
+    """Runs are learned together; words that signs join are put together from theirs."""
+    tokenizer = token_files.WordTokenizer(PATH)
+    texts = ["the&&& and,hgdda qxjvzk%%% 2026! \xf1and\xfa", "", "the&&& l'eau \u4e16 \u0130 <|endoftext|> x."]
+    for _ in range(2):
+        got = [i.tolist() for i in tokenizer.ids(texts)]
+        assert got == [tokenizer.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert b"the&&&" not in tokenizer.known and {b"the", b"&&&", b"hgdda"} <= set(tokenizer.known)
+
+
 def test_redacted_keeps_odd_columns(spark):
     from crashlens.llm import pii
     df = spark.createDataFrame([("mail a.b@c.de", 1, 2, 3), (None, 4, 5, 6)], "text string, _key int, _in int, row int")
