@@ -105,21 +105,19 @@ def per_texts(make, returns: str):
     ``make()`` runs once a task and returns a function from a list of texts
     (null comes as the empty text) to an iterable with one tuple of the
     struct's fields for each, so caches live as long as the task. Texts are
-    worked on in lists of about SLICE bytes, so few results are Python objects
-    at a time.
+    worked on in lists of about SLICE bytes and their results handed on at once,
+    so a task holds no more of them than that.
     """
     kind = to_arrow_type(DataType.fromDDL(returns))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         work = make()
         for texts in batches:
-            made = []
             for part in byte_slices(texts):
                 rows = list(work([t.as_py() or "" for t in part]))
-                made.append(pa.StructArray.from_arrays(
+                yield pa.StructArray.from_arrays(
                     [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), kind, strict=True)],
-                    fields=list(kind)))
-            yield pa.concat_arrays(made) if made else pa.array([], kind)
+                    fields=list(kind))
 
     return F.arrow_udf(run, returnType=returns)
 

@@ -18,6 +18,7 @@ from collections import Counter
 from functools import lru_cache
 from itertools import accumulate
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Seeds of secrets: named assignments and the public form of access key ids.
 SECRET = re.compile(r"(?:\b(?:password|passwd|pwd|token|secret|api[_-]?key)\s?[=:]\s?\"?([^\s\"]{6,})"
                     r"|\b(AKIA[0-9A-Z]{16})\b)")
+#: Words one of which every match of SECRET holds.
+SECRET_WORDS = ("AKIA", "password", "passwd", "pwd", "token", "secret", "api")
 #: What may be an identifier: a run of visible characters. Runs with a digit that
 #: single spaces or hyphens join may also be one together.
 TOKEN = re.compile(r"[^\s\"'<>(){}\[\],;=:]+")
@@ -93,11 +96,19 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+_ASCII_KINDS = str.maketrans({c: "9" if c.isdigit() else "a" if c.islower() else "A"
+                              for c in map(chr, range(128)) if c.isalnum()})
+REPEATED = re.compile(r"([aA9])\1+")
+
+
 def shape(token: str) -> str:
     """Case-and-digit shape with repeat counts, such as A4x16 after a fixed start."""
-    kinds = "".join("9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c
-                    for c in token[:64])
-    return re.sub(r"([aA9])\1+", r"\1+", kinds)
+    if token.isascii():
+        kinds = token[:64].translate(_ASCII_KINDS)
+    else:
+        kinds = "".join("9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c
+                        for c in token[:64])
+    return REPEATED.sub(r"\1+", kinds)
 
 
 #: Marks around a word that its pattern leaves out.
@@ -114,8 +125,8 @@ def _word(text: str) -> str:
 def patterns(text: str, first: int, last: int) -> list[str]:
     """Lexical patterns of an instance at [first, last): two words before, the
     words on both sides, and the word before with the instance's shape."""
-    before = [_word(w) for w in text[max(0, first - 80):first].replace('"', " ").split()[-2:]]
-    after = next(iter(text[last:last + 60].replace('"', " ").split()[:1]), "")
+    before = [_word(w) for w in text[max(0, first - 80):first].replace('"', " ").rsplit(None, 2)[-2:]]
+    after = next(iter(text[last:last + 60].replace('"', " ").split(None, 1)), "")
     left = before[-1] if before else ""
     made = [f"R|{left}|{_word(after)}", f"S|{left}|{shape(text[first:last])}"]
     if len(before) == 2:
@@ -137,6 +148,9 @@ def met_by(text: str, first: int, last: int) -> list[str]:
 
 
 _GONE = (MARKS + ":#0123456789").encode()
+#: As text without quotation marks and white space other than single spaces.
+_GAPLESS = bytes(0x20 if chr(b).isspace() and b < 0x80 or chr(b) == '"' else b for b in range(256))
+_GONE_GAPLESS = _GONE.replace(b'"', b"")
 
 
 def _bare(text: str) -> bytes:
@@ -150,6 +164,38 @@ DIGITS = re.compile(r"[^\D0-9]")
 SHORT = 25
 #: White space that may push a word out of a window.
 GAP = re.compile(r"[\s\"]{12,}")
+#: Kinds of the first code points: between words, letters, ENDS, the rest of words, and
+#: digits and white space that :func:`_bare` does not know; later code points count as such.
+GAP_POINT, LETTER, END, OTHER, UNUSUAL = range(5)
+
+
+def _point_kind(c: str) -> int:
+    if c == '"' or c.isspace():
+        return GAP_POINT if c.isascii() else UNUSUAL
+    return LETTER if c.isalpha() else END if c in ENDS else UNUSUAL if DIGITS.match(c) else OTHER
+
+
+POINT_KINDS = np.array([_point_kind(chr(c)) for c in range(0x3000)], np.uint8)
+
+
+def _usual_words(text: str):
+    """Begins and ends of the words of a text, places of those with anything but letters,
+    marks at their end aside, and of long ones; None if it has unusual code points."""
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    if not len(points) or points.max() >= len(POINT_KINDS):
+        return None
+    kind = POINT_KINDS[points]
+    if kind.max() == UNUSUAL:
+        return None
+    solid = np.zeros(len(kind) + 2, np.int8)
+    solid[1:-1] = kind != GAP_POINT
+    turns = np.flatnonzero(solid[1:] != solid[:-1])
+    begins, ends = turns[::2], turns[1::2]
+    odd = kind == OTHER
+    odd[:-1] |= (kind[:-1] == END) & (kind[1:] == LETTER)
+    odd[begins[kind[begins] == END]] = True
+    places = np.searchsorted(begins, np.flatnonzero(odd), "right") - 1
+    return begins, ends, sorted(set(places.tolist())), np.flatnonzero(ends - begins > SHORT).tolist()
 
 
 class Near:
@@ -197,41 +243,65 @@ class Near:
 
     def runs(self, text: str):
         """Spans of the visible runs that may hold a token to look at."""
+        usual = _usual_words(text)
+        if usual is None:
+            yield from self._runs_by_split(text)
+            return
+        begins, ends, odd, long = usual
+        spare = len(text) - int((ends - begins).sum()) - len(begins)  # white space beyond one between words
+        if spare > 8 and GAP.search(text):
+            picked = set(range(len(begins)))  # as _by_pairs
+        elif len(begins):
+            if spare == -1:  # words one apart
+                bare = text.lower().encode().translate(_GAPLESS, _GONE_GAPLESS)
+            else:
+                bare = _bare(" ".join(text.replace('"', " ").split()))
+            picked = self._by_bare(bare, odd, lambda i: text[begins[i]:ends[i]])
+        else:
+            picked = set()
+        for i in long:  # windows may cut it
+            picked.update(range(i - 1, i + 3))
+        for i in sorted(picked):
+            if 0 <= i < len(begins):
+                yield int(begins[i]), int(ends[i])
+
+    def _runs_by_split(self, text: str):
+        """As :meth:`runs`, whatever the code points."""
         words = text.replace('"', " ").split()  # the runs that SHOWN finds
         if not words:
             return
         sizes = [*map(len, words)]
         begins = list(accumulate(sizes, initial=0))
-        spare = len(text) - begins[-1] - len(words)  # white space beyond one between words
-        # words with anything but letters, marks at their end aside
+        spare = len(text) - begins[-1] - len(words)
         odd = [i for i, w in enumerate(words) if not w.isalpha() and not w.rstrip(ENDS).isalpha()]
         if spare > 8 and GAP.search(text) or not text.isascii() and DIGITS.search(text):
             picked = self._by_pairs(text, words).union(odd)
         else:
-            picked = self._by_bare(words, odd)
-        if max(sizes) > SHORT:  # windows may cut it
+            picked = self._by_bare(_bare(" ".join(words)), odd, words.__getitem__)
+        if max(sizes) > SHORT:
             picked.update(j for i, n in enumerate(sizes) if n > SHORT for j in range(i - 1, i + 3))
-        if spare == -1:  # words one apart: places follow from lengths
+        if spare == -1:  # places follow from lengths
             yield from ((begins[i] + i, begins[i + 1] + i) for i in sorted(picked) if 0 <= i < len(words))
         elif picked:
             for i, m in enumerate(SHOWN.finditer(text)):
                 if i in picked:
                     yield m.span()
 
-    def _by_bare(self, words: list[str], odd: list[int]) -> set[int]:
-        """Places of words by what is left of their neighbours."""
-        bare, first, end = _bare(" ".join(words)).split(b" "), self.bare_first, len(words) - 1
+    def _by_bare(self, data: bytes, odd: list[int], word) -> set[int]:
+        """Places of words by what is left of their neighbours; ``word`` gives the word at a place."""
+        bare = data.split(b" ")
+        first, end = self.bare_first, len(bare) - 1
         picked = set()
         for i in odd:  # a token that begins with the word, without a digit, must follow a known word
-            if (bare[i - 1] if i else b"") in self.bare_lefts or not TOKEN.fullmatch(words[i]) or DIGIT.search(words[i]):
+            if (bare[i - 1] if i else b"") in self.bare_lefts or DIGIT.search(w := word(i)) or not TOKEN.fullmatch(w):
                 picked.add(i)
-        for i in [-1, *(i for i, w in enumerate(bare) if w in first)]:
+        for i in [-1, *[i for i, w in enumerate(bare) if w in first]]:
             left, at = bare[i] if i >= 0 else b"", i + 1
             if at > end:
                 break
             after = bare[at + 1] if at < end else b""
             if left in self.bare_shapes or (left, after) in self.bare_around \
-                    or left in self.bare_last and (at == end or not words[at].isalpha()):  # or a mark at its end
+                    or left in self.bare_last and (at == end or not word(at).isalpha()):  # or a mark at its end
                 picked.add(at)
             if i >= 0 and (left, bare[at]) in self.bare_before:
                 picked.add(at + 1)
@@ -260,8 +330,12 @@ def _free(spans, first: int, last: int) -> bool:
 
 def seeds(text: str):
     """(kind, first, last) of what the recognisers find."""
-    spans = base_spans(text)
-    if spans or DIGIT.search(text):
+    return _with_secrets(text, base_spans(text))
+
+
+def _with_secrets(text: str, base):
+    spans = [*base]
+    if any(w in text for w in SECRET_WORDS) and DIGIT.search(text):
         for m in SECRET.finditer(text):
             g = 1 if m[1] else 2
             if DIGIT.search(m[g]) and _free(spans, *m.span(g)):
@@ -494,11 +568,11 @@ def _with_known(docs: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def all_spans(text: str, known: dict[str, tuple[str, float]],
-              near: Near | None = None) -> list[tuple[str, int, int]]:
+              near: Near | None = None, base: list[tuple[str, int, int]] | None = None) -> list[tuple[str, int, int]]:
     """Base spans, then secrets and whatever the confident patterns find; found
     spans never overlap a base span or each other: the surer one counts, then
     the longer one."""
-    out = seeds(text)
+    out = seeds(text) if base is None else _with_secrets(text, base)
     if known:
         found = []
         for a, b in candidates(text, out, Near(known) if near is None else near):
@@ -523,7 +597,7 @@ RESULT = ("n_email long, n_ip long, n_card long, n_phone long, base_sha256 strin
 def _scan(t: str, known, near=None):
     base = base_spans(t)
     counts = [sum(k == kind for k, _, _ in base) for kind in BASE_KINDS]
-    return (*counts, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(all_spans(t, known, near)))
+    return (*counts, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(all_spans(t, known, near, base)))
 
 
 def _masked(t: str, known, near=None):
