@@ -96,3 +96,19 @@ def test_version_job_with_smote(rows):
     assert job["train"].where("not is_synthetic").count() + job["test"].count() == 1500
     ranked = job["results"].orderBy("rank").collect()
     assert ranked[0]["name"] == job["best"] and ranked[0]["macro_f1"] >= ranked[1]["macro_f1"]
+
+
+def test_version_rows_are_dealt_to_all_cores(rows, monkeypatch):
+    seen = {}
+
+    def compare(train, test, feats, variants, **kw):
+        seen["tasks"] = train.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        seen["scored"] = {"a": test}
+        return {}, train.sparkSession.createDataFrame([("a", 1)], "name string, rank int"), seen["scored"]
+    monkeypatch.setattr(T, "compare", compare)
+    monkeypatch.setattr(T, "PART_ROWS", 100)
+    one_file = rows.coalesce(1)
+    job = T.train_version(FeatureMatrix(one_file, FEATS, ["crash_id", "severity_class"]))
+    assert len(seen["tasks"]) >= 4 and max(r["count"] for r in seen["tasks"]) < 600  # of 1,200 training rows
+    assert job["train"].count() + job["test"].count() == 1500 and job["scored"] == seen["scored"]
+    assert T.dealt(one_file).rdd.getNumPartitions() >= 1500 // 100
