@@ -320,7 +320,7 @@ def test_redacted_keeps_odd_columns(spark):
         assert sorted(map(tuple, got.collect()), key=str) == [("mail <EMAIL>", 1, 2, 3), (None, 4, 5, 6)]
 
 
-def test_results_leave_a_task_slice_by_slice(monkeypatch):
+def test_results_leave_a_task_slice_by_slice(spark, monkeypatch):
     import pyarrow as pa
 
     from crashlens.llm import common
