@@ -86,13 +86,13 @@ def split_words(spaced_text: Column) -> Column:
 SLICE = 1 << 21
 
 
-def byte_slices(texts: pa.Array) -> Iterator[pa.Array]:
-    """Slices of an array of values of any size, each of about SLICE bytes or one value."""
-    at, n = 0, len(texts)
-    step = max(1, min(n, n * SLICE // max(texts.nbytes, 1)))
+def byte_slices(texts: pa.Array, size: int | None = None) -> Iterator[pa.Array]:
+    """Slices of an array of values of any size, each of about ``size`` (SLICE) bytes or one value."""
+    at, n, size = 0, len(texts), size or SLICE
+    step = max(1, min(n, n * size // max(texts.nbytes, 1)))
     while at < n:
         part = texts.slice(at, step)
-        if part.nbytes > 2 * SLICE and len(part) > 1:
+        if part.nbytes > 2 * size and len(part) > 1:
             step = max(1, step // 2)
             continue
         yield part

@@ -13,19 +13,21 @@ checkpoints of a block at once.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crashlens.llm.common import join_small
+from crashlens.llm.common import byte_slices, join_small
 from crashlens.session import staged_path
 
 #: Longest code in bits, at least; more ids than fit get longer codes.
@@ -33,13 +35,24 @@ LONGEST = 16
 #: Ids of a block, and from one checkpoint to the next.
 BLOCK = 1 << 16
 STEP = 256
-#: Words whose ids a task remembers, and words that shortcuts are tried on.
-REMEMBERED = 1 << 18
-PROBES = ("zebra", "tokenization", "qxjvzk", "s", "gr\xf6\xdfe", "\xf1and\xfa", "x.", "a@b-c.de", "(+41)", "\"so\"?!", "2026,")
+#: Words whose ids a process remembers, and words that shortcuts are tried on.
+REMEMBERED = 1 << 19
+PROBES = ("zebra", "tokenization", "qxjvzk", "s", "\xf1and\xfa", "gr\xf6\xdfe", "x.", "a@b-c.de", "(+41)", "\"so\"?!", "2026,")
 #: Words of simple characters: a-z, small letters of Latin-1, digits, signs without the
-#: apostrophe; and the runs that such a word is made of.
+#: apostrophe. Such a word is made of runs of letters, digits and runs of signs.
 SIMPLE = re.compile(rb"[!-&(-@\[-~]*+(?:\xc3[\x9f-\xb6\xb8-\xbf][!-&(-@\[-~]*+)*+")
-UNIT = re.compile(rb"[a-z\x80-\xff]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+#: Kinds of bytes: ASCII white space, letters and all beyond ASCII, digits, the rest.
+SPACE, LETTER, DIGIT, SIGN = range(4)
+BYTE_KINDS = np.array([SPACE if chr(b) in " \t\n\r\x0b\f" else DIGIT if 0x30 <= b <= 0x39
+                       else LETTER if b >= 0x80 or chr(b).isalpha() else SIGN for b in range(256)], np.uint8)
+#: Bytes of simple words and white space, and those that a simple word has behind LATIN only;
+#: capitals there are 0x20 lower.
+LATIN = 0xC3
+PLAIN_BYTES = np.array([BYTE_KINDS[b] == SPACE or bool(SIMPLE.fullmatch(bytes([b]))) for b in range(256)])
+LATIN_SMALL = np.array([bool(SIMPLE.fullmatch(bytes([LATIN, b]))) for b in range(256)])
+LATIN_CAPITAL = np.array([0x80 <= b <= 0x9E and b != 0x97 for b in range(256)])
+#: Bytes of texts whose words are looked up at once.
+TEXTS = 1 << 22
 #: Mark of a word's last token in the vocabulary, and runs that go to the library together.
 WORD_END = "</w>"
 TOGETHER = 1 << 12
@@ -59,77 +72,143 @@ class WordTokenizer:
     remembered.
 
     Two shortcuts make words fewer or cheaper; each is used only if the library
-    gives the same ids for PROBES: A-Z folded to a-z before, and words of simple
-    characters split into runs of letters, digits and runs of signs. Each of these
-    is learned once, many in one call of the library: their ids are told apart by
-    the vocabulary's word ends, and one by one should the ends not be as many.
+    gives the same ids for PROBES: capitals of ASCII and, in simple words, Latin-1
+    made small before, and words of simple characters split into runs of letters,
+    digits and runs of signs. Each of these is learned once, many in one call of the
+    library: their ids are told apart by the vocabulary's word ends, and one by one
+    should the ends not be as many.
+
+    Words and runs are found, numbered and replaced by their ids for many texts at
+    once; only those that differ are Python objects.
     """
 
     def __init__(self, path: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task is one thread
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their names in a text are ordinary text
-        self.of_units = Tokenizer(self.library.model)  # runs need no normalizing and no expression to split them
+        # runs need no normalizing and no expression to split them, those of ASCII no mapping of bytes
+        self.of_units, self.of_ascii = Tokenizer(self.library.model), Tokenizer(self.library.model)
         self.of_units.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.known: dict[bytes, bytes] = {}
-        self.folds = all(self._whole(w) == self._whole(w.upper()) for w in PROBES[:4])
+        self.of_ascii.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.library.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        self.plain = all(self._whole(w) == np.frombuffer(self._simple(w.encode()), "<u4").tolist() for w in PROBES)
+        self._forget()
+        self.folds = all(self._whole(w) == self._whole(w.upper()) for w in PROBES[:5])
+        self.plain = True
+        self.plain = all(self._whole(w) == ids.tolist() for w, ids in zip(PROBES, self.ids(list(PROBES)), strict=True))
+        self._forget()
+
+    def _forget(self) -> None:
+        """The words and runs learned; the ids of each are ``size`` ones of ``store`` from ``begin``."""
+        self.words = pa.array([], pa.large_binary())
+        self.store, self.begin, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    @property
+    def known(self) -> list[bytes]:
+        return self.words.to_pylist()
 
     def _whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def _simple(self, word: bytes) -> bytes:
-        """Ids of a word of simple characters."""
-        units = UNIT.findall(word)
-        self._learn_units(set(units).difference(self.known))
-        return b"".join(map(self.known.__getitem__, units))
-
-    def _learn_units(self, units: set[bytes]) -> None:
-        fresh = sorted(units)
-        parts = [fresh[at:at + TOGETHER] for at in range(0, len(fresh), TOGETHER)]
-        found = self.of_units.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False)
+    def _runs(self, runs: list[bytes], by) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of runs in order, and how many are those of each."""
+        parts = [runs[at:at + TOGETHER] for at in range(0, len(runs), TOGETHER)]
+        found = by.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False)
         for part, encoded in zip(parts, found, strict=True):
             ids = np.array(encoded.ids, "<u4")
             last = np.flatnonzero(self.ends[ids]) + 1
             if len(last) == len(part) and last[-1] == len(ids):
-                data, ends = ids.tobytes(), (4 * last).tolist()
-                self.known.update((u, data[a:b]) for u, a, b in zip(part, [0, *ends], ends, strict=False))
+                yield ids, np.diff(last, prepend=0)
             else:
-                self.known.update((u, array("I", self._whole(u.decode())).tobytes()) for u in part)
-
-    def _learn(self, words: set[bytes]) -> list[bytes]:
-        """Learn words; returns those made of several runs, which need not be remembered."""
-        simple = [w for w in words if SIMPLE.fullmatch(w)] if self.plain else []
-        split = {w: UNIT.findall(w) for w in simple if not w.isalpha()}
-        self._learn_units({w for w in simple if w not in split}.union(*split.values()).difference(self.known))
-        split = {w: u for w, u in split.items() if len(u) > 1}
-        self.known.update((w, b"".join(map(self.known.__getitem__, u))) for w, u in split.items())
-        rest = list(words.difference(simple))
-        found = self.library.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
-        self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(rest, found, strict=True))
-        return list(split)
+                yield from ((np.array(i, "<u4"), np.array([len(i)])) for i in (self._whole(u.decode()) for u in part))
+
+    def _learn(self, fresh: pa.Array) -> np.ndarray:
+        """Learn words and runs; returns their numbers."""
+        names = fresh.to_pylist()
+        group = np.array([0 if not self.plain or not SIMPLE.fullmatch(w) else 1 + w.isascii() for w in names])
+        order = np.argsort(group, kind="stable")
+        rest, runs, ascii_runs = ([names[i] for i in np.flatnonzero(group == k)] for k in range(3))
+        words = self.library.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
+        found = [*((np.array(e.ids, "<u4"), np.array([len(e.ids)])) for e in words),
+                 *self._runs(runs, self.of_units), *self._runs(ascii_runs, self.of_ascii)]
+        size = np.concatenate([s for _, s in found])
+        numbers = np.empty(len(names), np.int64)
+        numbers[order] = np.arange(len(self.words), len(self.words) + len(names))
+        self.words = pa.concat_arrays([self.words, fresh.take(pa.array(order))])
+        self.begin = np.concatenate([self.begin, len(self.store) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.store = np.concatenate([self.store, *(i for i, _ in found)])
+        return numbers
+
+    def _numbers(self, names: pa.Array) -> np.ndarray:
+        """The numbers of different words and runs, which are learned if need be."""
+        at = pc.index_in(names, self.words)
+        if len(self.words) + at.null_count > REMEMBERED:
+            self._forget()
+            at = pc.index_in(names, self.words)
+        numbers = at.fill_null(-1).to_numpy().astype(np.int64)
+        if at.null_count:
+            numbers[numbers < 0] = self._learn(names.filter(at.is_null()))
+        return numbers
+
+    def _split(self, data: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Where words and the runs of simple words begin, in bytes of a ``kind`` each; capitals
+        of Latin-1 in simple words are made small in ``data``."""
+        solid = kind != SPACE
+        words = solid.copy()
+        words[1:] &= ~solid[:-1]
+        if not self.plain:
+            return words
+        begin = solid.copy()
+        begin[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        odd = ~PLAIN_BYTES[data]
+        latin = np.flatnonzero(data[:-1] == LATIN)
+        second = data[latin + 1]
+        capital = latin[LATIN_CAPITAL[second]] + 1 if self.folds else latin[:0]
+        for at in (latin[LATIN_SMALL[second]], capital - 1):
+            odd[at] = odd[at + 1] = False
+        data[capital] += 0x20
+        at = np.flatnonzero(odd)
+        if len(at):  # words of other characters stay whole
+            first = np.flatnonzero(words)
+            last = np.flatnonzero(solid[:-1] & ~solid[1:]) + 1  # texts end with white space
+            whole = np.unique(np.searchsorted(first, at, "right") - 1)
+            turn = np.zeros(len(data) + 1, np.int8)
+            turn[first[whole] + 1] += 1
+            turn[last[whole]] -= 1
+            inside = np.cumsum(turn[:-1], dtype=np.int8).astype(bool)
+            begin &= ~inside
+            data[capital[inside[capital]]] -= 0x20
+        return begin
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
-        folded = (t.encode().lower() if self.folds else t.encode() for t in texts)
-        split = [data.split() for data in folded]  # at ASCII white space
-        fresh = set(chain.from_iterable(split)).difference(self.known)
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-            fresh = set(chain.from_iterable(split))
-        passing = self._learn(fresh)
-        for words in split:
-            yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4")
-        for word in passing:
-            del self.known[word]
+        data = [t.encode() for t in texts]
+        ends = np.cumsum([len(d) + 1 for d in data])
+        data = b" ".join([*data, b""])
+        data = np.frombuffer(bytearray(data.lower() if self.folds else data), np.uint8)
+        kind = BYTE_KINDS[data]
+        begin, solid = self._split(data, kind), kind != SPACE
+        places = np.flatnonzero(begin[solid])
+        # the bytes between two places are a word or run
+        units = pa.Array.from_buffers(pa.large_binary(), len(places), [
+            None, pa.py_buffer(np.append(places, np.count_nonzero(solid))), pa.py_buffer(data[solid])]).dictionary_encode()
+        number, which = self._numbers(units.dictionary), units.indices.to_numpy()
+        size = self.size[number][which]
+        end = np.cumsum(size)
+        ids = self.store[np.repeat(self.begin[number][which] - (end - size), size) + np.arange(size.sum())]
+        cuts = np.append(0, end)[np.append(0, np.searchsorted(np.flatnonzero(begin), ends))]
+        return (ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True))
+
+
+@lru_cache(1)
+def _tokenizer(path: str, changed: int) -> WordTokenizer:
+    """The tokenizer of a file, which the tasks of a process share with all that it has learned."""
+    return WordTokenizer(path)
 
 
 # ------------------------------------------------------------------ codes
@@ -223,12 +302,13 @@ IDS = "shard int, doc_no long, doc_id long, first long, n long, ids binary"
 def _encoding(path: str, end: int, width: str):
     """Task function: (shard, doc_id, text) in order to the ids of the shard's documents."""
     def run(batches):
-        tokenizer, doc_no, first = WordTokenizer(path), 0, 0
+        tokenizer, doc_no, first = _tokenizer(path, os.stat(path).st_mtime_ns), 0, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            at = 0
+            for texts in byte_slices(batch.column(2), TEXTS):
+                part, at = batch.slice(at, len(texts)), at + len(texts)
                 ids = [np.append(i, np.uint32(end)).astype(width)
-                       for i in tokenizer.ids([t or "" for t in part.column(2).to_pylist()])]
+                       for i in tokenizer.ids([t or "" for t in texts.to_pylist()])]
                 n = np.array([len(i) for i in ids])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(np.arange(doc_no, doc_no + len(n))), part.column(1),

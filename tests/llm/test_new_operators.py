@@ -310,6 +310,21 @@ def test_words_of_several_runs_are_not_remembered():
     assert b"the&&&" not in tokenizer.known and {b"the", b"&&&", b"hgdda"} <= set(tokenizer.known)
 
 
+def test_words_are_learned_once_for_many_texts(monkeypatch):
+    """Capitals of Latin-1 in simple words are no words of their own; a full memory is emptied."""
+    tokenizer = token_files.WordTokenizer(PATH)
+    texts = ["\xc9tude \xe9TUDE", "\xd7 \xc0\u0323\xc9 \xc9's \xd7\xc9 \xe9\xc9 \xfe\xde", "", " ", "\n\xc9", "\xc9\t"]
+    rng = random.Random(5)
+    texts += ["".join(rng.choices("aB1.'\xc9\xe9\xd7\xdf\xde\u0301\u4e16 \n", k=rng.randint(0, 12))) for _ in range(2000)]
+    want = [tokenizer.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [i.tolist() for i in tokenizer.ids(texts[:1])] == want[:1]
+    assert set(tokenizer.known) == {"\xe9tude".encode()}
+    monkeypatch.setattr(token_files, "REMEMBERED", 40)
+    for size in (7, 500, len(texts)):
+        assert [i.tolist() for at in range(0, len(texts), size) for i in tokenizer.ids(texts[at:at + size])] == want
+    assert [i.tolist() for i in tokenizer.ids([])] == []
+
+
 def test_redacted_keeps_odd_columns(spark):
     from crashlens.llm import pii
     df = spark.createDataFrame([("mail a.b@c.de", 1, 2, 3), (None, 4, 5, 6)], "text string, _key int, _in int, row int")
