@@ -16,7 +16,7 @@ import hashlib
 import re
 from collections import Counter
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -204,12 +204,15 @@ class Near:
     A token of letters alone has no digit, sign or mark in its shape; unless a
     pattern has such a shape, it can only meet pairs of words: the two before it,
     or the one before and the one after. Other tokens must follow a known word.
-    Patterns of ``also`` are looked for at tokens with a digit alone.
+    Unmarked patterns and those of ``also`` are looked for at tokens with a digit
+    alone: no other token meets an unmarked one (see :func:`asked`).
     """
 
     def __init__(self, found, also=()):
         self.lefts, self.before, self.around, self.shapes = set(), set(), set(), set()
         for p in found:
+            if p[0] != "~":
+                continue
             kind, pairs = self._pairs(p)
             self.lefts.update(self._left(kind, pairs))
             if kind == "L":
@@ -218,7 +221,7 @@ class Near:
                 self.around.update(pairs)
             else:
                 self.shapes.update(left for left, shown in pairs if shown.replace("+", "").isalpha())
-        self.digit_lefts = self.lefts.union(*(self._left(*self._pairs(p)) for p in also))
+        self.digit_lefts = self.lefts.union(*(self._left(*self._pairs(p)) for p in chain(found, also)))
 
         # the same without marks and digits, which may leave nothing of a word
         self.bare_lefts = set(map(_bare, self.lefts))
