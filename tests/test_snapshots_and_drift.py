@@ -75,6 +75,15 @@ def test_incremental_equals_rebuild(spark):
     assert as_set(snapshots.read(spark, path, ["sums"])[0]) == as_set(want)
 
 
+def test_first_state_is_counted(spark):
+    # a count needs no column, and queries and history are one table
+    df = spark.createDataFrame([(42.3, -71.1, "Low"), (42.3005, -71.1, "High"), (43.0, -71.1, "Medium")],
+                               "lat double, lon double, severity_class string")
+    locations, sums = incremental.first_state(df)
+    assert locations.count() == sums.count() == 3
+    assert {(r["lat"], r["n_big"]) for r in sums.collect()} == {(42.3, 2), (42.3005, 2), (43.0, 1)}
+
+
 def test_json_fields_that_change(spark):
     lines = ['{"a":1,"b":"x","c":2.5,"d":true}', '{"a":"7","b":5,"c":3,"z":{"q":[1,null]}}', '{"a":2.5,"b":[1],"c":"no"}',
              '{"a":null,"b":null}', "{}", "[1]", "not json", '{"a":1,"a":2}', "", None, '{"a":99999999999,"d":"maybe"}',
