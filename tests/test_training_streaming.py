@@ -101,3 +101,17 @@ def test_redelivered_requests_are_scored_once(spark, matrix, tmp_path):
     assert rec.count() == rec.select("request_id").distinct().count() > 0
     ids = {r["request_id"] for r in rec.collect()}
     assert ids <= {r["request_id"] for r in feed.collect()}
+
+
+def test_version_jobs_train_in_full(spark, monkeypatch):
+    from crashlens import catalog
+    asked = {}
+
+    def job(matrix, **kw):
+        asked.update(kw)
+        raise InterruptedError
+    monkeypatch.setattr(catalog.TRN, "train_version", job)
+    with pytest.raises(InterruptedError):
+        catalog._version_facts(None)
+    assert not asked.get("settings")  # the estimators' own numbers of iterations, trees and rounds
+    assert TR.estimator("logistic").getMaxIter() == 1000 and TR.estimator("random_forest").getNumTrees() == 200
