@@ -5,6 +5,8 @@ and a hot cell split into salts."""
 import math
 import random
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from crashlens import constants as K
@@ -163,3 +165,27 @@ def test_query_locations_stay_single_rows(spark):
     for p in points[::400]:
         assert rows[p[0]]["n_big"] == sum(hav(p, q) <= 1000 for q in points)
         assert rows[p[0]]["n_small"] == sum(hav(p, q) <= 500 for q in points)
+
+
+def test_squares_of_queries_equal_single_ones(monkeypatch):
+    rnd = np.random.default_rng(5)
+    lat, lon = 42.3 + rnd.uniform(0, 0.03, 12_000), -71.1 + rnd.uniform(0, 0.04, 12_000)
+    # pairs just at the radii, and co-located rows
+    edge = [_offset(lat[0], lon[0], m) for m in (499.9999999, 500, 500.0000001, 999.9999999, 1000, 1000.0000001)]
+    lat, lon = np.r_[lat, [p[0] for p in edge]], np.r_[lon, [p[1] for p in edge]]
+    n = len(lat)
+    hist = pd.DataFrame({"hlat": lat, "hlng": lon, "h_n": rnd.integers(1, 4, n), "h_fatal": rnd.integers(0, 2, n),
+                         "h_injury": rnd.integers(0, 2, n), "h_score": rnd.integers(0, 5, n).astype(float)})
+    query = pd.DataFrame({"lat": np.r_[lat, lat[:500] + 1e-4], "lng": np.r_[lon, lon[:500]]})
+    tiles = spatial._tile_sums(1000.0, 500.0, None, 4.0)
+    got, tested = tiles(query, hist), []
+    square_sums = spatial._Tile._by_squares
+    monkeypatch.setattr(spatial._Tile, "_by_squares", lambda *a: tested.append(a[3]) or square_sums(*a))
+    assert got.equals(tiles(query, hist)) and tested == [1000.0, 500.0]  # dense enough for squares
+    monkeypatch.setattr(spatial, "_square_side", lambda *a: None)
+    assert got.equals(tiles(query, hist)) and len(tested) == 2 and len(got) == n + 500
+    # a fraction is no sum of 32 bits
+    hist["h_score"] += 1e-9
+    single = tiles(query, hist)
+    monkeypatch.undo()
+    assert np.allclose(tiles(query, hist)["score_big"], single["score_big"], rtol=0, atol=1e-9)
