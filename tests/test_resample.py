@@ -102,3 +102,24 @@ def test_tables_of_vectors_are_not_broadcast(spark, tmp_path):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("rightHint=(strategy=merge)") == 3
     assert out.where("is_synthetic").count() > 0
+
+
+def test_boxes_leave_few_visits(spark, monkeypatch):
+    # rows spread along two of eight dimensions, copies, and rows that are no numbers
+    rng = np.random.default_rng(8)
+    x = np.concatenate([np.hstack([rng.uniform(0, 1000, (3000, 2)), rng.integers(0, 2, (3000, 6))]), np.zeros((40, 8))])
+    odd = [(9000, "A", [float("nan")] * 8), (9001, "A", [1.0] * 7 + [float("inf")])]
+    df = spark.createDataFrame([(i, "A", v.tolist()) for i, v in enumerate(x)] + odd, "id long, label string, vec array<double>")
+    monkeypatch.setattr(RS, "BLOCK_BYTES", 200 * 8 * 8)
+    staged = {}
+    real = RS.stage_table
+    monkeypatch.setattr(RS, "stage_table", lambda d, name: staged.setdefault(name, real(d, name)))
+    got = {r["id"]: list(r["nn_ids"]) for r in RS.knn_within_class(df, k=5, block=8).collect()}
+    assert got[9000] == [] and len(got) == len(x) + 2
+    for i in range(0, len(x), 7):
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        d[i] = np.inf
+        assert got[i] == sorted(range(len(x)), key=lambda j: (d[j], j))[:5], i
+    cells = staged["knn-assigned"].select("cell").distinct().count()
+    # finite rows meet few of the cells besides their own; a box that is no number is met by all
+    assert cells > 50 and staged["knn-visits"].where("id < 9000").count() < 6 * len(x)
