@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crashlens import constants as K
 from crashlens.plans import incremental
 from crashlens.sources import drift, sinks, snapshots
 
@@ -84,6 +85,17 @@ def test_first_state_is_counted(spark):
     assert {(r["lat"], r["n_big"]) for r in sums.collect()} == {(42.3, 2), (42.3005, 2), (43.0, 1)}
 
 
+def test_incremental_with_crowded_tiles(spark):
+    # tiles that are split into parts: queries and history still come from one table
+    df = spark.createDataFrame([(42.3 + i % 20 * 1e-3, -71.1 + i // 20 * 1e-3, K.CLASSES[i % 3], i % 2) for i in range(300)],
+                               "lat double, lon double, severity_class string, part int")
+    path = folder()
+    for i in (0, 1):
+        incremental.refresh(spark, path, df.where(F.col("part") == i), f"b{i}", max_cell_locations=100)
+    got, want = snapshots.read(spark, path, ["sums"])[0], incremental.first_state(df)[1]
+    assert got.count() == 300 and got.select(want.columns).exceptAll(want).count() == 0
+
+
 def test_json_fields_that_change(spark):
     lines = ['{"a":1,"b":"x","c":2.5,"d":true}', '{"a":"7","b":5,"c":3,"z":{"q":[1,null]}}', '{"a":2.5,"b":[1],"c":"no"}',
              '{"a":null,"b":null}', "{}", "[1]", "not json", '{"a":1,"a":2}', "", None, '{"a":99999999999,"d":"maybe"}',
